@@ -29,7 +29,6 @@ _SP = r"\t\n\x0B\f\r "
 TOKEN_RE = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{N}]+(?:[-'’][\p{L}\p{N}]+)*|[^" + _SP + r"\p{L}\p{N}]"
 TOKEN_WS_RE = "(" + TOKEN_RE + ")([" + _SP + "]*)"
 SENT_END = ".!?"
-_MARK_S, _MARK_T = "\u0002", "\u0001"
 
 
 def _c(col):
@@ -43,37 +42,38 @@ def token_classes(tokens: Column) -> Column:
                     .when(t.rlike(r"^[^\p{L}\p{N}]"), F.lit("P")).otherwise(F.lit("W"))), "")
 
 
-def split_sentences(tokens: Column, ws: Column) -> Column:
-    """N2 on one row: array<struct<tokens array<string>, ws array<string>>> per sentence.
+def sentence_starts(tokens: Column) -> Column:
+    """N2 on one row: 0-based token indices where sentences begin.
 
-    Sentence starts are marked in the class string (``S[SP]*W`` -> the W
-    begins a sentence), then tokens are joined with control separators and
-    split back, all linear in the number of tokens.
+    In the class string a ``W`` preceded by ``S[SP]*`` begins a sentence;
+    marking those as ``B`` is one linear regex pass.
     """
     cls = F.regexp_replace(token_classes(tokens), "S([SP]*)W", "S$1B")
-    flags = F.split(cls, "", -1)
-    zipped = F.arrays_zip(tokens.alias("t"), ws.alias("w"), flags.alias("f"))
-    joined = F.array_join(
-        F.transform(zipped, lambda z: F.concat(F.when(z["f"] == "B", F.lit(_MARK_S)).otherwise(F.lit("")),
-                                               z["t"], F.lit(_MARK_T), z["w"], F.lit(_MARK_T))), "")
-    sents = F.split(joined, _MARK_S, -1)
-
-    def one(s):
-        parts = F.split(s, _MARK_T, -1)
-        n = (F.size(parts) - 1) / 2
-        idx = F.sequence(F.lit(0), (n - 1).cast("int"))
-        return F.struct(F.transform(idx, lambda i: F.get(parts, i * 2)).alias("tokens"),
-                        F.transform(idx, lambda i: F.get(parts, i * 2 + 1)).alias("ws"))
-
-    return F.transform(F.filter(sents, lambda s: s != ""), one)
+    # The class string goes in as an argument of arrays_zip (evaluated once
+    # per row), never referenced from inside a lambda body.
+    zipped = F.arrays_zip(F.split(cls, "", -1).alias("f"), F.sequence(F.lit(0), F.size(tokens) - 1).alias("i"))
+    later = F.transform(F.filter(zipped, lambda z: z["f"] == "B"), lambda z: z["i"])
+    return F.concat(F.array(F.lit(0)), later)
 
 
 def sentences(df: DataFrame, key_col: str = "key", text_col: str = "text") -> DataFrame:
-    """N1 + N2: (key, sent, tokens, ws) one row per sentence, map-side only."""
+    """N1 + N2: (key, sent, tokens, ws), one row per sentence, map-side only.
+
+    Each sentence is a slice of the token arrays between consecutive starts;
+    the lambdas read only materialised columns, so the work is linear.
+    """
     t = df.select(F.col(key_col).alias("key"),
-                  F.regexp_extract_all(_c(text_col), F.lit(TOKEN_WS_RE), 1).alias("_tok"),
-                  F.regexp_extract_all(_c(text_col), F.lit(TOKEN_WS_RE), 2).alias("_ws"))
-    s = t.select("key", F.posexplode(split_sentences(F.col("_tok"), F.col("_ws"))).alias("sent", "s"))
+                  F.regexp_extract_all(_c(text_col), F.lit(TOKEN_WS_RE), 1).alias("tokens"),
+                  F.regexp_extract_all(_c(text_col), F.lit(TOKEN_WS_RE), 2).alias("ws"))
+    t = t.where(F.size("tokens") > 0).withColumn("starts", sentence_starts(F.col("tokens")))
+    n = F.size("tokens")
+
+    def one(st, j):
+        stop = F.coalesce(F.get(F.col("starts"), j + 1), n)
+        return F.struct(F.slice("tokens", st + 1, stop - st).alias("tokens"),
+                        F.slice("ws", st + 1, stop - st).alias("ws"))
+
+    s = t.select("key", F.posexplode(F.transform("starts", one)).alias("sent", "s"))
     return s.select("key", F.col("sent").cast("bigint").alias("sent"), "s.tokens", "s.ws")
 
 
@@ -141,13 +141,15 @@ def ngrams(sents: DataFrame, max_len: int = 3, capitalised: bool = True) -> Data
     """
     n = F.size("tokens")
     starts = F.sequence(F.lit(0), n - 1)
+    if capitalised:
+        starts = F.filter(starts, lambda i: F.get(F.col("tokens"), i).rlike(r"^\p{Lu}"))
     grams = F.flatten(F.transform(starts, lambda i: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(max_len), n - i)),
         lambda ln: F.struct(i.alias("start"), (i + ln).alias("end"),
                             F.array_join(F.slice("tokens", i + 1, ln), " ").alias("text")))))
     g = sents.where(n > 0).select("key", "sent", F.explode(grams).alias("g")).select(
         "key", "sent", "g.start", "g.end", "g.text")
-    return g.where(F.col("text").rlike(r"^\p{Lu}")) if capitalised else g
+    return g
 
 
 def gazetteer_mentions(sents: DataFrame, gazetteer: DataFrame, max_len: int = 3) -> DataFrame:

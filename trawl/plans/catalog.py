@@ -448,3 +448,353 @@ def q_kb_from_triples(spark, sf_dir):
         .unionByName(kb.topic.select(F.lit("topic").alias("tbl"), F.col("item").alias("a"),
                                      F.col("page").alias("b"), e.alias("c")))
     )
+
+
+# ---------------------------------------------------------------------------
+# Annotation N1-N5
+# ---------------------------------------------------------------------------
+from trawl.operators import annotate as N  # noqa: E402
+from trawl.operators import relations as RL  # noqa: E402
+from trawl.operators import score as E  # noqa: E402
+from trawl.plans.linking import CLASS_LABELS, gazetteer  # noqa: E402
+from trawl.sources import lines as LN  # noqa: E402
+
+_TOK_RE_SQL = N.TOKEN_WS_RE.replace("'", "''")
+_SENTS_SQL = r"""
+tk AS (SELECT doc_id AS key, regexp_extract_all(text, '""" + _TOK_RE_SQL + r"""', 1) AS toks FROM documents),
+cl AS (
+  SELECT key, toks, string_split(regexp_replace(array_to_string(list_transform(toks,
+      lambda t: CASE WHEN t IN ('.', '!', '?') THEN 'S' WHEN regexp_matches(t, '^[^\pL\pN]') THEN 'P' ELSE 'W' END),
+      ''), 'S([SP]*)W', 'S\1B', 'g'), '') AS flags
+  FROM tk WHERE len(toks) > 0
+),
+st AS (SELECT key, toks, list_concat([0], list_filter(range(1, len(toks)), lambda i: flags[i + 1] = 'B')) AS starts
+       FROM cl),
+ss AS (
+  SELECT key, CAST(generate_subscripts(sl, 1) - 1 AS BIGINT) AS sent, unnest(sl) AS stoks FROM (
+    SELECT key, list_transform(starts, lambda s, j: toks[s + 1 : coalesce(starts[j + 1], len(toks))]) AS sl FROM st)
+)"""
+
+
+@register("sentences", "WITH " + _SENTS_SQL.strip() + """
+SELECT key, sent, CAST(len(stoks) AS BIGINT) AS n_tokens, array_to_string(stoks, ' ') AS sentence FROM ss""")
+def q_sentences(spark, sf_dir):
+    """N1 + N2: rule tokens, sentence split after . ! ? tokens, whole texts."""
+    s = N.sentences(docs(spark, sf_dir), "doc_id", "text")
+    return s.select("key", "sent", F.size("tokens").cast("bigint").alias("n_tokens"),
+                    F.array_join("tokens", " ").alias("sentence"))
+
+
+_POS_SQL = r"""
+ps AS (
+  SELECT key, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS sent, unnest(l) AS s
+  FROM (SELECT doc_id AS key, string_split(text, '. ') AS l FROM documents WHERE lang = 'en')
+),
+pt AS (SELECT key, sent, list_filter(string_split_regex(s, '[ \n]+'), lambda t: t <> '') AS tokens FROM ps),
+pt2 AS (
+  SELECT key, sent, tokens, array_to_string(list_transform(tokens, lambda t: CASE WHEN regexp_matches(t, '^[A-Z]')
+      THEN 'X' ELSE (['V','T','R','J','N','O','D','P','X','M','V','N'])[length(t) % 12 + 1] END), '') AS pos
+  FROM pt WHERE len(tokens) > 0
+)"""
+
+
+def _pos_sents(spark, sf_dir):
+    return fx.pos_sentences(docs(spark, sf_dir))
+
+
+@register("pos_lexicon", "WITH " + _POS_SQL.strip() + """,
+tagged AS (
+  SELECT lower(tokens[i]) AS word, substr(pos, i, 1) AS tag
+  FROM (SELECT tokens, pos, unnest(range(1, len(tokens) + 1)) AS i FROM pt2)
+),
+counts AS (SELECT word, tag, COUNT(*) AS n FROM tagged GROUP BY word, tag)
+SELECT word, tag, n FROM (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, tag DESC) AS rn FROM counts) WHERE rn = 1""")
+def q_pos_lexicon(spark, sf_dir):
+    """Most frequent tag per word from the tagged English texts."""
+    s = _pos_sents(spark, sf_dir)
+    tagged = s.select(F.explode(F.arrays_zip(F.col("tokens").alias("word"),
+                                             F.split("pos", "", -1).alias("tag"))).alias("t")).select("t.word", "t.tag")
+    return N.pos_lexicon(tagged)
+
+
+_GAZ_SQL = """
+class_labels AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', '{lb}')" for c, lb in CLASS_LABELS) + """) t(class, label)),
+gaz AS (
+  SELECT DISTINCT l.name, c.label FROM kb_label l JOIN kb_type t ON t.item = l.item
+  JOIN class_labels c ON c.class = t.class WHERE l.lang = 'en'
+)"""
+
+
+@register("gazetteer_hits", S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _SENTS_SQL) + """,
+grams AS (
+  SELECT key, sent, i AS start, i + 1 AS "end", stoks[i + 1] AS text
+  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks))) AS i FROM ss)
+  WHERE regexp_matches(stoks[i + 1], '^\\p{Lu}')
+  UNION ALL
+  SELECT key, sent, i, i + 2, stoks[i + 1] || ' ' || stoks[i + 2]
+  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks) - 1)) AS i FROM ss)
+  WHERE regexp_matches(stoks[i + 1], '^\\p{Lu}')
+)
+SELECT g.key, g.sent, CAST(g.start AS BIGINT) AS start, CAST(g."end" AS BIGINT) AS "end", g.text AS mention, z.label
+FROM grams g JOIN gaz z ON z.name = g.text""")
+def q_gazetteer_hits(spark, sf_dir):
+    """Token 1- and 2-grams that equal a known English name (label from class)."""
+    d = docs(spark, sf_dir)
+    sents = N.sentences(d, "doc_id", "text")
+    hits = N.gazetteer_mentions(sents, gazetteer(spark, fx.derived_kb(d)), max_len=2)
+    return hits.select("key", "sent", F.col("start").cast("bigint").alias("start"),
+                       F.col("end").cast("bigint").alias("end"), "mention", "label")
+
+
+@register("longest_spans")
+def q_longest_spans(spark, sf_dir):
+    """Longest-first non-overlapping spans per sentence (rows-only check)."""
+    d = docs(spark, sf_dir)
+    sents = N.sentences(d, "doc_id", "text")
+    hits = N.gazetteer_mentions(sents, gazetteer(spark, fx.derived_kb(d)), max_len=2)
+    ents = N.sentence_entities(sents, hits)
+    return ents.select("key", "sent", F.explode("ents").alias("e")).select(
+        "key", "sent", F.col("e.start").cast("bigint").alias("start"), F.col("e.end").cast("bigint").alias("end"),
+        F.col("e.text").alias("mention"), F.col("e.label").alias("label"))
+
+
+# ---------------------------------------------------------------------------
+# Relations R1-R6
+# ---------------------------------------------------------------------------
+_PHRASE_SQL = _POS_SQL + r""",
+pe AS (SELECT key, sent, tokens, pos, list_filter(range(0, len(tokens)), lambda i: substr(pos, i + 1, 1) = 'X') AS epos
+       FROM pt2),
+ph AS (
+  SELECT key, sent, tokens, pos, epos,
+         unnest(list_filter(range(0, len(tokens)), lambda i: substr(pos, i + 1, 1) = 'V')) AS st FROM pe
+),
+ph2 AS (SELECT *, length(regexp_extract(substr(pos, st + 1), '^VT?R?[JRNOD]*[TP]?', 0)) AS ln FROM ph),
+nr AS (
+  SELECT key, sent, CAST(st AS BIGINT) AS start, CAST(ln AS BIGINT) AS len, tokens,
+         (list_filter(epos, lambda e: e < st))[-1] AS l, (list_filter(epos, lambda e: e >= st))[1] AS r
+  FROM ph2 WHERE len(epos) >= 2
+),
+rels AS (
+  SELECT key, sent, start, len, regexp_replace(tokens[l + 1], '[.,]$', '') AS e1,
+         lower(array_to_string(tokens[start + 1 : start + len], ' ')) AS rel,
+         regexp_replace(tokens[r + 1], '[.,]$', '') AS e2
+  FROM nr WHERE l IS NOT NULL AND r IS NOT NULL
+)"""
+
+
+def _relations(spark, sf_dir):
+    return RL.sentence_relations(fx.pos_entities(_pos_sents(spark, sf_dir)))
+
+
+@register("phrase_spans", "WITH " + _PHRASE_SQL.strip() + """
+SELECT key, sent, CAST(st AS BIGINT) AS start, CAST(ln AS BIGINT) AS len,
+       array_to_string(tokens[st + 1 : st + ln], ' ') AS phrase FROM ph2""")
+def q_phrase_spans(spark, sf_dir):
+    """R2: longest verb-phrase match at each verb (POS regex)."""
+    s = _pos_sents(spark, sf_dir)
+    p = s.select("key", "sent", "tokens", F.explode(RL.phrase_spans(F.col("pos"))).alias("p"))
+    return p.select("key", "sent", F.col("p.start").cast("bigint").alias("start"),
+                    F.col("p.len").cast("bigint").alias("len"),
+                    F.array_join(F.slice("tokens", F.col("p.start") + 1, F.col("p.len")), " ").alias("phrase"))
+
+
+@register("nearest_entities", "WITH " + _PHRASE_SQL.strip() + """
+SELECT key, sent, start, e1, e2 FROM rels""")
+def q_nearest_entities(spark, sf_dir):
+    """R1 + R3 + F9/F10: nearest entity on each side of each phrase."""
+    return _relations(spark, sf_dir).select("key", "sent", "start", "e1", "e2")
+
+
+@register("relations", "WITH " + _PHRASE_SQL.strip() + """
+SELECT key, sent, start, len, e1, rel, e2 FROM rels""")
+def q_relations(spark, sf_dir):
+    """(e1, lower-cased phrase, e2) triples."""
+    return _relations(spark, sf_dir)
+
+
+_LINKED_REL_SQL = S.with_ctes(*S.LINK_CTES) + "," + _PHRASE_SQL + """,
+linked AS (
+  SELECT r.key, r.sent, r.start, r.e1, r.e2, a.link AS link1, b.link AS link2, r.rel
+  FROM rels r JOIN entities a ON a.key = r.key AND a.mention = r.e1
+  JOIN entities b ON b.key = r.key AND b.mention = r.e2
+)"""
+
+
+def _linked_relations(spark, sf_dir):
+    ents, _ = L.link_entities(_mentions(spark, sf_dir), _kb(spark, sf_dir), L.label_class_table(spark))
+    return RL.linked_relations(_relations(spark, sf_dir), ents), ents
+
+
+@register("linked_relations", _LINKED_REL_SQL + """
+SELECT key, sent, start, e1, e2, link1, link2, rel FROM linked""")
+def q_linked_relations(spark, sf_dir):
+    """R5 + R6: relations whose two ends are linked on the same page."""
+    return _linked_relations(spark, sf_dir)[0]
+
+
+# ---------------------------------------------------------------------------
+# Lines and sinks S2-S6
+# ---------------------------------------------------------------------------
+_ENT_LINE = "'ENTITY: ' || CAST(key AS VARCHAR) || chr(9) || mention || chr(9) || link"
+_REL_LINE = "'RELATION: ' || CAST(key AS VARCHAR) || chr(9) || link1 || chr(9) || link2 || chr(9) || rel"
+
+
+@register("entity_lines", S.with_ctes(*S.LINK_CTES) + f"""
+SELECT {_ENT_LINE} AS value FROM entities""")
+def q_entity_lines(spark, sf_dir):
+    """ENTITY lines."""
+    return LN.entity_lines(q_link_entities(spark, sf_dir))
+
+
+@register("relation_lines", _LINKED_REL_SQL + f"""
+SELECT {_REL_LINE} AS value FROM linked""")
+def q_relation_lines(spark, sf_dir):
+    """RELATION lines."""
+    return LN.relation_lines(q_linked_relations(spark, sf_dir))
+
+
+@register("result_lines", _LINKED_REL_SQL + f"""
+SELECT {_ENT_LINE} AS value FROM entities UNION ALL SELECT {_REL_LINE} FROM linked""")
+def q_result_lines(spark, sf_dir):
+    """Entity and relation lines, ordered per page (entities first)."""
+    rels, ents = _linked_relations(spark, sf_dir)
+    return LN.result_lines(ents, rels, ordered=True)
+
+
+def _csv_esc(x: str) -> str:
+    return f"regexp_replace(COALESCE({x}, ''), '([\\\\,\"\\r\\n])', '\\\\\\1', 'g')"
+
+
+_CSV_COLS = ["key", "title", "headers", "text"]
+
+
+@register("csv_lines", _PAGE_TEXT_SQL.replace("SELECT page_id AS key, title, headers", "SELECT * FROM (SELECT page_id AS key, title, headers", 1)
+          .replace("WHERE length(trim(title || ' ' || all_text)) > 0", "WHERE length(trim(title || ' ' || all_text)) > 0) t0")
+          .replace("SELECT * FROM (", "SELECT concat_ws(',', " + ", ".join(_csv_esc(f"CAST({c} AS VARCHAR)") for c in _CSV_COLS) + ") AS value FROM (", 1))
+def q_csv_lines(spark, sf_dir):
+    """Page rows as escaped CSV records (no quoting, backslash escape)."""
+    return LN.csv_lines(q_page_text(spark, sf_dir), _CSV_COLS)
+
+
+@register("csv_roundtrip", _PAGE_TEXT_SQL.replace("SELECT page_id AS key,", "SELECT CAST(page_id AS VARCHAR) AS key,", 1))
+def q_csv_roundtrip(spark, sf_dir):
+    """S3: escaped CSV records parsed back into the four columns."""
+    return LN.parse_csv_lines(q_csv_lines(spark, sf_dir), _CSV_COLS)
+
+
+# ---------------------------------------------------------------------------
+# Scoring E1-E10 (gold derived from predictions and the labels table)
+# ---------------------------------------------------------------------------
+REPEATED = "http://en.wikipedia.org/wiki/Repeated"
+
+
+def entity_score_inputs(ents: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gold, pred) line tables: gold drops toxic pages, changes links of
+    low-quality pages, and repeats the first key with a new value (last wins)."""
+    order = F.struct("key", "mention", F.lit(0).alias("seq"))
+    pred = ents.select(LN.entity_value().alias("value"), order.alias("line_no"))
+    lab = labels.select(F.col("doc_id").alias("key"), "quality", "toxic")
+    g = ents.join(lab, "key", "left").where(F.coalesce("toxic", F.lit(0)) == 0).withColumn(
+        "link", F.when(F.col("quality") == 0, F.concat("link", F.lit("#changed"))).otherwise(F.col("link")))
+    first = ents.groupBy().agg(F.min(F.struct("key", "mention")).alias("f")).select("f.key", "f.mention")
+    rep = first.select("key", "mention", F.lit(REPEATED).alias("link"))
+    gold = g.select(LN.entity_value().alias("value"), order.alias("line_no")).unionByName(
+        rep.select(LN.entity_value().alias("value"), F.struct("key", "mention", F.lit(1).alias("seq")).alias("line_no")))
+    return gold, pred
+
+
+def relation_score_inputs(rels: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    order = F.struct("key", "sent", "start", F.lit(0).alias("seq"))
+    pred = rels.select(LN.relation_value().alias("value"), order.alias("line_no"))
+    lab = labels.select(F.col("doc_id").alias("key"), "quality", "toxic")
+    g = rels.join(lab, "key", "left").where(F.coalesce("toxic", F.lit(0)) == 0)
+    swap = F.col("quality") == 0
+
+    def gold_value(s, o):
+        return F.concat_ws("\t", F.col("key").cast("string"), F.lit("RELATION"), "rel", s, o,
+                           F.concat(F.lit("r"), F.col("start").cast("string")))
+
+    gold = g.select(gold_value(F.when(swap, F.col("link2")).otherwise(F.col("link1")),
+                               F.when(swap, F.col("link1")).otherwise(F.col("link2"))).alias("value"),
+                    order.alias("line_no"))
+    first = rels.groupBy().agg(F.min(F.struct("key", "sent", "start", "rel", "link2")).alias("f")).select("f.*")
+    rep = first.select(gold_value(F.lit(REPEATED), F.col("link2")).alias("value"),
+                       F.struct("key", "sent", "start", F.lit(1).alias("seq")).alias("line_no"))
+    return gold.unionByName(rep), pred
+
+
+_SCORE_TAIL = """,
+joined AS (SELECT g.record AS gr, p.record AS pr, g.v1 AS g1, g.v2 AS g2, p.v1 AS p1, p.v2 AS p2
+         FROM g FULL OUTER JOIN p ON g.record = p.record AND g.string = p.string),
+cnt AS (SELECT COUNT(gr) AS gold, COUNT(pr) AS predicted,
+               COUNT(*) FILTER (WHERE gr IS NOT NULL AND pr IS NOT NULL AND {same}) AS correct FROM joined)
+SELECT gold, predicted, correct,
+       CASE WHEN predicted = 0 THEN NULL ELSE correct / predicted END AS precision,
+       CASE WHEN gold = 0 THEN NULL ELSE correct / gold END AS recall,
+       CASE WHEN predicted = 0 OR gold = 0 OR correct = 0 THEN NULL
+            ELSE 2 * (correct / predicted) * (correct / gold) / ((correct / predicted) + (correct / gold)) END AS f1
+FROM cnt"""
+
+_SCORE_ENTITY_SQL = S.with_ctes(*S.LINK_CTES) + f""",
+pred AS (SELECT {_ENT_LINE} AS value, key AS o1, mention AS o2, 0 AS o3 FROM entities),
+gsrc AS (
+  SELECT e.key, e.mention, CASE WHEN l.quality = 0 THEN e.link || '#changed' ELSE e.link END AS link
+  FROM entities e LEFT JOIN labels l ON l.doc_id = e.key WHERE COALESCE(l.toxic, 0) = 0
+),
+first AS (SELECT key, mention FROM entities ORDER BY key, mention LIMIT 1),
+gold AS (
+  SELECT {_ENT_LINE} AS value, key AS o1, mention AS o2, 0 AS o3 FROM gsrc
+  UNION ALL SELECT 'ENTITY: ' || CAST(key AS VARCHAR) || chr(9) || mention || chr(9) || '{REPEATED}', key, mention, 1
+  FROM first
+),
+gl AS (SELECT {S.py_strip('value')} AS line, o1, o2, o3 FROM gold WHERE contains(value, 'ENTITY')),
+g0 AS (SELECT string_split(substr(line, 9), chr(9)) AS f, o1, o2, o3 FROM gl
+       WHERE len(string_split(line, chr(9))) = 3),
+g AS (SELECT f[1] AS record, f[2] AS string, arg_max(f[3], (o1, o2, o3)) AS v1, NULL AS v2 FROM g0 GROUP BY ALL),
+pl AS (SELECT {S.py_strip('value')} AS line, o1, o2, o3 FROM pred WHERE contains(value, 'ENTITY')),
+p0 AS (SELECT string_split(substr(line, 9), chr(9)) AS f, o1, o2, o3 FROM pl),
+p AS (SELECT f[1] AS record, f[2] AS string, arg_max(f[3], (o1, o2, o3)) AS v1, NULL AS v2 FROM p0
+      WHERE len(f) = 3 GROUP BY ALL)""" + _SCORE_TAIL.format(same="g1 = p1")
+
+
+@register("score_entity", _SCORE_ENTITY_SQL)
+def q_score_entity(spark, sf_dir):
+    """E1-E10 for entity lines."""
+    ents = q_link_entities(spark, sf_dir)
+    gold, pred = entity_score_inputs(ents, fx.read_table(spark, sf_dir, "labels"))
+    return E.score(gold, pred, "ENTITY")
+
+
+_SCORE_REL_SQL = _LINKED_REL_SQL + f""",
+pred AS (SELECT {_REL_LINE} AS value, key AS o1, sent AS o2, start AS o3, 0 AS o4 FROM linked),
+gsrc AS (
+  SELECT r.*, CASE WHEN l.quality = 0 THEN r.link2 ELSE r.link1 END AS s,
+         CASE WHEN l.quality = 0 THEN r.link1 ELSE r.link2 END AS o
+  FROM linked r LEFT JOIN labels l ON l.doc_id = r.key WHERE COALESCE(l.toxic, 0) = 0
+),
+first AS (SELECT key, sent, start, rel, link2 FROM linked ORDER BY key, sent, start, rel, link2 LIMIT 1),
+gold AS (
+  SELECT concat_ws(chr(9), CAST(key AS VARCHAR), 'RELATION', rel, s, o, 'r' || CAST(start AS VARCHAR)) AS value,
+         key AS o1, sent AS o2, start AS o3, 0 AS o4 FROM gsrc
+  UNION ALL
+  SELECT concat_ws(chr(9), CAST(key AS VARCHAR), 'RELATION', rel, '{REPEATED}', link2, 'r' || CAST(start AS VARCHAR)),
+         key, sent, start, 1 FROM first
+),
+gl AS (SELECT {S.py_strip('value')} AS line, o1, o2, o3, o4 FROM gold WHERE contains(value, 'RELATION')),
+g0 AS (SELECT string_split(line, chr(9)) AS f, o1, o2, o3, o4 FROM gl),
+g AS (SELECT f[1] AS record, f[3] AS string, arg_max(f[4], (o1, o2, o3, o4)) AS v1,
+             arg_max(f[5], (o1, o2, o3, o4)) AS v2 FROM g0 WHERE len(f) = 6 GROUP BY ALL),
+pl AS (SELECT {S.py_strip('value')} AS line, o1, o2, o3, o4 FROM pred WHERE contains(value, 'RELATION')),
+p0 AS (SELECT string_split(substr(line, 11), chr(9)) AS f, o1, o2, o3, o4 FROM pl),
+p AS (SELECT f[1] AS record, f[4] AS string, arg_max(f[2], (o1, o2, o3, o4)) AS v1,
+             arg_max(f[3], (o1, o2, o3, o4)) AS v2 FROM p0 WHERE len(f) IN (4, 5) GROUP BY ALL)""" + _SCORE_TAIL.format(
+    same="g1 = p1 AND g2 = p2")
+
+
+@register("score_relation", _SCORE_REL_SQL)
+def q_score_relation(spark, sf_dir):
+    """E1-E10 for relation lines (rel_id ignored)."""
+    rels = q_linked_relations(spark, sf_dir)
+    gold, pred = relation_score_inputs(rels, fx.read_table(spark, sf_dir, "labels"))
+    return E.score(gold, pred, "RELATION")

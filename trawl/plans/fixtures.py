@@ -137,10 +137,11 @@ def pos_entities(sents: DataFrame) -> DataFrame:
     Adds ``ents array<struct<start int, end int, text string>>`` (0-based
     token span, end exclusive), sorted by start.
     """
-    idx = F.sequence(F.lit(0), F.size("tokens") - 1)
+    zipped = F.arrays_zip(F.col("tokens").alias("t"), F.split("pos", "", -1).alias("p"),
+                          F.sequence(F.lit(0), F.size("tokens") - 1).alias("i"))
     ents = F.transform(
-        F.filter(idx, lambda i: F.substring("pos", i + 1, 1) == "X"),
-        lambda i: F.struct(i.alias("start"), (i + 1).alias("end"),
-                           F.regexp_replace(F.get(F.col("tokens"), i), r"[.,]\z", "").alias("text")),
+        F.filter(zipped, lambda z: z["p"] == "X"),
+        lambda z: F.struct(z["i"].alias("start"), (z["i"] + 1).alias("end"),
+                           F.regexp_replace(z["t"], r"[.,]\z", "").alias("text")),
     )
     return sents.withColumn("ents", ents)

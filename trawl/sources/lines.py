@@ -75,7 +75,7 @@ def write_csv(df: DataFrame, cols: list[str], path: str) -> None:
 def parse_csv_lines(lines: DataFrame, names: list[str]) -> DataFrame:
     """S3: escaped CSV records (``value``) back to columns."""
     n = len(names)
-    fields = F.slice(F.regexp_extract_all("value", F.lit(r"(?s)((?:[^\\,]|\\.)*)(?:,|\z)"), 1), 1, n)
+    fields = F.slice(F.regexp_extract_all("value", F.lit(r"(?s)((?:[^\\,]++|\\.)*+)(?:,|\z)"), 1), 1, n)
     return lines.select(*[F.regexp_replace(F.get(fields, i), r"(?s)\\(.)", "$1").alias(nm)
                           for i, nm in enumerate(names)])
 
