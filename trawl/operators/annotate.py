@@ -23,6 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.functions.plan import compute_once
+
 # Token rule (Java and RE2 agree on it): numbers with inner . or , ; words
 # with inner hyphen/apostrophe; else one non-space, non-word character.
 _SP = r"\t\n\x0B\f\r "
@@ -62,10 +64,10 @@ def sentences(df: DataFrame, key_col: str = "key", text_col: str = "text") -> Da
     Each sentence is a slice of the token arrays between consecutive starts;
     the lambdas read only materialised columns, so the work is linear.
     """
-    t = df.select(F.col(key_col).alias("key"),
-                  F.regexp_extract_all(_c(text_col), F.lit(TOKEN_WS_RE), 1).alias("tokens"),
-                  F.regexp_extract_all(_c(text_col), F.lit(TOKEN_WS_RE), 2).alias("ws"))
-    t = t.where(F.size("tokens") > 0).withColumn("starts", sentence_starts(F.col("tokens")))
+    t = compute_once(df.select(F.col(key_col).alias("key"), _c(text_col).alias("_text")), keep=["key"],
+                     tokens=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 1),
+                     ws=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 2))
+    t = compute_once(t.where(F.size("tokens") > 0), starts=sentence_starts(F.col("tokens")))
     n = F.size("tokens")
 
     def one(st, j):

@@ -41,36 +41,27 @@ def mention_form_rows(reps: DataFrame) -> DataFrame:
 
 
 def branch_rows(reps: DataFrame, kb: KnowledgeGraph, redirect: str = "zero_or_one") -> DataFrame:
-    """The bag of (mention_key, class, rep, item, branch) rows."""
-    if redirect not in ("zero_or_one", "one"):
-        raise ValueError("redirect must be 'zero_or_one' or 'one'")
-    forms = mention_form_rows(reps)
-    labels = kb.english_labels()
-    hits = forms.join(labels, forms.label_form == labels.name).select(*KEYS, F.col("item").alias("temp"))
-
-    c1 = hits.select(*KEYS, F.col("temp").alias("item"), F.lit("label").alias("branch"))
-    one_step = (
-        hits.join(kb.redirect, hits.temp == kb.redirect.src)
-        .where(F.col("dst") != F.col("temp") if redirect == "zero_or_one" else F.lit(True))
-        .select(*KEYS, F.col("dst").alias("item"), F.lit("redirect").alias("branch"))
-    )
-    c2 = one_step
-    if redirect == "zero_or_one":
-        # SPARQL ``p?``: the label hit itself also answers this branch.
-        c2 = c2.unionByName(hits.select(*KEYS, F.col("temp").alias("item"), F.lit("redirect").alias("branch")))
+    """The bag of (mention_key, class, rep, item, branch) rows.
 
-    pages = forms.select(
+    Each mention asks the graph's lookup index under up to six keys (label
+    form, disambiguation page, own page; for m2/m3 and, if different,
+    m0/m1); one equi-join answers all branches.
+    """
+    forms = mention_form_rows(reps)
+    asks = forms.select(
         *KEYS,
-        F.explode(
-            F.array(
-                F.struct(F.concat(F.lit(RESOURCE), "page_form", F.lit("_(disambiguation)")).alias("page"),
-                         F.lit("disambig_page").alias("branch")),
-                F.struct(F.concat(F.lit(RESOURCE), "page_form").alias("page"), F.lit("disambig_self").alias("branch")),
-            )
-        ).alias("d"),
-    ).select(*KEYS, "d.page", "d.branch")
-    c34 = pages.join(kb.disambig, "page").select(*KEYS, "item", "branch")
-    return c1.unionByName(c2).unionByName(c34)
+        F.explode(F.array(
+            F.struct(F.lit("label").alias("kind"), F.col("label_form").alias("key"),
+                     F.lit(None).cast("string").alias("ask")),
+            F.struct(F.lit("page").alias("kind"),
+                     F.concat(F.lit(RESOURCE), "page_form", F.lit("_(disambiguation)")).alias("key"),
+                     F.lit("disambig_page").alias("ask")),
+            F.struct(F.lit("page").alias("kind"), F.concat(F.lit(RESOURCE), "page_form").alias("key"),
+                     F.lit("disambig_self").alias("ask")),
+        )).alias("a"),
+    ).select(*KEYS, "a.kind", "a.key", "a.ask")
+    hits = asks.join(kb.lookup(redirect), ["kind", "key"])
+    return hits.select(*KEYS, "item", F.coalesce("branch", "ask").alias("branch"))
 
 
 def candidates(reps: DataFrame, kb: KnowledgeGraph, redirect: str = "zero_or_one",

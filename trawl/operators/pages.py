@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.html import extract_html
+from trawl.functions.plan import compute_once
 from trawl.functions.text import join_sentences, process_text, split_lines
 from trawl.operators.records import html_records
 
@@ -22,13 +23,11 @@ def page_rows(bodies: DataFrame, key_col: str = "key", body_col: str = "body", p
     title = process_text(F.col("title"), strict_words)
     headers = process_text(join_sentences(F.col("headers")), strict_words)
     all_text = process_text(join_sentences(F.concat(F.col("headers"), F.col("paras"))), strict_words)
-    rows = parts.select(
-        F.col(key_col).alias("key"),
-        title.alias("title"),
-        headers.alias("headers"),
-        F.trim(F.concat(title, F.lit(" "), all_text)).alias("text"),
-    )
-    return rows.where(F.col("key").isNotNull() & (F.length("text") > 0))
+    staged = compute_once(parts, keep=[key_col], title=title, headers=headers, all_text=all_text)
+    rows = compute_once(staged, keep=[key_col, "title", "headers"],
+                        text=F.trim(F.concat("title", F.lit(" "), "all_text")))
+    return rows.where(F.col(key_col).isNotNull() & (F.length("text") > 0)).select(
+        F.col(key_col).alias("key"), "title", "headers", "text")
 
 
 def pages_as_bodies(pages: DataFrame, key_col: str = "page_id", html_col: str = "html") -> DataFrame:

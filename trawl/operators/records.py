@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.functions.plan import compute_once
 from trawl.functions.text import split_lines
 
 
@@ -54,19 +55,17 @@ def html_records(records: DataFrame, payload_col: str = "payload", layout: str =
     dropped here, before any parsing.
     """
     keep = keep or []
-    lines = split_lines(F.col(payload_col))
-    staged = records.select(*keep, F.col(payload_col), lines.alias("_lines"))
+    staged = compute_once(records, keep=[*keep, payload_col], _lines=split_lines(F.col(payload_col)))
     is_html, body = html_body(F.col("_lines"), layout)
-    staged = staged.select(
-        *keep,
-        record_key(F.col("_lines"), layout).alias("key"),
-        is_html.alias("_is_html"),
-        F.array_join(body, " ").alias("body"),
-        (F.length(payload_col) > 0).alias("_nonempty"),
-    )
-    return staged.where(F.col("_nonempty") & F.col("key").isNotNull() & F.col("_is_html")).drop(
-        "_nonempty", "_is_html"
+    staged = compute_once(
+        staged, keep=keep,
+        key=record_key(F.col("_lines"), layout),
+        _is_html=is_html,
+        _nonempty=F.length(payload_col) > 0,
+        _body=body,
     )
+    kept = staged.where(F.col("_nonempty") & F.col("key").isNotNull() & F.col("_is_html"))
+    return kept.select(*keep, "key", F.array_join("_body", " ").alias("body"))
 
 
 def rejected_records(records: DataFrame, payload_col: str = "payload", layout: str = "fixed") -> DataFrame:

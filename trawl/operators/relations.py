@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.functions.plan import compute_once
+
 NOMINAL = "XNM"  # PROPN, NOUN, NUM (F9)
 
 
@@ -82,9 +84,9 @@ def sentence_relations(sents: DataFrame, regex: str | None = None, keep: list[st
     """
     keep = keep or []
     has_ws = "ws" in sents.columns
-    s = sents.select("key", "sent", *keep, "tokens", *(["ws"] if has_ws else []), "pos",
-                     nominal_entities(F.col("ents"), F.col("pos")).alias("ents"))
-    s = s.where(F.size("ents") >= 2).withColumn("phrases", phrase_spans(F.col("pos"), regex))
+    s = compute_once(sents, keep=["key", "sent", *keep, "tokens", *(["ws"] if has_ws else []), "pos"],
+                     ents=nominal_entities(F.col("ents"), F.col("pos")))
+    s = compute_once(s.where(F.size("ents") >= 2), phrases=phrase_spans(F.col("pos"), regex))
 
     def nearest(ph):
         left = F.try_element_at(F.filter("ents", lambda e: e["start"] < ph["start"]), F.lit(-1))

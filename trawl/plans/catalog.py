@@ -270,7 +270,7 @@ def _mentions(spark, sf_dir):
 
 
 def _kb(spark, sf_dir):
-    return fx.derived_kb(docs(spark, sf_dir))
+    return fx.stored_kb(spark, sf_dir)
 
 
 def _ments(spark, sf_dir):
@@ -388,7 +388,7 @@ WHERE rn = 1""")
 def q_most_popular(spark, sf_dir):
     """L2: most backlinks from the project namespace, ties by edit distance."""
     d = docs(spark, sf_dir)
-    cands = C.candidates(_reps(spark, sf_dir), fx.derived_kb(d))
+    cands = C.candidates(_reps(spark, sf_dir), _kb(spark, sf_dir))
     return L.most_popular(cands, backlinks_table(d))
 
 
@@ -542,7 +542,7 @@ def q_gazetteer_hits(spark, sf_dir):
     """Token 1- and 2-grams that equal a known English name (label from class)."""
     d = docs(spark, sf_dir)
     sents = N.sentences(d, "doc_id", "text")
-    hits = N.gazetteer_mentions(sents, gazetteer(spark, fx.derived_kb(d)), max_len=2)
+    hits = N.gazetteer_mentions(sents, gazetteer(spark, _kb(spark, sf_dir)), max_len=2)
     return hits.select("key", "sent", F.col("start").cast("bigint").alias("start"),
                        F.col("end").cast("bigint").alias("end"), "mention", "label")
 
@@ -552,7 +552,7 @@ def q_longest_spans(spark, sf_dir):
     """Longest-first non-overlapping spans per sentence (rows-only check)."""
     d = docs(spark, sf_dir)
     sents = N.sentences(d, "doc_id", "text")
-    hits = N.gazetteer_mentions(sents, gazetteer(spark, fx.derived_kb(d)), max_len=2)
+    hits = N.gazetteer_mentions(sents, gazetteer(spark, _kb(spark, sf_dir)), max_len=2)
     ents = N.sentence_entities(sents, hits)
     return ents.select("key", "sent", F.explode("ents").alias("e")).select(
         "key", "sent", F.col("e.start").cast("bigint").alias("start"), F.col("e.end").cast("bigint").alias("end"),

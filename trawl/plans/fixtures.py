@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.sources.kb import RESOURCE, KnowledgeGraph
+from trawl.functions.plan import compute_once
+from trawl.sources.kb import RESOURCE, TABLES, KnowledgeGraph
 
 WIKI = "http://en.wikipedia.org/wiki/"
 
@@ -47,9 +48,13 @@ def mentions(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -
                     F.element_at(labels, (F.length("word") % 4 + 1).cast("int")).alias("label"))
 
 
-def derived_kb(docs: DataFrame) -> KnowledgeGraph:
-    """The knowledge graph built from the words of ``documents``."""
-    w = words(docs).where(F.length("word") >= 5)
+def derived_kb(docs: DataFrame, long_words: DataFrame | None = None) -> KnowledgeGraph:
+    """The knowledge graph built from the words of ``documents``.
+
+    ``long_words``: the (key, pos, word) rows of length >= 5 when already
+    materialised (the build then scans the texts only once).
+    """
+    w = long_words if long_words is not None else words(docs).where(F.length("word") >= 5)
     items = w.select("word").distinct()
     item = F.concat(F.lit(RESOURCE), F.col("word"))
     classes = F.array(*[F.lit(x) for x in ITEM_CLASSES])
@@ -123,7 +128,8 @@ def pos_sentences(docs: DataFrame) -> DataFrame:
     sents = docs.where(F.col("lang") == "en").select(
         F.col("doc_id").alias("key"), F.posexplode(F.split("text", r"\. ", -1)).alias("sent", "s")
     )
-    toks = sents.select("key", "sent", F.filter(F.split("s", r"[ \n]+", -1), lambda t: t != "").alias("tokens"))
+    toks = compute_once(sents, keep=["key", "sent"],
+                        tokens=F.filter(F.split("s", r"[ \n]+", -1), lambda t: t != ""))
     tags = F.transform(
         "tokens",
         lambda t: F.when(t.rlike("^[A-Z]"), F.lit("X")).otherwise(F.element_at(letters, (F.length(t) % 12 + 1).cast("int"))),
@@ -145,3 +151,33 @@ def pos_entities(sents: DataFrame) -> DataFrame:
                            F.regexp_replace(z["t"], r"[.,]\z", "").alias("text")),
     )
     return sents.withColumn("ents", ents)
+
+
+KB_LAYOUT = "2"  # bump when the stored table set changes
+
+
+def stored_kb(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> KnowledgeGraph:
+    """The derived knowledge graph, written once as parquet and read back.
+
+    A real graph is loaded from storage, never rebuilt per query; the
+    derived one is written under the session's checkpoint folder (a shared
+    folder on a cluster), keyed by the input path, size and time, and reused
+    by later queries.  Existence checks go through the Hadoop file system of
+    the path, so they work for any shared store, not only local disks.
+    """
+    import hashlib
+
+    from trawl.session import ensure_checkpoint_dir, path_status
+
+    src = f"{sf_dir}/documents.parquet"
+    size, mtime = path_status(spark, src)
+    tag = hashlib.sha1(f"{KB_LAYOUT}|{src}|{size}|{mtime}".encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark)}/trawl-kb-{tag}"
+    tables = [*TABLES, "lookup", "item_cards"]
+    if any(path_status(spark, f"{path}/kb_{t}/_SUCCESS")[0] is None for t in tables):
+        docs = spark.read.parquet(src)
+        par = spark.sparkContext.defaultParallelism
+        docs = docs.repartition(par) if docs.rdd.getNumPartitions() < par else docs
+        words(docs).where(F.length("word") >= 5).write.mode("overwrite").parquet(f"{path}/words")
+        derived_kb(docs, spark.read.parquet(f"{path}/words")).save(path, partitions or max(8, par))
+    return KnowledgeGraph.load(spark, path)

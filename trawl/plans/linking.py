@@ -36,7 +36,8 @@ CLASS_LABELS = [
 
 def gazetteer(spark: SparkSession, kb: KnowledgeGraph) -> DataFrame:
     """(name, label): English names with a label taken from the item's class."""
-    cl = spark.createDataFrame(CLASS_LABELS, "class string, label string")
+    cl = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(c).alias("class"), F.lit(lb).alias("label"))
+                                                  for c, lb in CLASS_LABELS])))
     return kb.english_labels().join(kb.type, "item").join(F.broadcast(cl), "class").select("name", "label").distinct()
 
 
@@ -76,19 +77,35 @@ def link_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph, max_len
 
 def entity_lines_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: ENTITY lines for every page of ``pages`` (KB derived from ``documents``)."""
-    from trawl.plans.catalog import docs, pages
+    from trawl.plans.catalog import pages
 
     rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="nested")
-    kb = fx.derived_kb(docs(spark, sf_dir))
+    kb = fx.stored_kb(spark, sf_dir)
     ents, _ = link_pages(spark, rows, kb, relations=False)
     return entity_lines(ents)
 
 
+def run_stage_dir(spark: SparkSession) -> str:
+    """A fresh folder for this run's stages under the shared checkpoint folder."""
+    import uuid
+
+    from trawl.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark)}/trawl-stages-{uuid.uuid4().hex[:12]}"
+
+
 def full_job(spark: SparkSession, sf_dir: str, stage_dir: str | None = None, ordered: bool = False) -> DataFrame:
-    """All output lines (entities, then relations per page when ``ordered``)."""
-    from trawl.plans.catalog import docs, pages
+    """All output lines (entities, then relations per page when ``ordered``).
+
+    Page text, sentences, mentions and entities each feed more than one
+    consumer; they are written once as parquet under ``stage_dir`` (default:
+    a new folder in the checkpoint folder) instead of being recomputed, and
+    a re-run can resume from them.
+    """
+    from trawl.plans.catalog import pages
 
+    stage_dir = stage_dir or run_stage_dir(spark)
     rows = materialise(page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="nested"), stage_dir, "page_text")
-    kb = fx.derived_kb(docs(spark, sf_dir))
+    kb = fx.stored_kb(spark, sf_dir)
     ents, rels = link_pages(spark, rows, kb, stage_dir=stage_dir)
     return result_lines(ents, rels, ordered)

@@ -51,3 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set(CHECKPOINT_KEY, conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir
+
+
+def path_status(spark: SparkSession, path: str) -> tuple[int | None, int | None]:
+    """(length, modification time) of a path through its Hadoop file system; (None, None) if absent."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return None, None
+    st = fs.getFileStatus(hpath)
+    return st.getLen(), st.getModificationTime()

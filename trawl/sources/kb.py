@@ -19,7 +19,7 @@ co-located, pre-sorted files.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +51,9 @@ _JOIN_KEYS = {
 }
 
 
+TABLES = ["label", "redirect", "disambig", "type", "link", "topic"]
+
+
 @dataclass
 class KnowledgeGraph:
     label: DataFrame
@@ -59,6 +62,8 @@ class KnowledgeGraph:
     type: DataFrame
     link: DataFrame
     topic: DataFrame
+    cards: DataFrame | None = None  # stored item_cards(), when loaded from disk
+    lookup_index: DataFrame | None = None  # stored lookup(), when loaded from disk
 
     def english_labels(self) -> DataFrame:
         """C1/C2 side: names with language tag exactly ``en``."""
@@ -75,6 +80,8 @@ class KnowledgeGraph:
         Items without in-links, page or English name vanish, as in the
         original graph pattern.
         """
+        if self.cards is not None:
+            return self.cards
         lang = F.lower(F.col("lang"))
         names = self.label.where((lang == "en") | lang.startswith("en-")).select("item", "name")
         return (
@@ -84,17 +91,55 @@ class KnowledgeGraph:
             .join(names, "item")
         )
 
+    def lookup(self, redirect: str = "zero_or_one") -> DataFrame:
+        """C1-C4 as one index: (kind, key, item, branch).
+
+        ``kind='label'``: an English name leads to its item (C1), to the
+        item again as the zero-step of the redirect path (C2, SPARQL ``p?``)
+        and to every redirect target of it (C2); ``kind='page'``: a
+        disambiguation page leads to the items it lists (C3/C4).  Built once
+        per graph, so candidate generation is a single equi-join.
+        """
+        if redirect not in ("zero_or_one", "one"):
+            raise ValueError("redirect must be 'zero_or_one' or 'one'")
+        if self.lookup_index is not None and redirect == "zero_or_one":
+            return self.lookup_index
+        labels = self.english_labels()
+        rows = labels.select(F.lit("label").alias("kind"), F.col("name").alias("key"), "item",
+                             F.lit("label").alias("branch"))
+        hop = labels.join(self.redirect, labels.item == self.redirect.src).select(
+            F.lit("label").alias("kind"), F.col("name").alias("key"), F.col("dst").alias("item"),
+            F.lit("redirect").alias("branch"), F.col("item").alias("_temp"))
+        if redirect == "zero_or_one":
+            rows = rows.unionByName(labels.select(F.lit("label").alias("kind"), F.col("name").alias("key"), "item",
+                                                  F.lit("redirect").alias("branch")))
+            hop = hop.where(F.col("item") != F.col("_temp"))
+        rows = rows.unionByName(hop.drop("_temp"))
+        pages = self.disambig.select(F.lit("page").alias("kind"), F.col("page").alias("key"), "item",
+                                     F.lit(None).cast("string").alias("branch"))
+        return rows.unionByName(pages)
+
     def save(self, path: str, partitions: int = 64) -> None:
-        """Write each table partitioned and sorted by its join key."""
-        for f in fields(self):
-            key = _JOIN_KEYS[f.name]
-            df: DataFrame = getattr(self, f.name)
+        """Write each table partitioned and sorted by its join key, plus the item cards.
+
+        The cards are the eager aggregation of the link table joined to the
+        other per-item tables, computed once here instead of per query.
+        """
+        for name in TABLES:
+            key = _JOIN_KEYS[name]
+            df: DataFrame = getattr(self, name)
             (df.repartition(partitions, key).sortWithinPartitions(key)
-             .write.mode("overwrite").parquet(f"{path}/kb_{f.name}"))
+             .write.mode("overwrite").parquet(f"{path}/kb_{name}"))
+        (self.lookup().repartition(partitions, "key").sortWithinPartitions("key")
+         .write.mode("overwrite").parquet(f"{path}/kb_lookup"))
+        (self.item_cards().repartition(partitions, "item").sortWithinPartitions("item")
+         .write.mode("overwrite").parquet(f"{path}/kb_item_cards"))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "KnowledgeGraph":
-        return KnowledgeGraph(**{f.name: spark.read.parquet(f"{path}/kb_{f.name}") for f in fields(KnowledgeGraph)})
+        tables = {name: spark.read.parquet(f"{path}/kb_{name}") for name in TABLES}
+        return KnowledgeGraph(**tables, cards=spark.read.parquet(f"{path}/kb_item_cards"),
+                              lookup_index=spark.read.parquet(f"{path}/kb_lookup"))
 
 
 def compact_class(col) -> F.Column:
