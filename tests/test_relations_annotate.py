@@ -1,0 +1,121 @@
+"""N1-N4 and R1-R6 hand cases, plus the R2 regex against brute force."""
+
+import itertools
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from trawl.operators import annotate as N
+from trawl.operators.relations import linked_relations, pattern_regex, phrase_spans, sentence_relations
+
+ENT = "array<struct<start:int,end:int,text:string,label:string>>"
+
+
+def sents(spark, rows):
+    """rows: (key, tokens, pos, ents[(start, end, text)])"""
+    data = [(k, 0, toks, pos, [(s, e, t, "PERSON") for s, e, t in ents]) for k, toks, pos, ents in rows]
+    return spark.createDataFrame(data, f"key string, sent bigint, tokens array<string>, pos string, ents {ENT}")
+
+
+def triples(df):
+    return sorted((r.e1, r.rel, r.e2) for r in df.collect())
+
+
+def test_basic_and_nearest(spark):
+    # Ann met with Bob and Carl
+    s = sents(spark, [("k", ["Ann", "met", "with", "Bob", "and", "Carl"], "XVPXCX",
+                       [(0, 1, "Ann"), (3, 4, "Bob"), (5, 6, "Carl")])])
+    assert triples(sentence_relations(s)) == [("Ann", "met with", "Bob")]
+
+
+def test_entity_inside_phrase_counts_right(spark):
+    # a NOUN entity inside the phrase span starts at/after the phrase start: right end
+    s = sents(spark, [("k", ["Ann", "sells", "apples", "to", "Bob"], "XVNPX",
+                       [(0, 1, "Ann"), (2, 3, "apples"), (4, 5, "Bob")])])
+    assert triples(sentence_relations(s)) == [("Ann", "sells apples to", "apples")]
+
+
+def test_one_sided_and_fewer_than_two(spark):
+    s = sents(spark, [("k1", ["runs", "Ann", "Bob"], "VXX", [(1, 2, "Ann"), (2, 3, "Bob")]),
+                      ("k2", ["Ann", "runs"], "XV", [(0, 1, "Ann")])])
+    assert triples(sentence_relations(s)) == []
+
+
+def test_two_verbs_and_same_entity_both_ends(spark):
+    s = sents(spark, [("k", ["Ann", "is", "said", "Ann"], "XVVX", [(0, 1, "Ann"), (3, 4, "Ann")])])
+    assert triples(sentence_relations(s)) == [("Ann", "is", "Ann"), ("Ann", "said", "Ann")]
+
+
+def test_pattern_at_sentence_end_and_f9(spark):
+    s = sents(spark, [("k", ["Ann", "and", "Bob", "went", "home", "quickly"], "XCXVNR",
+                       [(0, 1, "Ann"), (2, 3, "Bob")]),
+                      ("k2", ["big", "Ann", "saw", "Bob"], "JXVX", [(0, 1, "big"), (3, 4, "Bob")])])
+    # k: no entity right of the phrase; k2: "big" is ADJ only -> dropped by F9, one entity left
+    assert triples(sentence_relations(s)) == []
+
+
+def test_spacing_kept_with_ws(spark):
+    df = spark.createDataFrame([("k", 0, ["Ann", "Met", "-", "With", "Bob"], [" ", "", "", " ", ""], "XVURX",
+                                 [(0, 1, "Ann", "P"), (4, 5, "Bob", "P")])],
+                               f"key string, sent bigint, tokens array<string>, ws array<string>, pos string, ents {ENT}")
+    assert triples(sentence_relations(df)) == [("Ann", "met", "Bob")]
+
+
+def test_linked_relations_both_ends(spark):
+    s = sents(spark, [("k", ["Ann", "met", "Bob"], "XVX", [(0, 1, "Ann"), (2, 3, "Bob")]),
+                      ("j", ["Ann", "met", "Bob"], "XVX", [(0, 1, "Ann"), (2, 3, "Bob")])])
+    ents = spark.createDataFrame([("k", "Ann", "L1"), ("k", "Bob", "L2"), ("j", "Ann", "L1")],
+                                 "key string, mention string, link string")
+    got = [(r.key, r.link1, r.link2, r.rel) for r in linked_relations(sentence_relations(s), ents).collect()]
+    assert got == [("k", "L1", "L2", "met")]
+
+
+def brute_force(tags):
+    """All matches of the token pattern, then longest-first non-overlapping filter."""
+    def ok(seq):
+        return re.fullmatch("VT?R?[JRNOD]*[TP]?", seq) is not None
+    spans = [(i, j) for i in range(len(tags)) for j in range(i + 1, len(tags) + 1) if ok(tags[i:j])]
+    spans.sort(key=lambda s: (-(s[1] - s[0]), s[0]))
+    kept = []
+    for s in spans:
+        if all(s[1] <= k[0] or k[1] <= s[0] for k in kept):
+            kept.append(s)
+    return sorted((i, j - i) for i, j in kept)
+
+
+def test_phrase_regex_against_brute_force(spark):
+    rnd = random.Random(7)
+    tags = ["".join(rnd.choice("VTRJNODPXM") for _ in range(rnd.randint(1, 14))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in tags], "pos string")
+    got = df.select("pos", phrase_spans(F.col("pos")).alias("p")).collect()
+    for r in got:
+        assert sorted((x.start, x.len) for x in r.p) == brute_force(r.pos), r.pos
+    assert pattern_regex() == "^VT?R?[JRNOD]*[TP]?"
+
+
+def test_sentences_split_rule(spark):
+    df = spark.createDataFrame([("k", 'Hello world. "Quoted!" Then 3.5 more? Yes')], "key string, text string")
+    got = [r.tokens for r in N.sentences(df, "key", "text").orderBy("sent").collect()]
+    # sentencizer rule: punctuation after a sentence end stays with that sentence
+    assert got == [["Hello", "world", ".", '"'], ["Quoted", "!", '"'], ["Then", "3.5", "more", "?"], ["Yes"]]
+
+
+def test_longest_spans_and_gazetteer(spark):
+    df = spark.createDataFrame([("k", "New York City is in New York.")], "key string, text string")
+    s = N.sentences(df, "key", "text")
+    gaz = spark.createDataFrame([("New York", "GPE"), ("New York City", "GPE"), ("York", "PERSON")],
+                                "name string, label string")
+    hits = N.gazetteer_mentions(s, gaz, max_len=3)
+    ents = N.sentence_entities(s, hits).first().ents
+    assert [(e.start, e.end, e.text) for e in ents] == [(0, 3, "New York City"), (5, 7, "New York")]
+
+
+def test_pos_lexicon_and_tagging(spark):
+    tagged = spark.createDataFrame([("run", "V"), ("Run", "V"), ("run", "N")], "word string, tag string")
+    lex = N.pos_lexicon(tagged)
+    assert {(r.word, r.tag, r.n) for r in lex.collect()} == {("run", "V", 2)}
+    s = N.sentences(spark.createDataFrame([("k", "They run quickly to Paris.")], "key string, text string"),
+                    "key", "text")
+    # unknown words: capitalised -> X (PROPN), -ly -> R, otherwise N; punctuation -> U
+    assert N.tag_tokens(s, lex).first().pos == "XVRNXU"

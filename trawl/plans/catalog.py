@@ -798,3 +798,39 @@ def q_score_relation(spark, sf_dir):
     rels = q_linked_relations(spark, sf_dir)
     gold, pred = relation_score_inputs(rels, fx.read_table(spark, sf_dir, "labels"))
     return E.score(gold, pred, "RELATION")
+
+
+# ---------------------------------------------------------------------------
+# WARC files (S1): fixture records written as .warc.gz, read back
+# ---------------------------------------------------------------------------
+from trawl.sources import warc as W  # noqa: E402
+
+
+def warc_fixture_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write the per-page WARC records as gzip WARC files once (checkpoint folder)."""
+    import hashlib
+
+    from trawl.session import ensure_checkpoint_dir, path_status
+
+    src = f"{sf_dir}/pages.parquet"
+    size, mtime = path_status(spark, src)
+    tag = hashlib.sha1(f"warc1|{src}|{size}|{mtime}".encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark)}/trawl-warc-{tag}"
+    if path_status(spark, f"{path}/_SUCCESS")[0] is None:
+        recs = fx.warc_payloads(fx.read_table(spark, sf_dir, "pages"))
+        W.write_warc(recs.repartition(4), path)
+    return path
+
+
+@register("warc_file_pages", _WARC_SQL)
+def q_warc_file_pages(spark, sf_dir):
+    """S1 fast path + F1-F4: .warc.gz files split on the marker line by the text source."""
+    recs = W.spread(W.read_warc(spark, warc_fixture_files(spark, sf_dir)))
+    return html_records(recs, "payload").select("key", "body")
+
+
+@register("warc_file_exact", _WARC_SQL)
+def q_warc_file_exact(spark, sf_dir):
+    """S1 exact path (Python data source, one task per file) + F1-F4."""
+    recs = W.spread(W.read_warc_exact(spark, warc_fixture_files(spark, sf_dir)))
+    return html_records(recs, "payload").select("key", "body")
