@@ -834,3 +834,18 @@ def q_warc_file_exact(spark, sf_dir):
     """S1 exact path (Python data source, one task per file) + F1-F4."""
     recs = W.spread(W.read_warc_exact(spark, warc_fixture_files(spark, sf_dir)))
     return html_records(recs, "payload").select("key", "body")
+
+
+# ---------------------------------------------------------------------------
+# Streaming: pages arriving as files, linked batch by batch with a link store
+# ---------------------------------------------------------------------------
+@register("stream_entity_lines")
+def q_stream_entity_lines(spark, sf_dir):
+    """Structured Streaming over the pages file; equals the batch flagship (rows-only check)."""
+    import uuid
+
+    from trawl.session import ensure_checkpoint_dir
+    from trawl.streaming.pages_stream import stream_entity_lines
+
+    out = f"{ensure_checkpoint_dir(spark)}/trawl-stream-out-{uuid.uuid4().hex[:12]}"
+    return stream_entity_lines(spark, sf_dir, _kb(spark, sf_dir), out, file_glob="pages.parquet")
