@@ -121,19 +121,19 @@ def test_pos_lexicon_and_tagging(spark):
     assert N.tag_tokens(s, lex).first().pos == "XVRNXU"
 
 
-def _toy_annotator(texts):
-    """A user model stand-in: whitespace tokens, capitalised words are PROPN entities."""
-    out = []
-    for t in texts:
-        toks = t.split()
-        pos = "".join("X" if w[:1].isupper() else ("V" if w.endswith("s") else "N") for w in toks)
-        ents = [{"start": i, "end": i + 1, "text": w, "label": "PERSON"} for i, w in enumerate(toks) if w[:1].isupper()]
-        out.append([{"tokens": toks, "ws": [" "] * len(toks), "pos": pos, "ents": ents}])
-    return out
-
-
 def test_annotator_plug_feeds_relations(spark):
+    def toy_annotator(texts):
+        """A user model stand-in: whitespace tokens, capitalised words are PROPN entities."""
+        out = []
+        for t in texts:
+            toks = t.split()
+            pos = "".join("X" if w[:1].isupper() else ("V" if w.endswith("s") else "N") for w in toks)
+            ents = [{"start": i, "end": i + 1, "text": w, "label": "PERSON"}
+                    for i, w in enumerate(toks) if w[:1].isupper()]
+            out.append([{"tokens": toks, "ws": [" "] * len(toks), "pos": pos, "ents": ents}])
+        return out
+
     df = spark.createDataFrame([("k", "Ann likes Bob")], "key string, text string")
-    ann = N.annotate_with(df, _toy_annotator)
+    ann = N.annotate_with(df, toy_annotator)
     assert ann.first().pos == "XVX"
     assert triples(sentence_relations(ann)) == [("Ann", "likes", "Bob")]
