@@ -849,3 +849,47 @@ def q_stream_entity_lines(spark, sf_dir):
 
     out = f"{ensure_checkpoint_dir(spark)}/trawl-stream-out-{uuid.uuid4().hex[:12]}"
     return stream_entity_lines(spark, sf_dir, _kb(spark, sf_dir), out, file_glob="pages.parquet")
+
+
+# ---------------------------------------------------------------------------
+# The flagship chain on pages, with a twin: page text (autoclose) -> tokens,
+# sentences -> name n-grams -> candidates -> links
+# ---------------------------------------------------------------------------
+_PAGE_SENTS_SQL = _SENTS_SQL.replace(
+    "tk AS (SELECT doc_id AS key, regexp_extract_all(text, '", "tk AS (SELECT key, regexp_extract_all(text, '"
+).replace("', 1) AS toks FROM documents)", "', 1) AS toks FROM ptext)")
+
+_PAGE_ENTITIES_SQL = (
+    S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _HTML_CTES)
+    + f""",
+proc AS (
+  SELECT page_id, {S.process_text('title')} AS title,
+         {S.process_text(S.join_sentences('list_concat(headers, paras)'))} AS all_text FROM parts
+),
+ptext AS (SELECT page_id AS key, trim(title || ' ' || all_text) AS text FROM proc
+          WHERE length(trim(title || ' ' || all_text)) > 0),
+""" + _PAGE_SENTS_SQL.strip() + r""",
+grams AS (
+  SELECT key, sent, i AS start, stoks[i + 1] AS text
+  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks))) AS i FROM ss) WHERE regexp_matches(stoks[i + 1], '^\p{Lu}')
+  UNION ALL
+  SELECT key, sent, i, stoks[i + 1] || ' ' || stoks[i + 2]
+  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks) - 1)) AS i FROM ss) WHERE regexp_matches(stoks[i + 1], '^\p{Lu}')
+  UNION ALL
+  SELECT key, sent, i, stoks[i + 1] || ' ' || stoks[i + 2] || ' ' || stoks[i + 3]
+  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks) - 2)) AS i FROM ss) WHERE regexp_matches(stoks[i + 1], '^\p{Lu}')
+),
+mentions AS (SELECT g.key, g.start AS pos, g.text AS mention, z.label FROM grams g JOIN gaz z ON z.name = g.text),
+""" + ",".join(p.strip("\n") for p in (S.LABEL_CLASS, S.MENTS, S.FORMS, S.BRANCHES)) + """
+SELECT key, mention, link FROM entities"""
+)
+
+
+@register("page_entities", _PAGE_ENTITIES_SQL)
+def q_page_entities(spark, sf_dir):
+    """L7 chain on pages: text -> tokens -> name n-grams (1..3) -> candidates -> links."""
+    from trawl.plans.linking import link_pages
+
+    rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="autoclose")
+    ents, _ = link_pages(spark, rows, _kb(spark, sf_dir), max_len=3, relations=False)
+    return ents
