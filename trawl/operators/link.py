@@ -106,21 +106,46 @@ def resolve_mentions(ments: DataFrame, kb: KnowledgeGraph, cache_scope: str = "c
     (label, mention) deciding class and raw text (the original's first-seen
     rule, made deterministic).  ``link`` is null for known misses.
     """
+    rows = F.count(F.lit(1)).alias("n_rows")
     if cache_scope == "class":
-        reps = ments.groupBy("mention_key", "class").agg(F.min("mention").alias("rep"))
+        reps = ments.groupBy("mention_key", "class").agg(F.min("mention").alias("rep"), rows)
     elif cache_scope == "mention":
         first = F.min(F.struct("label", "mention", "class"))
-        reps = ments.groupBy("mention_key").agg(first.alias("f")).select(
-            "mention_key", F.col("f.class").alias("class"), F.col("f.mention").alias("rep"))
+        reps = ments.groupBy("mention_key").agg(first.alias("f"), rows).select(
+            "mention_key", F.col("f.class").alias("class"), F.col("f.mention").alias("rep"), "n_rows")
     else:
         raise ValueError("cache_scope must be 'class' or 'mention'")
-    best = most_referred(candidates(reps, kb, redirect, multiplicity, cards))
-    return reps.join(best, KEYS, "left")
+    best = most_referred(candidates(reps.drop("n_rows"), kb, redirect, multiplicity, cards))
+    return reps.join(best, KEYS, "left").select(*KEYS, "link", "n_rows")
+
+
+def join_links(ments: DataFrame, resolved: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Attach each mention's link; hot keys never go through a shuffle.
+
+    ``resolved`` has one row per key and ``n_rows`` = mention rows of that
+    key.  A key with at least ``hot_rows`` rows (one popular name may hold a
+    third of all mentions) is answered from a broadcast table; there are at
+    most ``rows / hot_rows`` such keys, so that table's size is bounded by
+    construction.  The remaining keys use an ordinary shuffle join, with the
+    hot rows already split off so they do not land in one task.
+    """
+    res = resolved.select(*keys, "link", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+    hot = res.where(F.col("n_rows") >= hot_rows).select(
+        *keys, F.col("link").alias("_hot_link"), F.lit(True).alias("_hot"))
+    flagged = ments.join(F.broadcast(hot), keys, "left")
+    hot_part = flagged.where(F.col("_hot")).withColumn("link", F.col("_hot_link")).drop("_hot", "_hot_link")
+    cold = res.where(F.col("n_rows") < hot_rows).select(*keys, "link")
+    cold_part = flagged.where(F.col("_hot").isNull()).drop("_hot", "_hot_link").join(cold, keys)
+    return hot_part.unionByName(cold_part)
+
+
+HOT_ROWS = 1_000_000  # mention rows per key above which a key is joined by broadcast
 
 
 def link_entities(mentions: DataFrame, kb: KnowledgeGraph, label_classes: DataFrame,
                   cache_scope: str = "class", store: DataFrame | None = None,
-                  redirect: str = "zero_or_one", multiplicity: str = "bag") -> tuple[DataFrame, DataFrame]:
+                  redirect: str = "zero_or_one", multiplicity: str = "bag",
+                  hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """L5 + L6: (entities(key, mention, link), resolved) for ``mentions(key, mention, label)``.
 
     With ``store`` (an earlier ``resolved`` output, nulls included) only the
@@ -134,9 +159,15 @@ def link_entities(mentions: DataFrame, kb: KnowledgeGraph, label_classes: DataFr
     if store is not None:
         todo = ments.join(store.select(*scope_keys), scope_keys, "left_anti")
         fresh = resolve_mentions(todo, kb, cache_scope, redirect, multiplicity)
-        resolved = store.unionByName(fresh)
+        resolved = store.select(*KEYS, "link", F.lit(None).cast("bigint").alias("n_rows")).unionByName(fresh)
+        # row counts of this input, for keys answered by the store too
+        counts = ments.groupBy(*scope_keys).agg(F.count(F.lit(1)).alias("n_rows"))
+        for_join = resolved.drop("n_rows").join(counts, scope_keys)
     else:
         resolved = resolve_mentions(ments, kb, cache_scope, redirect, multiplicity)
-    joined = ments.join(resolved.select(*scope_keys, "link"), scope_keys).where(F.col("link").isNotNull())
+        for_join = resolved
+    if cache_scope == "mention":
+        for_join = for_join.drop("class")
+    joined = join_links(ments, for_join, scope_keys, hot_rows).where(F.col("link").isNotNull())
     entities = joined.groupBy("key", "mention").agg(F.min_by("link", "label").alias("link"))
     return entities, resolved

@@ -420,7 +420,7 @@ def q_link_cache_miss(spark, sf_dir):
     good = fx.read_table(spark, sf_dir, "labels").where(F.col("quality") == 1).select(F.col("doc_id").alias("key"))
     store = L.resolve_mentions(ments.join(good, "key", "left_semi"), kb)
     todo = ments.join(store.select("mention_key", "class"), ["mention_key", "class"], "left_anti")
-    return L.resolve_mentions(todo, kb)
+    return L.resolve_mentions(todo, kb).select("mention_key", "class", "rep", "link")
 
 
 @register("kb_from_triples", S.with_ctes(S.WORDS, S.KB) + """
