@@ -97,3 +97,23 @@ def test_hot_key_split_gives_same_links(spark):
     _, res = link_entities(m, g, label_class_table(spark))
     got = {tuple(r) for r in link_entities(m, g, label_class_table(spark), store=res, hot_rows=2)[0].collect()}
     assert got == base
+
+
+def test_bucketed_graph_tables_avoid_graph_side_shuffle(spark, tmp_path):
+    from trawl.plans import fixtures as fx
+
+    docs = fx.read_table(spark, "/root/testdata/sf0.001", "documents")
+    g = fx.derived_kb(docs)
+    g.save_tables(str(tmp_path / "kb"), prefix="t_kb", buckets=8)
+    gb = KnowledgeGraph.load_tables(spark, "t_kb")
+    m = fx.mentions(docs)
+    assert {tuple(r) for r in link_entities(m, gb, label_class_table(spark))[0].collect()} == \
+        {tuple(r) for r in link_entities(m, g, label_class_table(spark))[0].collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = spark.createDataFrame([("abcde", P, "Abcde")], "mention_key string, class string, rep string")
+        plan = candidates(r, gb)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in plan

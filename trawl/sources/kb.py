@@ -130,11 +130,31 @@ class KnowledgeGraph:
             df: DataFrame = getattr(self, name)
             (df.repartition(partitions, key).sortWithinPartitions(key)
              .write.mode("overwrite").parquet(f"{path}/kb_{name}"))
-        (self.lookup().repartition(partitions, "key").sortWithinPartitions("key")
+        (self.lookup().repartition(partitions, "kind", "key").sortWithinPartitions("kind", "key")
          .write.mode("overwrite").parquet(f"{path}/kb_lookup"))
         (self.item_cards().repartition(partitions, "item").sortWithinPartitions("item")
          .write.mode("overwrite").parquet(f"{path}/kb_item_cards"))
 
+    def save_tables(self, path: str, prefix: str = "kb", buckets: int = 512) -> None:
+        """Write every table as a bucketed catalog table (external, under ``path``).
+
+        Bucketed by its join key and sorted within buckets: a later join with
+        the graph shuffles only the mention side to the bucket layout, never
+        the graph side.  Needs a catalog shared by the cluster.
+        """
+        tables = {name: (getattr(self, name), [_JOIN_KEYS[name]]) for name in TABLES}
+        tables["lookup"] = (self.lookup(), ["kind", "key"])
+        tables["item_cards"] = (self.item_cards(), ["item", "class"])
+        for name, (df, keys) in tables.items():
+            (df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+             .option("path", f"{path}/kb_{name}").saveAsTable(f"{prefix}_{name}"))
+
+    @staticmethod
+    def load_tables(spark: SparkSession, prefix: str = "kb") -> "KnowledgeGraph":
+        tables = {name: spark.table(f"{prefix}_{name}") for name in TABLES}
+        return KnowledgeGraph(**tables, cards=spark.table(f"{prefix}_item_cards"),
+                              lookup_index=spark.table(f"{prefix}_lookup"))
+
     @staticmethod
     def load(spark: SparkSession, path: str) -> "KnowledgeGraph":
         tables = {name: spark.read.parquet(f"{path}/kb_{name}") for name in TABLES}
