@@ -117,3 +117,14 @@ def test_bucketed_graph_tables_avoid_graph_side_shuffle(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Bucketed: true" in plan
+
+
+def test_cache_scope_mention_uses_first_label(spark):
+    g = kb(spark, [("Paris", "Paris", "en"), ("Paris_Hilton", "Paris", "en")],
+           [("Paris", "geo:SpatialThing"), ("Paris_Hilton", P)], [("x", "Paris"), ("y", "Paris_Hilton")])
+    m = spark.createDataFrame([("d1", "Paris", "PERSON"), ("d2", "paris", "GPE")],
+                              "key string, mention string, label string")
+    ents, res = link_entities(m, g, label_class_table(spark), cache_scope="mention")
+    # one resolution per mention key; the smallest (label, mention) = (GPE, paris) decides
+    assert res.count() == 1
+    assert {(r.key, r.link) for r in ents.collect()} == {("d1", W + "Paris"), ("d2", W + "Paris")}

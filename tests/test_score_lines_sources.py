@@ -125,3 +125,20 @@ def test_ntriples_roundtrip_and_sparql_json(spark, tmp_path):
     (tmp_path / "q1.json").write_text(json.dumps(doc, indent=1))
     got = K.read_sparql_results(spark, str(tmp_path / "q1.json")).select("item", "name", "page", "cnt").collect()
     assert [tuple(r) for r in got] == [("I", "N", "P", 12)]
+
+
+def test_ordered_lines_across_files_and_splits(spark, tmp_path):
+    big = [f"ENTITY: r\tk\tv{i}" for i in range(3000)]
+    (tmp_path / "a.txt").write_text("\n".join(big) + "\n")
+    (tmp_path / "b.txt").write_text("ENTITY: r\tk\tlast\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # many splits of a.txt
+    try:
+        lines = LN.read_ordered_lines(spark, str(tmp_path))
+        got = [r.value for r in lines.orderBy("line_no").collect()]
+        r = score(lines, lines, "ENTITY").first()
+        pred = [r2.value for r2 in lines.orderBy(F.col("line_no").desc()).limit(1).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == big + ["ENTITY: r\tk\tlast"]
+    assert pred == ["ENTITY: r\tk\tlast"] and r.gold == 1

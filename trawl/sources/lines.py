@@ -87,12 +87,16 @@ def read_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
 
 # S8 / S10 -------------------------------------------------------------------
 def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, line_no) with line_no increasing in file order.
+    """(value, line_no) with ``line_no`` ordering lines as in the files.
 
-    ``monotonically_increasing_id`` is increasing within a partition and
-    across partitions in split order; splits follow file and offset order.
+    ``line_no`` is a struct (file path, split start, row id): Spark packs
+    splits into tasks by size, not by file order, so a row id alone orders
+    lines only within a split; within a split it increases with the line.
     """
-    return spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line_no"))
+    order = F.struct(F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select("value", order.alias("line_no"))
 
 
 def parse_relation_lines(lines: DataFrame) -> DataFrame:
