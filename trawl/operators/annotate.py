@@ -178,13 +178,20 @@ def longest_spans(spans: Column) -> Column:
     return F.array_sort(kept, lambda a, b: a["start"] - b["start"])
 
 
-def sentence_entities(sents: DataFrame, mentions: DataFrame) -> DataFrame:
-    """Attach N4-filtered entity spans to each sentence as ``ents`` (sorted by start)."""
+def sentence_entities(sents: DataFrame, mentions: DataFrame, min_entities: int = 0) -> DataFrame:
+    """Attach N4-filtered entity spans to each sentence as ``ents`` (sorted by start).
+
+    With ``min_entities`` > 0 only sentences with at least that many spans
+    are kept (F10 applied before the join), so the sentence side of the
+    join can be pruned early and later steps see only candidate sentences.
+    """
     per_sent = mentions.groupBy("key", "sent").agg(
         F.collect_list(F.struct("start", "end", F.col("mention").alias("text"), "label")).alias("spans"))
-    joined = sents.join(per_sent, ["key", "sent"], "left")
+    per_sent = per_sent.select("key", "sent", longest_spans(F.col("spans")).alias("ents"))
+    if min_entities > 0:
+        return sents.join(per_sent.where(F.size("ents") >= min_entities), ["key", "sent"])
     empty = F.array().cast("array<struct<start:int,end:int,text:string,label:string>>")
-    return joined.withColumn("ents", F.coalesce(longest_spans(F.col("spans")), empty)).drop("spans")
+    return sents.join(per_sent, ["key", "sent"], "left").withColumn("ents", F.coalesce("ents", empty))
 
 
 # N6 ------------------------------------------------------------------------

@@ -69,9 +69,9 @@ def link_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph, max_len
     ents = materialise(ents, stage_dir, "entities")
     if not relations:
         return ents, None
-    tagged = N.tag_tokens(sents, lexicon)
-    with_ents = N.sentence_entities(tagged, ments)
-    rels = linked_relations(sentence_relations(with_ents), ents)
+    # F10 first: only sentences with two or more entity spans are re-joined and tagged
+    with_ents = N.sentence_entities(sents, ments, min_entities=2)
+    rels = linked_relations(sentence_relations(N.tag_tokens(with_ents, lexicon)), ents)
     return ents, rels
 
 

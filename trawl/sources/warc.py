@@ -9,7 +9,8 @@ the next one (the text before the first marker is an empty payload).
 * ``read_warc_exact``: a Python data source, one partition per file,
   streaming the file line by line with undecodable bytes dropped and
   newlines unified; only a line equal to ``WARC/1.0`` (after strip) splits.
-  Files are listed on the driver with the local/mounted file system.
+  Files are listed on the driver and read by the tasks through pyarrow's
+  file systems (local, S3, HDFS, GCS).
 
 Both give ``rec_no`` as an order key (increasing in file order, not dense).
 gzip is not splittable, so a file is one task: ``spread`` re-partitions the
@@ -56,25 +57,49 @@ class _FilePartition(InputPartition):
         self.path = path
 
 
+def _fs_and_path(uri: str):
+    """A pyarrow file system for any URI it supports (local, s3, hdfs, gs)."""
+    from pyarrow import fs as pafs
+
+    if "://" not in uri:
+        uri = "file://" + os.path.abspath(uri[len("file:"):] if uri.startswith("file:") else uri)
+    elif uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    return pafs.FileSystem.from_uri(uri)
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path = options.get("path")
 
     def partitions(self):
-        p = self.path[len("file:"):] if self.path.startswith("file:") else self.path
-        if os.path.isdir(p):
-            files = sorted(f for f in glob.glob(os.path.join(p, "**", "*"), recursive=True)
-                           if os.path.isfile(f) and not os.path.basename(f).startswith(("_", ".")))
-        else:
-            files = sorted(glob.glob(p))
-        return [_FilePartition(f) for f in files]
+        """One partition per data file (listed once, on the driver)."""
+        from pyarrow import fs as pafs
+
+        fsys, base = _fs_and_path(self.path)
+        info = fsys.get_file_info(base)
+        if info.type == pafs.FileType.Directory:
+            infos = fsys.get_file_info(pafs.FileSelector(base, recursive=True))
+            files = sorted(i.path for i in infos if i.type == pafs.FileType.File
+                           and not os.path.basename(i.path).startswith(("_", ".")))
+        elif info.type == pafs.FileType.File:
+            files = [base]
+        else:  # a glob on a local path
+            files = sorted(glob.glob(base))
+        scheme = self.path.split("://", 1)[0] + "://" if "://" in self.path else ""
+        return [_FilePartition(scheme + f if scheme and not f.startswith(scheme) else f) for f in files]
 
     def read(self, partition):
+        """Stream one file line by line (gzip by name), undecodable bytes dropped."""
+        import io
+
         f = partition.path
-        opener = gzip.open if f.endswith(".gz") else open
-        with opener(f, "rt", encoding="utf-8", errors="ignore") as fo:
-            for n, payload in enumerate(split_records(fo)):
-                yield (f, n, payload)
+        fsys, p = _fs_and_path(f)
+        with fsys.open_input_stream(p, compression=None) as raw:  # python gzip: multi-member files
+            binary = gzip.GzipFile(fileobj=raw) if f.endswith(".gz") else raw
+            with io.TextIOWrapper(binary, encoding="utf-8", errors="ignore") as fo:
+                for n, payload in enumerate(split_records(fo)):
+                    yield (f, n, payload)
 
 
 class WarcDataSource(DataSource):
