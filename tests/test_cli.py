@@ -37,3 +37,13 @@ def test_preprocess_link_score(spark, tmp_path, capsys):
     run.main(["score", out, out, "ENTITY"])
     printed = capsys.readouterr().out
     assert "precision: 1.0" in printed and "f1: 1.0" in printed
+
+
+def test_stages_resume(spark, tmp_path):
+    from trawl.plans.linking import materialise
+
+    a = spark.range(3).toDF("x")
+    b = spark.range(10).toDF("x")
+    assert materialise(a, str(tmp_path), "s").count() == 3
+    assert materialise(b, str(tmp_path), "s").count() == 3          # finished stage is reused
+    assert materialise(b, str(tmp_path), "s", resume=False).count() == 10

@@ -41,13 +41,22 @@ def gazetteer(spark: SparkSession, kb: KnowledgeGraph) -> DataFrame:
     return kb.english_labels().join(kb.type, "item").join(F.broadcast(cl), "class").select("name", "label").distinct()
 
 
-def materialise(df: DataFrame, stage_dir: str | None, name: str) -> DataFrame:
-    """Write a stage to parquet and read it back (resume point, cut lineage)."""
+def materialise(df: DataFrame, stage_dir: str | None, name: str, resume: bool = True) -> DataFrame:
+    """Write a stage to parquet and read it back (cuts lineage).
+
+    With ``resume`` a stage whose output is complete (``_SUCCESS`` present)
+    is read instead of recomputed, so a job restarted with the same
+    ``stage_dir`` after a failure continues from its last finished stage.
+    """
     if stage_dir is None:
         return df
+    from trawl.session import path_status
+
     path = f"{stage_dir}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    if not (resume and path_status(spark, f"{path}/_SUCCESS")[0] is not None):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def annotate_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph, max_len: int = 3,
