@@ -137,3 +137,17 @@ def test_annotator_plug_feeds_relations(spark):
     ann = N.annotate_with(df, toy_annotator)
     assert ann.first().pos == "XVX"
     assert triples(sentence_relations(ann)) == [("Ann", "likes", "Bob")]
+
+
+def test_tag_tokens_paths_agree(spark):
+    tagged = spark.createDataFrame([("the", "D"), ("run", "V"), ("quickly", "R"), ("paris", "X")],
+                                   "word string, tag string")
+    lex = N.pos_lexicon(tagged)
+    text = "The dog and the cat run quickly. The end of the road to Paris."
+    s = N.sentences(spark.createDataFrame([("k", text), ("j", "the the the")], "key string, text string"),
+                    "key", "text")
+    def pos(df):
+        return sorted((r.key, r.sent, r.pos) for r in df.collect())
+    want = pos(N.tag_tokens(s, lex))
+    for hot in (1, 3, 10**9):  # all words hot / some / none, lexicon forced off the broadcast path
+        assert pos(N.tag_tokens(s, lex, max_broadcast_rows=0, hot_rows=hot)) == want

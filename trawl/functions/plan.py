@@ -19,3 +19,25 @@ def compute_once(df: DataFrame, keep: list[str] | None = None, **cols: Column) -
     keep = df.columns if keep is None else keep
     packed = F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))
     return df.select(*keep, F.inline(packed))
+
+
+def hot_split_join(big: DataFrame, small: DataFrame, keys: list[str], hot_rows: int,
+                   counts: DataFrame | None = None, how: str = "inner") -> DataFrame:
+    """Join a key-skewed ``big`` side with a ``small`` side unique per key.
+
+    Keys with at least ``hot_rows`` rows on the big side (``counts`` gives
+    ``n_rows`` per key; computed with partial aggregation when absent) are
+    joined against a broadcast copy of their ``small`` rows; there are at
+    most ``rows(big) / hot_rows`` of them, so the broadcast is bounded by
+    construction.  All other keys go through an ordinary shuffle join from
+    which the hot rows have been split off, so no task receives a hot key.
+    ``how`` is ``inner`` or ``left``.
+    """
+    if counts is None:
+        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    hot_keys = counts.where(F.col("n_rows") >= hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    flagged = big.join(F.broadcast(hot_keys), keys, "left")
+    hot_small = F.broadcast(small.join(F.broadcast(hot_keys.drop("_hot")), keys, "left_semi"))
+    hot_part = flagged.where(F.col("_hot")).drop("_hot").join(hot_small, keys, how)
+    cold_part = flagged.where(F.col("_hot").isNull()).drop("_hot").join(small, keys, how)
+    return hot_part.unionByName(cold_part)

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.plan import compute_once
+from trawl.functions.plan import compute_once, hot_split_join
 
 # Token rule (Java and RE2 agree on it): numbers with inner . or , ; words
 # with inner hyphen/apostrophe; else one non-space, non-word character.
@@ -115,19 +115,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def tag_tokens(sents: DataFrame, lexicon: DataFrame | None, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def tag_tokens(sents: DataFrame, lexicon: DataFrame | None, max_broadcast_rows: int = 2_000_000,
+               hot_rows: int = 1_000_000) -> DataFrame:
     """Adds ``pos`` (one letter per token) to (key, sent, tokens, ...).
 
-    Tokens are exploded, looked up in the lexicon (broadcast when its row
-    count is under the bound, else a shuffle join), and regrouped per
-    sentence; a group is one sentence, so its size is bounded.
+    Tokens are exploded, looked up in the lexicon, and regrouped per
+    sentence (a group is one sentence, so its size is bounded).  The lookup
+    is a broadcast join when the lexicon is under the measured bound;
+    otherwise it is a shuffle join in which frequent words ("the" can be a
+    large share of all tokens) are split off and joined by broadcast.
     """
     if lexicon is None:
         return sents.withColumn("pos", F.array_join(F.transform("tokens", default_tag), ""))
-    lex = broadcast_if_small(lexicon.select("word", F.col("tag").alias("lex_tag")), max_broadcast_rows)
-    toks = sents.select("key", "sent", F.posexplode("tokens").alias("i", "tok"))
-    tagged = toks.join(lex, F.lower(toks.tok) == lex.word, "left").select(
-        "key", "sent", "i", F.coalesce("lex_tag", default_tag(F.col("tok"))).alias("tag"))
+    lex = lexicon.select("word", F.col("tag").alias("lex_tag"))
+    toks = sents.select("key", "sent", F.posexplode("tokens").alias("i", "tok")).withColumn("word", F.lower("tok"))
+    small = broadcast_if_small(lex, max_broadcast_rows)
+    if small is not lex:  # the lexicon fits the bound: one broadcast join
+        looked = toks.join(small, "word", "left")
+    else:
+        looked = hot_split_join(toks, lex, ["word"], hot_rows, how="left")
+    tagged = looked.select("key", "sent", "i", F.coalesce("lex_tag", default_tag(F.col("tok"))).alias("tag"))
     pos = tagged.groupBy("key", "sent").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "tag"))), lambda x: x["tag"]), "")
         .alias("pos"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.functions.plan import hot_split_join
 from trawl.functions.text import mention_key
 from trawl.operators.candidates import KEYS, candidates
 from trawl.sources.kb import KnowledgeGraph
@@ -126,20 +127,12 @@ def join_links(ments: DataFrame, resolved: DataFrame, keys: list[str], hot_rows:
     """Attach each mention's link; hot keys never go through a shuffle.
 
     ``resolved`` has one row per key and ``n_rows`` = mention rows of that
-    key.  A key with at least ``hot_rows`` rows (one popular name may hold a
-    third of all mentions) is answered from a broadcast table; there are at
-    most ``rows / hot_rows`` such keys, so that table's size is bounded by
-    construction.  The remaining keys use an ordinary shuffle join, with the
-    hot rows already split off so they do not land in one task.
+    key (counted in the same aggregation that picks the representative).
+    One popular name may hold a third of all mentions: such keys are joined
+    by broadcast (at most ``rows / hot_rows`` of them), see ``hot_split_join``.
     """
     res = resolved.select(*keys, "link", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
-    hot = res.where(F.col("n_rows") >= hot_rows).select(
-        *keys, F.col("link").alias("_hot_link"), F.lit(True).alias("_hot"))
-    flagged = ments.join(F.broadcast(hot), keys, "left")
-    hot_part = flagged.where(F.col("_hot")).withColumn("link", F.col("_hot_link")).drop("_hot", "_hot_link")
-    cold = res.where(F.col("n_rows") < hot_rows).select(*keys, "link")
-    cold_part = flagged.where(F.col("_hot").isNull()).drop("_hot", "_hot_link").join(cold, keys)
-    return hot_part.unionByName(cold_part)
+    return hot_split_join(ments, res.drop("n_rows"), keys, hot_rows, counts=res.select(*keys, "n_rows"))
 
 
 HOT_ROWS = 1_000_000  # mention rows per key above which a key is joined by broadcast
