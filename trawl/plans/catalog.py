@@ -115,8 +115,9 @@ b0 AS (
 ),
 b1 AS (SELECT page_id, CASE WHEN tb THEN substr(r, 1, length(r) - 1) ELSE r END AS body FROM b0),
 u AS (
-  SELECT page_id, replace(replace(replace(replace(replace(replace(replace(body,
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&nbsp;', ' '), '&amp;', '&') AS h
+  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    regexp_replace(body, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&middot;?', '·', 'g'),
+    '&copy;?', '©', 'g'), '&nbsp;?', ' ', 'g'), '&amp;?', '&', 'g') AS h
   FROM b1
 ),
 c AS (
@@ -893,3 +894,59 @@ def q_page_entities(spark, sf_dir):
     rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="autoclose")
     ents, _ = link_pages(spark, rows, _kb(spark, sf_dir), max_len=3, relations=False)
     return ents
+
+
+# Nested paragraphs in SQL: the page is cut at every '<'; each piece is one
+# tag plus the text after it.  A paragraph runs from its <p> to the </p> that
+# brings the open-paragraph depth back below it (a walk clamped at zero, as an
+# unmatched </p> is ignored), or to the end of an enclosing element
+# (</article>, </body>, </html>), or to the end of the page.
+_NESTED_SQL = "WITH " + _HTML_CTES.strip() + r""",
+pieces AS (
+  SELECT page_id, CAST(generate_subscripts(l, 1) AS BIGINT) AS idx, unnest(l) AS piece
+  FROM (SELECT page_id, string_split(h, '<') AS l FROM c)
+),
+ev AS (
+  SELECT page_id, idx,
+    CASE WHEN idx = 1 THEN piece ELSE regexp_replace(piece, '^[^>]*>', '') END AS txt,
+    CASE WHEN idx = 1 THEN NULL
+         WHEN regexp_matches(piece, '^p(?:\s[^>]*)?>') THEN 'open'
+         WHEN regexp_matches(piece, '^/p\s*>') THEN 'close'
+         WHEN regexp_matches(piece, '^/(?:article|body|html)\s*>') THEN 'reset' END AS kind
+  FROM pieces
+),
+seg AS (
+  SELECT *, SUM(CASE WHEN kind = 'reset' THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY idx) AS sg,
+         CASE kind WHEN 'open' THEN 1 WHEN 'close' THEN -1 ELSE 0 END AS step
+  FROM ev
+),
+walk AS (SELECT *, SUM(step) OVER (PARTITION BY page_id, sg ORDER BY idx) AS s FROM seg),
+walk2 AS (SELECT *, s - LEAST(0, MIN(s) OVER (PARTITION BY page_id, sg ORDER BY idx)) AS depth FROM walk),
+opens AS (SELECT page_id, idx, sg, depth FROM walk2 WHERE kind = 'open'),
+ends AS (
+  SELECT o.page_id, o.idx, COALESCE(
+    (SELECT MIN(w.idx) FROM walk2 w WHERE w.page_id = o.page_id AND w.sg = o.sg AND w.idx > o.idx AND w.depth < o.depth),
+    (SELECT MIN(w.idx) FROM walk2 w WHERE w.page_id = o.page_id AND w.sg > o.sg),
+    (SELECT MAX(w.idx) + 1 FROM walk2 w WHERE w.page_id = o.page_id)) AS stop
+  FROM opens o
+),
+ptext AS (
+  SELECT e.page_id, e.idx, string_agg(w.txt, '' ORDER BY w.idx) AS para
+  FROM ends e JOIN walk2 w ON w.page_id = e.page_id AND w.idx >= e.idx AND w.idx < e.stop
+  GROUP BY e.page_id, e.idx
+),
+plist AS (SELECT page_id, list(para ORDER BY idx) AS paras FROM ptext GROUP BY page_id),
+nparts AS (
+  SELECT p.page_id, p.title, p.headers, COALESCE(l.paras, []::VARCHAR[]) AS paras
+  FROM parts p LEFT JOIN plist l ON l.page_id = p.page_id
+),
+proc AS (
+  SELECT page_id, """ + S.process_text("title") + """ AS title,
+         """ + S.process_text(S.join_sentences("headers")) + """ AS headers,
+         """ + S.process_text(S.join_sentences("list_concat(headers, paras)")) + """ AS all_text
+  FROM nparts
+)
+SELECT page_id AS key, title, headers, trim(title || ' ' || all_text) AS text FROM proc
+WHERE length(trim(title || ' ' || all_text)) > 0"""
+
+ORACLE["page_text_nested"] = _NESTED_SQL
