@@ -151,3 +151,33 @@ def test_tag_tokens_paths_agree(spark):
     want = pos(N.tag_tokens(s, lex))
     for hot in (1, 3, 10**9):  # all words hot / some / none, lexicon forced off the broadcast path
         assert pos(N.tag_tokens(s, lex, max_broadcast_rows=0, hot_rows=hot)) == want
+
+
+def py_sentencizer(tokens):
+    """The sentencizer rule as a loop: a sentence starts at the first word after . ! ? (+ punctuation)."""
+    out, cur, seen_end = [], [], False
+    for t in tokens:
+        is_end = t in (".", "!", "?")
+        is_punct = not (t[:1].isalnum())
+        if seen_end and not is_punct and not is_end:
+            out.append(cur)
+            cur, seen_end = [], False
+        cur.append(t)
+        if is_end:
+            seen_end = True
+    if cur:
+        out.append(cur)
+    return out
+
+
+def test_sentence_split_against_loop(spark):
+    rnd = random.Random(11)
+    vocab = ["a", "Bob", "3.5", "x-y", ".", "!", "?", ",", '"', ")", "(", "é"]
+    texts = [" ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 25))) for _ in range(300)]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "key string, text string")
+    got = {}
+    for r in N.sentences(df, "key", "text").collect():
+        got.setdefault(r.key, []).append((r.sent, list(r.tokens)))
+    for i, t in enumerate(texts):
+        toks = re.findall(r"\d+(?:[.,]\d+)*|\w+(?:[-'’]\w+)*|[^\s\w]", t)
+        assert [s for _, s in sorted(got[str(i)])] == py_sentencizer(toks), t
