@@ -181,3 +181,15 @@ def test_sentence_split_against_loop(spark):
     for i, t in enumerate(texts):
         toks = re.findall(r"\d+(?:[.,]\d+)*|\w+(?:[-'’]\w+)*|[^\s\w]", t)
         assert [s for _, s in sorted(got[str(i)])] == py_sentencizer(toks), t
+
+
+def test_gazetteer_hot_split_agrees(spark):
+    df = spark.createDataFrame([("k", "The Paris and The Rome. The New York is big."), ("j", "The end. Paris.")],
+                               "key string, text string")
+    s = N.sentences(df, "key", "text")
+    gaz = spark.createDataFrame([("Paris", "GPE"), ("New York", "GPE"), ("The", "WORK_OF_ART")],
+                                "name string, label string")
+    def hits(h):
+        return sorted(tuple(r) for r in N.gazetteer_mentions(s, gaz, 3, hot_rows=h).collect())
+    want = hits(10**9)
+    assert want and hits(1) == want and hits(2) == want

@@ -161,10 +161,18 @@ def ngrams(sents: DataFrame, max_len: int = 3, capitalised: bool = True) -> Data
     return g
 
 
-def gazetteer_mentions(sents: DataFrame, gazetteer: DataFrame, max_len: int = 3) -> DataFrame:
-    """N-grams equal to a known name -> (key, sent, start, end, mention, label)."""
+def gazetteer_mentions(sents: DataFrame, gazetteer: DataFrame, max_len: int = 3,
+                       hot_rows: int = 1_000_000) -> DataFrame:
+    """N-grams equal to a known name -> (key, sent, start, end, mention, label).
+
+    Frequent n-grams ("The" opens many sentences) are hot join keys whether
+    or not they are names; they are split off and joined by broadcast.  The
+    name table holds at most one row per (name, label), and labels are a
+    fixed small set, so the broadcast part is bounded by construction.
+    """
     g = ngrams(sents, max_len)
-    hits = g.join(gazetteer.select(F.col("name").alias("text"), "label").distinct(), "text")
+    names = gazetteer.select(F.col("name").alias("text"), "label").distinct()
+    hits = hot_split_join(g, names, ["text"], hot_rows)
     return hits.select("key", "sent", "start", "end", F.col("text").alias("mention"), "label")
 
 
