@@ -950,3 +950,30 @@ SELECT page_id AS key, title, headers, trim(title || ' ' || all_text) AS text FR
 WHERE length(trim(title || ' ' || all_text)) > 0"""
 
 ORACLE["page_text_nested"] = _NESTED_SQL
+
+
+# The flagship exactly as entry() runs it: nested paragraphs, then the chain.
+_NESTED_PAGES_CTES = (_NESTED_SQL[: _NESTED_SQL.index("proc AS (")].rstrip().rstrip(",")
+                      .replace("ptext AS (", "partext AS (").replace("FROM ptext GROUP BY", "FROM partext GROUP BY"))
+_PAGE_ENTITIES_NESTED_SQL = (
+    _NESTED_PAGES_CTES.replace("WITH ", "WITH " + ",".join(p.strip("\n") for p in (S.WORDS, S.KB, _GAZ_SQL)) + ",", 1)
+    + f""",
+proc AS (
+  SELECT page_id, {S.process_text('title')} AS title,
+         {S.process_text(S.join_sentences('list_concat(headers, paras)'))} AS all_text FROM nparts
+),
+ptext AS (SELECT page_id AS key, trim(title || ' ' || all_text) AS text FROM proc
+          WHERE length(trim(title || ' ' || all_text)) > 0),
+"""
+    + _PAGE_ENTITIES_SQL[_PAGE_ENTITIES_SQL.index(_PAGE_SENTS_SQL.strip()[:20]):]
+)
+
+
+@register("page_entities_nested", _PAGE_ENTITIES_NESTED_SQL)
+def q_page_entities_nested(spark, sf_dir):
+    """The flagship chain with the original paragraph nesting (what entry() returns, as rows)."""
+    from trawl.plans.linking import link_pages
+
+    rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="nested")
+    ents, _ = link_pages(spark, rows, _kb(spark, sf_dir), max_len=3, relations=False)
+    return ents
