@@ -193,3 +193,28 @@ def test_gazetteer_hot_split_agrees(spark):
         return sorted(tuple(r) for r in N.gazetteer_mentions(s, gaz, 3, hot_rows=h).collect())
     want = hits(10**9)
     assert want and hits(1) == want and hits(2) == want
+
+
+def test_longest_spans_sql_form_against_array_form(spark):
+    """The window-function form of N4 (query twin) equals the array form on random overlaps."""
+    import duckdb
+    import pandas as pd
+
+    from trawl.plans.catalog import N4_SQL_TAIL
+
+    rnd = random.Random(5)
+    rows = []
+    for sent in range(200):
+        for _ in range(rnd.randint(0, 8)):
+            st = rnd.randint(0, 9)
+            ln = rnd.choice([1, 2])
+            rows.append(("k", sent, st, st + ln, f"t{st}_{ln}", rnd.choice(["GPE", "PERSON", "ORG"])))
+    hits = pd.DataFrame(rows, columns=["key", "sent", "start", "end", "text", "label"])
+    con = duckdb.connect()
+    con.register("hits", hits)
+    want = sorted(tuple(r) for r in con.execute("WITH " + N4_SQL_TAIL).fetchall())
+    sdf = spark.createDataFrame(rows, "key string, sent bigint, start int, end int, mention string, label string")
+    sents = sdf.select("key", "sent").distinct()
+    got = N.sentence_entities(sents, sdf).select("key", "sent", F.explode("ents").alias("e")).select(
+        "key", "sent", "e.start", "e.end", "e.text", "e.label")
+    assert sorted(tuple(r) for r in got.collect()) == want

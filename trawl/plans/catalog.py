@@ -548,7 +548,42 @@ def q_gazetteer_hits(spark, sf_dir):
                        F.col("end").cast("bigint").alias("end"), "mention", "label")
 
 
-@register("longest_spans")
+# N4 for spans of one or two tokens (greedy: longer first, then earlier, then
+# smaller label): one span per position range (smallest label); two-token
+# spans are kept at every other start within a run of consecutive starts;
+# one-token spans are kept when no kept two-token span covers them.
+_LONGEST_SQL = S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _SENTS_SQL) + """,
+grams AS (
+  SELECT key, sent, i AS start, i + 1 AS "end", stoks[i + 1] AS text
+  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks))) AS i FROM ss)
+  WHERE regexp_matches(stoks[i + 1], '^\\p{Lu}')
+  UNION ALL
+  SELECT key, sent, i, i + 2, stoks[i + 1] || ' ' || stoks[i + 2]
+  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks) - 1)) AS i FROM ss)
+  WHERE regexp_matches(stoks[i + 1], '^\\p{Lu}')
+),
+hits AS (SELECT g.key, g.sent, g.start, g."end", g.text, z.label FROM grams g JOIN gaz z ON z.name = g.text),
+""" + "N4_TAIL"
+N4_SQL_TAIL = """spans AS (SELECT key, sent, start, "end", min(text) AS text, min(label) AS label FROM hits GROUP BY ALL),
+two AS (
+  SELECT *, start - row_number() OVER (PARTITION BY key, sent ORDER BY start) AS run
+  FROM spans WHERE "end" - start = 2
+),
+two_kept AS (
+  SELECT key, sent, start, "end", text, label FROM (
+    SELECT *, row_number() OVER (PARTITION BY key, sent, run ORDER BY start) AS k FROM two) WHERE k % 2 = 1
+),
+one_kept AS (
+  SELECT o.key, o.sent, o.start, o."end", o.text, o.label FROM spans o
+  WHERE o."end" - o.start = 1 AND NOT EXISTS (
+    SELECT 1 FROM two_kept t WHERE t.key = o.key AND t.sent = o.sent AND t.start <= o.start AND o.start < t."end")
+)
+SELECT key, sent, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end", text AS mention, label
+FROM (SELECT * FROM two_kept UNION ALL SELECT * FROM one_kept)"""
+_LONGEST_SQL = _LONGEST_SQL.replace("N4_TAIL", N4_SQL_TAIL)
+
+
+@register("longest_spans", _LONGEST_SQL)
 def q_longest_spans(spark, sf_dir):
     """Longest-first non-overlapping spans per sentence (rows-only check)."""
     d = docs(spark, sf_dir)
