@@ -153,7 +153,7 @@ def pos_entities(sents: DataFrame) -> DataFrame:
     return sents.withColumn("ents", ents)
 
 
-KB_LAYOUT = "2"  # bump when the stored table set changes
+KB_LAYOUT = "3"  # bump when the stored table set changes
 
 
 def stored_kb(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> KnowledgeGraph:
@@ -167,7 +167,7 @@ def stored_kb(spark: SparkSession, sf_dir: str, partitions: int | None = None) -
     """
     import hashlib
 
-    from trawl.session import ensure_checkpoint_dir, path_status
+    from trawl.session import ensure_checkpoint_dir, path_status, rename_path
 
     src = f"{sf_dir}/documents.parquet"
     size, mtime = path_status(spark, src)
@@ -175,9 +175,15 @@ def stored_kb(spark: SparkSession, sf_dir: str, partitions: int | None = None) -
     path = f"{ensure_checkpoint_dir(spark)}/trawl-kb-{tag}"
     tables = [*TABLES, "lookup", "item_cards"]
     if any(path_status(spark, f"{path}/kb_{t}/_SUCCESS")[0] is None for t in tables):
+        # Build under a private name, then rename into place: concurrent
+        # builders never see each other's half-written files.
+        import uuid
+
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
         docs = spark.read.parquet(src)
         par = spark.sparkContext.defaultParallelism
         docs = docs.repartition(par) if docs.rdd.getNumPartitions() < par else docs
-        words(docs).where(F.length("word") >= 5).write.mode("overwrite").parquet(f"{path}/words")
-        derived_kb(docs, spark.read.parquet(f"{path}/words")).save(path, partitions or max(8, par))
+        words(docs).where(F.length("word") >= 5).write.mode("overwrite").parquet(f"{tmp}/words")
+        derived_kb(docs, spark.read.parquet(f"{tmp}/words")).save(tmp, partitions or max(8, par))
+        rename_path(spark, tmp, path)  # False when another builder won the race: its copy is used
     return KnowledgeGraph.load(spark, path)

@@ -62,3 +62,14 @@ def path_status(spark: SparkSession, path: str) -> tuple[int | None, int | None]
         return None, None
     st = fs.getFileStatus(hpath)
     return st.getLen(), st.getModificationTime()
+
+
+def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename through the Hadoop file system; False if ``dst`` already exists."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s.getFileSystem(conf)
+    if fs.exists(d):
+        return False
+    return bool(fs.rename(s, d))
