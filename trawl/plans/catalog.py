@@ -846,15 +846,19 @@ def warc_fixture_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the per-page WARC records as gzip WARC files once (checkpoint folder)."""
     import hashlib
 
-    from trawl.session import ensure_checkpoint_dir, path_status
+    import uuid
+
+    from trawl.session import ensure_checkpoint_dir, path_status, rename_path
 
     src = f"{sf_dir}/pages.parquet"
     size, mtime = path_status(spark, src)
-    tag = hashlib.sha1(f"warc1|{src}|{size}|{mtime}".encode()).hexdigest()[:16]
+    tag = hashlib.sha1(f"warc2|{src}|{size}|{mtime}".encode()).hexdigest()[:16]
     path = f"{ensure_checkpoint_dir(spark)}/trawl-warc-{tag}"
     if path_status(spark, f"{path}/_SUCCESS")[0] is None:
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
         recs = fx.warc_payloads(fx.read_table(spark, sf_dir, "pages"))
-        W.write_warc(recs.repartition(4), path)
+        W.write_warc(recs.repartition(4), tmp)
+        rename_path(spark, tmp, path)  # written once; a concurrent writer's copy wins otherwise
     return path
 
 
