@@ -1016,3 +1016,10 @@ def q_page_entities_nested(spark, sf_dir):
     rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="nested")
     ents, _ = link_pages(spark, rows, _kb(spark, sf_dir), max_len=3, relations=False)
     return ents
+
+# The stream must write exactly the flagship's entity lines.
+assert _PAGE_ENTITIES_NESTED_SQL.rstrip().endswith("SELECT key, mention, link FROM entities")
+ORACLE["stream_entity_lines"] = (
+    _PAGE_ENTITIES_NESTED_SQL.rstrip()[: -len("SELECT key, mention, link FROM entities")]
+    + f"SELECT {_ENT_LINE} AS value FROM entities"
+)
