@@ -47,9 +47,15 @@ def test_every_query_has_a_twin():
     assert set(ORACLE) == set(QUERIES)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    got = table(QUERIES[name](spark, SF).toPandas())
+    df = QUERIES[name](spark, SF)
+    types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert types == {r[0]: r[1] for r in con.execute(f"DESCRIBE ({ORACLE[name]})").fetchall()}
+    got = table(df.toPandas())
     want = table(con.execute(ORACLE[name]).df())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])

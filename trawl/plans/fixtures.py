@@ -134,7 +134,8 @@ def pos_sentences(docs: DataFrame) -> DataFrame:
         "tokens",
         lambda t: F.when(t.rlike("^[A-Z]"), F.lit("X")).otherwise(F.element_at(letters, (F.length(t) % 12 + 1).cast("int"))),
     )
-    return toks.where(F.size("tokens") > 0).select("key", "sent", "tokens", F.array_join(tags, "").alias("pos"))
+    return toks.where(F.size("tokens") > 0).select("key", F.col("sent").cast("bigint").alias("sent"), "tokens",
+                                                   F.array_join(tags, "").alias("pos"))
 
 
 def pos_entities(sents: DataFrame) -> DataFrame:
