@@ -73,3 +73,26 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     if fs.exists(d):
         return False
     return bool(fs.rename(s, d))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context.
+
+    Python steps are pickled by reference, so workers must be able to import
+    the package; where it is not installed on them (or on their path), a zip
+    of its sources travels through ``addPyFile``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_trawl_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="trawl-src-"), "trawl_package.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.join("trawl", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._trawl_shipped = True
