@@ -66,11 +66,12 @@ def grid_members(fps: DataFrame, max_bits: int) -> DataFrame:
     """(half, cell, fp, home): every fingerprint in its own cell of each half and in those it probes."""
     if not 0 <= max_bits <= 3:
         raise ValueError("max_bits must be 0 to 3: a half then differs by one step at most")
-    # two-bit counts, all segments at once: x - ((x >> 1) & 0101...)
-    counts = F.col("fp") - F.shiftright("fp", 1).bitwiseAND(F.lit(0x5555555555555555))
-    low = F.lit(0xFFFFFFFF)
-    halves = F.array(F.struct(F.lit(0).alias("half"), counts.bitwiseAND(low).alias("own")),
-                     F.struct(F.lit(1).alias("half"), F.shiftrightunsigned(counts, 32).alias("own")))
+    def counts(half):  # two-bit counts of a 32-bit half, all segments at once
+        return half - F.shiftright(half, 1).bitwiseAND(F.lit(0x55555555))
+
+    low, high = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32)
+    halves = F.array(F.struct(F.lit(0).alias("half"), counts(low).alias("own")),
+                     F.struct(F.lit(1).alias("half"), counts(high).alias("own")))
     rows = fps.select("fp", F.inline(halves))
     steps = F.array(F.struct(F.lit(True).alias("home"), F.col("own").alias("cell")))
     if max_bits >= 2:
