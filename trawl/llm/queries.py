@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import mixing, quality, simhash
+from trawl.llm import decontam, line_dedup, mixing, quality, simhash
 from trawl.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_spaced_seed_decontam")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_links", "text")
