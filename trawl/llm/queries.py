@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import decontam, line_dedup, mixing, quality, simhash
+from trawl.llm import decontam, line_dedup, mixing, quality, simhash, sqltext, warc_index
 from trawl.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "n_links", "text")
+
+
+@query("op10_warc_index_merge", sqltext.WARC)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc_index.archive_pages(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key",
+                      "captured_at", "capture_no")
