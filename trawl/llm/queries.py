@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import decontam, line_dedup, mixing, quality, simhash, sqltext, warc_index
+from trawl.llm import decontam, fingerprints, line_dedup, mixing, quality, simhash, sqltext, warc_index
 from trawl.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc_index.archive_pages(table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key",
                       "captured_at", "capture_no")
+
+
+@query("op6_minhash_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
