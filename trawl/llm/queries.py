@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import decontam, fingerprints, line_dedup, mixing, quality, simhash, sqltext, warc_index
+from trawl.llm import decontam, fingerprints, line_dedup, mixing, ppm, quality, simhash, sqltext, warc_index
 from trawl.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_minhash_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op7_ppm_score")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(table(spark, sf_dir, "documents"))
