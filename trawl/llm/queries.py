@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trawl.llm import decontam, fingerprints, line_dedup, mixing, ppm, quality, simhash, sqltext, warc_index
+from trawl.llm import decontam, fingerprints, line_dedup, mixing, ppm, quality, recompression, simhash, sqltext, warc_index
 from trawl.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ppm_score")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op4_recompression_repeats", sqltext.REPEATS)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = recompression.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -24,3 +24,22 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        row_number() OVER (ORDER BY url_key, captured_at, page_id) AS capture_no
 FROM r
 """
+
+REPEATS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, p, array_to_string(list_slice(w, p, p + 12), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13)
+), least AS (
+  SELECT s, min(doc_id) AS first FROM win GROUP BY s
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS i FROM win JOIN least USING (s) WHERE first < doc_id
+), g AS (
+  SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(
+         list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
