@@ -35,6 +35,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+BROADCAST_ROWS = 1_000_000  # rows of a few numbers: tens of MB at most
+
+
+def broadcast_checked(stored: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table of narrow rows, with a broadcast hint only if its counted rows are within ``limit``."""
+    return F.broadcast(stored) if stored.count() <= limit else stored
+
+
 class Scratch:
     """One run's folder under the shared checkpoint folder.
 

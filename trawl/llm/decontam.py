@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.plan import compute_once
-from trawl.llm.common import Scratch, ascii_lower, words
+from trawl.llm.common import Scratch, ascii_lower, broadcast_checked, words
 
 SPAN = 13
 MAX_SUBST = 2
@@ -104,4 +104,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, max_subs
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, max_subst: int = MAX_SUBST) -> DataFrame:
     """The rows of ``docs`` that share no window with a benchmark item; columns unchanged."""
     leaks = find_leaks(docs, benchmark, span, max_subst).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(F.col("_leak")), "left_anti")
+    leaks = Scratch(docs.sparkSession, "leaks").keep(leaks, "doc_ids")
+    return docs.join(broadcast_checked(leaks), docs["doc_id"].eqNullSafe(F.col("_leak")), "left_anti")

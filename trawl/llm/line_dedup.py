@@ -26,11 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.plan import compute_once
-from trawl.llm.common import Scratch
+from trawl.llm.common import Scratch, broadcast_checked
 from trawl.llm.components import connected_components
 
-BROADCAST_KEYS = 1_000_000  # 16 MB of keys or ids; more are joined by shuffle
-
 
 def _let(value: Column, fn) -> Column:
     """``fn`` of a value that is computed once, inside a lambda body."""
@@ -109,11 +107,6 @@ def segment_keys(line: Column, n: Column, k: int) -> Column:
     return F.array(*out)
 
 
-def _checked(df: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """Broadcast a stored key table if its counted rows allow it."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_hash, pos, line, id, id2): every line that is not blank."""
     lines = docs.where(F.col("text").isNotNull()).select(
@@ -132,7 +125,7 @@ def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: in
         "id", "line", F.inline(segment_keys(F.col("line"), n, max_edits)))
     shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("home").alias("home"))
     shared = scratch.keep(shared.where("a <> b AND home").select("key"), "keys")
-    members = keyed.join(_checked(shared), "key", "left_semi").groupBy("key", "id").agg(F.first("line").alias("line"))
+    members = keyed.join(broadcast_checked(shared), "key", "left_semi").groupBy("key", "id").agg(F.first("line").alias("line"))
     members = scratch.keep(members, "members")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / block).cast("int")
@@ -169,7 +162,7 @@ def dedup_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 32) -> Dat
         F.count(F.lit(1)).alias("n_links"))
     comps = scratch.keep(connected_components(links, scratch).join(degree, "node").select(
         F.col("node").alias("id"), "component", "n_links"), "classes")
-    occ = lines.drop("line").join(_checked(comps), "id", "left").select(
+    occ = lines.drop("line").join(broadcast_checked(comps), "id", "left").select(
         "doc_id", "doc_hash", "pos", "n_links", F.coalesce("component", "id").alias("c1"),
         F.when(F.col("component").isNull(), F.col("id2")).otherwise(F.lit(0)).alias("c2"))
     occ = scratch.keep(occ, "occurrences")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import Scratch
+from trawl.llm.common import Scratch, broadcast_checked
 from trawl.llm.components import connected_components
 
 SEED = 42
@@ -199,3 +199,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block:
     of_fp = named.join(ids, "component").select("fp", "component_id")
     return fps.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                         "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """``docs`` without the documents that are near duplicates of one with a smaller doc_id; columns unchanged.
+
+    Of a class the document with the smallest doc_id stays; rows that repeat
+    that doc_id are the same document and stay.  A row without doc_id stays
+    only where its class has no doc_id at all.
+    """
+    near = near_duplicates(docs, shingle, max_bits)
+    gone = near.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = Scratch(docs.sparkSession, "simhash-gone").keep(gone, "doc_ids")
+    return docs.join(broadcast_checked(gone), docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
