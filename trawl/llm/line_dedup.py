@@ -115,6 +115,23 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return lines.select("*", F.xxhash64("line").alias("id"), F.xxhash64(F.lit("2"), "line").alias("id2"))
 
 
+# Character sets whose counts are compared before the edit distance; any sets give a valid bound.
+BAGS = ("a", "bcd", "e", "fgh", "i", "jkl", "mn", "o", "pqr", "s", "t", "uvw", "xyz", " ", ".,;:!?", "0123456789")
+
+
+def bag(line: Column) -> Column:
+    """How many characters of each set a line has."""
+    return F.array(*[F.length(line) - F.length(F.translate(line, c, "")) for c in BAGS])
+
+
+def bags_near(a: Column, b: Column, k: int) -> Column:
+    """Whether counts allow ``k`` edits: an edit adds one and removes one character at most."""
+    def surplus(p, q):
+        return F.aggregate(F.zip_with(p, q, lambda x, y: F.greatest(x - y, F.lit(0))), F.lit(0), lambda s, x: s + x)
+
+    return (surplus(a, b) <= k) & (surplus(b, a) <= k)
+
+
 def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: int, block: int = 32) -> DataFrame:
     """Links (a, b) between the ids of different lines within ``max_edits`` edits.
 
@@ -126,20 +143,21 @@ def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: in
     shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("home").alias("home"))
     shared = scratch.keep(shared.where("a <> b AND home").select("key"), "keys")
     members = keyed.join(broadcast_checked(shared), "key", "left_semi").groupBy("key", "id").agg(F.first("line").alias("line"))
-    members = scratch.keep(members, "members")
+    members = scratch.keep(members.withColumn("bag", bag(F.col("line"))), "members")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / block).cast("int")
     m = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    item = F.struct("id", "own", F.split("line", "").alias("c"))
-    groups = m.groupBy("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(
-        F.collect_list(item).alias("g"))
+    item = F.struct("id", "own", "bag", F.split("line", "").alias("c"))
+    m = m.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    # dealt by pair of blocks: the join above leaves a key's rows together
+    groups = m.repartition("key", "i", "j").groupBy("key", "i", "j").agg(F.collect_list(item).alias("g"))
     groups = compute_once(groups, ["i", "j"], g=F.col("g")).where(F.size("g") > 1)
     pairs = groups.select("i", "j", "g", F.posexplode("g").alias("at", "x"))
     pairs = pairs.select(F.col("x.id").alias("a"), "x", F.filter(
         F.slice("g", F.col("at") + 2, F.greatest(F.size("g") - F.col("at") - 1, F.lit(0))),
         lambda y: (y["id"] != F.col("x.id")) & ((F.col("i") == F.col("j")) | (y["own"] != F.col("x.own")))
-        & (F.abs(F.size(y["c"]) - F.size("x.c")) <= max_edits)).alias("ys")).where(F.size("ys") > 0)
+        & (F.abs(F.size(y["c"]) - F.size("x.c")) <= max_edits) & bags_near(F.col("x.bag"), y["bag"], max_edits)).alias("ys")).where(F.size("ys") > 0)
     near = F.filter("ys", lambda y: banded_distance(F.col("x.c"), y["c"], max_edits) <= max_edits)
     links = pairs.select("a", F.explode(near).alias("y")).select("a", F.col("y.id").alias("b"))
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
