@@ -106,11 +106,22 @@ def test_longest_spans_and_gazetteer(spark):
     s = N.sentences(df, "key", "text")
     gaz = spark.createDataFrame([("New York", "GPE"), ("New York City", "GPE"), ("York", "PERSON")],
                                 "name string, label string")
-    hits = N.gazetteer_mentions(s, gaz, max_len=3)
+    hits = N.gazetteer_mentions(s, gaz)
     ents = N.sentence_entities(s, hits).first().ents
     assert [(e.start, e.end, e.text) for e in ents] == [(0, 3, "New York City"), (5, 7, "New York")]
 
 
+def test_gazetteer_finds_names_as_written(spark):
+    text = 'She left the University of New South Wales for Google, Inc. and eBay; AT&T and Yahoo! too.'
+    s = N.sentences(spark.createDataFrame([("k", text)], "key string, text string"), "key", "text")
+    names = ["University of New South Wales", "New South Wales", "Wales", "Google, Inc", "eBay", "AT&T", "Yahoo!"]
+    gaz = spark.createDataFrame([(n, "ORG") for n in names], "name string, label string")
+    hits = N.gazetteer_mentions(s, gaz)
+    assert sorted(r.mention for r in hits.collect()) == sorted(names)
+    kept = [r.mention for r in N.longest_mentions(hits).orderBy("sent", "start").collect()]
+    assert kept == ["University of New South Wales", "Google, Inc", "eBay", "AT&T", "Yahoo!"]
+
+
 def test_pos_lexicon_and_tagging(spark):
     tagged = spark.createDataFrame([("run", "V"), ("Run", "V"), ("run", "N")], "word string, tag string")
     lex = N.pos_lexicon(tagged)
@@ -149,8 +160,8 @@ def test_tag_tokens_paths_agree(spark):
     def pos(df):
         return sorted((r.key, r.sent, r.pos) for r in df.collect())
     want = pos(N.tag_tokens(s, lex))
-    for hot in (1, 3, 10**9):  # all words hot / some / none, lexicon forced off the broadcast path
-        assert pos(N.tag_tokens(s, lex, max_broadcast_rows=0, hot_rows=hot)) == want
+    for hot in (1, 3, 10**9):  # all words hot / some / none
+        assert pos(N.tag_tokens(s, lex, hot_rows=hot)) == want
 
 
 def py_sentencizer(tokens):
@@ -190,7 +201,7 @@ def test_gazetteer_hot_split_agrees(spark):
     gaz = spark.createDataFrame([("Paris", "GPE"), ("New York", "GPE"), ("The", "WORK_OF_ART")],
                                 "name string, label string")
     def hits(h):
-        return sorted(tuple(r) for r in N.gazetteer_mentions(s, gaz, 3, hot_rows=h).collect())
+        return sorted(tuple(r) for r in N.gazetteer_mentions(s, gaz, hot_rows=h).collect())
     want = hits(10**9)
     assert want and hits(1) == want and hits(2) == want
 

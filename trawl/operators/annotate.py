@@ -109,31 +109,19 @@ def default_tag(tok: Column) -> Column:
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a measured bound; otherwise a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def tag_tokens(sents: DataFrame, lexicon: DataFrame | None, max_broadcast_rows: int = 2_000_000,
-               hot_rows: int = 1_000_000) -> DataFrame:
+def tag_tokens(sents: DataFrame, lexicon: DataFrame | None, hot_rows: int = 1_000_000) -> DataFrame:
     """Adds ``pos`` (one letter per token) to (key, sent, tokens, ...).
 
     Tokens are exploded, looked up in the lexicon, and regrouped per
-    sentence (a group is one sentence, so its size is bounded).  The lookup
-    is a broadcast join when the lexicon is under the measured bound;
-    otherwise it is a shuffle join in which frequent words ("the" can be a
-    large share of all tokens) are split off and joined by broadcast.
+    sentence.  The lookup is a join in which frequent words ("the" can be a
+    large share of all tokens) are split off; whether the lexicon itself is
+    broadcast is left to the runtime statistics.
     """
     if lexicon is None:
         return sents.withColumn("pos", F.array_join(F.transform("tokens", default_tag), ""))
     lex = lexicon.select("word", F.col("tag").alias("lex_tag"))
     toks = sents.select("key", "sent", F.posexplode("tokens").alias("i", "tok")).withColumn("word", F.lower("tok"))
-    small = broadcast_if_small(lex, max_broadcast_rows)
-    if small is not lex:  # the lexicon fits the bound: one broadcast join
-        looked = toks.join(small, "word", "left")
-    else:
-        looked = hot_split_join(toks, lex, ["word"], hot_rows, how="left")
+    looked = hot_split_join(toks, lex, ["word"], hot_rows, how="left")
     tagged = looked.select("key", "sent", "i", F.coalesce("lex_tag", default_tag(F.col("tok"))).alias("tag"))
     pos = tagged.groupBy("key", "sent").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "tag"))), lambda x: x["tag"]), "")
@@ -142,38 +130,48 @@ def tag_tokens(sents: DataFrame, lexicon: DataFrame | None, max_broadcast_rows:
 
 
 # N3 / N4 ----------------------------------------------------------------------
-def ngrams(sents: DataFrame, max_len: int = 3, capitalised: bool = True) -> DataFrame:
-    """(key, sent, start, end, text): token n-grams, 1..max_len tokens.
-
-    With ``capitalised`` only n-grams whose first token starts with an upper
-    case letter are produced (a cheap pre-filter before the name join).
+def name_table(gazetteer: DataFrame) -> DataFrame:
+    """(text, label, first, n): names as token sequences, joined by one blank, of any length."""
+    toks = F.regexp_extract_all("name", F.lit(TOKEN_RE), 0)
+    names = compute_once(gazetteer.select("name", "label"), ["label"], toks=toks).where(F.size("toks") > 0)
+    return names.select(F.array_join("toks", " ").alias("text"), "label", F.get("toks", 0).alias("first"),
+                        F.size("toks").alias("n")).distinct()
+
+
+def gazetteer_mentions(sents: DataFrame, gazetteer: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+    """Token sequences equal to a known name -> (key, sent, start, end, mention, label).
+
+    Names and text are compared token by token, so spacing does not matter
+    ("Google, Inc." and "Google , Inc ."), and names have any length, case and
+    punctuation; the mention keeps the spacing of the text.  A first join
+    on the first token tells which lengths can begin there, so only token
+    sequences that begin like a name are built.  Very frequent first tokens are
+    split off; a name that is frequent itself is left to the skew join, as
+    the name side has one row per name and label.
     """
-    n = F.size("tokens")
-    starts = F.sequence(F.lit(0), n - 1)
-    if capitalised:
-        starts = F.filter(starts, lambda i: F.get(F.col("tokens"), i).rlike(r"^\p{Lu}"))
-    grams = F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(max_len), n - i)),
-        lambda ln: F.struct(i.alias("start"), (i + ln).alias("end"),
-                            F.array_join(F.slice("tokens", i + 1, ln), " ").alias("text")))))
-    g = sents.where(n > 0).select("key", "sent", F.explode(grams).alias("g")).select(
-        "key", "sent", "g.start", "g.end", "g.text")
-    return g
-
-
-def gazetteer_mentions(sents: DataFrame, gazetteer: DataFrame, max_len: int = 3,
-                       hot_rows: int = 1_000_000) -> DataFrame:
-    """N-grams equal to a known name -> (key, sent, start, end, mention, label).
-
-    Frequent n-grams ("The" opens many sentences) are hot join keys whether
-    or not they are names; they are split off and joined by broadcast.  The
-    name table holds at most one row per (name, label), and labels are a
-    fixed small set, so the broadcast part is bounded by construction.
-    """
-    g = ngrams(sents, max_len)
-    names = gazetteer.select(F.col("name").alias("text"), "label").distinct()
-    hits = hot_split_join(g, names, ["text"], hot_rows)
-    return hits.select("key", "sent", "start", "end", F.col("text").alias("mention"), "label")
+    names = name_table(gazetteer)
+    firsts = names.groupBy("first").agg(F.collect_set("n").alias("lens"))
+    at = sents.where(F.size("tokens") > 0).select("key", "sent", F.posexplode("tokens").alias("start", "first"))
+    begins = hot_split_join(at, firsts, ["first"], hot_rows)
+    starts = begins.groupBy("key", "sent").agg(F.collect_list(F.struct("start", "lens")).alias("starts"))
+    grams = sents.select("key", "sent", "tokens", "ws").join(starts, ["key", "sent"])
+    grams = grams.select("key", "sent", "tokens", "ws", F.explode("starts").alias("b"))
+    grams = grams.select("key", "sent", "tokens", "ws", F.col("b.start").alias("start"), F.explode("b.lens").alias("n"))
+    grams = grams.where(F.col("start") + F.col("n") <= F.size("tokens")).select(
+        "key", "sent", "start", (F.col("start") + F.col("n")).alias("end"),
+        F.array_join(F.slice("tokens", F.col("start") + 1, F.col("n")), " ").alias("text"),
+        F.rtrim(F.array_join(F.zip_with(F.slice("tokens", F.col("start") + 1, F.col("n")),
+                                        F.slice("ws", F.col("start") + 1, F.col("n")), lambda t, w: F.concat(t, w)), "")).alias("mention"))
+    hits = grams.join(names.select("text", "label"), "text")
+    return hits.select("key", "sent", "start", "end", "mention", "label")
+
+
+def longest_mentions(mentions: DataFrame) -> DataFrame:
+    """N4 on a mention table: of overlapping mentions of a sentence the longest, then the earliest, stays."""
+    per_sent = mentions.groupBy("key", "sent").agg(
+        F.collect_list(F.struct("start", "end", F.col("mention").alias("text"), "label")).alias("spans"))
+    kept = per_sent.select("key", "sent", F.explode(longest_spans(F.col("spans"))).alias("s"))
+    return kept.select("key", "sent", "s.start", "s.end", F.col("s.text").alias("mention"), "s.label")
 
 
 def longest_spans(spans: Column) -> Column:

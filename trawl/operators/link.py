@@ -60,21 +60,20 @@ def most_referred(cands: DataFrame, keys=None) -> DataFrame:
     return cands.groupBy(*keys).agg(F.min_by("page", order).alias("link"))
 
 
-def most_popular(cands: DataFrame, backlinks: DataFrame, keys=None, namespace: int = 4,
-                 cap: int | None = None) -> DataFrame:
+def most_popular(cands: DataFrame, backlinks: DataFrame, keys=None, namespace: int = 4) -> DataFrame:
     """L2: rank by backlinks from one namespace, ties by Levenshtein to the name.
 
     ``backlinks(title, from_page, ns)``: a backlink table in place of the
     live API; the title is the last URL segment of the candidate page.
     Candidates without any backlink row drop out (the API gave no answer);
-    a mention whose candidates all drop out gets no row.  ``cap`` reproduces
-    counting a single API result page (e.g. 500 rows); off by default.
+    a mention whose candidates all drop out gets no row.  All backlinks
+    count.
     """
     keys = keys or KEYS
     n = F.count(F.lit(1))
     counts = (
         backlinks.where(F.col("ns") == namespace)
-        .groupBy("title").agg((F.least(n, F.lit(cap)) if cap else n).alias("backlinks"))
+        .groupBy("title").agg(n.alias("backlinks"))
     )
     titled = cands.withColumn("title", F.element_at(F.split("page", "/", -1), -1))
     ranked = titled.join(counts, "title")

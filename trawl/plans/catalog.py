@@ -543,7 +543,7 @@ def q_gazetteer_hits(spark, sf_dir):
     """Token 1- and 2-grams that equal a known English name (label from class)."""
     d = docs(spark, sf_dir)
     sents = N.sentences(d, "doc_id", "text")
-    hits = N.gazetteer_mentions(sents, gazetteer(spark, _kb(spark, sf_dir)), max_len=2)
+    hits = N.gazetteer_mentions(sents, gazetteer(spark, _kb(spark, sf_dir)))
     return hits.select("key", "sent", F.col("start").cast("bigint").alias("start"),
                        F.col("end").cast("bigint").alias("end"), "mention", "label")
 
@@ -588,7 +588,7 @@ def q_longest_spans(spark, sf_dir):
     """Longest-first non-overlapping spans per sentence (rows-only check)."""
     d = docs(spark, sf_dir)
     sents = N.sentences(d, "doc_id", "text")
-    hits = N.gazetteer_mentions(sents, gazetteer(spark, _kb(spark, sf_dir)), max_len=2)
+    hits = N.gazetteer_mentions(sents, gazetteer(spark, _kb(spark, sf_dir)))
     ents = N.sentence_entities(sents, hits)
     return ents.select("key", "sent", F.explode("ents").alias("e")).select(
         "key", "sent", F.col("e.start").cast("bigint").alias("start"), F.col("e.end").cast("bigint").alias("end"),
@@ -931,7 +931,7 @@ def q_page_entities(spark, sf_dir):
     from trawl.plans.linking import link_pages
 
     rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="autoclose")
-    ents, _ = link_pages(spark, rows, _kb(spark, sf_dir), max_len=3, relations=False)
+    ents, _ = link_pages(spark, rows, _kb(spark, sf_dir), relations=False)
     return ents
 
 
@@ -1014,7 +1014,7 @@ def q_page_entities_nested(spark, sf_dir):
     from trawl.plans.linking import link_pages
 
     rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="nested")
-    ents, _ = link_pages(spark, rows, _kb(spark, sf_dir), max_len=3, relations=False)
+    ents, _ = link_pages(spark, rows, _kb(spark, sf_dir), relations=False)
     return ents
 
 # The stream must write exactly the flagship's entity lines.

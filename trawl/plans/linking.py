@@ -4,8 +4,9 @@
       -> mentions by name lookup (N3, N4) -> links (C, L)
       -> POS (N5) -> relations (R) -> lines (S6, S4)
 
-Stage outputs can be materialised (``stage_dir``) as parquet, so a failed
-or repeated run resumes from the last written stage and lineage stays short.
+Stage outputs can be materialised (``stage_dir``) as parquet, so lineage
+stays short.  A stage is always written anew: an earlier run's output may come
+from other inputs or options.
 """
 
 from __future__ import annotations
@@ -41,39 +42,33 @@ def gazetteer(spark: SparkSession, kb: KnowledgeGraph) -> DataFrame:
     return kb.english_labels().join(kb.type, "item").join(F.broadcast(cl), "class").select("name", "label").distinct()
 
 
-def materialise(df: DataFrame, stage_dir: str | None, name: str, resume: bool = True) -> DataFrame:
-    """Write a stage to parquet and read it back (cuts lineage).
-
-    With ``resume`` a stage whose output is complete (``_SUCCESS`` present)
-    is read instead of recomputed, so a job restarted with the same
-    ``stage_dir`` after a failure continues from its last finished stage.
-    """
+def materialise(df: DataFrame, stage_dir: str | None, name: str) -> DataFrame:
+    """Write a stage to parquet and read it back (cuts lineage)."""
     if stage_dir is None:
         return df
-    from trawl.session import path_status
-
     path = f"{stage_dir}/{name}"
-    spark = df.sparkSession
-    if not (resume and path_status(spark, f"{path}/_SUCCESS")[0] is not None):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def annotate_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph, max_len: int = 3,
-                   lexicon: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """N1-N5 over page rows -> (sentences with pos and ents, mentions)."""
-    sents = N.sentences(rows, "key", "text")
-    ments = N.gazetteer_mentions(sents, gazetteer(spark, kb), max_len)
-    return sents, ments
+def annotate_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph,
+                   stage_dir: str) -> tuple[DataFrame, DataFrame]:
+    """N1-N4 over page rows -> (sentences, mentions that do not overlap).
+
+    Both are written: the name lookup reads the sentences several times, and
+    a page must be parsed once only.
+    """
+    sents = materialise(N.sentences(rows, "key", "text"), stage_dir, "sentences")
+    ments = N.longest_mentions(N.gazetteer_mentions(sents, gazetteer(spark, kb)))
+    return sents, materialise(ments, stage_dir, "mentions")
 
 
-def link_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph, max_len: int = 3,
+def link_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph,
                lexicon: DataFrame | None = None, stage_dir: str | None = None,
                relations: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """Entities (key, mention, link) and linked relations of page rows."""
-    sents, ments = annotate_pages(spark, rows, kb, max_len, lexicon)
-    sents = materialise(sents, stage_dir, "sentences")
-    ments = materialise(ments, stage_dir, "mentions")
+    stage_dir = stage_dir or run_stage_dir(spark)
+    sents, ments = annotate_pages(spark, rows, kb, stage_dir)
     ents, _ = link_entities(ments.select("key", "mention", "label"), kb, label_class_table(spark))
     ents = materialise(ents, stage_dir, "entities")
     if not relations:
@@ -108,8 +103,7 @@ def full_job(spark: SparkSession, sf_dir: str, stage_dir: str | None = None, ord
 
     Page text, sentences, mentions and entities each feed more than one
     consumer; they are written once as parquet under ``stage_dir`` (default:
-    a new folder in the checkpoint folder) instead of being recomputed, and
-    a re-run can resume from them.
+    a new folder in the checkpoint folder) instead of being recomputed.
     """
     from trawl.plans.catalog import pages
 

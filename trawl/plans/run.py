@@ -25,28 +25,27 @@ def default_output_name(now: datetime.datetime | None = None) -> str:
 
 def _session() -> SparkSession:
     """The submitted session (master and checkpoint folder from its config)."""
-    from trawl.session import ensure_checkpoint_dir
+    from trawl.session import ensure_checkpoint_dir, ship_package
 
     spark = SparkSession.getActiveSession() or SparkSession.builder.appName("trawl").getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
-def warc_pages(spark: SparkSession, path: str, exact: bool = False, layout: str = "fixed",
-               p_mode: str = "nested", limit_pages: int | None = None) -> DataFrame:
+def warc_pages(spark: SparkSession, path: str, fast: bool = False, layout: str = "fixed",
+               p_mode: str = "nested") -> DataFrame:
     """S1 -> F1-F5 -> H: page rows of WARC files.
 
-    ``limit_pages`` (F8) keeps the first n HTML pages in archive order: a
-    sort by (file, rec_no) with a limit, used only when asked for.
+    Files are read exactly unless ``fast`` is asked for (CRLF files only).
+    Records that are no pages go before the rest is spread over the cluster.
     """
     from trawl.operators.pages import page_rows
     from trawl.operators.records import html_records
     from trawl.sources import warc as W
 
-    recs = W.read_warc_exact(spark, path) if exact else W.read_warc(spark, path)
-    bodies = html_records(W.spread(recs), "payload", layout, keep=["file", "rec_no"])
-    if limit_pages:
-        bodies = bodies.orderBy("file", "rec_no").limit(limit_pages)
+    recs = W.read_warc(spark, path) if fast else W.read_warc_exact(spark, path)
+    bodies = W.spread(html_records(recs, "payload", layout, keep=["file", "rec_no"]))
     return page_rows(bodies.select("key", "body"), p_mode=p_mode)
 
 
@@ -54,7 +53,7 @@ def cmd_preprocess(a) -> None:
     from trawl.sources.lines import write_csv
 
     spark = _session()
-    rows = warc_pages(spark, a.warc, a.exact, a.layout, a.p_mode, a.limit_pages)
+    rows = warc_pages(spark, a.warc, a.fast, a.layout, a.p_mode)
     name = a.name or default_output_name()
     out = f"{a.pre_proc_dir}/{name}"
     if a.csv:
@@ -73,14 +72,14 @@ def cmd_link(a) -> None:
     spark = _session()
     stage = a.stage_dir or run_stage_dir(spark)
     if a.warc:
-        rows = warc_pages(spark, a.warc, a.exact, a.layout, a.p_mode, a.limit_pages)
+        rows = warc_pages(spark, a.warc, a.fast, a.layout, a.p_mode)
     elif a.pre_proc:
         rows = spark.read.parquet(a.pre_proc)
     else:
         rows = page_rows(pages_as_bodies(spark.read.parquet(a.pages)), p_mode=a.p_mode)
     rows = materialise(rows, stage, "page_text")
     kb = KnowledgeGraph.load(spark, a.kb)
-    ents, rels = link_pages(spark, rows, kb, max_len=a.max_len, stage_dir=stage)
+    ents, rels = link_pages(spark, rows, kb, stage_dir=stage)
     lines = result_lines(ents, rels, ordered=a.ordered)
     write_lines(lines, a.out)
     if a.show:  # S5
@@ -103,10 +102,9 @@ def main(argv: list[str] | None = None) -> None:
     sub = p.add_subparsers(dest="cmd", required=True)
 
     def common(sp):
-        sp.add_argument("--exact", action="store_true", help="Python data source for WARC files")
+        sp.add_argument("--fast", action="store_true", help="text source for WARC files with CRLF marker lines")
         sp.add_argument("--layout", default="fixed", choices=["fixed", "rfc"])
         sp.add_argument("--p-mode", default="nested", choices=["nested", "autoclose"])
-        sp.add_argument("--limit-pages", type=int, default=None)
 
     pp = sub.add_parser("preprocess")
     pp.add_argument("--warc", required=True)
@@ -124,7 +122,6 @@ def main(argv: list[str] | None = None) -> None:
     pl.add_argument("--kb", required=True, help="folder written by KnowledgeGraph.save")
     pl.add_argument("--out", default="data/out")
     pl.add_argument("--stage-dir", default=None)
-    pl.add_argument("--max-len", type=int, default=3)
     pl.add_argument("--ordered", action="store_true")
     pl.add_argument("--show", type=int, default=0)
     common(pl)

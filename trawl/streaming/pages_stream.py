@@ -34,15 +34,16 @@ def _store(spark: SparkSession, path: str, before_epoch: int) -> DataFrame | Non
     return st.where(F.col("epoch") < before_epoch).drop("epoch")
 
 
-def link_batch(df: DataFrame, epoch_id: int, kb: KnowledgeGraph, out_dir: str, max_len: int = 3,
+def link_batch(df: DataFrame, epoch_id: int, kb: KnowledgeGraph, out_dir: str,
                p_mode: str = "nested") -> None:
     """One micro-batch: page rows -> gazetteer mentions -> store-aware linking -> lines."""
     from trawl.plans.linking import gazetteer
 
     spark = df.sparkSession
     rows = page_rows(pages_as_bodies(df), p_mode=p_mode)
-    sents = N.sentences(rows, "key", "text")
-    ments = distinct_mentions(N.gazetteer_mentions(sents, gazetteer(spark, kb), max_len), label_class_table(spark))
+    sents = N.sentences(rows, "key", "text").persist()  # the name lookup reads them several times
+    ments = distinct_mentions(
+        N.longest_mentions(N.gazetteer_mentions(sents, gazetteer(spark, kb))), label_class_table(spark))
     ments = ments.persist()
     store_path = f"{out_dir}/link_store"
     store = _store(spark, store_path, epoch_id)
@@ -55,6 +56,7 @@ def link_batch(df: DataFrame, epoch_id: int, kb: KnowledgeGraph, out_dir: str, m
     ents = linked.groupBy("key", "mention").agg(F.min_by("link", "label").alias("link"))
     ents.select(entity_value().alias("value")).write.mode("overwrite").text(f"{out_dir}/lines/epoch={epoch_id}")
     ments.unpersist()
+    sents.unpersist()
 
 
 def start_page_stream(spark: SparkSession, pages_dir: str, kb: KnowledgeGraph, out_dir: str,
