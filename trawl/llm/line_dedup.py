@@ -141,8 +141,10 @@ def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: in
     keyed = long.select("id", "line", F.inline(segment_keys(F.col("line"), F.col("n"), max_edits)))
     shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("home").alias("home"))
     shared = scratch.keep(shared.where("a <> b AND home").select("key"), "keys")
-    members = keyed.join(broadcast_checked(shared), "key", "left_semi").groupBy("key", "id").agg(F.first("line").alias("line"))
-    members = scratch.keep(members.withColumn("bag", bag(F.col("line"))), "members")
+    # a line has at most a dozen keys, so the set of an id is bounded; counts of characters are taken once a line
+    members = keyed.join(broadcast_checked(shared), "key", "left_semi").groupBy("id").agg(
+        F.first("line").alias("line"), F.collect_set("key").alias("keys")).withColumn("bag", bag(F.col("line")))
+    members = scratch.keep(members.select("id", "line", "bag", F.explode("keys").alias("key")), "members")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / block).cast("int")
     m = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
