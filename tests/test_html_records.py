@@ -25,6 +25,12 @@ def test_escaped_tag_becomes_tag_and_entities():
     assert paras == ["x y & AB"]  # NFKC: nbsp -> space, full-width -> ASCII; one unescape before parsing
 
 
+def test_blank_text_nodes_and_cdata():
+    page = "<h1> \t\t<a>Foo</a> \t<a>Bar baz</a></h1><p>a<b> \n\t </b>c<pre>\t\t</pre></p><p>x<![CDATA[ y < z]]></p>"
+    _, heads, paras = extract_page(page)
+    assert heads == [" Foo Bar baz"] and paras == ["a\nc\t\t", "x y < z"]
+
+
 def test_title_rules():
     assert extract_page("<title>Plain</title>")[0] == "Plain"
     assert extract_page("<title><b>Bold</b></title>")[0] == "Bold"

@@ -71,10 +71,10 @@ def test_linked_relations_both_ends(spark):
     assert got == [("k", "L1", "L2", "met")]
 
 
-def brute_force(tags):
+def brute_force(tags, rx="VT?R?[JRNOD]*[TP]?"):
     """All matches of the token pattern, then longest-first non-overlapping filter."""
     def ok(seq):
-        return re.fullmatch("VT?R?[JRNOD]*[TP]?", seq) is not None
+        return re.fullmatch(rx, seq) is not None
     spans = [(i, j) for i in range(len(tags)) for j in range(i + 1, len(tags) + 1) if ok(tags[i:j])]
     spans.sort(key=lambda s: (-(s[1] - s[0]), s[0]))
     kept = []
@@ -94,6 +94,18 @@ def test_phrase_regex_against_brute_force(spark):
     assert pattern_regex() == "^VT?R?[JRNOD]*[TP]?"
 
 
+def test_custom_patterns_against_brute_force(spark):
+    rnd = random.Random(11)
+    tags = ["NNN", "", "VVV", *("".join(rnd.choice("VAPNX") for _ in range(rnd.randint(1, 12))) for _ in range(150))]
+    df = spark.createDataFrame([(t,) for t in tags], "pos string")
+    patterns = [[{"POS": {"IN": ["VERB", "AUX"]}}, {"POS": "ADP", "OP": "?"}], [{"POS": "NOUN"}, {"POS": "NOUN", "OP": "*"}],
+                [{"POS": "NOUN", "OP": "?"}, {"POS": "VERB"}, {"POS": "VERB"}], [{"POS": "VERB"}, {"POS": "NOUN", "OP": "+"}, {"POS": "ADP"}]]
+    for p in patterns:
+        rx = pattern_regex(p)
+        for r in df.select("pos", phrase_spans(F.col("pos"), rx).alias("p")).collect():
+            assert sorted((x.start, x.len) for x in r.p) == brute_force(r.pos, rx.removeprefix("^")), (rx, r.pos)
+
+
 def test_sentences_split_rule(spark):
     df = spark.createDataFrame([("k", 'Hello world. "Quoted!" Then 3.5 more? Yes')], "key string, text string")
     got = [r.tokens for r in N.sentences(df, "key", "text").orderBy("sent").collect()]

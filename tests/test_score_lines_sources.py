@@ -127,6 +127,16 @@ def test_ntriples_roundtrip_and_sparql_json(spark, tmp_path):
     assert [tuple(r) for r in got] == [("I", "N", "P", 12)]
 
 
+def test_ntriples_escapes_blank_nodes_comments(spark):
+    label = "<http://www.w3.org/2000/01/rdf-schema#label>"
+    lines = [f'<x> {label} "Beyonc\\u00E9\\tA\\\\n\\U0001F600"@en . # note', f"_:b1 {label} _:b2 .", "# only a comment", "", "junk",
+             f'<\\u00e9> {label} "q\\"\\n"@fr .']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = {(r.s, r.o, r.lang) for r in K.parse_ntriples(df).collect()}
+    assert got == {("x", "Beyoncé\tA\\n\U0001F600", "en"), ("_:b1", "_:b2", ""), ("é", 'q"\n', "fr")}
+    assert [r.value for r in K.rejected_lines(df).collect()] == ["junk"]
+
+
 def test_ordered_lines_across_files_and_splits(spark, tmp_path):
     big = [f"ENTITY: r\tk\tv{i}" for i in range(3000)]
     (tmp_path / "a.txt").write_text("\n".join(big) + "\n")

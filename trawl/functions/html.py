@@ -14,6 +14,9 @@ tokenizer, which is what the pipeline's results depend on):
 * an end tag closes the nearest open element of that name and everything
   opened after it; an end tag with no open match is ignored;
 * void elements (``br``, ``meta`` ...) never hold text;
+* a text between two pieces of markup that is ASCII white space only becomes
+  one newline if it has one, else one blank (not inside ``pre``, ``textarea``);
+* the text of a ``CDATA`` section is text;
 * text inside ``script``/``style``/``template``/``rt``/``rp`` and comments is
   not part of any element text;
 * ``p_mode="nested"``: a ``<p>`` does not close an open ``p`` (text of inner
@@ -41,6 +44,8 @@ VOID_TAGS = frozenset(
 )
 HIDDEN_TAGS = frozenset(["script", "style", "template", "rt", "rp"])
 HEADER_TAGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
+VERBATIM_TAGS = frozenset(["pre", "textarea"])
+ASCII_SPACES = " \t\n\f\r"
 
 
 class _Node:
@@ -55,6 +60,7 @@ class _PageParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.autoclose = autoclose
         self.buf: list[str] = []
+        self.pending: list[str] = []  # text since the last markup
         # open elements: (name, element_slot or -1, hidden flag, title node or None)
         self.stack: list[tuple] = []
         self.elems: list[list] = []  # [kind, start, end]
@@ -65,6 +71,29 @@ class _PageParser(HTMLParser):
 
     # text ---------------------------------------------------------------
     def handle_data(self, data):
+        self.pending.append(data)
+
+    def unknown_decl(self, data):
+        self._flush()
+        if data.startswith("CDATA["):
+            self._text(data[6:])
+
+    def handle_decl(self, decl):
+        self._flush()
+
+    def handle_pi(self, data):
+        self._flush()
+
+    def _flush(self):
+        """One text node: what was read since the last markup; blank nodes shrink to one character."""
+        data = "".join(self.pending)
+        self.pending.clear()
+        if data and not data.strip(ASCII_SPACES) and not any(e[0] in VERBATIM_TAGS for e in self.stack):
+            data = "\n" if "\n" in data else " "
+        if data:
+            self._text(data)
+
+    def _text(self, data):
         if self.title_stack:
             kids = self.title_stack[-1].children
             if kids and not isinstance(kids[-1], _Node) and kids[-1][0] == "text" and not self.hidden:
@@ -75,11 +104,13 @@ class _PageParser(HTMLParser):
             self.buf.append(data)
 
     def handle_comment(self, data):
+        self._flush()
         if self.title_stack:
             self.title_stack[-1].children.append(("comment", data))
 
     # tags ---------------------------------------------------------------
     def handle_starttag(self, tag, attrs):
+        self._flush()
         if self.autoclose and tag == "p":
             self._pop_to("p")
         if tag in VOID_TAGS:
@@ -109,6 +140,7 @@ class _PageParser(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        self._flush()
         self._pop_to(tag)
 
     def _pop_to(self, tag):
@@ -133,6 +165,7 @@ class _PageParser(HTMLParser):
 
     def finish(self):
         self.close()
+        self._flush()
         while self.stack:
             self._close(self.stack.pop())
         self.title_stack.clear()

@@ -50,20 +50,46 @@ def nominal_entities(ents: Column, pos: Column) -> Column:
 
 
 def phrase_spans(pos: Column, regex: str | None = None) -> Column:
-    """R2: array<struct<start, len>>: the longest match starting at each verb.
+    """R2: array<struct<start, len>>: pattern matches, longer first, then earlier, without overlaps.
 
-    Each match holds exactly one verb, its first token, so matches of
-    different verbs never overlap and the greedy regex gives the longest
-    match per verb (the longest-first span filter is then a no-op).
+    A match of the default pattern holds exactly one verb, its first token, so
+    matches of different verbs never overlap: one pass over the letters finds
+    them, and the greedy regex gives the longest match per verb.  Any other
+    pattern is matched from every start at every length, then N4 chooses.
     """
-    rx = regex or pattern_regex()
-    first = rx[1] if rx.startswith("^") else rx[0]
+    pos = F.coalesce(pos, F.lit(""))
+    rx = (regex or pattern_regex()).removeprefix("^")
+    if rx == pattern_regex().removeprefix("^"):
+        return _matches_in_order(pos, rx)
+    from trawl.operators.annotate import longest_spans
+
     n = F.length(pos)
-    verbs = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(pos, i, 1) == first)
-    spans = F.transform(verbs, lambda i: F.struct((i - 1).alias("start"),
-                                                  F.length(F.regexp_extract(F.substring(pos, i, 1 << 30), rx, 0))
-                                                  .alias("len")))
-    return F.filter(spans, lambda s: s["len"] > 0)
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                      lambda i: F.substring(pos, i + 1, F.greatest(n, F.lit(1))).rlike(f"^(?:{rx})"))
+
+    def from_start(i):
+        spans = F.transform(F.sequence(F.lit(1), F.greatest(n - i, F.lit(1))), lambda k: F.struct(
+            i.alias("start"), (i + k).alias("end"), F.lit("").alias("label")))
+        return F.filter(spans, lambda s: F.substring(pos, s["start"] + 1, s["end"] - s["start"]).rlike(rf"^(?:{rx})\z"))
+
+    every = F.flatten(F.transform(starts, from_start))
+    none = F.array().cast("array<struct<start:int,len:int>>")
+    return F.when(F.size(every) > 0, F.transform(longest_spans(every), lambda s: F.struct(
+        s["start"].alias("start"), (s["end"] - s["start"]).alias("len")))).otherwise(none)
+
+
+def _matches_in_order(pos: Column, rx: str) -> Column:
+    """Leftmost matches of ``rx``; the pieces between them give the positions."""
+    none = F.array().cast("array<struct<start:int,len:int>>")
+    parts = F.arrays_zip(F.regexp_extract_all(pos, F.lit(rx), F.lit(0)).alias("m"), F.split(pos, rx, -1).alias("gap"))
+
+    def step(acc, x):
+        start = acc["at"] + F.length(x["gap"])
+        size = F.coalesce(F.length(x["m"]), F.lit(0))
+        span = F.array(F.struct(start.alias("start"), size.alias("len")))
+        return F.struct((start + size).alias("at"), F.when(size > 0, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
 
 
 def span_text(tokens: Column, ws: Column | None, start: Column, length: Column) -> Column:

@@ -489,7 +489,7 @@ def q_sentences(spark, sf_dir):
 _POS_SQL = r"""
 ps AS (
   SELECT key, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS sent, unnest(l) AS s
-  FROM (SELECT doc_id AS key, string_split(text, '. ') AS l FROM documents WHERE lang = 'en')
+  FROM (SELECT doc_id AS key, string_split(text, '. ') AS l FROM documents)
 ),
 pt AS (SELECT key, sent, list_filter(string_split_regex(s, '[ \n]+'), lambda t: t <> '') AS tokens FROM ps),
 pt2 AS (
@@ -512,7 +512,7 @@ counts AS (SELECT word, tag, COUNT(*) AS n FROM tagged GROUP BY word, tag)
 SELECT word, tag, n FROM (
   SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, tag DESC) AS rn FROM counts) WHERE rn = 1""")
 def q_pos_lexicon(spark, sf_dir):
-    """Most frequent tag per word from the tagged English texts."""
+    """Most frequent tag per word from the tagged texts."""
     s = _pos_sents(spark, sf_dir)
     tagged = s.select(F.explode(F.arrays_zip(F.col("tokens").alias("word"),
                                              F.split("pos", "", -1).alias("tag"))).alias("t")).select("t.word", "t.tag")

@@ -117,7 +117,7 @@ def warc_payloads(pages: DataFrame) -> DataFrame:
 
 
 def pos_sentences(docs: DataFrame) -> DataFrame:
-    """(key, sent, tokens, pos): English texts split on ``'. '``, tokens on blanks.
+    """(key, sent, tokens, pos): all texts split on ``'. '``, tokens on blanks.
 
     POS letters: ``X`` (proper noun) for a capitalised token, else the
     letter at ``length % 12`` of the fixed list.  Letters: V verb, T
@@ -125,7 +125,7 @@ def pos_sentences(docs: DataFrame) -> DataFrame:
     adposition, X proper noun / other, M number.
     """
     letters = F.array(*[F.lit(x) for x in POS_LETTERS])
-    sents = docs.where(F.col("lang") == "en").select(
+    sents = docs.select(
         F.col("doc_id").alias("key"), F.posexplode(F.split("text", r"\. ", -1)).alias("sent", "s")
     )
     toks = compute_once(sents, keep=["key", "sent"],

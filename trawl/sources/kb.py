@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Predicate URIs read from N-Triples dumps.
@@ -169,24 +169,54 @@ def compact_class(col) -> F.Column:
     return out
 
 
-# N-Triples: <s> <p> <o> .   or   <s> <p> "literal"@lang .   (literal escapes kept minimal)
-_NT = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<[^>]*>)?)\s*\.\s*$'
+# N-Triples: <s> <p> <o> .   or   <s> <p> "literal"@lang .   , with an optional comment; nodes may be blank (_:x)
+_NT = (r'^\s*(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(?:(<[^>]*>|_:\S+?)|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<[^>]*>)?)'
+       r'\s*\.\s*(?:#.*)?$')
+
+
+# One-letter string escapes.
+_ESCAPES = {"t": "\t", "n": "\n", "r": "\r", "b": "\b", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
+_PIECE = r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\[^uU]|\\|[^\\]+"
+
+
+def unescape(text: Column) -> Column:
+    """N-Triples escapes decoded, left to right; an unknown escape stays as it is."""
+    def piece(p):
+        kind = F.substring(p, 2, 1)
+        out = F.when(F.substring(p, 1, 1) != "\\", p)
+        out = out.when((kind == "u") & (F.length(p) > 2), F.decode(F.unhex(F.replace(p, F.lit("\\u"), F.lit(""))), "UTF-16BE"))
+        out = out.when((kind == "U") & (F.length(p) > 2), F.decode(F.unhex(F.substring(p, 3, 8)), "UTF-32"))
+        for letter, char in _ESCAPES.items():
+            out = out.when(kind == letter, F.lit(char))
+        return out.otherwise(p)
+
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(F.transform(
+        F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), piece), "")).otherwise(text)
 
 
 def parse_ntriples(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """N-Triples lines -> (s, p, o, lang); ``o`` is an IRI or an unescaped literal."""
     v = F.col(value_col)
     lit = F.regexp_extract(v, _NT, 4)
-    lit = F.regexp_replace(F.regexp_replace(lit, r'\\"', '"'), r"\\\\", r"\\")
-    iri = F.regexp_extract(v, _NT, 3)
+
+    def node(group):
+        return F.regexp_replace(F.regexp_extract(v, _NT, group), "^<|>$", "")
+
+    iri = node(3)
     return lines.where(v.rlike(_NT)).select(
-        F.regexp_extract(v, _NT, 1).alias("s"),
+        unescape(node(1)).alias("s"),
         F.regexp_extract(v, _NT, 2).alias("p"),
-        F.when(iri != "", iri).otherwise(lit).alias("o"),
+        unescape(F.when(iri != "", iri).otherwise(lit)).alias("o"),
         F.regexp_extract(v, _NT, 5).alias("lang"),
     )
 
 
+def rejected_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """The lines ``parse_ntriples`` does not take, but for blank lines and comments."""
+    v = F.col(value_col)
+    return lines.where(~v.rlike(_NT) & ~v.rlike(r"^\s*(?:#|\z)"))
+
+
 def from_triples(triples: DataFrame) -> KnowledgeGraph:
     """Split (s, p, o, lang) by predicate into the six tables (as sets)."""
     t = triples
