@@ -169,6 +169,16 @@ def test_leaks_against_brute_force(odd_docs, lspark):
         {d for d, i in got if (d, 1) not in got})
 
 
+def edits(a, b):
+    d = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        e = [i]
+        for j, y in enumerate(b, 1):
+            e.append(min(d[j] + 1, e[-1] + 1, d[j - 1] + (x != y)))
+        d = e
+    return d[-1]
+
+
 def test_banded_distance(lspark):
     from pyspark.sql import functions as F
 
@@ -184,21 +194,38 @@ def test_banded_distance(lspark):
             if abs(len(a) - len(b)) <= k < len(b):
                 rows.append((k, [str(x) for x in a], [str(x) for x in b]))
 
-    def edits(a, b):
-        d = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            e = [i]
-            for j, y in enumerate(b, 1):
-                e.append(min(d[j] + 1, e[-1] + 1, d[j - 1] + (x != y)))
-            d = e
-        return d[-1]
-
     df = lspark.createDataFrame(rows, "k int, a array<string>, b array<string>")
     for k in (1, 2, 3):
         for r in df.where(F.col("k") == k).select("a", "b", line_dedup.banded_distance(F.col("a"), F.col("b"), k).alias("d")).collect():
             assert min(r.d, k + 1) == min(edits(r.a, r.b), k + 1)
 
 
+def test_line_links_against_brute_force(lspark):
+    """Every pair within two edits is a link, in groups of more than one block and with characters of any width."""
+    from trawl.llm.common import Scratch
+
+    rng = np.random.default_rng(11)
+    letters = list("abc de\u00f1\u20ac\U0001f600")
+    lines = []
+    for size in (12, 33, 90):
+        root = list(rng.choice(letters, size))
+        for _ in range(45):
+            t = list(root)
+            for _ in range(rng.integers(0, 4)):
+                p = int(rng.integers(0, len(t)))
+                t[p:p + int(rng.integers(0, 2))] = list(rng.choice(letters, int(rng.integers(0, 2))))
+            lines.append("".join(t))
+    lines += lines[:10]
+    docs = lspark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    occ = line_dedup.occurrences(docs)
+    text_of = {r.id: r.line for r in occ.select("id", "line").collect()}
+    got = {(r.a, r.b) for r in line_dedup.near_lines(occ.select("id", "line"), Scratch(lspark, "t"), 2, 8).collect()}
+    ids = sorted(text_of)
+    fit = [i for i in ids if len(text_of[i]) >= 8]
+    want = {(a, b) for n, a in enumerate(fit) for b in fit[n + 1:] if edits(text_of[a], text_of[b]) <= 2}
+    assert got == want and len(want) > 200
+
+
 def test_line_dedup(odd_docs, lspark):
     base = "a line that is long enough to be compared by edits"
     rows = [(1, base + "\nshort\n\nshort"), (2, base.replace("long", "lang") + "\nonly here"), (3, "x" + base + "?"),

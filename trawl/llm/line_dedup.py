@@ -131,6 +131,40 @@ def bags_near(a: Column, b: Column, k: int) -> Column:
     return (surplus(a, b) <= k) & (surplus(b, a) <= k)
 
 
+def parity(counts: Column) -> Column:
+    """One bit a count, set where it is odd: an edit turns two bits at most."""
+    return F.aggregate(counts, F.lit(0), lambda acc, n: acc * 2 + n % 2)
+
+
+# Step widths of the search for a common start or end; lines beyond twice the first are trimmed less, never compared less.
+STEPS = [1 << i for i in range(20, -1, -1)]
+
+
+def trimmed_distance(x: Column, y: Column, k: int) -> Column:
+    """``banded_distance`` of two lines (structs of line, c) without their common start and end.
+
+    At least ``k + 1`` characters of either stay, so that the band fits; a
+    common start or end never changes the distance.
+    """
+    def grow(limit, part):
+        return F.aggregate(F.array(*[F.lit(w) for w in STEPS]), F.lit(0), lambda acc, w: F.when(
+            (acc + w <= limit) & (part(x, acc, w) == part(y, acc, w)), acc + w).otherwise(acc))
+
+    def start(z, done, width):
+        return F.substring(z["line"], done + 1, width)
+
+    def end(z, done, width):
+        return F.substring(z["line"], F.size(z["c"]) - done - width + 1, width)
+
+    def middle(z, p, q):
+        return F.slice(z["c"], p + 1, F.size(z["c"]) - p - q)
+
+    room = F.least(F.size(x["c"]), F.size(y["c"])) - (k + 1)
+    return _let(grow(room, start), lambda p: _let(grow(room - p, end), lambda q: _let(
+        F.struct(middle(x, p, q).alias("a"), middle(y, p, q).alias("b")),
+        lambda z: _let(z["a"], lambda a: _let(z["b"], lambda b: banded_distance(a, b, k))))))
+
+
 def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: int, block: int = 32) -> DataFrame:
     """Links (a, b) between the ids of different lines within ``max_edits`` edits.
 
@@ -141,25 +175,37 @@ def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: in
     keyed = long.select("id", "line", F.inline(segment_keys(F.col("line"), F.col("n"), max_edits)))
     shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("home").alias("home"))
     shared = scratch.keep(shared.where("a <> b AND home").select("key"), "keys")
-    # a line has at most a dozen keys, so the set of an id is bounded; counts of characters are taken once a line
+    # a line has at most a dozen keys, so the sets of an id are bounded; counts of characters are taken once a line
     members = keyed.join(broadcast_checked(shared), "key", "left_semi").groupBy("id").agg(
-        F.first("line").alias("line"), F.collect_set("key").alias("keys")).withColumn("bag", bag(F.col("line")))
-    members = scratch.keep(members.select("id", "line", "bag", F.explode("keys").alias("key")), "members")
+        F.first("line").alias("line"), F.collect_set("key").alias("keys"),
+        F.collect_set(F.when(F.col("home"), F.col("key"))).alias("homes")).withColumn("bag", bag(F.col("line")))
+    members = members.select("id", "line", "keys", "homes", "bag", parity(F.col("bag")).alias("odd"),
+                             F.explode("keys").alias("key"))
+    members = scratch.keep(members, "members")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / block).cast("int")
     m = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    item = F.struct("id", "own", "bag", F.split("line", "").alias("c"))
+    item = F.struct("id", "own", "line", "keys", "homes", F.array_contains("homes", F.col("key")).alias("home"), "bag", "odd",
+                    F.split("line", "").alias("c"))
     m = m.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     # dealt by pair of blocks: the join above leaves a key's rows together
     groups = m.repartition("key", "i", "j").groupBy("key", "i", "j").agg(F.collect_list(item).alias("g"))
-    groups = compute_once(groups, ["i", "j"], g=F.col("g")).where(F.size("g") > 1)
-    pairs = groups.select("i", "j", "g", F.posexplode("g").alias("at", "x"))
-    pairs = pairs.select(F.col("x.id").alias("a"), "x", F.filter(
-        F.slice("g", F.col("at") + 2, F.greatest(F.size("g") - F.col("at") - 1, F.lit(0))),
-        lambda y: (y["id"] != F.col("x.id")) & ((F.col("i") == F.col("j")) | (y["own"] != F.col("x.own")))
-        & (F.abs(F.size(y["c"]) - F.size("x.c")) <= max_edits) & bags_near(F.col("x.bag"), y["bag"], max_edits)).alias("ys")).where(F.size("ys") > 0)
-    near = F.filter("ys", lambda y: banded_distance(F.col("x.c"), y["c"], max_edits) <= max_edits)
+    groups = compute_once(groups, ["key", "i", "j"], g=F.col("g")).where(F.size("g") > 1)
+    pairs = groups.select("key", "i", "j", "g", F.posexplode("g").alias("at", "x"))
+
+    def meet(y):
+        """Cheap bounds first; a pair is compared under one key only, the least that is a segment of one and a probe of the other."""
+        x = F.col("x")
+        met = F.array_union(F.array_intersect(x["homes"], y["keys"]), F.array_intersect(x["keys"], y["homes"]))
+        return ((y["id"] != x["id"]) & ((F.col("i") == F.col("j")) | (y["own"] != x["own"])) & (x["home"] | y["home"])
+                & (F.abs(F.size(y["c"]) - F.size(x["c"])) <= max_edits)
+                & (F.bit_count(x["odd"].bitwiseXOR(y["odd"])) <= 2 * max_edits)
+                & bags_near(x["bag"], y["bag"], max_edits) & (F.array_min(met) == F.col("key")))
+
+    rest = F.slice("g", F.col("at") + 2, F.greatest(F.size("g") - F.col("at") - 1, F.lit(0)))
+    pairs = pairs.select(F.col("x.id").alias("a"), "x", F.filter(rest, meet).alias("ys")).where(F.size("ys") > 0)
+    near = F.filter("ys", lambda y: trimmed_distance(F.col("x"), y, max_edits) <= max_edits)
     links = pairs.select("a", F.explode(near).alias("y")).select("a", F.col("y.id").alias("b"))
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
