@@ -9,7 +9,7 @@ blank line, for archives whose WARC headers are not in that order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trawl.functions.plan import compute_once
@@ -47,12 +47,13 @@ def html_body(lines: Column, layout: str = "fixed") -> tuple[Column, Column]:
 
 
 def html_records(records: DataFrame, payload_col: str = "payload", layout: str = "fixed",
-                 keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None, watch: Observation | None = None) -> DataFrame:
     """Keep HTML responses with a key; ``body`` is the joined HTTP body.
 
     The body lines are joined with one space (as the original does before
     unescaping).  Rejected records (empty payload, no key, not HTML) are
-    dropped here, before any parsing.
+    dropped here, before any parsing; ``watch`` counts them by reason in the
+    same pass.
     """
     keep = keep or []
     staged = compute_once(records, keep=[*keep, payload_col], _lines=split_lines(F.col(payload_col)))
@@ -64,6 +65,12 @@ def html_records(records: DataFrame, payload_col: str = "payload", layout: str =
         _nonempty=F.length(payload_col) > 0,
         _body=body,
     )
+    if watch is not None:
+        keyed = F.col("_nonempty") & F.col("key").isNotNull()
+        staged = staged.observe(
+            watch, F.count(F.lit(1)).alias("records"), F.count_if(~F.col("_nonempty")).alias("empty"),
+            F.count_if(F.col("_nonempty") & F.col("key").isNull()).alias("no_key"),
+            F.count_if(keyed & ~F.col("_is_html")).alias("not_html"))
     kept = staged.where(F.col("_nonempty") & F.col("key").isNotNull() & F.col("_is_html"))
     return kept.select(*keep, "key", F.array_join("_body", " ").alias("body"))
 

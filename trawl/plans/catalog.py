@@ -503,14 +503,17 @@ def _pos_sents(spark, sf_dir):
     return fx.pos_sentences(docs(spark, sf_dir))
 
 
-@register("pos_lexicon", "WITH " + _POS_SQL.strip() + """,
+_LEXICON_SQL = """
 tagged AS (
   SELECT lower(tokens[i]) AS word, substr(pos, i, 1) AS tag
   FROM (SELECT tokens, pos, unnest(range(1, len(tokens) + 1)) AS i FROM pt2)
 ),
-counts AS (SELECT word, tag, COUNT(*) AS n FROM tagged GROUP BY word, tag)
-SELECT word, tag, n FROM (
-  SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, tag DESC) AS rn FROM counts) WHERE rn = 1""")
+counts AS (SELECT word, tag, COUNT(*) AS n FROM tagged GROUP BY word, tag),
+lexicon AS (SELECT word, tag, n FROM (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, tag DESC) AS rn FROM counts) WHERE rn = 1)"""
+
+
+@register("pos_lexicon", S.with_ctes(_POS_SQL, _LEXICON_SQL) + " SELECT word, tag, n FROM lexicon")
 def q_pos_lexicon(spark, sf_dir):
     """Most frequent tag per word from the tagged texts."""
     s = _pos_sents(spark, sf_dir)
@@ -519,6 +522,24 @@ def q_pos_lexicon(spark, sf_dir):
     return N.pos_lexicon(tagged)
 
 
+@register("pos_tags", S.with_ctes(_SENTS_SQL, _POS_SQL, _LEXICON_SQL) + r""",
+tk2 AS (SELECT key, sent, unnest(range(1, len(stoks) + 1)) AS i, unnest(stoks) AS tok FROM ss),
+ruled AS (
+  SELECT key, sent, i, tok, CASE
+    WHEN regexp_matches(tok, '^[^\pL\pN]+$') THEN 'U' WHEN regexp_matches(tok, '^\pN') THEN 'M'
+    WHEN regexp_matches(tok, '^\p{Lu}') THEN 'X' WHEN regexp_matches(tok, 'ly$') THEN 'R'
+    WHEN regexp_matches(tok, '(ing|ed|ize|ise)$') THEN 'V'
+    WHEN regexp_matches(tok, '(ous|ful|ive|able|ible|al)$') THEN 'J' ELSE 'N' END AS rule
+  FROM tk2
+)
+SELECT r.key, r.sent, string_agg(coalesce(l.tag, r.rule), '' ORDER BY r.i) AS pos
+FROM ruled r LEFT JOIN lexicon l ON l.word = lower(r.tok) GROUP BY r.key, r.sent""")
+def q_pos_tags(spark, sf_dir):
+    """Every token of every sentence tagged by the lexicon, other words by rule."""
+    sents = N.sentences(docs(spark, sf_dir), "doc_id", "text").select("key", "sent", "tokens")
+    return N.tag_tokens(sents, q_pos_lexicon(spark, sf_dir)).select("key", "sent", "pos")
+
+
 _GAZ_SQL = """
 class_labels AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', '{lb}')" for c, lb in CLASS_LABELS) + """) t(class, label)),
 gaz AS (

@@ -98,7 +98,8 @@ def run_stage_dir(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/trawl-stages-{uuid.uuid4().hex[:12]}"
 
 
-def full_job(spark: SparkSession, sf_dir: str, stage_dir: str | None = None, ordered: bool = False) -> DataFrame:
+def full_job(spark: SparkSession, sf_dir: str, stage_dir: str | None = None, ordered: bool = False,
+             lexicon: DataFrame | None = None) -> DataFrame:
     """All output lines (entities, then relations per page when ``ordered``).
 
     Page text, sentences, mentions and entities each feed more than one
@@ -110,5 +111,5 @@ def full_job(spark: SparkSession, sf_dir: str, stage_dir: str | None = None, ord
     stage_dir = stage_dir or run_stage_dir(spark)
     rows = materialise(page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="nested"), stage_dir, "page_text")
     kb = fx.stored_kb(spark, sf_dir)
-    ents, rels = link_pages(spark, rows, kb, stage_dir=stage_dir)
+    ents, rels = link_pages(spark, rows, kb, lexicon, stage_dir)
     return result_lines(ents, rels, ordered)

@@ -3,6 +3,11 @@
     preprocess  WARC files -> page rows (parquet, or escaped CSV with --csv)
     link        WARC files or a pages table -> entity and relation lines
     score       GOLD PRED TYPE -> gold, predicted, correct, precision, recall, f1
+    graph       N-Triples dumps -> the folder that ``link --kb`` reads
+    lexicon     a table of tagged words -> the folder that ``link --lexicon`` reads
+
+What a job leaves out is counted and printed: records that are no pages,
+score lines and triples of the wrong form.
 
 Options are plain arguments; a missing output name defaults to
 ``warcs-YYYYmmdd-HHMMSS`` (S7).  The session comes from ``spark-submit``
@@ -15,7 +20,7 @@ import argparse
 import datetime
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def default_output_name(now: datetime.datetime | None = None) -> str:
@@ -34,7 +39,7 @@ def _session() -> SparkSession:
 
 
 def warc_pages(spark: SparkSession, path: str, fast: bool = False, layout: str = "fixed",
-               p_mode: str = "nested") -> DataFrame:
+               p_mode: str = "nested", watch: Observation | None = None) -> DataFrame:
     """S1 -> F1-F5 -> H: page rows of WARC files.
 
     Files are read exactly unless ``fast`` is asked for (CRLF files only).
@@ -45,21 +50,29 @@ def warc_pages(spark: SparkSession, path: str, fast: bool = False, layout: str =
     from trawl.sources import warc as W
 
     recs = W.read_warc(spark, path) if fast else W.read_warc_exact(spark, path)
-    bodies = W.spread(html_records(recs, "payload", layout, keep=["file", "rec_no"]))
+    bodies = W.spread(html_records(recs, "payload", layout, ["file", "rec_no"], watch))
     return page_rows(bodies.select("key", "body"), p_mode=p_mode)
 
 
+def _print_rejects(watch: Observation) -> None:
+    counts = watch.get
+    print("rejected records: " + ", ".join(f"{k} {counts[k]}" for k in ("empty", "no_key", "not_html"))
+          + f" of {counts['records']}")
+
+
 def cmd_preprocess(a) -> None:
     from trawl.sources.lines import write_csv
 
     spark = _session()
-    rows = warc_pages(spark, a.warc, a.fast, a.layout, a.p_mode)
+    watch = Observation("records")
+    rows = warc_pages(spark, a.warc, a.fast, a.layout, a.p_mode, watch)
     name = a.name or default_output_name()
     out = f"{a.pre_proc_dir}/{name}"
     if a.csv:
         write_csv(rows, ["key", "title", "headers", "text"], out + ".csv")
     else:
         rows.write.mode("overwrite").parquet(out)
+    _print_rejects(watch)
     print(out)
 
 
@@ -71,15 +84,19 @@ def cmd_link(a) -> None:
 
     spark = _session()
     stage = a.stage_dir or run_stage_dir(spark)
+    watch = Observation("records")
     if a.warc:
-        rows = warc_pages(spark, a.warc, a.fast, a.layout, a.p_mode)
+        rows = warc_pages(spark, a.warc, a.fast, a.layout, a.p_mode, watch)
     elif a.pre_proc:
         rows = spark.read.parquet(a.pre_proc)
     else:
         rows = page_rows(pages_as_bodies(spark.read.parquet(a.pages)), p_mode=a.p_mode)
     rows = materialise(rows, stage, "page_text")
+    if a.warc:
+        _print_rejects(watch)
     kb = KnowledgeGraph.load(spark, a.kb)
-    ents, rels = link_pages(spark, rows, kb, stage_dir=stage)
+    lexicon = spark.read.parquet(a.lexicon) if a.lexicon else None
+    ents, rels = link_pages(spark, rows, kb, lexicon, stage)
     lines = result_lines(ents, rels, ordered=a.ordered)
     write_lines(lines, a.out)
     if a.show:  # S5
@@ -87,16 +104,37 @@ def cmd_link(a) -> None:
 
 
 def cmd_score(a) -> None:
-    from trawl.operators.score import score
+    from trawl.operators.score import score, skipped
     from trawl.sources.lines import read_ordered_lines
 
     spark = _session()
-    r = score(read_ordered_lines(spark, a.gold), read_ordered_lines(spark, a.pred), a.type, a.strict).first()
+    gold, pred = read_ordered_lines(spark, a.gold), read_ordered_lines(spark, a.pred)
+    r = score(gold, pred, a.type, a.strict).first()
+    for role, lines in (("gold", gold), ("pred", pred)):
+        print(f"skipped {role} lines: {skipped(lines, a.type, role, a.strict).count()}")
     print(f"Evaluation {'ENTITY LINKING' if a.type == 'ENTITY' else 'RELATION EXTRACTION'}")
     for k in ("gold", "predicted", "correct", "precision", "recall", "f1"):
         print(f"{k}: {r[k]}")
 
 
+def cmd_graph(a) -> None:
+    from trawl.plans.linking import run_stage_dir
+    from trawl.sources.kb import read_ntriples, rejected_lines
+
+    spark = _session()
+    read_ntriples(spark, a.dumps, run_stage_dir(spark) + "/triples").save(a.out)
+    print(f"rejected lines: {rejected_lines(spark.read.text(a.dumps)).count()}")
+    print(a.out)
+
+
+def cmd_lexicon(a) -> None:
+    from trawl.operators.annotate import pos_lexicon
+
+    spark = _session()
+    pos_lexicon(spark.read.parquet(a.tagged), a.word, a.tag).write.mode("overwrite").parquet(a.out)
+    print(a.out)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="trawl")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -120,6 +158,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--pages")
     src.add_argument("--pre-proc")
     pl.add_argument("--kb", required=True, help="folder written by KnowledgeGraph.save")
+    pl.add_argument("--lexicon", default=None, help="parquet folder of (word, tag), as the job lexicon writes it")
     pl.add_argument("--out", default="data/out")
     pl.add_argument("--stage-dir", default=None)
     pl.add_argument("--ordered", action="store_true")
@@ -134,6 +173,18 @@ def main(argv: list[str] | None = None) -> None:
     ps.add_argument("--strict", action="store_true")
     ps.set_defaults(fn=cmd_score)
 
+    pg = sub.add_parser("graph")
+    pg.add_argument("--dumps", required=True, help="N-Triples files, plain or compressed")
+    pg.add_argument("--out", required=True)
+    pg.set_defaults(fn=cmd_graph)
+
+    px = sub.add_parser("lexicon")
+    px.add_argument("--tagged", required=True, help="parquet table of tagged words")
+    px.add_argument("--word", default="word")
+    px.add_argument("--tag", default="tag")
+    px.add_argument("--out", required=True)
+    px.set_defaults(fn=cmd_lexicon)
+
     a = p.parse_args(argv)
     a.fn(a)
 

@@ -234,9 +234,18 @@ def from_triples(triples: DataFrame) -> KnowledgeGraph:
     )
 
 
-def read_ntriples(spark: SparkSession, path: str) -> KnowledgeGraph:
-    """N-Triples dump files (plain or compressed) -> KnowledgeGraph."""
-    return from_triples(parse_ntriples(spark.read.text(path)))
+def read_ntriples(spark: SparkSession, path: str, stage: str | None = None) -> KnowledgeGraph:
+    """N-Triples dump files (plain or compressed) -> KnowledgeGraph.
+
+    With ``stage``, a folder for this load, the dump is parsed once into one
+    subfolder per predicate and each table reads only its own.
+    """
+    triples = parse_ntriples(spark.read.text(path))
+    if stage is None:
+        return from_triples(triples)
+    wanted = triples.where(F.col("p").isin(P_LABEL, P_REDIRECT, P_DISAMBIG, P_TYPE, P_LINK, P_TOPIC))
+    wanted.write.mode("overwrite").partitionBy("p").parquet(stage)
+    return from_triples(spark.read.schema("s string, o string, lang string, p string").parquet(stage))
 
 
 def to_ntriples(kb: KnowledgeGraph) -> DataFrame:
