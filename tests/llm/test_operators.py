@@ -302,6 +302,50 @@ def test_ppm_base_score_and_total_probability(odd_docs):
     assert np.allclose(every[:, :-1].sum(1) + every[:, -1] * (256 - every.shape[1] + 1), 1, atol=1e-5)
 
 
+def test_ppm_scores_use_every_context(lspark):
+    """The score of every text against a direct escape chain over all training contexts; more of them than 50,000."""
+    import random
+    import zlib
+
+    rnd = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz\u00f1\u03b1\u20ac"
+    rows = [(i, " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(1, 8))) for _ in range(rnd.randint(0, 90))))
+            for i in range(240)]
+    rows += [(500, "Q\U0001F600"), (501, None)]
+    seen = defaultdict(Counter)
+    for d, t in rows:
+        if zlib.crc32(str(d).encode()) % 10:
+            raw = b"\n" * 4 + " ".join(tokens(lower(t))).encode() + b"\n"
+            for p in range(4, len(raw)):
+                for k in range(5):
+                    seen[raw[p - k:p]][raw[p]] += 1
+    assert len(seen) > 50_000
+
+    def score(t):
+        raw, total = b"\n" * 4 + " ".join(tokens(lower(t))).encode() + b"\n", 0.0
+        for p in range(4, len(raw)):
+            prob, gone = 1.0, set()
+            for k in range(4, -1, -1):
+                left = {s: c for s, c in seen.get(raw[p - k:p], {}).items() if s not in gone}
+                both = sum(left.values()) + len(left)
+                if raw[p] in left:
+                    prob *= left[raw[p]] / both
+                    break
+                if left:
+                    prob *= len(left) / both
+                    gone |= set(left)
+            else:
+                prob /= 256 - len(gone)
+            total += np.log10(prob)
+        return total
+
+    docs = lspark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in ppm.score_documents(docs).collect()}
+    assert len(got) == len(rows)
+    for d, t in rows:
+        assert abs(got[d] - score(t)) < 1e-6 * max(1, abs(got[d]))
+
+
 def test_warc_round_trip_and_merge(lspark):
     big = "<p>é</p>" * 20
     rows = [(3, "http://b.Example.com/x?q#f", big), (1, "https://a.example.com", big), (2, None, ""), (4, "odd", None),

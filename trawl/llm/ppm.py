@@ -1,20 +1,24 @@
 """Language-model scoring by prediction by partial matching over bytes.
 
 Texts are scored as their lower-cased (A-Z) words joined by single spaces and
-closed by one end symbol.  The model is a trie of byte contexts up to
-``ORDER`` bytes, pretrained on the training documents.  A context predicts a
+closed by one end symbol.  The model is every byte context up to ``ORDER``
+bytes of the training documents; none is left out, so it grows with them.  A context predicts a
 symbol it has seen c times among n symbols, d of them different, with
 c / (n + d) and escapes to the next shorter context with d / (n + d) (method
 C); symbols the longer context has seen are excluded there, and below the
-empty context all remaining bytes are equally likely.  The escape chain of
-every context is folded into one row of log probabilities, so scoring looks
-up the longest known context of every byte and adds.
+empty context all remaining bytes are equally likely.
+
+A code is a byte with the ``ORDER`` bytes before it.  The escape chain of
+every code that occurs is folded into one log probability, so scoring looks
+up the code of every byte and adds.
 
 Passes: (1) a map packs documents into compressed blocks with the block's
-word and byte-context counts; (2) both counts are summed over all blocks;
-(3) each block meets the counts of its own words and is scored.  The word
-table is joined, never broadcast.  The trie keeps the ``max_contexts`` most
-frequent contexts: that is the model's size, and bounds what every task holds.
+word and code counts; (2) both counts are summed over all blocks; (3) codes
+are folded where all codes of the same two bytes before the symbol meet,
+which holds every longer context whole; of the shorter contexts the counts
+are one table of at most 65,536 rows; (4) each block meets the counts of its
+own words and the probabilities of its own codes and is scored.  Word and
+code tables are joined, never broadcast.
 """
 
 from __future__ import annotations
@@ -44,8 +48,15 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
+def _distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted values and how often each occurs."""
+    a = np.sort(a)
+    first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+    return a[first], np.diff(np.append(first, len(a)))
+
+
 def _codes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(code, is scored) of every byte after the first pad: its ORDER predecessors, oldest highest, and itself."""
+    """The code of every byte after the first pad (its ORDER predecessors, oldest highest, and itself), and all bytes."""
     a = np.frombuffer(raw, np.uint8).astype(np.int64)
     code = np.zeros(len(a) - ORDER, np.int64)
     for k in range(ORDER + 1):
@@ -61,8 +72,20 @@ def _joined(parts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     return raw, stop - lens + ORDER, stop
 
 
+def _scored_codes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all scored bytes of the texts in turn, and how many each text has."""
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    raw, begin, stop = _joined(parts)
+    code, _ = _codes(raw)
+    on = np.zeros(len(code) + 1, np.int8)
+    on[begin - ORDER] += 1
+    on[stop - ORDER] -= 1
+    return code[np.cumsum(on[:-1], dtype=np.int8) > 0], stop - begin
+
+
 def pack_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of documents with the counts of their training rows (columns of ``_BLOCK``)."""
+    """Blocks of documents with all their words and codes, counted in training rows (columns of ``_BLOCK``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(3)
         ids, held, parts, n_words, size = [], [], [], [], 0
@@ -74,15 +97,11 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
             of_train = np.repeat(train, n_words)
             names, at = np.unique(words, return_inverse=True)
             count = np.bincount(at, weights=of_train, minlength=len(names)).astype(np.int64)
-            text, begin, stop = _joined([p for p, t in zip(parts, train) if t])
-            if text:
-                code, _ = _codes(text)
-                keep = np.zeros(len(code) + 1, np.int32)
-                np.add.at(keep, begin - ORDER, 1)
-                np.add.at(keep, stop - ORDER, -1)
-                codes, code_n = np.unique(code[np.cumsum(keep)[:-1] > 0], return_counts=True)
-            else:
-                codes = code_n = np.zeros(0, np.int64)
+            learnt, times = _distinct(_scored_codes([p for p, t in zip(parts, train) if t])[0])
+            others, _ = _distinct(_scored_codes([p for p, t in zip(parts, train) if not t])[0])
+            codes = np.union1d(learnt, others)
+            code_n = np.zeros(len(codes), np.int64)
+            code_n[np.searchsorted(codes, learnt)] = times
             row = [uuid.uuid4().hex, list(ids), list(held), list(n_words), squeeze.compress(raw), names, count, codes,
                    code_n, int(train.sum())]
             ids.clear(), held.clear(), parts.clear(), n_words.clear()
@@ -134,7 +153,11 @@ class Trie:
 
 
 def build_trie(order: np.ndarray, context: np.ndarray, sym: np.ndarray, n: np.ndarray) -> Trie:
-    """Trie from counts (order, context bytes as a number, next byte, count); contexts are closed under shortening."""
+    """Trie from counts (order, context bytes as a number, next byte, count); contexts are closed under shortening.
+
+    One row of all symbols a context: the dense form of the model, for few
+    contexts.  Documents are scored by ``fold``, which drops none.
+    """
     seen = np.unique(sym)
     symbol = np.full(256, len(seen), np.int32)
     symbol[seen] = np.arange(len(seen))
@@ -167,25 +190,84 @@ def build_trie(order: np.ndarray, context: np.ndarray, sym: np.ndarray, n: np.nd
     return Trie(symbol, child, np.log10(p).astype(np.float32))
 
 
-def train(blocks: DataFrame, scratch: Scratch, max_contexts: int = 50_000) -> Trie:
-    """The trie of the ``max_contexts`` most frequent contexts over all training bytes."""
-    codes = scratch.keep(blocks.select(F.explode(F.arrays_zip("codes", "code_n")).alias("c")).groupBy(
-        F.col("c.codes").alias("code")).agg(F.sum("c.code_n").alias("n")), "codes")
-    sym = F.col("code").bitwiseAND(F.lit(255)).cast("int").alias("sym")
-    every = None
-    for k in range(ORDER + 1):
-        ctx = F.shiftright("code", 8).bitwiseAND(F.lit((1 << (8 * k)) - 1))
-        part = codes.groupBy(F.lit(k).alias("k"), ctx.alias("ctx"), sym).agg(F.sum("n").alias("n"))
-        every = part if every is None else every.unionByName(part)
-    every = scratch.keep(every, "contexts")
-    top = every.groupBy("k", "ctx").agg(F.sum("n").alias("total")).orderBy(
-        F.desc("total"), "k", "ctx").limit(max_contexts).select("k", "ctx")
-    t = every.join(top, ["k", "ctx"], "left_semi").toArrow()
-    col = {c: t.column(c).to_numpy() for c in ("k", "ctx", "sym", "n")}
-    return build_trie(col["k"], col["ctx"], col["sym"], col["n"])
-
-
-def score_documents(docs: DataFrame, max_contexts: int = 50_000) -> DataFrame:
+def fold(code: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """log10 probability of every code from its training count ``n`` (0: not in training).
+
+    ``code`` has no repeats and holds all codes of the two bytes before the
+    symbol that it has any of; ``pairs`` has the counts of (byte, next byte).
+    The symbols a context has seen are among those of the next shorter one,
+    so what is excluded there is the longer context's own symbols: ``gone_n``
+    and ``gone_kinds`` are their counts in the shorter context.
+    """
+    sym, last = code & 255, code >> 8 & 255
+    singles = pairs.sum(0)
+    count, total, kinds, gone_n = [singles[sym]], [np.full(len(code), singles.sum())], [np.full(len(code), (singles > 0).sum())], []
+    count.append(pairs[last, sym])
+    total.append(pairs.sum(1)[last])
+    kinds.append((pairs > 0).sum(1)[last])
+    gone_n.append(((pairs > 0) * singles).sum(1)[last])
+    for k in range(2, ORDER + 1):
+        key, first, at = np.unique(code & ((1 << 8 * (k + 1)) - 1), return_index=True, return_inverse=True)
+        c = np.bincount(at, weights=n, minlength=len(key)).astype(np.int64)
+        of = np.cumsum(np.append(False, key[1:] >> 8 != key[:-1] >> 8)) if len(key) else np.zeros(0, np.int64)
+        count.append(c[at])
+        total.append(np.bincount(of, weights=c).astype(np.int64)[of][at])
+        kinds.append(np.bincount(of, weights=c > 0).astype(np.int64)[of][at])
+        gone_n.append(np.bincount(of, weights=(c > 0) * count[k - 1][first]).astype(np.int64)[of][at])
+    p, escape, found = np.zeros(len(code)), np.ones(len(code)), np.zeros(len(code), bool)
+    gone_n.append(np.zeros(len(code), np.int64))
+    gone_kinds = np.zeros(len(code), np.int64)
+    for k in range(ORDER, -1, -1):
+        left = kinds[k] - gone_kinds
+        both = np.maximum(total[k] - gone_n[k] + left, 1)
+        hit = ~found & (count[k] > 0)
+        p = np.where(hit, escape / both * count[k], p)
+        found |= hit
+        escape = np.where(left > 0, escape * left / both, escape)
+        gone_kinds = kinds[k]
+    return np.log10(np.where(found, p, escape / np.maximum(256 - kinds[0], 1)))
+
+
+def code_scores(codes: DataFrame, piece: int = 1 << 20) -> DataFrame:
+    """(code, logp) of every row of the stored (code, n), one row a code."""
+    pairs = np.zeros((256, 256), np.int64)
+    two = codes.groupBy(F.col("code").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("two")).agg(F.sum("n").alias("n"))
+    for r in two.collect():  # at most 65,536 rows
+        pairs[r["two"] >> 8, r["two"] & 255] = r["n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def folded(code, n):
+            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(fold(code, n, pairs))], ["code", "logp"])
+
+        held, size = [], 0
+        for b in batches:
+            held.append([c.to_numpy() for c in b.columns])
+            size += len(b)
+            if size < piece:
+                continue
+            code, n, group = map(np.concatenate, zip(*held))
+            whole = np.searchsorted(group, group[-1])  # the last group may go on in the next batch
+            if whole:
+                yield folded(code[:whole], n[:whole])
+            held = [[code[whole:], n[whole:], group[whole:]]]
+            size = 0
+        if held:
+            code, n, _ = map(np.concatenate, zip(*held))
+            yield folded(code, n)
+
+    group = F.shiftright("code", 8).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("two")
+    return codes.select("code", "n", group).repartition("two").sortWithinPartitions("two").mapInArrow(
+        run, "code long, logp double")
+
+
+def text_scores(parts: list[bytes], codes: np.ndarray, logp: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
+    """log10 probability of every text (words joined by spaces), its end included; ``codes`` is sorted and has all of theirs."""
+    code, sizes = _scored_codes(parts)
+    got = np.concatenate([logp[np.searchsorted(codes, code[lo:lo + piece])] for lo in range(0, len(code), piece)])
+    return np.add.reduceat(got, np.append(0, np.cumsum(sizes)[:-1]))
+
+
+def score_documents(docs: DataFrame) -> DataFrame:
     """Base and model score of every whole text, learning from rows whose crc32(doc_id) mod 10 is not 0.
 
     Words are counted by their 64-bit hashes.  A null text counts as empty
@@ -202,14 +284,18 @@ def score_documents(docs: DataFrame, max_contexts: int = 50_000) -> DataFrame:
     size = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
     n_docs = blocks.agg(F.sum("train_docs")).first()[0] or 0
     n_train, kinds = (size["n"] or 0) + n_docs, size["v"] + (n_docs > 0)
-    trie = spark.sparkContext.broadcast(train(blocks, scratch, max_contexts))
+    code_pairs = blocks.select("block", F.explode(F.arrays_zip("codes", "code_n")).alias("c")).select(
+        "block", F.col("c.codes").alias("code"), F.col("c.code_n").alias("n"))
+    scores = code_scores(scratch.keep(code_pairs.groupBy("code").agg(F.sum("n").alias("n")), "codes"))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         kinds_ = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        known, c = right.column("word").to_numpy(), right.column("c").to_numpy()
-        order = np.argsort(known)
-        known, c = np.append(known[order], np.iinfo(np.int64).max), np.append(c[order], 0)
+        is_code, name, value = (right.column(x).to_numpy() for x in ("is_code", "name", "value"))
+        order = np.argsort(name)
+        is_code, name, value = is_code[order], name[order], value[order]
+        codes, logp = name[is_code], value[is_code]
+        known, c = np.append(name[~is_code], np.iinfo(np.int64).max), np.append(value[~is_code], 0)
         out = []
         whole = np.log10(n_train + 0.1 * (kinds + 1))
         for doc_id, held, n_words, z in zip(*(left.column(x).to_pylist() for x in ("doc_id", "held_out", "n_words", "z"))):
@@ -224,12 +310,16 @@ def score_documents(docs: DataFrame, max_contexts: int = 50_000) -> DataFrame:
             base = np.array([logs[a + 1:b + 1].sum() for a, b in zip(edge[:-1], edge[1:])])
             base += np.log10(n_docs + 0.1) - (n_words + 1) * whole
             known_n = hits[edge[1:]] - hits[edge[:-1]] + (n_docs > 0)
+            model = text_scores(raw.split(b"\n"), codes, logp)
             out.append(pa.table([pa.array(x, t) for x, t in zip(
-                (doc_id, held, n_words + 1, known_n, np.full(len(n_words), n_train), base,
-                 trie.value.score(raw.split(b"\n"))), kinds_)], names=names))
+                (doc_id, held, n_words + 1, known_n, np.full(len(n_words), n_train), base, model),
+                kinds_)], names=names))
         return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in kinds_], names=names)
 
-    mine = pairs.select(F.col("block").alias("of_block"), "word").join(counts, "word")
+    mine = pairs.select(F.col("block").alias("of_block"), "word").join(counts, "word").select(
+        "of_block", F.lit(False).alias("is_code"), F.col("word").alias("name"), F.col("c").cast("double").alias("value"))
+    mine = mine.unionByName(code_pairs.select(F.col("block").alias("of_block"), "code").join(scores, "code").select(
+        "of_block", F.lit(True).alias("is_code"), F.col("code").alias("name"), F.col("logp").alias("value")))
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
     left = blocks.select("block", "doc_id", "held_out", "n_words", "z")
