@@ -169,6 +169,33 @@ def test_leaks_against_brute_force(odd_docs, lspark):
         {d for d, i in got if (d, 1) not in got})
 
 
+def test_leaks_with_substitutions_anywhere(lspark):
+    """Every pair of positions in a window, at any distance, and items shorter than a window."""
+    words = [f"w{i}" for i in range(60)]
+    rows, items = [], [(1, " ".join(words[:20])), (2, " ".join(words[20:33])), (3, " ".join(words[40:46]))]
+    for lo, size in ((0, 20), (20, 13), (40, 6)):
+        for a in range(size):
+            for b in range(a, size):
+                text = words[lo:lo + size]
+                text[a], text[b] = "other", "words"
+                rows.append((len(rows), " ".join(["before", *text, "after"])))
+    docs = lspark.createDataFrame(rows, "doc_id long, text string")
+    bench = lspark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for d, t in rows:
+        w = t.split()
+        for i, u in items:
+            v = u.split()
+            n = min(13, len(v))
+            bad = [min(sum(w[p + k] != v[j + k] for k in range(n)) for j in range(len(v) - n + 1)) for p in range(len(w) - n + 1)]
+            fit = [p for p, x in enumerate(bad) if x <= min(2, (n - 1) // 4)]
+            if fit:
+                want[d, i] = (len(fit), bad.count(0), fit[0])
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_exact, r.first_word) for r in decontam.find_leaks(docs, bench).collect()}
+    assert got == want
+    assert any(t.split()[11:13] == ["other", "words"] and (d, 1) in got for d, t in rows)
+
+
 def edits(a, b):
     d = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

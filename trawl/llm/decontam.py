@@ -1,14 +1,14 @@
 """Benchmark decontamination by spaced-seed hashing (native).
 
-A window of ``span`` consecutive words is hashed under two fixed masks, one
-that keeps the even positions and one that keeps the odd ones; the positions
-a mask leaves out may hold any word.  Benchmark windows and training windows
-meet where a masked hash agrees, and each meeting is verified word by word
-on its alignment: at most ``max_subst`` of the ``span`` words may differ.  A
-single substituted word always leaves one mask whole, so windows with one
-substitution are never missed; two are found when they fall on positions of
-the same parity, which any passage longer than the window gives several
-chances for.
+A window of ``span`` consecutive words is hashed under ``max_subst + 1``
+fixed masks; mask ``r`` keeps the positions that are ``r`` modulo the number
+of masks, and the other positions may hold any word.  Benchmark windows and
+training windows meet where a masked hash agrees, and each meeting is
+verified word by word on its alignment: at most ``max_subst`` of the ``span``
+words may differ.  So many substitutions leave at least one mask whole,
+wherever they fall, so no window within the allowance is missed.  Windows
+shorter than ``4 * max_subst + 1`` words allow fewer substitutions and have
+as many masks as they need.
 
 The benchmark is a query set: its masked windows are broadcast in blocks of
 at most ``block`` windows, each block against all documents; documents are
@@ -34,13 +34,19 @@ def word_hashes(text: Column | str) -> Column:
     return F.transform(words(ascii_lower(F.coalesce(text, F.lit("")))), lambda w: F.xxhash64(w))
 
 
-def masked_windows(h: Column, span: int) -> Column:
-    """array<struct<even, odd>>: both masked hashes of every window of ``span`` words, by start."""
+def allowance(span: int, max_subst: int) -> int:
+    """Substitutions that a window of ``span`` words may have."""
+    return min(max_subst, (span - 1) // 4)
+
+
+def masked_windows(h: Column, span: int, masks: int) -> Column:
+    """array<array<long>>: the ``masks`` masked hashes of every window of ``span`` words, by start.
+
+    ``masks`` must not exceed ``span``, so that each mask keeps a word.
+    """
     def one(x, i):
-        at = [F.get(h, i + k) for k in range(1, span)]
-        return F.when(i <= F.size(h) - span, F.struct(
-            F.xxhash64(F.lit(0), x, *at[1::2]).alias("even"),
-            F.xxhash64(F.lit(1), *(at[0::2] or [x])).alias("odd")))
+        at = [x, *[F.get(h, i + k) for k in range(1, span)]]
+        return F.when(i <= F.size(h) - span, F.array(*[F.xxhash64(F.lit(r), *at[r::masks]) for r in range(masks)]))
 
     return F.slice(F.transform(h, one), 1, F.greatest(F.size(h) - span + 1, F.lit(0)))
 
@@ -52,12 +58,11 @@ def benchmark_items(benchmark: DataFrame, span: int) -> DataFrame:
     return items.withColumn("span", F.least(F.size("h"), F.lit(span)))
 
 
-def benchmark_windows(items: DataFrame, span: int) -> DataFrame:
-    """(seed, item_id, win): both masked seeds of every window of the items with this window length."""
+def benchmark_windows(items: DataFrame, span: int, masks: int) -> DataFrame:
+    """(item_id, win, seed): the masked seeds of every window of the items with this window length."""
     w = items.where(F.col("span") == span).select(
-        "item_id", "h", F.posexplode(masked_windows(F.col("h"), span)).alias("j", "w"))
-    return w.select("item_id", F.slice("h", F.col("j") + 1, span).alias("win"),
-                    F.explode(F.array("w.even", "w.odd")).alias("seed"))
+        "item_id", "h", F.posexplode(masked_windows(F.col("h"), span, masks)).alias("j", "w"))
+    return w.select("item_id", F.slice("h", F.col("j") + 1, span).alias("win"), F.explode("w").alias("seed"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, max_subst: int = MAX_SUBST,
@@ -72,23 +77,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, max_subs
     """
     scratch = Scratch(docs.sparkSession, "decontam")
     items = benchmark_items(benchmark, span)
-    n_seeds = 2 * F.sum(F.size("h") - F.col("span") + 1)
-    sizes = {r["span"]: r["n"] for r in items.groupBy("span").agg(n_seeds.alias("n")).collect()}  # up to ``span`` rows
+    n_windows = F.sum(F.size("h") - F.col("span") + 1)
+    sizes = {r["span"]: r["n"] for r in items.groupBy("span").agg(n_windows.alias("n")).collect()}  # up to ``span`` rows
     found = None
     hashed = compute_once(docs.select("doc_id", "text"), ["doc_id"], h=word_hashes("text"))
     for s, n in sorted(sizes.items()):
-        blocks = -(-n // block)
-        rows = benchmark_windows(items, s)
+        allowed = allowance(s, max_subst)
+        masks = allowed + 1
+        blocks = -(-n * masks // block)
+        rows = benchmark_windows(items, s, masks)
         if blocks > 1:
             rows = scratch.keep(rows, f"windows-{s}")
-        allowed = min(max_subst, (s - 1) // 4)
-        seeds = F.transform(masked_windows(F.col("h"), s), lambda w: F.array(w["even"], w["odd"]))
-        d = hashed.select("doc_id", "h", F.flatten(seeds).alias("seeds"))
+        d = hashed.select("doc_id", "h", F.flatten(masked_windows(F.col("h"), s, masks)).alias("seeds"))
         d = d.select("doc_id", "h", F.posexplode("seeds").alias("p", "seed"))
         for b in range(blocks):
             part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == b)
             hit = d.join(F.broadcast(part), "seed")
-            start = F.floor(F.col("p") / 2).cast("int")
+            start = F.floor(F.col("p") / masks).cast("int")
             miss = sum((F.get("h", start + k) != F.get("win", k)).cast("int") for k in range(s))
             hit = hit.select("doc_id", "item_id", start.alias("i"), miss.alias("miss")).where(F.col("miss") <= allowed)
             found = hit if found is None else found.unionByName(hit)
