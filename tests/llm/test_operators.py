@@ -253,6 +253,32 @@ def test_line_links_against_brute_force(lspark):
     assert got == want and len(want) > 200
 
 
+def test_short_lines_against_brute_force(lspark):
+    """Lines of 1 to 31 characters with the defaults: near copies of 6 characters and more are linked, others by equality."""
+    rng = np.random.default_rng(23)
+    letters = list("abcdefgh 1\u00f1\U0001f600")
+    lines = ["Click here to subscribe!", "Click here to subscribe.", "Read more", "Read more>", "next", "nexT", "next"]
+    for size in (3, 5, 6, 7, 8, 11, 16, 24, 31):
+        for _ in range(4):
+            root = list(rng.choice(letters[:8], size))
+            for _ in range(6):
+                t = list(root)
+                for _ in range(rng.integers(0, 4)):
+                    p = int(rng.integers(0, len(t))) if t else 0
+                    t[p:p + int(rng.integers(0, 2))] = list(rng.choice(letters, int(rng.integers(0, 2))))
+                if "".join(t).strip():
+                    lines.append("".join(t))
+    every = sorted(set(lines))
+    near = [(a, b) for n, a in enumerate(every) for b in every[n + 1:] if min(len(a), len(b)) >= 6 and edits(a, b) <= 2]
+    assert len(near) > 100 and min(min(len(a), len(b)) for a, b in near) == 6
+    top, degree, first = classes(every, near), Counter(x for pair in near for x in pair), {}
+    for i, t in enumerate(lines):
+        first.setdefault(top[t], i)
+    docs = lspark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_links) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {i: (int(first[top[t]] != i), degree[t]) for i, t in enumerate(lines)}
+
+
 def test_line_dedup(odd_docs, lspark):
     base = "a line that is long enough to be compared by edits"
     rows = [(1, base + "\nshort\n\nshort"), (2, base.replace("long", "lang") + "\nonly here"), (3, "x" + base + "?"),

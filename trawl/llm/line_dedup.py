@@ -16,8 +16,8 @@ row, so no key becomes one task and no candidate pair becomes a row.
 
 Near copies and equal lines form classes; the occurrence with the smallest
 (doc_id, position) stays and every other occurrence is removed.  Blank
-lines are kept; lines under ``min_chars`` code points are compared for
-equality only.
+lines are kept.  Segments and band need ``2 * max_edits + 2`` code points (6
+for two edits); shorter lines are compared for equality only.
 """
 
 from __future__ import annotations
@@ -168,7 +168,8 @@ def trimmed_distance(x: Column, y: Column, k: int) -> Column:
 def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: int, block: int = 32) -> DataFrame:
     """Links (a, b) between the ids of different lines within ``max_edits`` edits.
 
-    ``lines`` has (id, line), repeats allowed.  Every such pair is a link.
+    ``lines`` has (id, line), repeats allowed.  Every such pair is a link
+    where both lines have ``min_chars`` and ``2 * max_edits + 2`` code points.
     """
     n = F.char_length("line")
     long = lines.select("id", "line", n.alias("n")).where(F.col("n") >= max(min_chars, 2 * max_edits + 2))
@@ -210,7 +211,7 @@ def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: in
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 32) -> DataFrame:
+def dedup_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 0) -> DataFrame:
     """``docs`` with repeated and nearly repeated lines removed.
 
     Adds n_lines (all lines of the text), n_removed and n_links (links of the
