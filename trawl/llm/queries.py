@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, fingerprints, line_dedup, mixing, pii, ppm, quality, recompression, simhash, sqltext, warc_index
+from trawl.llm import (
+    decontam, fingerprints, line_dedup, mixing, pii, ppm, quality, recompression, search, simhash, sqltext, toxicity,
+    warc_index, whitening,
+)
 from trawl.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +78,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_boosted_pii")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hybrid_search", sqltext.SEARCH)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_polarised_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_conv_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

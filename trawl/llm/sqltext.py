@@ -43,3 +43,36 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0)
          list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
+
+# Every term of every document; the ten best documents of an item by integer scores.
+SEARCH = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), g AS (
+  SELECT count(*) AS nd, CAST(sum(len(t)) AS BIGINT) AS l FROM d WHERE len(t) > 0
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), p AS (
+  SELECT r, doc_id, n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, n, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, g GROUP BY term, nd
+), s AS (
+  SELECT q.item_id, p.r, p.doc_id,
+         CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * p.n * g.nd) // g.l)))) AS BIGINT) AS score
+  FROM p JOIN q ON p.term = q.term JOIN w ON w.term = p.term, g
+  GROUP BY q.item_id, p.r, p.doc_id
+), k AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM s WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
