@@ -219,25 +219,86 @@ def test_gazetteer_hot_split_agrees(spark):
 
 
 def test_longest_spans_sql_form_against_array_form(spark):
-    """The window-function form of N4 (query twin) equals the array form on random overlaps."""
+    """The list form of N4 (query twin) equals the bitmap form on random overlaps, also far apart and long ones."""
     import duckdb
     import pandas as pd
 
-    from trawl.plans.catalog import N4_SQL_TAIL
+    from trawl.plans.catalog import longest_sql
 
     rnd = random.Random(5)
     rows = []
     for sent in range(200):
-        for _ in range(rnd.randint(0, 8)):
-            st = rnd.randint(0, 9)
-            ln = rnd.choice([1, 2])
+        far = rnd.choice([10, 40, 200])
+        for _ in range(rnd.randint(0, 25)):
+            st = rnd.randint(0, far)
+            ln = rnd.choice([1, 2, 3, 6, 33, 70])
             rows.append(("k", sent, st, st + ln, f"t{st}_{ln}", rnd.choice(["GPE", "PERSON", "ORG"])))
-    hits = pd.DataFrame(rows, columns=["key", "sent", "start", "end", "text", "label"])
+    hits = pd.DataFrame([(k, n, s, e, lb) for k, n, s, e, _, lb in rows], columns=["key", "sent", "beg", "stop", "label"])
     con = duckdb.connect()
     con.register("hits", hits)
-    want = sorted(tuple(r) for r in con.execute("WITH " + N4_SQL_TAIL).fetchall())
+    want = sorted(con.execute("WITH " + longest_sql("hits", "key, sent") + " SELECT key, sent, beg, stop, label FROM longest").fetchall())
     sdf = spark.createDataFrame(rows, "key string, sent bigint, start int, end int, mention string, label string")
     sents = sdf.select("key", "sent").distinct()
     got = N.sentence_entities(sents, sdf).select("key", "sent", F.explode("ents").alias("e")).select(
-        "key", "sent", "e.start", "e.end", "e.text", "e.label")
-    assert sorted(tuple(r) for r in got.collect()) == want
+        "key", "sent", "e.start", "e.end", "e.label")
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 400
+    absolute = sdf.select("key", "sent", "start", "end", "mention", "label", F.col("start").alias("at")).where("sent = 7")
+    by_page = N.longest_mentions(absolute).select("key", "sent", "start", "end", "label")
+    assert sorted(tuple(r) for r in by_page.collect()) == [w for w in want if w[1] == 7]
+
+
+def test_longest_spans_of_a_page_of_ten_thousand(spark):
+    """Overlapping spans over one long page: the kept ones never meet, and every other meets one as good or better."""
+    rnd = random.Random(9)
+    spans = [(s, s + rnd.randint(1, 9), "X") for s in (rnd.randint(0, 30000) for _ in range(10000))]
+    df = spark.createDataFrame([(spans,)], "spans array<struct<start:int,end:int,label:string>>")
+    kept = [(s.start, s.end) for s in df.select(N.longest_spans(F.col("spans")).alias("k")).first().k]
+    assert kept == sorted(kept) and all(a[1] <= b[0] for a, b in zip(kept, kept[1:]))
+    at = {p: k for k in kept for p in range(*k)}
+    for s, e, _ in spans:
+        met = {at[p] for p in range(s, e) if p in at}
+        assert any((k[1] - k[0], -k[0]) >= (e - s, -s) for k in met)
+
+
+NAMES = ["St. Louis", "J. K. Rowling", "U.S. Army", "New York", "York City", "New York City", "Berlin", "Rome", "Louis",
+         "São Paulo", "Éire", "a b c d e f g h", "Yahoo!"]
+TEXT = ("She saw St. Louis and J. K. Rowling.\nThe U.S. Army; New\n York \t City, in Berlin\nand Rome.\tAlso São Paulo\n\n"
+        "Éire Yahoo! a b c d e f g h")
+
+
+def test_names_across_sentence_ends_and_line_ends(spark):
+    pages = N.page_tokens(spark.createDataFrame([("k", TEXT), ("j", ""), ("i", None), ("h", "St.")], "key string, text string"))
+    gaz = spark.createDataFrame([(n, "ORG") for n in NAMES] + [("Rome", "GPE")], "name string, label string")
+    hits = N.gazetteer_mentions(pages, gaz)
+    toks = re.findall(r"\w+|[^\w\s]", TEXT)
+    want = sorted((i, " ".join(toks[i:i + n])) for i in range(len(toks)) for n in range(1, 9)
+                  for name in NAMES if toks[i:i + n] == re.findall(r"\w+|[^\w\s]", name))
+    got = [(r["at"], " ".join(re.findall(r"\w+|[^\w\s]", r.mention))) for r in hits.where("label = 'ORG'").collect()]
+    assert sorted(got) == want
+    assert not [r.mention for r in hits.collect() if r.mention != " ".join(r.mention.split())]
+    kept = [(r.sent, r.mention) for r in N.longest_mentions(hits).orderBy("sent", "start").collect()]
+    assert [m for _, m in kept] == ["St. Louis", "J. K. Rowling", "U.S. Army", "New York City", "Berlin", "Rome", "São Paulo",
+                                    "Éire", "Yahoo!", "a b c d e f g h"]
+    # a few nodes to a shard, and a name table too large to broadcast, give the same rows
+    for limits in ({"nodes": 4}, {"name_rows": 0}, {"name_rows": 0, "hot_rows": 1}):
+        assert sorted(N.gazetteer_mentions(pages, gaz, **limits).collect()) == sorted(hits.collect())
+    assert N.gazetteer_mentions(pages, gaz.limit(0)).count() == 0
+    assert N.gazetteer_mentions(pages.limit(0), gaz).count() == 0
+
+
+def test_no_line_is_broken_by_a_mention(spark):
+    from trawl.sources.lines import entity_lines
+
+    pages = N.page_tokens(spark.createDataFrame([("k", TEXT)], "key string, text string"))
+    gaz = spark.createDataFrame([(n, "ORG") for n in NAMES], "name string, label string")
+    ments = N.longest_mentions(N.gazetteer_mentions(pages, gaz)).withColumn("link", F.lit("http://x"))
+    lines = [r.value for r in entity_lines(ments).collect()]
+    assert len(lines) == 10 and all(len(v.split("\t")) == 3 and "\n" not in v for v in lines)
+
+
+def test_names_shuffle_no_tokens(spark):
+    """The plan of the name search exchanges neither tokens nor texts of pages."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    gaz = spark.createDataFrame([("The", "ORG")], "name string, label string")
+    plan = N.gazetteer_mentions(N.page_tokens(pages, "doc_id", "text"), gaz)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan

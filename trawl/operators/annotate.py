@@ -11,7 +11,7 @@ same outputs come from table jobs, with a plug for a user model:
   row with array/regex functions (no window, no shuffle of the tokens);
 * N5 ``pos_lexicon`` / ``tag_tokens``: most frequent tag per word from any
   tagged table, suffix rules for unknown words;
-* N3 ``gazetteer_mentions``: token n-grams equi-joined to a name table;
+* N3 ``gazetteer_mentions``: names found by a token trie inside each page (``names``);
 * N4 ``longest_spans``: longest-first, then earliest, non-overlapping;
 * N6 ``annotate_with``: ``mapInPandas`` around a user function.
 """
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.plan import compute_once, hot_split_join
+from trawl.operators.names import find_names
 
 # Token rule (Java and RE2 agree on it): numbers with inner . or , ; words
 # with inner hyphen/apostrophe; else one non-space, non-word character.
@@ -58,16 +59,20 @@ def sentence_starts(tokens: Column) -> Column:
     return F.concat(F.array(F.lit(0)), later)
 
 
-def sentences(df: DataFrame, key_col: str = "key", text_col: str = "text") -> DataFrame:
-    """N1 + N2: (key, sent, tokens, ws), one row per sentence, map-side only.
+def page_tokens(df: DataFrame, key_col: str = "key", text_col: str = "text") -> DataFrame:
+    """N1 + N2 per page: (key, tokens, ws, starts), ``starts`` = the first token of each sentence; map-side only."""
+    t = compute_once(df.select(F.col(key_col).alias("key"), _c(text_col).alias("_text")), keep=["key"],
+                     tokens=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 1),
+                     ws=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 2))
+    return compute_once(t.where(F.size("tokens") > 0), starts=sentence_starts(F.col("tokens")))
+
+
+def sentence_rows(pages: DataFrame) -> DataFrame:
+    """(key, sent, tokens, ws), one row per sentence of ``page_tokens`` rows.
 
     Each sentence is a slice of the token arrays between consecutive starts;
     the lambdas read only materialised columns, so the work is linear.
     """
-    t = compute_once(df.select(F.col(key_col).alias("key"), _c(text_col).alias("_text")), keep=["key"],
-                     tokens=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 1),
-                     ws=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 2))
-    t = compute_once(t.where(F.size("tokens") > 0), starts=sentence_starts(F.col("tokens")))
     n = F.size("tokens")
 
     def one(st, j):
@@ -75,10 +80,15 @@ def sentences(df: DataFrame, key_col: str = "key", text_col: str = "text") -> Da
         return F.struct(F.slice("tokens", st + 1, stop - st).alias("tokens"),
                         F.slice("ws", st + 1, stop - st).alias("ws"))
 
-    s = t.select("key", F.posexplode(F.transform("starts", one)).alias("sent", "s"))
+    s = pages.select("key", F.posexplode(F.transform("starts", one)).alias("sent", "s"))
     return s.select("key", F.col("sent").cast("bigint").alias("sent"), "s.tokens", "s.ws")
 
 
+def sentences(df: DataFrame, key_col: str = "key", text_col: str = "text") -> DataFrame:
+    """N1 + N2: (key, sent, tokens, ws), one row per sentence, map-side only."""
+    return sentence_rows(page_tokens(df, key_col, text_col))
+
+
 # N5 ------------------------------------------------------------------------
 # One-letter codes of the universal POS tags used by R2/F9.
 POS_CODES = {
@@ -130,52 +140,57 @@ def tag_tokens(sents: DataFrame, lexicon: DataFrame | None, hot_rows: int = 1_00
 
 
 # N3 / N4 ----------------------------------------------------------------------
-def name_table(gazetteer: DataFrame) -> DataFrame:
-    """(text, label, first, n): names as token sequences, joined by one blank, of any length."""
-    toks = F.regexp_extract_all("name", F.lit(TOKEN_RE), 0)
-    names = compute_once(gazetteer.select("name", "label"), ["label"], toks=toks).where(F.size("toks") > 0)
-    return names.select(F.array_join("toks", " ").alias("text"), "label", F.get("toks", 0).alias("first"),
-                        F.size("toks").alias("n")).distinct()
-
-
-def gazetteer_mentions(sents: DataFrame, gazetteer: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
-    """Token sequences equal to a known name -> (key, sent, start, end, mention, label).
+def gazetteer_mentions(pages: DataFrame, gazetteer: DataFrame, hot_rows: int = 1_000_000, **limits) -> DataFrame:
+    """Token sequences equal to a known name -> (key, sent, start, end, mention, label) and, of pages, ``at``.
 
     Names and text are compared token by token, so spacing does not matter
     ("Google, Inc." and "Google , Inc ."), and names have any length, case and
-    punctuation; the mention keeps the spacing of the text.  A first join
-    on the first token tells which lengths can begin there, so only token
-    sequences that begin like a name are built.  Very frequent first tokens are
-    split off; a name that is frequent itself is left to the skew join, as
-    the name side has one row per name and label.
+    punctuation; the mention keeps the spelling of the text, with white space
+    inside it as one blank.  ``pages`` has the columns of ``page_tokens``: a
+    name may then hold a sentence end; it belongs to the sentence it begins in
+    (``start`` and ``end`` count from there, ``at`` from the page's
+    first token).  With rows of ``sentences`` names are found inside each sentence.
     """
-    names = name_table(gazetteer)
-    firsts = names.groupBy("first").agg(F.collect_set("n").alias("lens"))
-    at = sents.where(F.size("tokens") > 0).select("key", "sent", F.posexplode("tokens").alias("start", "first"))
-    begins = hot_split_join(at, firsts, ["first"], hot_rows)
-    starts = begins.groupBy("key", "sent").agg(F.collect_list(F.struct("start", "lens")).alias("starts"))
-    grams = sents.select("key", "sent", "tokens", "ws").join(starts, ["key", "sent"])
-    grams = grams.select("key", "sent", "tokens", "ws", F.explode("starts").alias("b"))
-    grams = grams.select("key", "sent", "tokens", "ws", F.col("b.start").alias("start"), F.explode("b.lens").alias("n"))
-    grams = grams.where(F.col("start") + F.col("n") <= F.size("tokens")).select(
-        "key", "sent", "start", (F.col("start") + F.col("n")).alias("end"),
-        F.array_join(F.slice("tokens", F.col("start") + 1, F.col("n")), " ").alias("text"),
-        F.rtrim(F.array_join(F.zip_with(F.slice("tokens", F.col("start") + 1, F.col("n")),
-                                        F.slice("ws", F.col("start") + 1, F.col("n")), lambda t, w: F.concat(t, w)), "")).alias("mention"))
-    hits = grams.join(names.select("text", "label"), "text")
-    return hits.select("key", "sent", "start", "end", "mention", "label")
+    if "starts" in pages.columns:
+        rows, ids = pages.select("key", "tokens", "ws", "starts"), ["key"]
+        sent = F.col("sent_no").cast("bigint")
+    else:
+        rows, ids = pages.select("key", "sent", "tokens", "ws", F.array(F.lit(0)).alias("starts")), ["key", "sent"]
+        sent = F.col("sent")
+    hits = find_names(rows, gazetteer, ids, hot_rows, **limits)
+    start = F.col("at") - F.col("first")
+    at = ["at"] if "starts" in pages.columns else []
+    return hits.select("key", sent.alias("sent"), start.alias("start"), (start + F.col("n")).alias("end"), "mention", "label", *at)
 
 
 def longest_mentions(mentions: DataFrame) -> DataFrame:
-    """N4 on a mention table: of overlapping mentions of a sentence the longest, then the earliest, stays."""
-    per_sent = mentions.groupBy("key", "sent").agg(
-        F.collect_list(F.struct("start", "end", F.col("mention").alias("text"), "label")).alias("spans"))
-    kept = per_sent.select("key", "sent", F.explode(longest_spans(F.col("spans"))).alias("s"))
-    return kept.select("key", "sent", "s.start", "s.end", F.col("s.text").alias("mention"), "s.label")
+    """N4 on a mention table: of overlapping mentions the longest, then the earliest, stays.
+
+    With page positions (``at``) mentions of a whole page are compared, so
+    one that crosses a sentence end keeps what it covers; else each sentence is on its own.
+    """
+    if "at" not in mentions.columns:
+        spans = F.collect_list(F.struct("start", "end", F.col("mention").alias("text"), "label"))
+        kept = mentions.groupBy("key", "sent").agg(spans.alias("spans")).select(
+            "key", "sent", F.explode(longest_spans(F.col("spans"))).alias("s"))
+        return kept.select("key", "sent", "s.start", "s.end", F.col("s.text").alias("mention"), "s.label")
+    first = F.col("at") - F.col("start")
+    spans = F.collect_list(F.struct(F.col("at").alias("start"), (first + F.col("end")).alias("end"),
+                                    F.col("mention").alias("text"), "label", "sent", first.alias("first")))
+    kept = mentions.groupBy("key").agg(spans.alias("spans")).select("key", F.inline(longest_spans(F.col("spans"))))
+    return kept.select("key", "sent", (F.col("start") - F.col("first")).alias("start"),
+                       (F.col("end") - F.col("first")).alias("end"), F.col("text").alias("mention"), "label")
+
+
+_BITS = 32  # positions in one word of the occupancy bitmap
 
 
 def longest_spans(spans: Column) -> Column:
-    """N4 on an array of span structs (start, end, ...): longer first, then earlier."""
+    """N4 on an array of span structs (start, end, label, ...) of one position or more: longer first, then earlier.
+
+    Taken positions are bits of an array of longs, so a span is tested against
+    the one or two words it touches instead of all spans kept so far.
+    """
     ordered = F.array_sort(
         spans,
         lambda a, b: F.when((a["end"] - a["start"]) != (b["end"] - b["start"]),
@@ -183,11 +198,28 @@ def longest_spans(spans: Column) -> Column:
         .when(a["start"] != b["start"], a["start"] - b["start"])
         .when(a["label"] < b["label"], F.lit(-1)).when(a["label"] > b["label"], F.lit(1)).otherwise(F.lit(0)),
     )
-    kept = F.aggregate(
-        ordered, F.array_remove(F.array(F.get(ordered, 0)), F.get(ordered, 0)),
-        lambda acc, s: F.when(F.exists(acc, lambda a: (a["start"] < s["end"]) & (s["start"] < a["end"])), acc)
-        .otherwise(F.concat(acc, F.array(s))),
-    )
+    base = F.array_min(F.transform(spans, lambda s: s["start"]))
+    width = F.array_max(F.transform(spans, lambda s: s["end"])) - base
+
+    def mask(s, word):
+        """Bits of ``word`` that the span takes."""
+        lo = F.greatest(s["lo"] - word * _BITS, F.lit(0))
+        hi = F.least(s["hi"] - word * _BITS, F.lit(_BITS))
+        ones = F.call_function("shiftleft", F.lit(1).cast("bigint"), hi - lo) - 1
+        return F.call_function("shiftleft", ones, lo)
+
+    def step(acc, s):
+        first, stop = F.floor(s["lo"] / _BITS).cast("int"), F.floor((s["hi"] - 1) / _BITS).cast("int")
+        taken = F.exists(F.sequence(first, stop), lambda w: F.get(acc["bits"], w).bitwiseAND(mask(s, w)) != 0)
+        bits = F.transform(acc["bits"], lambda v, w: F.when((w >= first) & (w <= stop), v.bitwiseOR(mask(s, w))).otherwise(v))
+        return F.when(taken, acc).otherwise(F.struct(bits.alias("bits"), F.concat(acc["kept"], F.array(s["s"])).alias("kept")))
+
+    # the bounds are computed once per array and travel with each span, not per test
+    placed = F.transform(F.arrays_zip(ordered.alias("s"), F.array_repeat(base, F.size(spans)).alias("base")), lambda z: F.struct(
+        (z["s"]["start"] - z["base"]).cast("int").alias("lo"), (z["s"]["end"] - z["base"]).cast("int").alias("hi"), z["s"].alias("s")))
+    empty = F.struct(F.array_repeat(F.lit(0).cast("bigint"), F.ceil(width / _BITS).cast("int") + 1).alias("bits"),
+                     F.slice(ordered, 1, 0).alias("kept"))
+    kept = F.aggregate(placed, empty, step, lambda acc: acc["kept"])
     return F.array_sort(kept, lambda a, b: a["start"] - b["start"])
 
 

@@ -347,7 +347,7 @@ def q_most_referred(spark, sf_dir):
 @register("most_similar", S.with_ctes(*S.LINK_CTES) + """
 SELECT mention_key, class, rep, name, page FROM (
   SELECT *, row_number() OVER (PARTITION BY mention_key, class, rep
-                               ORDER BY levenshtein(rep, name), page, name) AS rn FROM cands)
+                               ORDER BY """ + S.distance("rep", "name") + """, page, name) AS rn FROM cands)
 WHERE rn = 1""")
 def q_most_similar(spark, sf_dir):
     """L3: nearest candidate name by edit distance."""
@@ -384,7 +384,7 @@ ranked AS (
 )
 SELECT mention_key, class, rep, name, page, item, backlinks FROM (
   SELECT *, row_number() OVER (PARTITION BY mention_key, class, rep
-                               ORDER BY backlinks DESC, levenshtein(rep, name), page) AS rn FROM ranked)
+                               ORDER BY backlinks DESC, """ + S.distance("rep", "name") + """, page) AS rn FROM ranked)
 WHERE rn = 1""")
 def q_most_popular(spark, sf_dir):
     """L2: most backlinks from the project namespace, ties by edit distance."""
@@ -462,14 +462,15 @@ from trawl.sources import lines as LN  # noqa: E402
 
 _TOK_RE_SQL = N.TOKEN_WS_RE.replace("'", "''")
 _SENTS_SQL = r"""
-tk AS (SELECT doc_id AS key, regexp_extract_all(text, '""" + _TOK_RE_SQL + r"""', 1) AS toks FROM documents),
+tk AS (SELECT doc_id AS key, regexp_extract_all(text, '""" + _TOK_RE_SQL + r"""', 1) AS toks,
+              regexp_extract_all(text, '""" + _TOK_RE_SQL + r"""', 2) AS wss FROM documents),
 cl AS (
-  SELECT key, toks, string_split(regexp_replace(array_to_string(list_transform(toks,
+  SELECT key, toks, wss, string_split(regexp_replace(array_to_string(list_transform(toks,
       lambda t: CASE WHEN t IN ('.', '!', '?') THEN 'S' WHEN regexp_matches(t, '^[^\pL\pN]') THEN 'P' ELSE 'W' END),
       ''), 'S([SP]*)W', 'S\1B', 'g'), '') AS flags
   FROM tk WHERE len(toks) > 0
 ),
-st AS (SELECT key, toks, list_concat([0], list_filter(range(1, len(toks)), lambda i: flags[i + 1] = 'B')) AS starts
+st AS (SELECT key, toks, wss, list_concat([0], list_filter(range(1, len(toks)), lambda i: flags[i + 1] = 'B')) AS starts
        FROM cl),
 ss AS (
   SELECT key, CAST(generate_subscripts(sl, 1) - 1 AS BIGINT) AS sent, unnest(sl) AS stoks FROM (
@@ -548,72 +549,70 @@ gaz AS (
 )"""
 
 
-@register("gazetteer_hits", S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _SENTS_SQL) + """,
+# Every run of one to six tokens (the longest name of the graph) of a page that equals a name token by token.
+_HITS_SQL = """
+gaztok AS (
+  SELECT DISTINCT array_to_string(regexp_extract_all(name, '""" + _TOK_RE_SQL + """', 1), ' ') AS text, label FROM gaz
+),
 grams AS (
-  SELECT key, sent, i AS start, i + 1 AS "end", stoks[i + 1] AS text
-  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks))) AS i FROM ss)
-  WHERE regexp_matches(stoks[i + 1], '^\\p{Lu}')
-  UNION ALL
-  SELECT key, sent, i, i + 2, stoks[i + 1] || ' ' || stoks[i + 2]
-  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks) - 1)) AS i FROM ss)
-  WHERE regexp_matches(stoks[i + 1], '^\\p{Lu}')
-)
-SELECT g.key, g.sent, CAST(g.start AS BIGINT) AS start, CAST(g."end" AS BIGINT) AS "end", g.text AS mention, z.label
-FROM grams g JOIN gaz z ON z.name = g.text""")
-def q_gazetteer_hits(spark, sf_dir):
-    """Token 1- and 2-grams that equal a known English name (label from class)."""
-    d = docs(spark, sf_dir)
-    sents = N.sentences(d, "doc_id", "text")
-    hits = N.gazetteer_mentions(sents, gazetteer(spark, _kb(spark, sf_dir)))
+  SELECT key, i AS beg, i + n AS stop, array_to_string(toks[i + 1 : i + n], ' ') AS text
+  FROM (SELECT key, toks, i, unnest(range(1, 7)) AS n FROM (SELECT key, toks, unnest(range(0, len(toks))) AS i FROM tk))
+  WHERE i + n <= len(toks)
+),
+found AS (SELECT g.key, g.beg, g.stop, z.label FROM grams g JOIN gaztok z ON z.text = g.text)"""
+
+
+def _place_sql(name: str, source: str) -> str:
+    """Hits (key, beg, stop, label) with the sentence they begin in, positions from there, and the text as written."""
+    return f"""
+{name} AS (
+  SELECT h.key, h.beg, len(list_filter(s.starts, lambda x: x <= h.beg)) - 1 AS sent, h.label,
+         h.beg - list_max(list_filter(s.starts, lambda x: x <= h.beg)) AS start,
+         h.stop - list_max(list_filter(s.starts, lambda x: x <= h.beg)) AS stop,
+         {S.spaced('s.toks', 's.wss', 'h.beg + 1', 'h.stop')} AS mention
+  FROM {source} h JOIN st s ON s.key = h.key
+)"""
+
+
+def longest_sql(found: str, group: str) -> str:
+    """The spans (beg, stop, label) of each group in order of choice; one that meets a kept one falls away."""
+    return f"""
+longest AS (
+  SELECT {group}, s[1].beg AS beg, s[1].stop AS stop, s[1].label AS label FROM (
+    SELECT {group}, unnest(list_transform(list_reduce(
+      list([{{'beg': beg, 'stop': stop, 'label': label}}] ORDER BY stop - beg DESC, beg, label),
+      lambda a, b: CASE WHEN len(list_filter(a, lambda x: x.beg < b[1].stop AND b[1].beg < x.stop)) > 0 THEN a
+                        ELSE list_concat(a, b) END), lambda x: [x])) AS s
+    FROM {found} GROUP BY {group})
+)"""
+
+
+_MENTION_COLS = ('key, CAST(sent AS BIGINT) AS sent, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS "end", mention, label')
+
+
+def _gazetteer_hits(spark, sf_dir):
+    toks = N.page_tokens(docs(spark, sf_dir), "doc_id", "text")
+    return N.gazetteer_mentions(toks, gazetteer(spark, _kb(spark, sf_dir)))
+
+
+def _mention_columns(hits):
     return hits.select("key", "sent", F.col("start").cast("bigint").alias("start"),
                        F.col("end").cast("bigint").alias("end"), "mention", "label")
 
 
-# N4 for spans of one or two tokens (greedy: longer first, then earlier, then
-# smaller label): one span per position range (smallest label); two-token
-# spans are kept at every other start within a run of consecutive starts;
-# one-token spans are kept when no kept two-token span covers them.
-_LONGEST_SQL = S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _SENTS_SQL) + """,
-grams AS (
-  SELECT key, sent, i AS start, i + 1 AS "end", stoks[i + 1] AS text
-  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks))) AS i FROM ss)
-  WHERE regexp_matches(stoks[i + 1], '^\\p{Lu}')
-  UNION ALL
-  SELECT key, sent, i, i + 2, stoks[i + 1] || ' ' || stoks[i + 2]
-  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks) - 1)) AS i FROM ss)
-  WHERE regexp_matches(stoks[i + 1], '^\\p{Lu}')
-),
-hits AS (SELECT g.key, g.sent, g.start, g."end", g.text, z.label FROM grams g JOIN gaz z ON z.name = g.text),
-""" + "N4_TAIL"
-N4_SQL_TAIL = """spans AS (SELECT key, sent, start, "end", min(text) AS text, min(label) AS label FROM hits GROUP BY ALL),
-two AS (
-  SELECT *, start - row_number() OVER (PARTITION BY key, sent ORDER BY start) AS run
-  FROM spans WHERE "end" - start = 2
-),
-two_kept AS (
-  SELECT key, sent, start, "end", text, label FROM (
-    SELECT *, row_number() OVER (PARTITION BY key, sent, run ORDER BY start) AS k FROM two) WHERE k % 2 = 1
-),
-one_kept AS (
-  SELECT o.key, o.sent, o.start, o."end", o.text, o.label FROM spans o
-  WHERE o."end" - o.start = 1 AND NOT EXISTS (
-    SELECT 1 FROM two_kept t WHERE t.key = o.key AND t.sent = o.sent AND t.start <= o.start AND o.start < t."end")
-)
-SELECT key, sent, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end", text AS mention, label
-FROM (SELECT * FROM two_kept UNION ALL SELECT * FROM one_kept)"""
-_LONGEST_SQL = _LONGEST_SQL.replace("N4_TAIL", N4_SQL_TAIL)
+@register("gazetteer_hits", S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _SENTS_SQL, _HITS_SQL, _place_sql("placed", "found")) + f"""
+SELECT {_MENTION_COLS} FROM placed""")
+def q_gazetteer_hits(spark, sf_dir):
+    """Token runs that equal a known English name (label from class), across sentence ends."""
+    return _mention_columns(_gazetteer_hits(spark, sf_dir))
 
 
-@register("longest_spans", _LONGEST_SQL)
+@register("longest_spans", S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _SENTS_SQL, _HITS_SQL, longest_sql("found", "key"),
+                                       _place_sql("placed", "longest")) + f"""
+SELECT {_MENTION_COLS} FROM placed""")
 def q_longest_spans(spark, sf_dir):
-    """Longest-first non-overlapping spans per sentence (rows-only check)."""
-    d = docs(spark, sf_dir)
-    sents = N.sentences(d, "doc_id", "text")
-    hits = N.gazetteer_mentions(sents, gazetteer(spark, _kb(spark, sf_dir)))
-    ents = N.sentence_entities(sents, hits)
-    return ents.select("key", "sent", F.explode("ents").alias("e")).select(
-        "key", "sent", F.col("e.start").cast("bigint").alias("start"), F.col("e.end").cast("bigint").alias("end"),
-        F.col("e.text").alias("mention"), F.col("e.label").alias("label"))
+    """Longest-first non-overlapping mentions of each page."""
+    return _mention_columns(N.longest_mentions(_gazetteer_hits(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------------------
@@ -917,8 +916,7 @@ def q_stream_entity_lines(spark, sf_dir):
 # sentences -> name n-grams -> candidates -> links
 # ---------------------------------------------------------------------------
 _PAGE_SENTS_SQL = _SENTS_SQL.replace(
-    "tk AS (SELECT doc_id AS key, regexp_extract_all(text, '", "tk AS (SELECT key, regexp_extract_all(text, '"
-).replace("', 1) AS toks FROM documents)", "', 1) AS toks FROM ptext)")
+    "tk AS (SELECT doc_id AS key,", "tk AS (SELECT key,").replace("AS wss FROM documents)", "AS wss FROM ptext)")
 
 _PAGE_ENTITIES_SQL = (
     S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _HTML_CTES)
@@ -929,18 +927,7 @@ proc AS (
 ),
 ptext AS (SELECT page_id AS key, trim(title || ' ' || all_text) AS text FROM proc
           WHERE length(trim(title || ' ' || all_text)) > 0),
-""" + _PAGE_SENTS_SQL.strip() + r""",
-grams AS (
-  SELECT key, sent, i AS start, stoks[i + 1] AS text
-  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks))) AS i FROM ss) WHERE regexp_matches(stoks[i + 1], '^\p{Lu}')
-  UNION ALL
-  SELECT key, sent, i, stoks[i + 1] || ' ' || stoks[i + 2]
-  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks) - 1)) AS i FROM ss) WHERE regexp_matches(stoks[i + 1], '^\p{Lu}')
-  UNION ALL
-  SELECT key, sent, i, stoks[i + 1] || ' ' || stoks[i + 2] || ' ' || stoks[i + 3]
-  FROM (SELECT key, sent, stoks, unnest(range(0, len(stoks) - 2)) AS i FROM ss) WHERE regexp_matches(stoks[i + 1], '^\p{Lu}')
-),
-mentions AS (SELECT g.key, g.start AS pos, g.text AS mention, z.label FROM grams g JOIN gaz z ON z.name = g.text),
+""" + ",".join(p.strip("\n") for p in (_PAGE_SENTS_SQL, _HITS_SQL, longest_sql("found", "key"), _place_sql("mentions", "longest"))) + r""",
 """ + ",".join(p.strip("\n") for p in (S.LABEL_CLASS, S.MENTS, S.FORMS, S.BRANCHES)) + """
 SELECT key, mention, link FROM entities"""
 )
@@ -948,7 +935,7 @@ SELECT key, mention, link FROM entities"""
 
 @register("page_entities", _PAGE_ENTITIES_SQL)
 def q_page_entities(spark, sf_dir):
-    """L7 chain on pages: text -> tokens -> name n-grams (1..3) -> candidates -> links."""
+    """L7 chain on pages: text -> tokens -> names -> candidates -> links."""
     from trawl.plans.linking import link_pages
 
     rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="autoclose")

@@ -3,9 +3,10 @@
 Each builder is one Spark expression whose twin SQL lives next to the
 queries; both engines must produce the same rows.  The rules (FIXTURES.md):
 
-* words: split ``text`` on ``[ \\n]+``, keep ``^[A-Z][a-z]{3,}[.,]?\\z``, strip
+* words: split ``text`` on ``[ \\n]+``, keep ``^\\p{Lu}\\p{Ll}{3,}[.,]?\\z``, strip
   one trailing ``[.,]``;
-* knowledge graph from the distinct words of length >= 5;
+* titles: the first two to six tokens of every text, as written;
+* knowledge graph from the distinct words of length >= 5 and the titles;
 * mentions: every word of a text, NER label by ``length % 4``;
 * WARC payloads: one record per page, fixed header layout;
 * POS tokens: tokens per sentence, tag by a length rule.
@@ -24,6 +25,7 @@ WIKI = "http://en.wikipedia.org/wiki/"
 # Fixture NER labels by length % 4, classes by length % 3.
 MENTION_LABELS = ["PERSON", "GPE", "PRODUCT", "CARDINAL"]
 ITEM_CLASSES = ["dbo:Person", "geo:SpatialThing", "owl:Thing"]
+TITLE_CLASSES = ["dbo:Work", "dbo:Event"]
 # Fixture POS letters by token length % 12.
 POS_LETTERS = ["V", "T", "R", "J", "N", "O", "D", "P", "X", "M", "V", "N"]
 
@@ -35,11 +37,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def words(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, pos, word) for every capitalised word of every text."""
     toks = docs.select(F.col(key_col).alias("key"), F.posexplode(F.split(text_col, r"[ \n]+", -1)).alias("pos", "tok"))
-    return toks.where(F.col("tok").rlike(r"^[A-Z][a-z]{3,}[.,]?\z")).select(
+    return toks.where(F.col("tok").rlike(r"^\p{Lu}\p{Ll}{3,}[.,]?\z")).select(
         "key", "pos", F.regexp_replace("tok", r"[.,]\z", "").alias("word")
     )
 
 
+def titles(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(key, name): the first ``2 + key % 5`` tokens of every text of two tokens or more, with blanks as written."""
+    from trawl.operators.annotate import page_tokens
+    from trawl.operators.names import spaced_text
+
+    t = page_tokens(docs, key_col, text_col).where(F.size("tokens") >= 2)
+    n = F.least(F.size("tokens"), (F.lit(2) + F.pmod("key", F.lit(5))).cast("int"))
+    return t.select("key", spaced_text(F.col("tokens"), F.col("ws"), F.lit(0), n).alias("name"))
+
+
 def mentions(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, pos, mention, label): rule NER over whole texts."""
     labels = F.array(*[F.lit(x) for x in MENTION_LABELS])
@@ -48,24 +60,36 @@ def mentions(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text") -
                     F.element_at(labels, (F.length("word") % 4 + 1).cast("int")).alias("label"))
 
 
-def derived_kb(docs: DataFrame, long_words: DataFrame | None = None) -> KnowledgeGraph:
-    """The knowledge graph built from the words of ``documents``.
+def derived_kb(docs: DataFrame, long_words: DataFrame | None = None, title_rows: DataFrame | None = None) -> KnowledgeGraph:
+    """The knowledge graph built from the words and titles of ``documents``.
 
-    ``long_words``: the (key, pos, word) rows of length >= 5 when already
-    materialised (the build then scans the texts only once).
+    ``long_words``: the (key, pos, word) rows of length >= 5, ``title_rows``: the (key, name)
+    rows of ``titles``, when already materialised (the build then scans the texts only once).
+    Words whose length leaves 1 on division by 4 have a second class; so have titles of even length.
     """
     w = long_words if long_words is not None else words(docs).where(F.length("word") >= 5)
+    t = (title_rows if title_rows is not None else titles(docs)).withColumn(
+        "item", F.concat(F.lit(RESOURCE + "title_"), F.md5(F.col("name").cast("binary"))))
+    named = t.select("item", "name").distinct()
     items = w.select("word").distinct()
     item = F.concat(F.lit(RESOURCE), F.col("word"))
     classes = F.array(*[F.lit(x) for x in ITEM_CLASSES])
     label = items.select(item.alias("item"), F.col("word").alias("name"), F.lit("en").alias("lang")).unionByName(
         items.select(item.alias("item"), F.lower("word").alias("name"), F.lit("fr").alias("lang"))
-    )
-    typ = items.select(item.alias("item"), F.element_at(classes, (F.length("word") % 3 + 1).cast("int")).alias("class"))
-    topic = items.select(item.alias("item"), F.concat(F.lit(WIKI), "word").alias("page"))
-    link = w.select(
-        F.concat(F.lit(RESOURCE + "doc_"), F.col("key").cast("string")).alias("source"), item.alias("target")
-    ).distinct()
+    ).unionByName(named.select("item", "name", F.lit("en").alias("lang")))
+
+    def class_of(n):
+        return F.element_at(classes, (n % 3 + 1).cast("int")).alias("class")
+
+    n = F.length("word")
+    typ = items.select(item.alias("item"), class_of(n)).unionByName(
+        items.where(n % 4 == 1).select(item.alias("item"), class_of(n + 1))).unionByName(
+        named.select("item", F.lit(TITLE_CLASSES[0]).alias("class"))).unionByName(
+        named.where(F.length("name") % 2 == 0).select("item", F.lit(TITLE_CLASSES[1]).alias("class")))
+    topic = items.select(item.alias("item"), F.concat(F.lit(WIKI), "word").alias("page")).unionByName(
+        named.select("item", F.concat(F.lit(WIKI + "title_"), F.md5(F.col("name").cast("binary"))).alias("page")))
+    source = F.concat(F.lit(RESOURCE + "doc_"), F.col("key").cast("string")).alias("source")
+    link = w.select(source, item.alias("target")).unionByName(t.select(source, F.col("item").alias("target"))).distinct()
     head = F.substring("word", 1, 4)
     disambig = items.select(
         F.concat(F.lit(RESOURCE), head, F.lit("_(disambiguation)")).alias("page"), item.alias("item")
@@ -154,7 +178,7 @@ def pos_entities(sents: DataFrame) -> DataFrame:
     return sents.withColumn("ents", ents)
 
 
-KB_LAYOUT = "3"  # bump when the stored table set changes
+KB_LAYOUT = "4"  # bump when the stored table set changes
 
 
 def stored_kb(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> KnowledgeGraph:
@@ -185,6 +209,7 @@ def stored_kb(spark: SparkSession, sf_dir: str, partitions: int | None = None) -
         par = spark.sparkContext.defaultParallelism
         docs = docs.repartition(par) if docs.rdd.getNumPartitions() < par else docs
         words(docs).where(F.length("word") >= 5).write.mode("overwrite").parquet(f"{tmp}/words")
-        derived_kb(docs, spark.read.parquet(f"{tmp}/words")).save(tmp, partitions or max(8, par))
+        titles(docs).write.mode("overwrite").parquet(f"{tmp}/titles")
+        derived_kb(docs, spark.read.parquet(f"{tmp}/words"), spark.read.parquet(f"{tmp}/titles")).save(tmp, partitions or max(8, par))
         rename_path(spark, tmp, path)  # False when another builder won the race: its copy is used
     return KnowledgeGraph.load(spark, path)

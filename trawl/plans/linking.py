@@ -55,12 +55,11 @@ def annotate_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph,
                    stage_dir: str) -> tuple[DataFrame, DataFrame]:
     """N1-N4 over page rows -> (sentences, mentions that do not overlap).
 
-    Both are written: the name lookup reads the sentences several times, and
-    a page must be parsed once only.
+    Page tokens and mentions are written: a page must be parsed once only.
     """
-    sents = materialise(N.sentences(rows, "key", "text"), stage_dir, "sentences")
-    ments = N.longest_mentions(N.gazetteer_mentions(sents, gazetteer(spark, kb)))
-    return sents, materialise(ments, stage_dir, "mentions")
+    toks = materialise(N.page_tokens(rows, "key", "text"), stage_dir, "page_tokens")
+    ments = N.longest_mentions(N.gazetteer_mentions(toks, gazetteer(spark, kb)))
+    return N.sentence_rows(toks), materialise(ments, stage_dir, "mentions")
 
 
 def link_pages(spark: SparkSession, rows: DataFrame, kb: KnowledgeGraph,
@@ -91,11 +90,9 @@ def entity_lines_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_stage_dir(spark: SparkSession) -> str:
     """A fresh folder for this run's stages under the shared checkpoint folder."""
-    import uuid
+    from trawl.session import stage_dir
 
-    from trawl.session import ensure_checkpoint_dir
-
-    return f"{ensure_checkpoint_dir(spark)}/trawl-stages-{uuid.uuid4().hex[:12]}"
+    return stage_dir(spark)
 
 
 def full_job(spark: SparkSession, sf_dir: str, stage_dir: str | None = None, ordered: bool = False,

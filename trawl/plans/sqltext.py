@@ -7,6 +7,8 @@ These strings mirror the Spark expressions of ``trawl.functions`` and
 
 from __future__ import annotations
 
+from trawl.operators.annotate import TOKEN_WS_RE as TOKEN_WS
+
 R = "http://dbpedia.org/resource/"
 WIKI = "http://en.wikipedia.org/wiki/"
 
@@ -84,7 +86,7 @@ words AS (
   SELECT key, pos, regexp_replace(tok, '[.,]$', '') AS word FROM (
     SELECT doc_id AS key, unnest(l) AS tok, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS pos
     FROM (SELECT doc_id, string_split_regex(text, '[ \n]+') AS l FROM documents))
-  WHERE regexp_matches(tok, '^[A-Z][a-z]{3,}[.,]?$')
+  WHERE regexp_matches(tok, '^\p{Lu}\p{Ll}{3,}[.,]?$')
 )"""
 
 MENTIONS = r"""
@@ -102,20 +104,57 @@ label_class AS (
     ('WORK_OF_ART','dbo:Work')) AS t(label, class)
 )"""
 
+# Tokens and the white space after each (annotate.TOKEN_WS_RE); one blank for any white space inside a cut-out text.
+TOKEN_WS_RE = TOKEN_WS.replace("'", "''")
+
+
+def spaced(tokens: str, ws: str, first: str, last: str) -> str:
+    """Tokens ``first`` to ``last`` (1-based) as written, white space between them as one blank."""
+    return (f"array_to_string(list_transform(range({first}, {last} + 1), lambda j: {tokens}[j] || "
+            f"CASE WHEN j < {last} AND {ws}[j] <> '' THEN ' ' ELSE '' END), '')")
+
+
+# Edit distance counts code points; DuckDB's counts bytes, so letters beyond ASCII become one control character each.
+LETTERS = "ÄÖÜßäöüÀÂÆÇÈÉÊËÎÏÔŒÙÛŸàâæçèéêëîïôœùûÿÁÍÓÚÑáíóúñ"
+
+
+def distance(a: str, b: str) -> str:
+    codes = "".join(f"chr({i})" + " || " for i in (*range(1, 32), *range(35, 200)) if i not in (9, 10, 13) and (i < 32 or chr(i) in "#$%&*+;<=>@[]^_`{|}~"))
+    codes = codes.split(" || ")[: len(LETTERS)]
+    to = " || ".join(codes)
+    return f"levenshtein(translate({a}, '{LETTERS}', {to}), translate({b}, '{LETTERS}', {to}))"
+
+
 KB = f"""
+titles AS (
+  SELECT key, {spaced('toks', 'wss', '1', 'least(len(toks), 2 + key % 5)')} AS name
+  FROM (SELECT doc_id AS key, regexp_extract_all(text, '{TOKEN_WS_RE}', 1) AS toks,
+               regexp_extract_all(text, '{TOKEN_WS_RE}', 2) AS wss FROM documents)
+  WHERE len(toks) >= 2
+),
+named AS (SELECT DISTINCT 'title_' || md5(name) AS id, name FROM titles),
 items AS (SELECT DISTINCT word FROM words WHERE length(word) >= 5),
 kb_label AS (
   SELECT '{R}' || word AS item, word AS name, 'en' AS lang FROM items
   UNION ALL SELECT '{R}' || word, lower(word), 'fr' FROM items
+  UNION ALL SELECT '{R}' || id, name, 'en' FROM named
 ),
 kb_type AS (
   SELECT '{R}' || word AS item,
          (['dbo:Person','geo:SpatialThing','owl:Thing'])[length(word) % 3 + 1] AS class FROM items
+  UNION ALL SELECT '{R}' || word, (['dbo:Person','geo:SpatialThing','owl:Thing'])[(length(word) + 1) % 3 + 1]
+  FROM items WHERE length(word) % 4 = 1
+  UNION ALL SELECT '{R}' || id, 'dbo:Work' FROM named
+  UNION ALL SELECT '{R}' || id, 'dbo:Event' FROM named WHERE length(name) % 2 = 0
+),
+kb_topic AS (
+  SELECT '{R}' || word AS item, '{WIKI}' || word AS page FROM items
+  UNION ALL SELECT '{R}' || id, '{WIKI}' || id FROM named
 ),
-kb_topic AS (SELECT '{R}' || word AS item, '{WIKI}' || word AS page FROM items),
 kb_link AS (
-  SELECT DISTINCT '{R}doc_' || CAST(key AS VARCHAR) AS source, '{R}' || word AS target
-  FROM words WHERE length(word) >= 5
+  SELECT DISTINCT source, target FROM (
+    SELECT '{R}doc_' || CAST(key AS VARCHAR) AS source, '{R}' || word AS target FROM words WHERE length(word) >= 5
+    UNION ALL SELECT '{R}doc_' || CAST(key AS VARCHAR), '{R}title_' || md5(name) FROM titles)
 ),
 kb_disambig AS (
   SELECT '{R}' || substr(word, 1, 4) || '_(disambiguation)' AS page, '{R}' || word AS item FROM items
@@ -177,7 +216,7 @@ cands AS (
 best AS (
   SELECT mention_key, class, rep, page AS link FROM (
     SELECT *, row_number() OVER (PARTITION BY mention_key, class, rep
-                                 ORDER BY cnt DESC, levenshtein(rep, name), page) AS rn FROM cands)
+                                 ORDER BY cnt DESC, {distance('rep', 'name')}, page) AS rn FROM cands)
   WHERE rn = 1
 ),
 resolved AS (

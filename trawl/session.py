@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def stage_dir(spark: SparkSession, job: str = "stages") -> str:
+    """A fresh folder for one run's stages under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/trawl-{job}-{uuid.uuid4().hex[:12]}"
+
+
 def path_status(spark: SparkSession, path: str) -> tuple[int | None, int | None]:
     """(length, modification time) of a path through its Hadoop file system; (None, None) if absent."""
     jvm = spark.sparkContext._jvm

@@ -37,14 +37,15 @@ def _store(spark: SparkSession, path: str, before_epoch: int) -> DataFrame | Non
 def link_batch(df: DataFrame, epoch_id: int, kb: KnowledgeGraph, out_dir: str,
                p_mode: str = "nested") -> None:
     """One micro-batch: page rows -> gazetteer mentions -> store-aware linking -> lines."""
-    from trawl.plans.linking import gazetteer
+    from trawl.plans.linking import gazetteer, materialise
 
     spark = df.sparkSession
     rows = page_rows(pages_as_bodies(df), p_mode=p_mode)
-    sents = N.sentences(rows, "key", "text").persist()  # the name lookup reads them several times
+    folder = f"{out_dir}/stages/epoch={epoch_id}"  # written, so a lost executor does not parse the pages again
+    toks = materialise(N.page_tokens(rows, "key", "text"), folder, "page_tokens")
     ments = distinct_mentions(
-        N.longest_mentions(N.gazetteer_mentions(sents, gazetteer(spark, kb))), label_class_table(spark))
-    ments = ments.persist()
+        N.longest_mentions(N.gazetteer_mentions(toks, gazetteer(spark, kb))), label_class_table(spark))
+    ments = materialise(ments, folder, "mentions")
     store_path = f"{out_dir}/link_store"
     store = _store(spark, store_path, epoch_id)
     keys = ["mention_key", "class"]
@@ -55,8 +56,6 @@ def link_batch(df: DataFrame, epoch_id: int, kb: KnowledgeGraph, out_dir: str,
     linked = ments.join(known, keys).where(F.col("link").isNotNull())
     ents = linked.groupBy("key", "mention").agg(F.min_by("link", "label").alias("link"))
     ents.select(entity_value().alias("value")).write.mode("overwrite").text(f"{out_dir}/lines/epoch={epoch_id}")
-    ments.unpersist()
-    sents.unpersist()
 
 
 def start_page_stream(spark: SparkSession, pages_dir: str, kb: KnowledgeGraph, out_dir: str,
