@@ -8,9 +8,10 @@ same outputs come from table jobs, with a plug for a user model:
   printed with their original spacing;
 * N2 sentence split on tokens, sentencizer rule: a sentence ends after a
   ``. ! ?`` token plus any punctuation tokens that follow; done inside each
-  row with array/regex functions (no window, no shuffle of the tokens);
+  row with array/regex functions (no window, no shuffle of the tokens); the dots
+  of abbreviations learnt by ``abbrev`` may be left out;
 * N5 ``pos_lexicon`` / ``tag_tokens``: most frequent tag per word from any
-  tagged table, suffix rules for unknown words;
+  tagged table, suffix rules for unknown words; ``tagger`` decides by context;
 * N3 ``gazetteer_mentions``: names found by a token trie inside each page (``names``);
 * N4 ``longest_spans``: longest-first, then earliest, non-overlapping;
 * N6 ``annotate_with``: ``mapInPandas`` around a user function.
@@ -24,7 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.plan import compute_once, hot_split_join
+from trawl.operators.abbrev import guard_dots, unguard
 from trawl.operators.names import find_names
+from trawl.operators.senses import choose_labels
 
 # Token rule (Java and RE2 agree on it): numbers with inner . or , ; words
 # with inner hyphen/apostrophe; else one non-space, non-word character.
@@ -59,12 +62,19 @@ def sentence_starts(tokens: Column) -> Column:
     return F.concat(F.array(F.lit(0)), later)
 
 
-def page_tokens(df: DataFrame, key_col: str = "key", text_col: str = "text") -> DataFrame:
-    """N1 + N2 per page: (key, tokens, ws, starts), ``starts`` = the first token of each sentence; map-side only."""
-    t = compute_once(df.select(F.col(key_col).alias("key"), _c(text_col).alias("_text")), keep=["key"],
-                     tokens=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 1),
+def page_tokens(df: DataFrame, key_col: str = "key", text_col: str = "text",
+                abbreviations: DataFrame | None = None) -> DataFrame:
+    """N1 + N2 per page: (key, tokens, ws, starts), ``starts`` = the first token of each sentence; map-side only.
+
+    With ``abbreviations`` (``abbrev.learn_abbreviations``) their dots end no sentence.
+    """
+    t = df.select(F.col(key_col).alias("key"), _c(text_col).alias("_text"))
+    if abbreviations is not None:
+        t = guard_dots(t, abbreviations)
+    t = compute_once(t, keep=[c for c in t.columns if c != "_text"], tokens=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 1),
                      ws=F.regexp_extract_all("_text", F.lit(TOKEN_WS_RE), 2))
-    return compute_once(t.where(F.size("tokens") > 0), starts=sentence_starts(F.col("tokens")))
+    t = compute_once(t.where(F.size("tokens") > 0), starts=sentence_starts(F.col("tokens")))
+    return t if abbreviations is None else t.withColumn("tokens", unguard(F.col("tokens"), F.col("_marked"))).drop("_marked")
 
 
 def sentence_rows(pages: DataFrame) -> DataFrame:
@@ -84,9 +94,10 @@ def sentence_rows(pages: DataFrame) -> DataFrame:
     return s.select("key", F.col("sent").cast("bigint").alias("sent"), "s.tokens", "s.ws")
 
 
-def sentences(df: DataFrame, key_col: str = "key", text_col: str = "text") -> DataFrame:
-    """N1 + N2: (key, sent, tokens, ws), one row per sentence, map-side only."""
-    return sentence_rows(page_tokens(df, key_col, text_col))
+def sentences(df: DataFrame, key_col: str = "key", text_col: str = "text",
+              abbreviations: DataFrame | None = None) -> DataFrame:
+    """N1 + N2: (key, sent, tokens, ws), one row per sentence, map-side only; ``abbreviations`` as in ``page_tokens``."""
+    return sentence_rows(page_tokens(df, key_col, text_col, abbreviations))
 
 
 # N5 ------------------------------------------------------------------------
@@ -140,7 +151,8 @@ def tag_tokens(sents: DataFrame, lexicon: DataFrame | None, hot_rows: int = 1_00
 
 
 # N3 / N4 ----------------------------------------------------------------------
-def gazetteer_mentions(pages: DataFrame, gazetteer: DataFrame, hot_rows: int = 1_000_000, **limits) -> DataFrame:
+def gazetteer_mentions(pages: DataFrame, gazetteer: DataFrame, hot_rows: int = 1_000_000, by_context: int = 0,
+                       **limits) -> DataFrame:
     """Token sequences equal to a known name -> (key, sent, start, end, mention, label) and, of pages, ``at``.
 
     Names and text are compared token by token, so spacing does not matter
@@ -150,6 +162,8 @@ def gazetteer_mentions(pages: DataFrame, gazetteer: DataFrame, hot_rows: int = 1
     name may then hold a sentence end; it belongs to the sentence it begins in
     (``start`` and ``end`` count from there, ``at`` from the page's
     first token).  With rows of ``sentences`` names are found inside each sentence.
+    A name with several labels gives a row for each; with ``by_context``, that many
+    tokens on either side choose one label (``senses.choose_labels``).
     """
     if "starts" in pages.columns:
         rows, ids = pages.select("key", "tokens", "ws", "starts"), ["key"]
@@ -157,7 +171,11 @@ def gazetteer_mentions(pages: DataFrame, gazetteer: DataFrame, hot_rows: int = 1
     else:
         rows, ids = pages.select("key", "sent", "tokens", "ws", F.array(F.lit(0)).alias("starts")), ["key", "sent"]
         sent = F.col("sent")
-    hits = find_names(rows, gazetteer, ids, hot_rows, **limits)
+    if by_context and ids != ["key"]:
+        raise ValueError("labels are chosen by context on page_tokens rows")
+    hits = find_names(rows, gazetteer, ids, hot_rows, by_context, **limits)
+    if by_context:
+        hits = choose_labels(hits, hot_rows)
     start = F.col("at") - F.col("first")
     at = ["at"] if "starts" in pages.columns else []
     return hits.select("key", sent.alias("sent"), start.alias("start"), (start + F.col("n")).alias("end"), "mention", "label", *at)

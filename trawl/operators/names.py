@@ -109,8 +109,15 @@ def spaced_text(tokens: Column, ws: Column, start: Column, n: Column) -> Column:
 _HITS = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("at", "n", "sent", "first")]))
 
 
-def _walk_pages(pages: DataFrame, ids: list[str], nodes: np.ndarray, last: np.ndarray) -> DataFrame:
-    """(ids, at, n, sent, first, text, mention): trie hits of one shard in (ids, tokens, ws, starts) rows."""
+def words_around(tokens: Column, at: Column, n: Column, width: int) -> Column:
+    """Lower-cased words among the ``width`` tokens on either side of ``n`` tokens from ``at``."""
+    before = F.slice(tokens, F.greatest(at - width, F.lit(0)) + 1, F.least(at, F.lit(width)))
+    after = F.slice(tokens, at + n + 1, F.lit(width))
+    return F.transform(F.filter(F.concat(before, after), lambda t: t.rlike(r"^[\p{L}\p{N}]")), F.lower)
+
+
+def _walk_pages(pages: DataFrame, ids: list[str], nodes: np.ndarray, last: np.ndarray, context: int) -> DataFrame:
+    """(ids, at, n, sent, first, text, mention[, context]): trie hits of one shard in (ids, tokens, ws, starts) rows."""
     spark = pages.sparkSession
     shard = spark.sparkContext.broadcast((nodes, last))
     rows = pages.select(*ids, "tokens", "ws", "starts", token_hashes(F.col("tokens")).alias("hits"))
@@ -136,17 +143,19 @@ def _walk_pages(pages: DataFrame, ids: list[str], nodes: np.ndarray, last: np.nd
     cut = F.transform("hits", lambda x: F.struct(
         x["at"].alias("at"), x["n"].alias("n"), x["sent"].alias("sent_no"), x["first"].alias("first"),
         F.array_join(F.slice("tokens", x["at"] + 1, x["n"]), " ").alias("text"),
-        spaced_text(F.col("tokens"), F.col("ws"), x["at"], x["n"]).alias("mention")))
+        spaced_text(F.col("tokens"), F.col("ws"), x["at"], x["n"]).alias("mention"),
+        *([words_around(F.col("tokens"), x["at"], x["n"], context).alias("context")] if context else [])))
     return found.where(F.size("hits") > 0).select(*ids, cut.alias("cut")).select(*ids, F.inline("cut"))
 
 
-def find_names(pages: DataFrame, gazetteer: DataFrame, ids: list[str], hot_rows: int = 1_000_000, nodes: int = NODES,
-               name_rows: int = NAME_ROWS) -> DataFrame:
+def find_names(pages: DataFrame, gazetteer: DataFrame, ids: list[str], hot_rows: int = 1_000_000, context: int = 0,
+               nodes: int = NODES, name_rows: int = NAME_ROWS) -> DataFrame:
     """(ids, at, n, sent_no, first, text, mention, label) for every name of ``gazetteer`` in (ids, tokens, ws, starts).
 
     ``at`` counts the page's tokens from 0, ``sent_no`` is the sentence the name begins
     in and ``first`` that sentence's first token.  A name with two
-    labels gives two rows.  Up to ``name_rows`` the name table is broadcast;
+    labels gives two rows.  With ``context``, ``n_labels`` counts the labels of the name and
+    ``context`` holds the words within so many tokens of it.  Up to ``name_rows`` the name table is broadcast;
     beyond, the hits are joined by a shuffle with frequent names split off.
     """
     spark = pages.sparkSession
@@ -161,11 +170,15 @@ def find_names(pages: DataFrame, gazetteer: DataFrame, ids: list[str], hot_rows:
         part = stored.where(F.pmod("root", F.lit(shards)) == k).select("node", "last").toArrow()
         node = part.column("node").to_numpy().view(np.uint64)
         order = np.argsort(node)
-        hits = _walk_pages(pages, ids, node[order], part.column("last").to_numpy(zero_copy_only=False)[order].astype(bool))
+        hits = _walk_pages(pages, ids, node[order], part.column("last").to_numpy(zero_copy_only=False)[order].astype(bool),
+                           context)
         found = hits if found is None else found.unionByName(hits)
-    labels = names.select("text", "label")
+    labels = names.select("text", "label").distinct()
+    if context:
+        labels = labels.join(labels.groupBy("text").agg(F.count(F.lit(1)).alias("n_labels")), "text")
     if labels.count() <= name_rows:
         return found.join(F.broadcast(labels), "text")
-    by_text = labels.groupBy("text").agg(F.collect_set("label").alias("labels"))
+    more = [F.max("n_labels").alias("n_labels")] if context else []
+    by_text = labels.groupBy("text").agg(F.collect_set("label").alias("labels"), *more)
     joined = hot_split_join(found, by_text, ["text"], hot_rows)
     return joined.withColumn("label", F.explode("labels")).drop("labels")

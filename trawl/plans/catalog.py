@@ -47,6 +47,15 @@ def rebalance(df: DataFrame) -> DataFrame:
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder under the shared checkpoint folder and read back."""
+    from trawl.session import stage_dir
+
+    path = f"{stage_dir(df.sparkSession, name)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebalance(fx.read_table(spark, sf_dir, "documents"))
 
@@ -454,7 +463,9 @@ def q_kb_from_triples(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Annotation N1-N5
 # ---------------------------------------------------------------------------
+from trawl.operators import abbrev as AB  # noqa: E402
 from trawl.operators import annotate as N  # noqa: E402
+from trawl.operators import tagger as TG  # noqa: E402
 from trawl.operators import relations as RL  # noqa: E402
 from trawl.operators import score as E  # noqa: E402
 from trawl.plans.linking import CLASS_LABELS, gazetteer  # noqa: E402
@@ -478,11 +489,55 @@ ss AS (
 )"""
 
 
-@register("sentences", "WITH " + _SENTS_SQL.strip() + """
-SELECT key, sent, CAST(len(stoks) AS BIGINT) AS n_tokens, array_to_string(stoks, ' ') AS sentence FROM ss""")
+# Abbreviations: chunks between white space, counted by word with and without a dot; then the text with their dots marked.
+_AB = {k: v.replace("'", "''") for k, v in (("chunk", AB.CHUNK_RE), ("dot", AB.DOTTED_RE), ("plain", AB.PLAIN_RE))}
+_ABBREV_SQL = f"""
+chunked AS (
+  SELECT doc_id AS key, unnest(regexp_extract_all(text, '{_AB["chunk"]}', 1)) AS c,
+         unnest(regexp_extract_all(text, '{_AB["chunk"]}', 2)) AS b,
+         generate_subscripts(regexp_extract_all(text, '{_AB["chunk"]}', 1), 1) AS i
+  FROM documents
+),
+typed AS (
+  SELECT key, c, b, i, lower(regexp_extract(c, '{_AB["dot"]}', 1)) AS d, lower(regexp_extract(c, '{_AB["plain"]}', 1)) AS p FROM chunked
+),
+types AS (
+  SELECT word, CAST(sum(dot) AS BIGINT) AS n_dot, CAST(sum(1 - dot) AS BIGINT) AS n_plain
+  FROM (SELECT CASE WHEN d <> '' THEN d ELSE p END AS word, CASE WHEN d <> '' THEN 1 ELSE 0 END AS dot FROM typed)
+  WHERE regexp_matches(word, '\\pL') GROUP BY word
+),
+rate AS (SELECT (sum(n_dot) + 0.5) / (sum(n_dot + n_plain) + 1.0) AS p0 FROM types),
+weighed AS (
+  SELECT word, n_dot, n_plain, length(replace(word, '.', '')) AS size,
+         2 * (n_dot * (ln(0.99) - ln(p0)) + n_plain * (ln(0.01) - ln(1 - p0))) AS ratio
+  FROM types, rate WHERE n_dot > 0
+),
+abbreviations AS (
+  SELECT word, n_dot, n_plain, ratio * (length(word) - size + 1) * exp(-size - n_plain * ln(size)) AS score
+  FROM weighed WHERE ratio * (length(word) - size + 1) * exp(-size - n_plain * ln(size)) >= {AB.THRESHOLD}
+),
+guarded AS (
+  SELECT key, string_agg(CASE WHEN a.word IS NULL THEN c ELSE replace(c, '.', chr({ord(AB.MARK)})) END || b, '' ORDER BY i) AS text
+  FROM typed LEFT JOIN abbreviations a ON a.word = d AND d <> '' GROUP BY key
+)"""
+_GUARDED_SENTS_SQL = _SENTS_SQL.replace("tk AS (SELECT doc_id AS key,", "tk AS (SELECT key,").replace(
+    "AS wss FROM documents)", "AS wss FROM guarded)")
+
+
+@register("abbreviations", S.with_ctes(_ABBREV_SQL) + " SELECT word, n_dot, n_plain, score FROM abbreviations")
+def q_abbreviations(spark, sf_dir):
+    """Word types whose dot belongs to them, learnt from all texts."""
+    return AB.learn_abbreviations(docs(spark, sf_dir))
+
+
+@register("sentences", S.with_ctes(_ABBREV_SQL, _GUARDED_SENTS_SQL) + f"""
+SELECT key, sent, CAST(len(stoks) AS BIGINT) AS n_tokens, replace(array_to_string(stoks, ' '), chr({ord(AB.MARK)}), '.') AS sentence
+FROM ss""")
 def q_sentences(spark, sf_dir):
-    """N1 + N2: rule tokens, sentence split after . ! ? tokens, whole texts."""
-    s = N.sentences(docs(spark, sf_dir), "doc_id", "text")
+    """N1 + N2: rule tokens, sentence split after . ! ? tokens but not after learnt abbreviations, whole texts."""
+    d = docs(spark, sf_dir)
+    known = stored(AB.learn_abbreviations(d), "abbreviations")
+    s = N.sentences(d, "doc_id", "text", known)
     return s.select("key", "sent", F.size("tokens").cast("bigint").alias("n_tokens"),
                     F.array_join("tokens", " ").alias("sentence"))
 
@@ -541,6 +596,15 @@ def q_pos_tags(spark, sf_dir):
     return N.tag_tokens(sents, q_pos_lexicon(spark, sf_dir)).select("key", "sent", "pos")
 
 
+@register("pos_viterbi")
+def q_pos_viterbi(spark, sf_dir):
+    """Every sentence tagged by the cheapest path of a bigram model counted on the tagged texts."""
+    d = docs(spark, sf_dir)
+    tagged = stored(fx.pos_sentences(d).select("tokens", "pos"), "tagged")
+    sents = N.sentences(d, "doc_id", "text").select("key", "sent", "tokens")
+    return TG.tag_in_context(sents, TG.train_tagger(tagged)).select("key", "sent", "pos")
+
+
 _GAZ_SQL = """
 class_labels AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', '{lb}')" for c, lb in CLASS_LABELS) + """) t(class, label)),
 gaz AS (
@@ -615,6 +679,52 @@ def q_longest_spans(spark, sf_dir):
     return _mention_columns(N.longest_mentions(_gazetteer_hits(spark, sf_dir)))
 
 
+# N3 with one label: mentions of names with one label teach the words around a label.
+AROUND = 4
+_AROUND_SQL = f"""
+named_labels AS (SELECT text, count(*) AS n_labels FROM gaztok GROUP BY text),
+ctx AS (
+  SELECT f.key, f.beg, f.stop, z.label, l.n_labels, list_transform(list_filter(
+           list_concat(s.toks[greatest(f.beg - {AROUND}, 0) + 1 : f.beg], s.toks[f.stop + 1 : f.stop + {AROUND}]),
+           lambda t: regexp_matches(t, '^[\\pL\\pN]')), lambda t: lower(t)) AS context
+  FROM (SELECT key, beg, stop, text FROM grams WHERE text IN (SELECT text FROM gaztok)) f
+  JOIN gaztok z ON z.text = f.text JOIN named_labels l ON l.text = f.text JOIN st s ON s.key = f.key
+),
+near AS (SELECT label, word, count(*) AS c FROM (SELECT label, unnest(context) AS word FROM ctx WHERE n_labels = 1) GROUP BY label, word),
+overall AS (SELECT (SELECT count(DISTINCT word) FROM near) AS v, (SELECT count(*) FROM ctx WHERE n_labels = 1) AS total,
+                (SELECT count(DISTINCT label) FROM ctx) AS k),
+stats AS (
+  SELECT a.label, CAST(floor(ln((coalesce(m, 0) + 1) / CAST(total + k AS DOUBLE)) * 1000000) AS BIGINT) AS prior,
+         CAST(coalesce(t, 0) + v + 1 AS DOUBLE) AS total_near
+  FROM (SELECT DISTINCT label FROM ctx) a
+  LEFT JOIN (SELECT label, count(*) AS m FROM ctx WHERE n_labels = 1 GROUP BY label) b ON b.label = a.label
+  LEFT JOIN (SELECT label, sum(c) AS t FROM near GROUP BY label) d ON d.label = a.label, overall
+),
+sums AS (
+  SELECT o.key, o.beg, o.stop, o.label, sum(CAST(floor(ln((coalesce(c, 0) + 1) / total_near) * 1000000) AS BIGINT)) AS s
+  FROM (SELECT key, beg, stop, label, unnest(context) AS word FROM ctx WHERE n_labels > 1) o
+  JOIN stats ON stats.label = o.label LEFT JOIN near ON near.label = o.label AND near.word = o.word
+  GROUP BY o.key, o.beg, o.stop, o.label
+),
+chosen AS (
+  SELECT key, beg, stop, label FROM (
+    SELECT c.key, c.beg, c.stop, c.label, row_number() OVER (
+             PARTITION BY c.key, c.beg, c.stop ORDER BY prior + coalesce(s, 0) DESC, c.label) AS rn
+    FROM ctx c JOIN stats ON stats.label = c.label
+    LEFT JOIN sums u ON u.key = c.key AND u.beg = c.beg AND u.stop = c.stop AND u.label = c.label WHERE c.n_labels > 1)
+  WHERE rn = 1
+  UNION ALL SELECT key, beg, stop, label FROM ctx WHERE n_labels = 1
+)"""
+
+
+@register("label_choice", S.with_ctes(S.WORDS, S.KB, _GAZ_SQL, _SENTS_SQL, _HITS_SQL, _AROUND_SQL, _place_sql("placed", "chosen")) + f"""
+SELECT {_MENTION_COLS} FROM placed""")
+def q_label_choice(spark, sf_dir):
+    """One label per mention; names with several labels are judged by the words around them."""
+    toks = N.page_tokens(docs(spark, sf_dir), "doc_id", "text")
+    return _mention_columns(N.gazetteer_mentions(toks, gazetteer(spark, _kb(spark, sf_dir)), by_context=AROUND))
+
+
 # ---------------------------------------------------------------------------
 # Relations R1-R6
 # ---------------------------------------------------------------------------
