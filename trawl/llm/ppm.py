@@ -40,7 +40,7 @@ ORDER = 4
 END = 10  # the end symbol, and what precedes a document's first byte
 BLOCK_BYTES = 8 << 20
 _PAD = bytes([END]) * ORDER
-_BLOCK = ("block string, doc_id array<long>, held_out array<boolean>, n_words array<long>, z binary, "
+_BLOCK = ("block long, doc_id array<long>, held_out array<boolean>, n_words array<long>, z binary, "
           "words array<long>, word_n array<long>, codes array<long>, code_n array<long>, train_docs long")
 
 
@@ -102,10 +102,10 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
             codes = np.union1d(learnt, others)
             code_n = np.zeros(len(codes), np.int64)
             code_n[np.searchsorted(codes, learnt)] = times
-            row = [uuid.uuid4().hex, list(ids), list(held), list(n_words), squeeze.compress(raw), names, count, codes,
+            row = [uuid.uuid4().int >> 65, list(ids), list(held), list(n_words), squeeze.compress(raw), names, count, codes,
                    code_n, int(train.sum())]
             ids.clear(), held.clear(), parts.clear(), n_words.clear()
-            kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(),
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(),
                      *[pa.list_(pa.int64())] * 4, pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)],
                                               [f.split()[0] for f in _BLOCK.split(", ")])
