@@ -43,6 +43,14 @@ def broadcast_checked(stored: DataFrame, limit: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(stored) if stored.count() <= limit else stored
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of ``frames`` has it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """One run's folder under the shared checkpoint folder.
 

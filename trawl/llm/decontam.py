@@ -20,9 +20,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trawl.functions.plan import compute_once
-from trawl.llm.common import Scratch, ascii_lower, broadcast_checked, words
+from trawl.llm.common import Scratch, ascii_lower, broadcast_checked, words, fresh
 
 SPAN = 13
 MAX_SUBST = 2
@@ -98,8 +99,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, max_subs
             hit = hit.select("doc_id", "item_id", start.alias("i"), miss.alias("miss")).where(F.col("miss") <= allowed)
             found = hit if found is None else found.unionByName(hit)
     if found is None:
-        found = docs.select("doc_id").crossJoin(benchmark.select("item_id").limit(0)).select(
-            "doc_id", "item_id", F.lit(0).alias("i"), F.lit(0).alias("miss")).limit(0)
+        ends = [docs.schema["doc_id"], benchmark.schema["item_id"], T.StructField("i", T.IntegerType()), T.StructField("miss", T.IntegerType())]
+        found = docs.sparkSession.createDataFrame([], T.StructType(ends))
     windows = found.groupBy("doc_id", "item_id", "i").agg(F.min("miss").alias("miss"))
     return windows.groupBy("doc_id", "item_id").agg(
         F.count(F.lit(1)).alias("n_windows"), F.sum((F.col("miss") == 0).cast("long")).alias("n_exact"),
@@ -108,6 +109,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, max_subs
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, max_subst: int = MAX_SUBST) -> DataFrame:
     """The rows of ``docs`` that share no window with a benchmark item; columns unchanged."""
-    leaks = find_leaks(docs, benchmark, span, max_subst).select(F.col("doc_id").alias("_leak")).distinct()
+    name = fresh("_leak", docs)
+    leaks = find_leaks(docs, benchmark, span, max_subst).select(F.col("doc_id").alias(name)).distinct()
     leaks = Scratch(docs.sparkSession, "leaks").keep(leaks, "doc_ids")
-    return docs.join(broadcast_checked(leaks), docs["doc_id"].eqNullSafe(F.col("_leak")), "left_anti")
+    return docs.join(broadcast_checked(leaks), docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")

@@ -1,10 +1,12 @@
 """Line deduplication by a segment-partition edit join (native).
 
-Two lines are near copies when at most ``max_edits`` single-character edits
-(insertions, deletions, substitutions of code points) turn one into the
-other.  A line split into ``max_edits + 1`` segments keeps at least one of
-them whole under that many edits, so every line is indexed under its own
-segments (length, segment number, substring) and probes the segments that a
+Two lines are near copies when few single-character edits (insertions,
+deletions, substitutions of code points) turn one into the other: one edit for
+every ``per_edit`` code points of the shorter line, ``max_edits`` at most.  So
+short lines are compared for equality only, by rule: one changed character
+makes another word or number of them.  A line split into k + 1 segments keeps at
+least one of them whole under k edits, so every line is indexed under its own
+segments (edits, length, segment number, substring) and probes the segments that a
 line of its own or a shorter length could have, at the few positions to which
 that many edits can move them.  Lines that meet under a key are verified by
 a banded bit-parallel edit distance.
@@ -14,10 +16,12 @@ Keys that only one line has (nearly all) are dropped by an aggregation of
 a key are dealt into blocks, and every pair of blocks is compared in one
 row, so no key becomes one task and no candidate pair becomes a row.
 
-Near copies and equal lines form classes; the occurrence with the smallest
-(doc_id, position) stays and every other occurrence is removed.  Blank
-lines are kept.  Segments and band need ``2 * max_edits + 2`` code points (6
-for two edits); shorter lines are compared for equality only.
+Of equal lines the occurrence with the smallest (doc_id, position) stays.
+A different line goes only if it is a near copy of one that stays: in the
+order of first occurrence a line stays unless it is linked to an earlier one
+that stays.  This is decided in rounds over the links alone; after ``ROUNDS``
+rounds a chain of lines still open is decided in the order of their hashes, which
+ends it soon and keeps the rule.  Blank lines are kept.
 """
 
 from __future__ import annotations
@@ -26,8 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.plan import compute_once
-from trawl.llm.common import Scratch, broadcast_checked
-from trawl.llm.components import connected_components
+from trawl.llm.common import Scratch, broadcast_checked, fresh
+
+PER_EDIT = 16  # code points of the shorter line for each edit
+ROUNDS = 12
 
 
 def _let(value: Column, fn) -> Column:
@@ -101,7 +107,7 @@ def segment_keys(line: Column, n: Column, k: int) -> Column:
             # integer division in place: these run twelve times a line
             start, stop = (F.call_function("div", size * j, F.lit(parts)).cast("int") for j in (i, i + 1))
             for off in range(max(-i, diff - (k - i)), min(i, diff + (k - i)) + 1):
-                key = F.xxhash64(size * parts + i, F.substring(line, start + 1 + off, stop - start))
+                key = F.xxhash64(F.lit(k), size * parts + i, F.substring(line, start + 1 + off, stop - start))
                 out.append(F.struct(key.alias("key"), F.lit(diff == 0 and off == 0).alias("home")))
     return F.array(*out)
 
@@ -165,18 +171,36 @@ def trimmed_distance(x: Column, y: Column, k: int) -> Column:
         lambda z: _let(z["a"], lambda a: _let(z["b"], lambda b: banded_distance(a, b, k))))))
 
 
-def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: int, block: int = 32) -> DataFrame:
-    """Links (a, b) between the ids of different lines within ``max_edits`` edits.
+def keys_by_length(line: Column, n: Column, max_edits: int, per_edit: int) -> Column:
+    """``segment_keys`` for every number of edits that a pair with this line can be allowed.
 
-    ``lines`` has (id, line), repeats allowed.  Every such pair is a link
-    where both lines have ``min_chars`` and ``2 * max_edits + 2`` code points.
+    The shorter line of a pair with k edits has from ``k * per_edit`` code
+    points; the longer one up to k more than that range.
     """
+    out = []
+    for k in range(1, max_edits + 1):
+        within = n >= k * per_edit
+        if k < max_edits:
+            within = within & (n < (k + 1) * per_edit + k)
+        out.append(F.when(within, segment_keys(line, n, k)).otherwise(F.array().cast("array<struct<key:bigint,home:boolean>>")))
+    return F.concat(*out)
+
+
+def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, per_edit: int = PER_EDIT, block: int = 32) -> DataFrame:
+    """Links (a, b) between the ids of different lines that are near copies.
+
+    ``lines`` has (id, line), repeats allowed.  Every pair is a link whose distance is
+    at most ``max_edits`` and one for each ``per_edit`` code points of the shorter line;
+    ``per_edit`` is at least ``2 * max_edits + 2``, so that segments and band fit.
+    """
+    if per_edit < 2 * max_edits + 2:
+        raise ValueError("per_edit is too small for the band")
     n = F.char_length("line")
-    long = lines.select("id", "line", n.alias("n")).where(F.col("n") >= max(min_chars, 2 * max_edits + 2))
-    keyed = long.select("id", "line", F.inline(segment_keys(F.col("line"), F.col("n"), max_edits)))
+    long = lines.select("id", "line", n.alias("n")).where(F.col("n") >= per_edit)
+    keyed = long.select("id", "line", F.inline(keys_by_length(F.col("line"), F.col("n"), max_edits, per_edit)))
     shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("home").alias("home"))
     shared = scratch.keep(shared.where("a <> b AND home").select("key"), "keys")
-    # a line has at most a dozen keys, so the sets of an id are bounded; counts of characters are taken once a line
+    # a line has a few dozen keys at most, so the sets of an id are bounded; counts of characters are taken once a line
     members = keyed.join(broadcast_checked(shared), "key", "left_semi").groupBy("id").agg(
         F.first("line").alias("line"), F.collect_set("key").alias("keys"),
         F.collect_set(F.when(F.col("home"), F.col("key"))).alias("homes")).withColumn("bag", bag(F.col("line")))
@@ -195,23 +219,52 @@ def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, min_chars: in
     groups = compute_once(groups, ["key", "i", "j"], g=F.col("g")).where(F.size("g") > 1)
     pairs = groups.select("key", "i", "j", "g", F.posexplode("g").alias("at", "x"))
 
+    def allowed(y):
+        shorter = F.least(F.size(F.col("x.c")), F.size(y["c"]))
+        return F.least(F.call_function("div", shorter, F.lit(per_edit)).cast("int"), F.lit(max_edits))
+
     def meet(y):
         """Cheap bounds first; a pair is compared under one key only, the least that is a segment of one and a probe of the other."""
         x = F.col("x")
         met = F.array_union(F.array_intersect(x["homes"], y["keys"]), F.array_intersect(x["keys"], y["homes"]))
         return ((y["id"] != x["id"]) & ((F.col("i") == F.col("j")) | (y["own"] != x["own"])) & (x["home"] | y["home"])
-                & (F.abs(F.size(y["c"]) - F.size(x["c"])) <= max_edits)
+                & (F.abs(F.size(y["c"]) - F.size(x["c"])) <= allowed(y))
                 & (F.bit_count(x["odd"].bitwiseXOR(y["odd"])) <= 2 * max_edits)
                 & bags_near(x["bag"], y["bag"], max_edits) & (F.array_min(met) == F.col("key")))
 
     rest = F.slice("g", F.col("at") + 2, F.greatest(F.size("g") - F.col("at") - 1, F.lit(0)))
     pairs = pairs.select(F.col("x.id").alias("a"), "x", F.filter(rest, meet).alias("ys")).where(F.size("ys") > 0)
-    near = F.filter("ys", lambda y: trimmed_distance(F.col("x"), y, max_edits) <= max_edits)
+    near = F.filter("ys", lambda y: trimmed_distance(F.col("x"), y, max_edits) <= allowed(y))
     links = pairs.select("a", F.explode(near).alias("y")).select("a", F.col("y.id").alias("b"))
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 0) -> DataFrame:
+def copies_to_remove(edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
+    """(id) of the nodes to remove, from directed links (u, v), v the earlier of two near copies.
+
+    Every removed node has a link to one that stays, and no two that stay are linked.
+    A node without an earlier open neighbour stays; its later neighbours go.
+    """
+    gone, step = None, 0
+    edges = scratch.keep(edges.distinct(), "open-0")
+    while edges.count():
+        stay = edges.select(F.col("v").alias("id")).distinct().join(edges.select(F.col("u").alias("id")), "id", "left_anti")
+        hit = edges.join(stay.withColumnRenamed("id", "v"), "v", "left_semi").select(F.col("u").alias("id")).distinct()
+        hit = scratch.keep(hit, f"gone-{step}")
+        gone = hit if gone is None else gone.unionByName(hit)
+        # what stays has lost its later neighbours, so only the nodes that go need to be taken out
+        for end in ("u", "v"):
+            edges = edges.join(hit.withColumnRenamed("id", end), end, "left_anti")
+        step += 1
+        if step == rounds:
+            first, second = F.struct(F.xxhash64("u"), "u"), F.struct(F.xxhash64("v"), "v")
+            edges = edges.select(F.when(first > second, F.col("u")).otherwise(F.col("v")).alias("u"),
+                                 F.when(first > second, F.col("v")).otherwise(F.col("u")).alias("v"))
+        edges = scratch.keep(edges, f"open-{step}")
+    return edges.select(F.col("u").alias("id")) if gone is None else gone
+
+
+def dedup_lines(docs: DataFrame, max_edits: int = 2, per_edit: int = PER_EDIT) -> DataFrame:
     """``docs`` with repeated and nearly repeated lines removed.
 
     Adds n_lines (all lines of the text), n_removed and n_links (links of the
@@ -223,33 +276,40 @@ def dedup_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 0) -> Data
     """
     scratch = Scratch(docs.sparkSession, "lines")
     lines = occurrences(docs)
-    links = scratch.keep(near_lines(lines.select("id", "line"), scratch, max_edits, min_chars), "links")
-    degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("node")).agg(
-        F.count(F.lit(1)).alias("n_links"))
-    comps = scratch.keep(connected_components(links, scratch).join(degree, "node").select(
-        F.col("node").alias("id"), "component", "n_links"), "classes")
-    occ = lines.drop("line").join(broadcast_checked(comps), "id", "left").select(
-        "doc_id", "doc_hash", "pos", "n_links", F.coalesce("component", "id").alias("c1"),
-        F.when(F.col("component").isNull(), F.col("id2")).otherwise(F.lit(0)).alias("c2"))
-    occ = scratch.keep(occ, "occurrences")
+    links = scratch.keep(near_lines(lines.select("id", "line"), scratch, max_edits, per_edit), "links")
+    degree = scratch.keep(links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("id")).agg(
+        F.count(F.lit(1)).alias("n_links")), "degree")
+    occ = scratch.keep(lines.drop("line").join(broadcast_checked(degree), "id", "left").select(
+        "doc_id", "doc_hash", "pos", "id", "id2", "n_links"), "occurrences")
     place = F.struct("doc_id", "doc_hash", "pos")
-    classes = occ.groupBy("c1", "c2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    gone = occ.join(classes, ["c1", "c2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "doc_hash", "pos")
+    places = occ.where("n_links > 0").groupBy("id").agg(F.min(place).alias("p"))
+    ends = links.join(places.withColumnsRenamed({"id": "a", "p": "pa"}), "a").join(
+        places.withColumnsRenamed({"id": "b", "p": "pb"}), "b")
+    later = F.col("pa") > F.col("pb")
+    copies = copies_to_remove(ends.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("u"),
+                                          F.when(later, F.col("b")).otherwise(F.col("a")).alias("v")), scratch)
+    copies = broadcast_checked(scratch.keep(copies, "copies"))
+    equal = occ.join(copies, "id", "left_anti")
+    classes = equal.groupBy("id", "id2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = equal.join(classes, ["id", "id2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "doc_hash", "pos")
+    gone = gone.unionByName(occ.join(copies, "id", "left_semi").select("doc_id", "doc_hash", "pos"))
     linked = occ.where("n_links > 0").groupBy("doc_id", "doc_hash").agg(F.sum("n_links").alias("n_links"))
     per_doc = gone.groupBy("doc_id", "doc_hash").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     per_doc = per_doc.withColumn("n_links", F.lit(0).cast("long")).unionByName(
         linked.withColumn("gone", F.array().cast("array<int>"))).groupBy("doc_id", "doc_hash").agg(
-        F.flatten(F.collect_list("gone")).alias("_gone"), F.sum("n_links").alias("_links"))
-    per_doc = per_doc.select(F.col("doc_id").alias("_doc"), F.col("doc_hash").alias("_hash"), "_gone", "_links")
+        F.flatten(F.collect_list("gone")).alias("gone"), F.sum("n_links").alias("links"))
+    key, mark, cut, links_of = (fresh(c, docs) for c in ("_doc", "_hash", "_gone", "_links"))
+    per_doc = per_doc.select(F.col("doc_id").alias(key), F.col("doc_hash").alias(mark), F.col("gone").alias(cut),
+                             F.col("links").alias(links_of))
     added = ("n_lines", "n_removed", "n_links")
-    out = docs.join(per_doc, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash")), "left")
-    gap = F.transform("_gone", lambda p, i: F.concat(F.repeat(F.lit("0"), (
-        p - F.when(i == 0, F.lit(0)).otherwise(F.get("_gone", F.greatest(i - 1, F.lit(0))) + 1)).cast("int")), F.lit("1")))
+    out = docs.join(per_doc, docs["doc_id"].eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(mark)), "left")
+    gap = F.transform(cut, lambda p, i: F.concat(F.repeat(F.lit("0"), (
+        p - F.when(i == 0, F.lit(0)).otherwise(F.get(cut, F.greatest(i - 1, F.lit(0))) + 1)).cast("int")), F.lit("1")))
     flags = F.split(F.array_join(gap, ""), "")
     kept = F.filter(F.arrays_zip(F.split("text", "\n").alias("line"), flags.alias("flag")),
                     lambda z: (F.coalesce(z["flag"], F.lit("0")) != "1") & z["line"].isNotNull())
-    text = F.when(F.size("_gone") > 0, F.array_join(F.transform(kept, lambda z: z["line"]), "\n")).otherwise(F.col("text"))
+    text = F.when(F.size(cut) > 0, F.array_join(F.transform(kept, lambda z: z["line"]), "\n")).otherwise(F.col("text"))
     return out.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in added],
                       F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
-                      F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-                      F.coalesce("_links", F.lit(0)).alias("n_links"))
+                      F.coalesce(F.size(cut), F.lit(0)).cast("long").alias("n_removed"),
+                      F.coalesce(links_of, F.lit(0)).alias("n_links"))

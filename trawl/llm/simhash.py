@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import Scratch, broadcast_checked
+from trawl.llm.common import Scratch, broadcast_checked, fresh
 from trawl.llm.components import connected_components
 
 SEED = 42
@@ -209,6 +209,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     only where its class has no doc_id at all.
     """
     near = near_duplicates(docs, shingle, max_bits)
-    gone = near.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    name = fresh("_gone", docs)
+    gone = near.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
     gone = Scratch(docs.sparkSession, "simhash-gone").keep(gone, "doc_ids")
-    return docs.join(broadcast_checked(gone), docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(broadcast_checked(gone), docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
