@@ -106,6 +106,33 @@ def test_custom_patterns_against_brute_force(spark):
             assert sorted((x.start, x.len) for x in r.p) == brute_force(r.pos, rx.removeprefix("^")), (rx, r.pos)
 
 
+def test_random_patterns_against_brute_force():
+    """Sets first, optional first, repeats anywhere, patterns that could match nothing."""
+    from trawl.operators.patterns import TagPattern
+
+    rnd = random.Random(3)
+    for _ in range(400):
+        rx = "".join(rnd.choice(["V", "N", "[VN]", "[NP]", "[AVP]", "P"]) + rnd.choice(["", "", "?", "*", "+"]) for _ in range(rnd.randint(1, 5)))
+        tags = "".join(rnd.choice("VANP") for _ in range(rnd.randint(0, 13)))
+        assert TagPattern("^" + rx).spans(tags) == brute_force(tags, rx), (rx, tags)
+
+
+def test_patterns_on_long_sentences():
+    """Sentences of 10,000 and 20,000 tags: the work grows about as the length, also where matches number its square."""
+    import time
+
+    from trawl.operators.patterns import TagPattern
+
+    for rx, tags in (("N+", "N"), ("NN", "N"), ("[NV]*V", "NV"), ("N?V+N*", "NVVN"), ("N+V?N", "NNA")):
+        took = []
+        for n in (10_000, 20_000):
+            t = time.process_time()
+            spans = TagPattern(rx).spans((tags * n)[:n])
+            took.append(time.process_time() - t)
+            assert spans and all(a + k <= b for (a, k), (b, _) in zip(spans, spans[1:]))
+        assert took[1] < 2, (rx, took)
+
+
 def test_sentences_split_rule(spark):
     df = spark.createDataFrame([("k", 'Hello world. "Quoted!" Then 3.5 more? Yes')], "key string, text string")
     got = [r.tokens for r in N.sentences(df, "key", "text").orderBy("sent").collect()]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.plan import compute_once
+from trawl.operators.patterns import pattern_spans
 
 NOMINAL = "XNM"  # PROPN, NOUN, NUM (F9)
 
@@ -26,7 +27,7 @@ def pattern_regex(pattern: list[dict] | None = None) -> str:
     """
     from trawl.operators.annotate import POS_CODES
 
-    if pattern is None:
+    if pattern is None:  # fixed values: the verb phrase
         pattern = [
             {"POS": "VERB"},
             {"POS": "PART", "OP": "?"},
@@ -54,28 +55,14 @@ def phrase_spans(pos: Column, regex: str | None = None) -> Column:
 
     A match of the default pattern holds exactly one verb, its first token, so
     matches of different verbs never overlap: one pass over the letters finds
-    them, and the greedy regex gives the longest match per verb.  Any other
-    pattern is matched from every start at every length, then N4 chooses.
+    them, and the greedy regex gives the longest match per verb.  For any other
+    pattern see ``patterns``.
     """
     pos = F.coalesce(pos, F.lit(""))
     rx = (regex or pattern_regex()).removeprefix("^")
     if rx == pattern_regex().removeprefix("^"):
         return _matches_in_order(pos, rx)
-    from trawl.operators.annotate import longest_spans
-
-    n = F.length(pos)
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-                      lambda i: F.substring(pos, i + 1, F.greatest(n, F.lit(1))).rlike(f"^(?:{rx})"))
-
-    def from_start(i):
-        spans = F.transform(F.sequence(F.lit(1), F.greatest(n - i, F.lit(1))), lambda k: F.struct(
-            i.alias("start"), (i + k).alias("end"), F.lit("").alias("label")))
-        return F.filter(spans, lambda s: F.substring(pos, s["start"] + 1, s["end"] - s["start"]).rlike(rf"^(?:{rx})\z"))
-
-    every = F.flatten(F.transform(starts, from_start))
-    none = F.array().cast("array<struct<start:int,len:int>>")
-    return F.when(F.size(every) > 0, F.transform(longest_spans(every), lambda s: F.struct(
-        s["start"].alias("start"), (s["end"] - s["start"]).alias("len")))).otherwise(none)
+    return pattern_spans(pos, rx)
 
 
 def _matches_in_order(pos: Column, rx: str) -> Column:
