@@ -101,9 +101,12 @@ def distinct_mentions(mentions: DataFrame, label_classes: DataFrame) -> DataFram
 
 def resolve_mentions(ments: DataFrame, kb: KnowledgeGraph, cache_scope: str = "class",
                      redirect: str = "zero_or_one", multiplicity: str = "bag",
-                     cards: DataFrame | None = None) -> DataFrame:
+                     cards: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """L5 resolution step: one answer per distinct mention -> (mention_key, class, rep, link).
 
+    Keys of ``known`` are left out; they are compared after the mentions are
+    grouped, so a frequent key is one row there.
+
     ``cache_scope="class"`` resolves each (mention_key, class) pair;
     ``"mention"`` resolves each mention_key once, with the smallest
     (label, mention) deciding class and raw text (the original's first-seen
@@ -118,6 +121,9 @@ def resolve_mentions(ments: DataFrame, kb: KnowledgeGraph, cache_scope: str = "c
             "mention_key", F.col("f.class").alias("class"), F.col("f.mention").alias("rep"), "n_rows")
     else:
         raise ValueError("cache_scope must be 'class' or 'mention'")
+    if known is not None:
+        scope = ["mention_key", "class"] if cache_scope == "class" else ["mention_key"]
+        reps = reps.join(known.select(*scope), scope, "left_anti")
     best = most_referred(candidates(reps.drop("n_rows"), kb, redirect, multiplicity, cards))
     return reps.join(best, KEYS, "left").select(*KEYS, "link", "n_rows")
 
@@ -152,8 +158,7 @@ def link_entities(mentions: DataFrame, kb: KnowledgeGraph, label_classes: DataFr
     ments = distinct_mentions(mentions, label_classes)
     scope_keys = ["mention_key", "class"] if cache_scope == "class" else ["mention_key"]
     if store is not None:
-        todo = ments.join(store.select(*scope_keys), scope_keys, "left_anti")
-        fresh = resolve_mentions(todo, kb, cache_scope, redirect, multiplicity)
+        fresh = resolve_mentions(ments, kb, cache_scope, redirect, multiplicity, known=store)
         resolved = store.select(*KEYS, "link", F.lit(None).cast("bigint").alias("n_rows")).unionByName(fresh)
         # row counts of this input, for keys answered by the store too
         counts = ments.groupBy(*scope_keys).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -1021,6 +1021,17 @@ def q_stream_entity_lines(spark, sf_dir):
     return stream_entity_lines(spark, sf_dir, _kb(spark, sf_dir), out, file_glob="pages.parquet")
 
 
+@register("stream_link_store")
+def q_stream_link_store(spark, sf_dir):
+    """The same pages arriving as six files, one a batch: later batches meet the link store of the earlier ones."""
+    from trawl.session import stage_dir
+    from trawl.streaming.pages_stream import stream_entity_lines
+
+    folder = stage_dir(spark, "stream")
+    fx.read_table(spark, sf_dir, "pages").repartition(6, "page_id").write.parquet(f"{folder}/pages")
+    return stream_entity_lines(spark, f"{folder}/pages", _kb(spark, sf_dir), f"{folder}/out")
+
+
 # ---------------------------------------------------------------------------
 # The flagship chain on pages, with a twin: page text (autoclose) -> tokens,
 # sentences -> name n-grams -> candidates -> links
@@ -1141,3 +1152,4 @@ ORACLE["stream_entity_lines"] = (
     _PAGE_ENTITIES_NESTED_SQL.rstrip()[: -len("SELECT key, mention, link FROM entities")]
     + f"SELECT {_ENT_LINE} AS value FROM entities"
 )
+ORACLE["stream_link_store"] = ORACLE["stream_entity_lines"]

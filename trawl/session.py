@@ -81,6 +81,42 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, d))
 
 
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file through the Hadoop file system: beside it first, then renamed over it."""
+    fs, target = _fs(spark, path)
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex[:12]}")
+    out = fs.create(tmp)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(tmp, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text through the Hadoop file system; None if it is absent."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file this library has written."""
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per Spark context.
 

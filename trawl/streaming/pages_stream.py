@@ -2,9 +2,9 @@
 
 New page files (parquet ``page_id, url, html``) arrive in a folder; each
 micro-batch runs page text -> mentions -> links -> entity lines.  The link
-store (L5's cache of resolved mentions, misses included) persists across
+store (L5's cache of resolved mentions, misses included, ``link_store``) persists across
 batches, so a mention is resolved against the graph once, in the batch
-where it first appears; later batches only anti-join against the store.
+where it first appears; later batches read the buckets of their own keys.
 
 Failure model: the stream checkpoint records which files each epoch read;
 every epoch writes its outputs into its own ``epoch=<id>`` folder with
@@ -18,22 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.operators import annotate as N
-from trawl.operators.link import distinct_mentions, label_class_table, resolve_mentions
+from trawl.operators.link import HOT_ROWS, distinct_mentions, join_links, label_class_table, resolve_mentions
 from trawl.operators.pages import page_rows, pages_as_bodies
-from trawl.session import path_status
 from trawl.sources.kb import KnowledgeGraph
 from trawl.sources.lines import entity_value
+from trawl.streaming.link_store import KEYS, LinkStore
 
 PAGES_SCHEMA = "page_id bigint, url string, html string"
 
 
-def _store(spark: SparkSession, path: str, before_epoch: int) -> DataFrame | None:
-    if path_status(spark, path)[0] is None:
-        return None
-    st = spark.read.parquet(path)
-    return st.where(F.col("epoch") < before_epoch).drop("epoch")
-
-
 def link_batch(df: DataFrame, epoch_id: int, kb: KnowledgeGraph, out_dir: str,
                p_mode: str = "nested") -> None:
     """One micro-batch: page rows -> gazetteer mentions -> store-aware linking -> lines."""
@@ -46,14 +39,12 @@ def link_batch(df: DataFrame, epoch_id: int, kb: KnowledgeGraph, out_dir: str,
     ments = distinct_mentions(
         N.longest_mentions(N.gazetteer_mentions(toks, gazetteer(spark, kb))), label_class_table(spark))
     ments = materialise(ments, folder, "mentions")
-    store_path = f"{out_dir}/link_store"
-    store = _store(spark, store_path, epoch_id)
-    keys = ["mention_key", "class"]
-    todo = ments if store is None else ments.join(store.select(*keys), keys, "left_anti")
-    fresh = resolve_mentions(todo, kb)
-    fresh.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite").parquet(f"{store_path}/epoch={epoch_id}")
-    known = spark.read.parquet(store_path).where(F.col("epoch") <= epoch_id).select(*keys, "link")
-    linked = ments.join(known, keys).where(F.col("link").isNotNull())
+    store = LinkStore(spark, f"{out_dir}/link_store")
+    reps = ments.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
+    known = materialise(store.lookup(reps, epoch_id), folder, "known")
+    fresh = store.append(resolve_mentions(ments, kb, known=known), epoch_id)
+    answers = known.unionByName(fresh).join(reps, KEYS)
+    linked = join_links(ments, answers, KEYS, HOT_ROWS).where(F.col("link").isNotNull())
     ents = linked.groupBy("key", "mention").agg(F.min_by("link", "label").alias("link"))
     ents.select(entity_value().alias("value")).write.mode("overwrite").text(f"{out_dir}/lines/epoch={epoch_id}")
 
