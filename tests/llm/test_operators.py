@@ -403,9 +403,35 @@ def test_ppm_base_score_and_total_probability(odd_docs):
     want = sorted((str(d), len(t), sum(count[x] > 0 for x in t), n,
                    round(float(sum(np.log10((count[x] + 0.1) / (n + 0.1 * (v + 1))) for x in t)), 4)) for d, t in rows)
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
-    trie = ppm.build_trie(np.array([0, 0, 1, 1]), np.array([0, 0, 97, 97]), np.array([97, 98, 97, 10]), np.array([5, 3, 2, 1]))
-    every = 10.0 ** trie.logp
-    assert np.allclose(every[:, :-1].sum(1) + every[:, -1] * (256 - every.shape[1] + 1), 1, atol=1e-5)
+
+
+def test_ppm_probabilities_add_up_to_one():
+    """After any context, seen or not, the 256 bytes share the whole probability."""
+    rng = np.random.default_rng(6)
+    text = rng.choice(list(b"abcab \xc3"), 3000).astype(np.int64)
+    code = sum(text[k:len(text) - 4 + k] << 8 * (4 - k) for k in range(5))
+    pairs = np.zeros((256, 256), np.int64)
+    np.add.at(pairs, (code >> 8 & 255, code & 255), 1)
+    seen, n = np.unique(code, return_counts=True)
+    for context in (code[7] >> 8, code[7] >> 8 ^ 1 << 24, 0x61616161, 0x7A7A7A7A):
+        asked = (int(context) << 8) + np.arange(256)
+        every = np.union1d(seen, asked)
+        count = np.zeros(len(every), np.int64)
+        count[np.searchsorted(every, seen)] = n
+        p = 10 ** ppm.fold(every, count, pairs)
+        assert abs(p[np.searchsorted(every, asked)].sum() - 1) < 1e-9
+
+
+def test_ppm_packs_round_trip():
+    rng = np.random.default_rng(1)
+    code = np.unique(rng.integers(0, 1 << 40, 500))
+    assert np.array_equal(ppm._code(ppm._turn(code)), code)
+    words = np.sort(rng.integers(-(1 << 63), (1 << 63) - 1, 200))
+    for is_code, names in ((True, np.sort(ppm._turn(code))), (False, words)):
+        for parts in (1, 8, 3000):
+            packs = ppm._packs(is_code, names, np.arange(len(names)), parts)
+            got = {int(k): int(v) for p in packs for k, v in zip(ppm._names(p["names"]), ppm._unplanes(p["n"]))}
+            assert got == dict(zip(names.tolist(), range(len(names))))
 
 
 def test_ppm_scores_use_every_context(lspark):

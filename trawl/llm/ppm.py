@@ -12,20 +12,21 @@ A code is a byte with the ``ORDER`` bytes before it.  The escape chain of
 every code that occurs is folded into one log probability, so scoring looks
 up the code of every byte and adds.
 
-Passes: (1) a map packs documents into compressed blocks with the block's
-word and code counts; (2) both counts are summed over all blocks; (3) codes
-are folded where all codes of the same two bytes before the symbol meet,
-which holds every longer context whole; of the shorter contexts the counts
-are one table of at most 65,536 rows; (4) each block meets the counts of its
-own words and the probabilities of its own codes and is scored.  Word and
-code tables are joined, never broadcast.
+Passes: (1) a map packs documents into compressed blocks; the block's word and
+code counts are cut into ranges, each a compressed pack of sorted differences;
+(2) the packs of a range meet, their counts are added, codes are folded (all codes
+of the same two bytes before the symbol are in one range, which holds every
+longer context whole; of the shorter contexts the counts are one table of at
+most 65,536 rows), and every block gets a pack back with the values of its own
+words or codes; (3) each block meets its packs and is scored.  So a (block, code)
+pair travels as a few bytes, once out and once back.  Word and code tables are never
+broadcast.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,13 @@ ORDER = 4
 END = 10  # the end symbol, and what precedes a document's first byte
 BLOCK_BYTES = 8 << 20
 _PAD = bytes([END]) * ORDER
+RANGE_TEXT = 32 << 20  # bytes of text to a range
+PAIRS = 1 << 16  # two bytes: there are no more ranges than these
+_PACK = "struct<is_code: boolean, part: int, names: binary, n: binary>"
 _BLOCK = ("block long, doc_id array<long>, held_out array<boolean>, n_words array<long>, z binary, "
-          "words array<long>, word_n array<long>, codes array<long>, code_n array<long>, train_docs long")
+          f"packs array<{_PACK}>, two array<int>, two_n array<long>, train_docs long, train_words long")
+_BLOCK_NAMES = ["block", "doc_id", "held_out", "n_words", "z", "packs", "two", "two_n", "train_docs", "train_words"]
+_ANSWER = "of_block long, is_code boolean, names binary, value binary, kinds long"
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
@@ -64,6 +70,48 @@ def _codes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return code, a
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """8-byte values by byte place, compressed."""
+    return zstandard.ZstdCompressor(3).compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unplanes(z: bytes, kind=np.int64) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(z), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).reshape(-1).view(kind)
+
+
+def _sorted_names(a: np.ndarray) -> bytes:
+    """Sorted values as the differences between them."""
+    return _planes(np.diff(a, prepend=np.int64(0)))
+
+
+def _names(z: bytes) -> np.ndarray:
+    return np.cumsum(_unplanes(z))
+
+
+def _turn(code: np.ndarray) -> np.ndarray:
+    """A code with the two bytes before the symbol in front, so that a range's codes lie close together; its own inverse is ``_code``."""
+    return (code >> 8 & 0xFFFF) << 24 | (code >> 24) << 8 | code & 255
+
+
+def _code(name: np.ndarray) -> np.ndarray:
+    return (name >> 8 & 0xFFFF) << 24 | (name >> 24) << 8 | name & 255
+
+
+def _packs(is_code: bool, names: np.ndarray, n: np.ndarray, parts: int) -> list[dict]:
+    """Packs by range of sorted names with their counts; every range of words, the ranges of codes that have any."""
+    two = names >> 24 if is_code else names.view(np.uint64) >> np.uint64(48)
+    part = (two.astype(np.int64) * 40503 % PAIRS) * parts // PAIRS
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    out = []
+    for p in range(parts):
+        at = order[cuts[p]:cuts[p + 1]]
+        if len(at) or not is_code:
+            out.append({"is_code": is_code, "part": p, "names": _sorted_names(names[at]), "n": _planes(n[at])})
+    return out
+
+
 def _joined(parts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """Documents with their pads and end symbols; where each one's scored bytes begin and end."""
     raw = b"".join(_PAD + p + b"\n" for p in parts)
@@ -84,7 +132,7 @@ def _scored_codes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code[np.cumsum(on[:-1], dtype=np.int8) > 0], stop - begin
 
 
-def pack_blocks(docs: DataFrame) -> DataFrame:
+def pack_blocks(docs: DataFrame, parts_of_all: int) -> DataFrame:
     """Blocks of documents with all their words and codes, counted in training rows (columns of ``_BLOCK``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(3)
@@ -102,13 +150,19 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
             codes = np.union1d(learnt, others)
             code_n = np.zeros(len(codes), np.int64)
             code_n[np.searchsorted(codes, learnt)] = times
-            row = [uuid.uuid4().int >> 65, list(ids), list(held), list(n_words), squeeze.compress(raw), names, count, codes,
-                   code_n, int(train.sum())]
+            turned = _turn(codes)
+            order = np.argsort(turned)
+            packs = _packs(True, turned[order], code_n[order], parts_of_all) + _packs(False, names, count, parts_of_all)
+            two = np.bincount(learnt & 0xFFFF, weights=times, minlength=PAIRS)
+            some = np.flatnonzero(two)
+            row = [uuid.uuid4().int >> 65, list(ids), list(held), list(n_words), squeeze.compress(raw), packs, some,
+                   two[some].astype(np.int64), int(train.sum()), int(count.sum())]
             ids.clear(), held.clear(), parts.clear(), n_words.clear()
+            pack = pa.struct([("is_code", pa.bool_()), ("part", pa.int32()), ("names", pa.binary()), ("n", pa.binary())])
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(),
-                     *[pa.list_(pa.int64())] * 4, pa.int64()]
+                     pa.list_(pack), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)],
-                                              [f.split()[0] for f in _BLOCK.split(", ")])
+                                              _BLOCK_NAMES)
 
         for b in batches:
             for doc, out, text in zip(*(c.to_pylist() for c in b.columns)):
@@ -128,68 +182,6 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
     return narrow.mapInArrow(run, _BLOCK)
 
 
-@dataclass
-class Trie:
-    symbol: np.ndarray  # byte -> column; bytes never seen share the last one
-    child: np.ndarray   # context, column of the byte before it -> longer context, or -1
-    logp: np.ndarray    # context, column -> log10 probability
-
-    def score(self, parts: list[bytes], piece: int = 1 << 20) -> np.ndarray:
-        """log10 probability of every text (words joined by spaces), its end included."""
-        raw, begin, stop = _joined(parts)
-        cols = self.symbol[np.frombuffer(raw, np.uint8)]
-        got = np.zeros(len(cols) + 1)
-        for lo in range(ORDER, len(cols), piece):
-            hi = min(len(cols), lo + piece)
-            at = np.zeros(hi - lo, np.int32)
-            on = np.ones(hi - lo, bool)
-            for k in range(1, ORDER + 1):
-                longer = self.child[at, cols[lo - k:hi - k]]
-                on &= longer >= 0
-                at = np.where(on, longer, at)
-            got[lo:hi] = self.logp[at, cols[lo:hi]]
-        edges = np.stack([begin, stop], 1).ravel()
-        return np.add.reduceat(got, edges)[::2] if len(edges) else np.zeros(0)
-
-
-def build_trie(order: np.ndarray, context: np.ndarray, sym: np.ndarray, n: np.ndarray) -> Trie:
-    """Trie from counts (order, context bytes as a number, next byte, count); contexts are closed under shortening.
-
-    One row of all symbols a context: the dense form of the model, for few
-    contexts.  Documents are scored by ``fold``, which drops none.
-    """
-    seen = np.unique(sym)
-    symbol = np.full(256, len(seen), np.int32)
-    symbol[seen] = np.arange(len(seen))
-    width = len(seen) + 1
-    key = order.astype(np.int64) << 40 | context
-    nodes = np.unique(np.append(key, 0))
-    count = np.zeros((len(nodes), width), np.float64)
-    count[np.searchsorted(nodes, key), symbol[sym]] = n
-    depth, ctx = nodes >> 40, nodes & ((1 << 40) - 1)
-    shorter = np.maximum(depth - 1, 0) << 40 | ctx & ((1 << (8 * np.maximum(depth - 1, 0))) - 1)
-    parent = np.searchsorted(nodes, shorter)
-    child = np.full((len(nodes), width), -1, np.int32)
-    oldest = (ctx >> (8 * np.maximum(depth - 1, 0))) & 255
-    below = depth > 0
-    child[parent[below], symbol[oldest[below]]] = np.flatnonzero(below)
-    p = np.zeros((len(nodes), width))
-    out = np.zeros((len(nodes), width), bool)
-    escape = np.ones(len(nodes))
-    at, live = np.arange(len(nodes)), np.ones(len(nodes), bool)
-    for _ in range(ORDER + 1):
-        c = np.where(out | ~live[:, None], 0, count[at])
-        total, kinds = c.sum(1), (c > 0).sum(1)
-        both = np.maximum(total + kinds, 1)
-        p += (escape / both)[:, None] * c
-        escape = np.where(kinds > 0, escape * kinds / both, escape)
-        out |= c > 0
-        live &= depth[at] > 0
-        at = parent[at]
-    p += np.where(out, 0, (escape / np.maximum(256 - out.sum(1), 1))[:, None])
-    return Trie(symbol, child, np.log10(p).astype(np.float32))
-
-
 def fold(code: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """log10 probability of every code from its training count ``n`` (0: not in training).
 
@@ -228,36 +220,55 @@ def fold(code: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     return np.log10(np.where(found, p, escape / np.maximum(256 - kinds[0], 1)))
 
 
-def code_scores(codes: DataFrame, piece: int = 1 << 20) -> DataFrame:
-    """(code, logp) of every row of the stored (code, n), one row a code."""
-    pairs = np.zeros((256, 256), np.int64)
-    two = codes.groupBy(F.col("code").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("two")).agg(F.sum("n").alias("n"))
-    for r in two.collect():  # at most 65,536 rows
-        pairs[r["two"] >> 8, r["two"] & 255] = r["n"]
+def _add(names: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct names and the sums of their counts."""
+    every, at = np.unique(np.concatenate(names), return_inverse=True)
+    return every, np.bincount(at, weights=np.concatenate(n), minlength=len(every)).astype(np.int64)
+
+
+def answer_packs(packs: DataFrame, pairs: np.ndarray, piece: int = 4 << 20) -> DataFrame:
+    """A pack back for every (block, is_code, part, names, n): the counts of its words, or the log probabilities of its codes.
+
+    ``kinds`` tells how many different training words the range has.  The packs of one range are held as they came,
+    compressed, and are opened ``piece`` names at a time.
+    """
+    def answer(is_code, rows):
+        every, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        names, n, size = [every], [total], 0
+        for _, z, c in rows:
+            names.append(_names(z))
+            n.append(_unplanes(c))
+            size += len(n[-1])
+            if size > piece:
+                every, total = _add(names, n)
+                names, n, size = [every], [total], 0
+        every, total = _add(names, n)
+        value = fold(_code(every), total, pairs) if is_code else total
+        kinds = 0 if is_code else int((total > 0).sum())
+        for block, z, _ in rows:
+            own = value[np.searchsorted(every, _names(z))]
+            yield block, is_code, z, _planes(own), kinds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def folded(code, n):
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(fold(code, n, pairs))], ["code", "logp"])
+        types = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.int64()]
+
+        def table(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                              ["of_block", "is_code", "names", "value", "kinds"])
 
-        held, size = [], 0
+        group, held = None, []
         for b in batches:
-            held.append([c.to_numpy() for c in b.columns])
-            size += len(b)
-            if size < piece:
-                continue
-            code, n, group = map(np.concatenate, zip(*held))
-            whole = np.searchsorted(group, group[-1])  # the last group may go on in the next batch
-            if whole:
-                yield folded(code[:whole], n[:whole])
-            held = [[code[whole:], n[whole:], group[whole:]]]
-            size = 0
+            for is_code, part, block, names, n in zip(*(c.to_pylist() for c in b.columns)):
+                if (is_code, part) != group:
+                    if held:
+                        yield table(list(answer(group[0], held)))
+                    group, held = (is_code, part), []
+                held.append((block, names, n))
         if held:
-            code, n, _ = map(np.concatenate, zip(*held))
-            yield folded(code, n)
+            yield table(list(answer(group[0], held)))
 
-    group = F.shiftright("code", 8).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("two")
-    return codes.select("code", "n", group).repartition("two").sortWithinPartitions("two").mapInArrow(
-        run, "code long, logp double")
+    rows = packs.select("is_code", "part", "block", "names", "n")
+    return rows.repartition("is_code", "part").sortWithinPartitions("is_code", "part").mapInArrow(run, _ANSWER)
 
 
 def text_scores(parts: list[bytes], codes: np.ndarray, logp: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
@@ -277,25 +288,35 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ppm")
-    blocks = scratch.keep(pack_blocks(docs), "blocks")
-    pairs = blocks.select("block", F.explode(F.arrays_zip("words", "word_n")).alias("w")).select(
-        "block", F.col("w.words").alias("word"), F.col("w.word_n").alias("n"))
-    counts = scratch.keep(pairs.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "words")
-    size = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
-    n_docs = blocks.agg(F.sum("train_docs")).first()[0] or 0
-    n_train, kinds = (size["n"] or 0) + n_docs, size["v"] + (n_docs > 0)
-    code_pairs = blocks.select("block", F.explode(F.arrays_zip("codes", "code_n")).alias("c")).select(
-        "block", F.col("c.codes").alias("code"), F.col("c.code_n").alias("n"))
-    scores = code_scores(scratch.keep(code_pairs.groupBy("code").agg(F.sum("n").alias("n")), "codes"))
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    blocks = scratch.keep(pack_blocks(docs, min(PAIRS, max(8, -(-size // RANGE_TEXT)))), "blocks")
+    trained = blocks.agg(F.sum("train_docs").alias("d"), F.sum("train_words").alias("w")).first()
+    n_docs = trained["d"] or 0
+    n_train = (trained["w"] or 0) + n_docs
+    pairs = np.zeros((256, 256), np.int64)
+    two = blocks.select(F.explode(F.arrays_zip("two", "two_n")).alias("p")).groupBy("p.two").agg(F.sum("p.two_n").alias("n"))
+    for r in two.collect():  # at most 65,536 rows
+        pairs[r["two"] >> 8, r["two"] & 255] = r["n"]
+    answers = answer_packs(blocks.select("block", F.inline("packs")), pairs)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         kinds_ = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        is_code, name, value = (right.column(x).to_numpy() for x in ("is_code", "name", "value"))
-        order = np.argsort(name)
-        is_code, name, value = is_code[order], name[order], value[order]
-        codes, logp = name[is_code], value[is_code]
-        known, c = np.append(name[~is_code], np.iinfo(np.int64).max), np.append(value[~is_code], 0)
+        codes, logp = [np.zeros(0, np.int64)], [np.zeros(0)]
+        known, c, kinds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], int(n_docs > 0)
+        for is_code, names_, value, more in zip(*(right.column(x).to_pylist() for x in ("is_code", "names", "value", "kinds"))):
+            if is_code:
+                codes.append(_code(_names(names_)))
+                logp.append(_unplanes(value, np.float64))
+            else:
+                known.append(_names(names_))
+                c.append(_unplanes(value))
+                kinds += more
+        codes, logp, known, c = map(np.concatenate, (codes, logp, known, c))
+        order = np.argsort(codes)
+        codes, logp = codes[order], logp[order]
+        order = np.argsort(known)
+        known, c = np.append(known[order], np.iinfo(np.int64).max), np.append(c[order], 0)
         out = []
         whole = np.log10(n_train + 0.1 * (kinds + 1))
         for doc_id, held, n_words, z in zip(*(left.column(x).to_pylist() for x in ("doc_id", "held_out", "n_words", "z"))):
@@ -316,11 +337,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 kinds_)], names=names))
         return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in kinds_], names=names)
 
-    mine = pairs.select(F.col("block").alias("of_block"), "word").join(counts, "word").select(
-        "of_block", F.lit(False).alias("is_code"), F.col("word").alias("name"), F.col("c").cast("double").alias("value"))
-    mine = mine.unionByName(code_pairs.select(F.col("block").alias("of_block"), "code").join(scores, "code").select(
-        "of_block", F.lit(True).alias("is_code"), F.col("code").alias("name"), F.col("logp").alias("value")))
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
     left = blocks.select("block", "doc_id", "held_out", "n_words", "z")
-    return left.groupBy("block").cogroup(mine.groupBy("of_block")).applyInArrow(run, schema)
+    return left.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(run, schema)
