@@ -1006,6 +1006,16 @@ def q_warc_file_exact(spark, sf_dir):
     return html_records(recs, "payload").select("key", "body")
 
 
+@register("warc_file_rows", f"""
+SELECT 'fixture-' || lpad(CAST(key AS VARCHAR), 8, '0') AS key, title, headers, text FROM ({_PAGE_TEXT_SQL})
+WHERE key % 10 NOT IN (3, 7)""")
+def q_warc_file_rows(spark, sf_dir):
+    """H6: the whole preprocessing job, from .warc.gz files to page rows."""
+    from trawl.operators.pages import preprocess_records
+
+    return preprocess_records(W.spread(W.read_warc_exact(spark, warc_fixture_files(spark, sf_dir))), p_mode="autoclose")
+
+
 # ---------------------------------------------------------------------------
 # Streaming: pages arriving as files, linked batch by batch with a link store
 # ---------------------------------------------------------------------------
@@ -1064,6 +1074,48 @@ def q_page_entities(spark, sf_dir):
     return ents
 
 
+# The relations half of the whole job: rule tags, phrases, nearest names with a nominal token, both ends linked.
+_PAGE_RELATIONS_SQL = _PAGE_ENTITIES_SQL[: _PAGE_ENTITIES_SQL.rindex("SELECT key, mention, link FROM entities")].rstrip() + r""",
+parted AS (
+  SELECT key, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS sent, unnest(l) AS s FROM (
+    SELECT key, list_transform(starts, lambda b, j: {'toks': toks[b + 1 : coalesce(starts[j + 1], len(toks))],
+                                                     'wss': wss[b + 1 : coalesce(starts[j + 1], len(toks))]}) AS l FROM st)
+),
+tagged AS (
+  SELECT key, sent, s.toks AS toks, s.wss AS wss, array_to_string(list_transform(s.toks, lambda tok: CASE
+    WHEN regexp_matches(tok, '^[^\pL\pN]+$') THEN 'U' WHEN regexp_matches(tok, '^\pN') THEN 'M'
+    WHEN regexp_matches(tok, '^\p{Lu}') THEN 'X' WHEN regexp_matches(tok, 'ly$') THEN 'R'
+    WHEN regexp_matches(tok, '(ing|ed|ize|ise)$') THEN 'V'
+    WHEN regexp_matches(tok, '(ous|ful|ive|able|ible|al)$') THEN 'J' ELSE 'N' END), '') AS pos FROM parted
+),
+ends AS (
+  SELECT m.key, m.sent, m.start, m.mention FROM mentions m JOIN tagged t ON t.key = m.key AND t.sent = m.sent
+  WHERE regexp_matches(substr(t.pos, CAST(m.start + 1 AS BIGINT), CAST(m.stop - m.start AS BIGINT)), '[XNM]')
+),
+two AS (SELECT key, sent, list({'start': start, 'mention': mention} ORDER BY start) AS e FROM ends GROUP BY key, sent HAVING count(*) >= 2),
+verbs AS (
+  SELECT t.key, t.sent, t.toks, t.wss, two.e, t.pos, unnest(list_filter(range(0, len(t.toks)), lambda i: substr(t.pos, i + 1, 1) = 'V')) AS v
+  FROM tagged t JOIN two ON two.key = t.key AND two.sent = t.sent
+),
+phrased AS (SELECT *, length(regexp_extract(substr(pos, v + 1), '^VT?R?[JRNOD]*[TP]?', 0)) AS ln FROM verbs),
+near_ends AS (
+  SELECT key, sent, v, (list_filter(e, lambda x: x.start < v))[-1].mention AS e1, (list_filter(e, lambda x: x.start >= v))[1].mention AS e2,
+         lower(array_to_string(list_transform(range(v + 1, v + ln + 1), lambda j: toks[j] || CASE WHEN j < v + ln THEN wss[j] ELSE '' END), '')) AS rel
+  FROM phrased
+)
+SELECT n.key, n.sent, CAST(n.v AS BIGINT) AS start, n.e1, n.e2, a.link AS link1, b.link AS link2, n.rel
+FROM near_ends n JOIN entities a ON a.key = n.key AND a.mention = n.e1 JOIN entities b ON b.key = n.key AND b.mention = n.e2"""
+
+
+@register("page_relations", _PAGE_RELATIONS_SQL)
+def q_page_relations(spark, sf_dir):
+    """The relations half of the whole job on pages, tags by rule."""
+    from trawl.plans.linking import link_pages
+
+    rows = page_rows(pages_as_bodies(pages(spark, sf_dir)), p_mode="autoclose")
+    return link_pages(spark, rows, _kb(spark, sf_dir))[1].withColumn("start", F.col("start").cast("bigint"))
+
+
 # Nested paragraphs in SQL: the page is cut at every '<'; each piece is one
 # tag plus the text after it.  A paragraph runs from its <p> to the </p> that
 # brings the open-paragraph depth back below it (a walk clamped at zero, as an

@@ -21,6 +21,7 @@ import datetime
 import sys
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def default_output_name(now: datetime.datetime | None = None) -> str:
@@ -54,6 +55,16 @@ def warc_pages(spark: SparkSession, path: str, fast: bool = False, layout: str =
     return page_rows(bodies.select("key", "body"), p_mode=p_mode)
 
 
+def warc_order(spark: SparkSession, path: str, fast: bool = False, layout: str = "fixed") -> DataFrame:
+    """(key, page_no): where each page stands in the WARC files; a key that repeats takes its first place."""
+    from trawl.operators.records import html_records
+    from trawl.sources import warc as W
+
+    recs = W.read_warc(spark, path) if fast else W.read_warc_exact(spark, path)
+    return html_records(recs, "payload", layout, ["file", "rec_no"]).groupBy("key").agg(
+        F.min(F.struct("file", "rec_no")).alias("page_no"))
+
+
 def _print_rejects(watch: Observation) -> None:
     counts = watch.get
     print("rejected records: " + ", ".join(f"{k} {counts[k]}" for k in ("empty", "no_key", "not_html"))
@@ -97,7 +108,11 @@ def cmd_link(a) -> None:
     kb = KnowledgeGraph.load(spark, a.kb)
     lexicon = spark.read.parquet(a.lexicon) if a.lexicon else None
     ents, rels = link_pages(spark, rows, kb, lexicon, stage)
-    lines = result_lines(ents, rels, ordered=a.ordered)
+    order = places = None
+    if a.ordered:
+        order = warc_order(spark, a.warc, a.fast, a.layout) if a.warc else None
+        places = spark.read.parquet(f"{stage}/mentions")
+    lines = result_lines(ents, rels, a.ordered, order, places)
     write_lines(lines, a.out)
     if a.show:  # S5
         spark.read.text(a.out).show(a.show, truncate=False)

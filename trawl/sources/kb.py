@@ -119,17 +119,36 @@ class KnowledgeGraph:
                                      F.lit(None).cast("string").alias("branch"))
         return rows.unionByName(pages)
 
-    def save(self, path: str, partitions: int = 64) -> None:
+    def salted_links(self, rows_per_part: int) -> DataFrame:
+        """``link`` with ``salt``: an item with many in-links is dealt over pieces of an eighth of a part.
+
+        Small pieces even out where several fall into one part.
+        """
+        piece = max(1, rows_per_part // 8)
+        hot = self.in_degree().where(F.col("in_degree") > piece).select(
+            F.col("item").alias("target"), F.ceil(F.col("in_degree") / piece).alias("salts"))
+        salts = F.coalesce("salts", F.lit(1))  # at most links / piece items are hot
+        return self.link.join(F.broadcast(hot), "target", "left").select(
+            "source", "target", F.pmod(F.xxhash64("source"), salts).cast("int").alias("salt"))
+
+    def save(self, path: str, partitions: int | None = None, rows_per_part: int = 2_000_000) -> None:
         """Write each table partitioned and sorted by its join key, plus the item cards.
 
         The cards are the eager aggregation of the link table joined to the
-        other per-item tables, computed once here instead of per query.
+        other per-item tables, computed once here instead of per query.  Without ``partitions``
+        every table gets parts of about ``rows_per_part`` rows; in the link table
+        an item with more in-links than that is dealt over several parts.
         """
         for name in TABLES:
             key = _JOIN_KEYS[name]
             df: DataFrame = getattr(self, name)
-            (df.repartition(partitions, key).sortWithinPartitions(key)
-             .write.mode("overwrite").parquet(f"{path}/kb_{name}"))
+            n = partitions or max(8, -(-df.count() // rows_per_part))
+            if name == "link":
+                dealt = self.salted_links(rows_per_part).repartition(n, key, "salt").sortWithinPartitions(key).drop("salt")
+            else:
+                dealt = df.repartition(n, key).sortWithinPartitions(key)
+            dealt.write.mode("overwrite").parquet(f"{path}/kb_{name}")
+        partitions = partitions or max(8, -(-self.label.count() // rows_per_part))
         (self.lookup().repartition(partitions, "kind", "key").sortWithinPartitions("kind", "key")
          .write.mode("overwrite").parquet(f"{path}/kb_lookup"))
         (self.item_cards().repartition(partitions, "item").sortWithinPartitions("item")
@@ -298,3 +317,18 @@ def read_sparql_results(spark: SparkSession, path: str) -> DataFrame:
         F.col("b.page.value").alias("page"),
         F.col("b.count.value").cast("bigint").alias("cnt"),
     )
+
+
+BACKLINKS_JSON_SCHEMA = "query struct<backlinks: array<struct<pageid: bigint, ns: int, title: string>>>"
+
+
+def read_backlink_answers(spark: SparkSession, path: str) -> DataFrame:
+    """L2: saved backlink answers -> (title, from_page, ns), the table ``link.most_popular`` reads.
+
+    One JSON document per file, named ``<page title>.json`` with blanks as
+    underscores.  An answer without a ``query`` part gives no rows, so its page drops out there.
+    """
+    raw = spark.read.schema(BACKLINKS_JSON_SCHEMA).json(path, multiLine=True)
+    title = F.url_decode(F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.json$", ""))
+    return raw.select(title.alias("title"), F.explode("query.backlinks").alias("b")).select(
+        "title", F.col("b.title").alias("from_page"), F.col("b.ns").alias("ns"))

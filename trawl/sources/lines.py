@@ -35,19 +35,31 @@ def relation_lines(relations: DataFrame) -> DataFrame:
     return relations.select(relation_value().alias("value"))
 
 
-def result_lines(entities: DataFrame, relations: DataFrame, ordered: bool = False) -> DataFrame:
+def result_lines(entities: DataFrame, relations: DataFrame, ordered: bool = False,
+                 page_order: DataFrame | None = None, places: DataFrame | None = None) -> DataFrame:
     """All output lines; ``ordered`` sorts per page, entities first.
 
-    The global sort is opt-in: it is a range shuffle of the whole output.
+    ``page_order`` (key, page_no), ``page_no`` of any sortable type, gives the
+    order of the pages; without it they go by key.  ``places`` (key, mention, sent,
+    start) orders the entities of a page by their first mention; without it they
+    go by text.  The global sort is opt-in: it is a range shuffle of the whole output.
     """
-    e = entities.select("key", F.lit(0).alias("kind"), F.col("mention").alias("o1"),
-                        F.lit(0).cast("bigint").alias("o2"), entity_value().alias("value"))
-    r = relations.select("key", F.lit(1).alias("kind"), F.col("sent").cast("string").alias("o1"),
-                         F.col("start").cast("bigint").alias("o2"), relation_value().alias("value"))
+    e = entities.select("key", F.lit(0).alias("kind"), "mention", F.lit(0).cast("bigint").alias("sent"),
+                        F.lit(0).cast("bigint").alias("start"), entity_value().alias("value"))
+    if ordered and places is not None:
+        first = places.groupBy("key", "mention").agg(F.min(F.struct(
+            F.col("sent").cast("bigint").alias("sent"), F.col("start").cast("bigint").alias("start"))).alias("p"))
+        e = e.drop("sent", "start").join(first, ["key", "mention"], "left").select(
+            "key", "kind", "mention", "p.sent", "p.start", "value")
+    r = relations.select("key", F.lit(1).alias("kind"), F.lit("").alias("mention"), F.col("sent").cast("bigint").alias("sent"),
+                         F.col("start").cast("bigint").alias("start"), relation_value().alias("value"))
     out = e.unionByName(r)
-    if ordered:
-        out = out.orderBy("key", "kind", "o1", "o2", "value")
-    return out.select("value")
+    if not ordered:
+        return out.select("value")
+    if page_order is not None:
+        out = out.join(page_order.select("key", "page_no"), "key", "left")
+        return out.orderBy("page_no", "key", "kind", "sent", "start", "mention", "value").select("value")
+    return out.orderBy("key", "kind", "sent", "start", "mention", "value").select("value")
 
 
 def write_lines(lines: DataFrame, path: str, line_sep: str = "\n") -> None:
