@@ -174,16 +174,17 @@ def trimmed_distance(x: Column, y: Column, k: int) -> Column:
 def keys_by_length(line: Column, n: Column, max_edits: int, per_edit: int) -> Column:
     """``segment_keys`` for every number of edits that a pair with this line can be allowed.
 
-    The shorter line of a pair with k edits has from ``k * per_edit`` code
-    points; the longer one up to k more than that range.
+    The shorter line of a pair with k edits, fewer than ``max_edits``, has from ``k * per_edit`` code
+    points to one less than the next number's range, the longer one up to k more: the
+    first k lengths of the next range have the keys of both.
     """
-    out = []
+    # a line that can be in pairs of one kind only, nearly every line, gets its keys without joining arrays
+    out = F.array().cast("array<struct<key:bigint,home:boolean>>")
     for k in range(1, max_edits + 1):
-        within = n >= k * per_edit
-        if k < max_edits:
-            within = within & (n < (k + 1) * per_edit + k)
-        out.append(F.when(within, segment_keys(line, n, k)).otherwise(F.array().cast("array<struct<key:bigint,home:boolean>>")))
-    return F.concat(*out)
+        own = segment_keys(line, n, k)
+        both = F.concat(segment_keys(line, n, k - 1), own) if k > 1 else own
+        out = F.when(n >= k * per_edit + k - 1, own).when(n >= k * per_edit, both).otherwise(out)
+    return out
 
 
 def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, per_edit: int = PER_EDIT, block: int = 32) -> DataFrame:
