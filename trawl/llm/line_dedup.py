@@ -97,30 +97,32 @@ def segment_slots(k: int) -> list[tuple[int, int, int]]:
 
     Offsets are those a segment can be moved by: at most the edits to its
     left, and such that the edits to its right can still make up the
-    difference of the lengths.  The slots of fewer edits are among those of more.
+    difference of the lengths.
     """
     return [(diff, i, off) for diff in range(k + 1) for i in range(k + 1)
             for off in range(max(-i, diff - (k - i)), min(i, diff + (k - i)) + 1)]
 
 
-def segment_keys(line: Column, n: Column, k: Column, max_edits: int) -> Column:
-    """array<struct<key, home>>: index keys (home) and probe keys of a line of ``n`` characters under ``k`` edits (a column).
+def segment_keys(line: Column, n: Column, max_edits: int, per_edit: int) -> Column:
+    """array<struct<key, home>>: index keys (home) and probe keys of a line of ``n`` characters; null keys do not count.
 
-    All slots are written out for ``max_edits``, those of fewer edits first, and cut
-    to the line's own: one plain expression, in which Spark shares what is common.
+    The shorter line of a pair with k edits, fewer than ``max_edits``, has from ``k * per_edit`` code
+    points to one less than the next number's range, the longer one up to k more; a line has the
+    keys of every number of edits it can be in a pair with.  All slots stand in one plain array, which is cheaper
+    than choosing among arrays.
     """
-    slots = list(dict.fromkeys(x for e in range(1, max_edits + 1) for x in segment_slots(e)))
-    parts, out = k + 1, []
-    for diff, i, off in slots:
-        size = n - diff  # length of the indexed line
-        # integer division in place: these run a dozen times a line
-        start, stop = (F.call_function("div", size * j, parts).cast("int") for j in (i, i + 1))
-        key = F.xxhash64(k, size * parts + i, F.substring(line, start + 1 + off, stop - start))
-        out.append(F.struct(key.alias("key"), F.lit(diff == 0 and off == 0).alias("home")))
-    own = F.lit(len(slots))
-    for e in range(max_edits - 1, 0, -1):
-        own = F.when(k == e, len(segment_slots(e))).otherwise(own)
-    return F.slice(F.array(*out), F.lit(1), own)
+    out = []
+    for k in range(1, max_edits + 1):
+        within = n >= k * per_edit
+        if k < max_edits:
+            within = within & (n < (k + 1) * per_edit + k)
+        for diff, i, off in segment_slots(k):
+            size = n - diff  # length of the indexed line
+            # integer division in place: these run a dozen times a line
+            start, stop = (F.call_function("div", size * j, F.lit(k + 1)).cast("int") for j in (i, i + 1))
+            key = F.xxhash64((size * (max_edits + 1) + i) * (max_edits + 1) + k, F.substring(line, start + 1 + off, stop - start))
+            out.append(F.struct(F.when(within, key).alias("key"), F.lit(diff == 0 and off == 0).alias("home")))
+    return F.array(*out)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -182,17 +184,6 @@ def trimmed_distance(x: Column, y: Column, k: int) -> Column:
         lambda z: _let(z["a"], lambda a: _let(z["b"], lambda b: banded_distance(a, b, k))))))
 
 
-def allowed_edits(n: Column, max_edits: int, per_edit: int) -> Column:
-    """The numbers of edits that a pair with a line of ``n`` characters can be allowed.
-
-    The shorter line of a pair with k edits, fewer than ``max_edits``, has from ``k * per_edit`` code
-    points to one less than the next number's range, the longer one up to k more: the
-    first k lengths of the next range have both numbers.
-    """
-    own = F.least(F.call_function("div", n, F.lit(per_edit)).cast("int"), F.lit(max_edits))
-    return F.when((own > 1) & (n < own * per_edit + own - 1), F.array(own - 1, own)).otherwise(F.array(own))
-
-
 def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, per_edit: int = PER_EDIT, block: int = 32) -> DataFrame:
     """Links (a, b) between the ids of different lines that are near copies.
 
@@ -204,8 +195,7 @@ def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, per_edit: int
         raise ValueError("per_edit is too small for the band")
     n = F.char_length("line")
     long = lines.select("id", "line", n.alias("n")).where(F.col("n") >= per_edit)
-    long = long.select("id", "line", "n", F.explode(allowed_edits(F.col("n"), max_edits, per_edit)).alias("k"))
-    keyed = long.select("id", "line", F.inline(segment_keys(F.col("line"), F.col("n"), F.col("k"), max_edits)))
+    keyed = long.select("id", "line", F.inline(segment_keys(F.col("line"), F.col("n"), max_edits, per_edit))).where("key IS NOT NULL")
     shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("home").alias("home"))
     shared = scratch.keep(shared.where("a <> b AND home").select("key"), "keys")
     # a line has a few dozen keys at most, so the sets of an id are bounded; counts of characters are taken once a line
