@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from trawl.llm import decontam, fingerprints, line_dedup, mixing, pii, ppm, quality, recompression, simhash, warc_index
 
@@ -389,6 +390,41 @@ def test_pii_base_spans(lspark):
     assert {r.doc_id: r.text for r in pii.redact(found).collect()}[5] == "ñ \U0001F600 <email> <ip>"
 
 
+def test_pii_additions_learnt_from_announced_spans(lspark):
+    """Formats that no base pattern takes are added where the text names them; the same digits elsewhere are not."""
+    def luhn_card(i):
+        body = f"4{i:014d}"
+        twice = [int(c) * (2 - j % 2) for j, c in enumerate(reversed(body))]
+        return body + str(-sum(v - 9 * (v > 9) for v in twice) % 10)
+
+    rows, want, decoys = [], {}, set()
+    for i in range(120):
+        n, card = f"(555) 123-{4000 + i}", luhn_card(i * 7919)
+        dotted = ".".join(card[j:j + 4] for j in range(0, 16, 4))
+        wrong = dotted[:-1] + str((int(dotted[-1]) + 1) % 10)
+        texts = [(f"Please call {n} before noon.", n, "phone"), (f"Your card {dotted} was charged.", dotted, "card"),
+                 (f"The table has {n} rows in it.", None, None), (f"It says {wrong} in row nine.", None, None),
+                 (f"mail joe{i}@localhost now", f"joe{i}@localhost", "email"), (f"server 10,0,{i},1 is up", f"10,0,{i},1", "ip")]
+        for t, span, kind in texts:
+            d = len(rows)
+            rows.append((d, t))
+            if span:
+                want[d] = f"{kind}:{t.index(span)}:{t.index(span) + len(span)}"
+            else:
+                decoys.add(d)
+    got = {r.doc_id: r for r in pii.personal_data(lspark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(r.n_email + r.n_ip + r.n_card + r.n_phone == 0 for r in got.values())
+    caught = [d for d, w in want.items() if got[d].spans == w]
+    assert len(caught) > 0.95 * len(want) and not [d for d in decoys if got[d].spans]
+
+
+def test_pii_groups_of_long_runs(lspark):
+    """Two cards with a blank between them are one run of 32 digits: both are proposed."""
+    two = "4111 1111 1111 1111 5500 0000 0000 0004"
+    df = lspark.createDataFrame([(two,)], "text string").select(pii.candidates(F.col("text"))["card"].alias("c"))
+    assert {(c.start, c.stop) for c in df.first().c} >= {(0, 19), (20, 39)}
+
+
 def test_ppm_base_score_and_total_probability(odd_docs):
     import zlib
 

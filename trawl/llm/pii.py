@@ -1,15 +1,20 @@
 """Personal data by candidate gradient boosting (native).
 
-High-recall generators propose spans of four kinds that may overlap across
-kinds.  Every candidate has small integer features of its format and its
-context; a candidate that is a base span (the strict pattern and its check)
-is a positive.  Because the features are bounded integers, all candidates of
-the corpus fit into one table of distinct feature vectors with counts, from
-one aggregation; boosted trees are grown on that table, and a threshold per
-kind is calibrated on the documents held back from growing, so that at least
-``precision`` of the candidates above it are positives.  The trees then run
-as column expressions.  Base spans always stay; other candidates above the
-threshold are added where they overlap no base span and no better addition.
+High-recall generators propose spans of four kinds that may overlap, also
+within a kind: a long run of digits is proposed whole and in the groups that
+cards and phone numbers are written in.  Every candidate has small integer
+features of its format and its context.  The trees are taught by two things
+that do not need each other: a candidate is a positive if it is a base span
+(the strict pattern and its check), or if its own check holds and a word that announces
+its kind stands before it.  So a number in a format the base patterns do not
+know is learnt from the places where the text names it.  Because the features
+are bounded integers, all candidates of the corpus fit into one table of
+distinct feature vectors with counts, from one aggregation; boosted trees are
+grown on that table, and a threshold per kind is calibrated on the documents
+held back from growing, so that at least ``precision`` of the candidates above
+it are positives.  The trees then run as column expressions.  Base spans always
+stay; other candidates above the threshold are added where they overlap no base
+span and no better addition.
 """
 
 from __future__ import annotations
@@ -42,9 +47,15 @@ LOOSE = {
     "card": r"[0-9](?:[\x20.-]?[0-9])++",
     "phone": r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9])++",
 }
+# Groups that long runs of digits are also proposed in.
+GROUPED = {
+    "card": r"(?<![0-9])[0-9]{4}(?:[\x20.-]?[0-9]{4}){3}(?![0-9])",
+    "phone": r"(?<![0-9])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+}
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 CUE = r"(?i)(?:mail|contact|tel|phone|call|fax|mobil|fon|card|visa|credit|karte|tarjeta|carte|host|addr|server|\bip)\W*\z"
 N_FEATURES = 9
+CHECK, ANNOUNCED = 4, 6  # places of two of the features
 
 
 def _with(fn, *fixed):
@@ -120,7 +131,15 @@ def loose_spans(text: Column) -> dict[str, Column]:
         return n.between(*size[k])
 
     may = {"email": F.contains(text, F.lit("@")), "ip": has, "card": has, "phone": has}
-    return {k: F.when(may[k], F.filter(spans(text, LOOSE[k]), _with(lambda k, s: fits(k, s["m"]), k))).otherwise(none) for k in KINDS}
+    def found(k):
+        whole = F.filter(spans(text, LOOSE[k]), _with(lambda k, s: fits(k, s["m"]), k))
+        if k not in GROUPED:
+            return whole
+        # what the whole runs already are is not proposed twice
+        return F.get(F.transform(F.array(whole), lambda w: F.concat(w, F.filter(spans(text, GROUPED[k]), lambda s: ~F.exists(
+            w, lambda t: (t["start"] == s["start"]) & (t["stop"] == s["stop"]))))), 0)
+
+    return {k: F.when(may[k], found(k)).otherwise(none) for k in KINDS}
 
 
 def features(kind: str, s: Column) -> list[Column]:
@@ -129,10 +148,10 @@ def features(kind: str, s: Column) -> list[Column]:
     inner = F.regexp_replace(m, "[0-9A-Za-z]", "")
     n = F.length(digits(m))
     check = {
-        "email": m.rlike(r"@[^@]*\.[A-Za-z]{2,24}\z"),
+        "email": m.rlike(r"\A[^@]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\z"),
         "ip": m.rlike(rf"\A{OCTET}(?:[.,]{OCTET}){{3}}\z"),
         "card": F.get(F.transform(F.array(digits(m)), luhn), 0),
-        "phone": m.rlike(r"\A\+"),
+        "phone": m.rlike(r"\A\+?\(?[0-9]{1,4}\)?(?:[\x20.-]{1,2}\(?[0-9]{2,4}\)?)+\z"),
     }[kind]
     separator = F.when(inner == "", 0).when(inner.rlike(r"\A[+]?[ ]+\z"), 1).when(inner.rlike(r"\A[+]?-+\z"), 2).when(
         inner.rlike(r"\A[+]?\.+\z"), 3).when(inner.rlike(r"[()]"), 4).otherwise(5)
@@ -230,12 +249,14 @@ def fit(docs: DataFrame, precision: float = 0.95) -> dict[str, Trees]:
                         **{f"b_{k}": F.transform(v, lambda s: F.struct(
                             s["start"].alias("start"), s["stop"].alias("stop"))) for k, v in base_spans(F.col("text")).items()})
     cal = (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).alias("cal")
-    every = None
-    for i, k in enumerate(KINDS):
-        c = rows.where(F.size(f"c_{k}") > 0).select(cal, f"b_{k}", F.explode(f"c_{k}").alias("c"))
-        hit = F.array_contains(F.col(f"b_{k}"), F.struct(F.col("c.start").alias("start"), F.col("c.stop").alias("stop")))
-        part = c.select(F.lit(i).alias("kind"), "cal", "c.f", hit.alias("hit"))
-        every = part if every is None else every.unionByName(part)
+
+    def taught(i, k, s):
+        base = F.array_contains(F.col(f"b_{k}"), F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+        named = (F.get(s["f"], CHECK) == 1) & (F.get(s["f"], ANNOUNCED) == 1)
+        return F.struct(F.lit(i).alias("kind"), s["f"].alias("f"), (base | named).alias("hit"))
+
+    # one array, so a text's candidates are found once
+    every = rows.select(cal, F.inline(F.concat(*[F.transform(f"c_{k}", _with(taught, i, k)) for i, k in enumerate(KINDS)])))
     table = every.groupBy("kind", "f").agg(
         F.sum((~F.col("cal")).cast("long")).alias("n"), F.sum((~F.col("cal") & F.col("hit")).cast("long")).alias("pos"),
         F.sum(F.col("cal").cast("long")).alias("cal_n"), F.sum((F.col("cal") & F.col("hit")).cast("long")).alias("cal_pos"))
