@@ -139,9 +139,46 @@ def test_fingerprints_edit_and_neighbours(odd_docs):
     assert len(fingerprints.edited_fingerprints(odd_docs).collect()) == odd_docs.count()
 
 
-def test_minhash_classes(odd_docs):
-    got = {(r.doc_id, r.class_id) for r in fingerprints.near_duplicates(odd_docs).collect()}
-    assert {(1, 1), (2, 1), (8, 8), (9, 8), (5, 5), (6, 5), (7, 5), (3, 3), (4, 4)} <= got
+def shingle_set(t):
+    w = tokens(lower(t))
+    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def near_by_brute_force(rows):
+    """(doc_id, class_id, n_links) of rows (doc_id, text): Jaccard 0.8 of all pairs of distinct shingle sets."""
+    sets = {shingle_set(t) for _, t in rows}
+    linked = [(a, b) for a in sets for b in sets if a != b and len(a & b) >= 0.8 * len(a | b)]
+    number = {s: k for k, s in enumerate(sets)}
+    top = classes(range(len(sets)), [(number[a], number[b]) for a, b in linked])
+    least = defaultdict(list)
+    for d, t in rows:
+        least[top[number[shingle_set(t)]]].append(d)
+    degree = Counter(a for a, _ in linked)
+    return Counter((d, min((x for x in least[top[number[shingle_set(t)]]] if x is not None), default=None),
+                    degree[shingle_set(t)]) for d, t in rows)
+
+
+def test_minhash_classes_against_brute_force(odd_docs, lspark):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in fingerprints.near_duplicates(odd_docs).collect())
+    assert got == near_by_brute_force(rows)
+    assert {(1, 1), (2, 1), (8, 8), (9, 8), (5, 5), (6, 5), (7, 5), (3, 3), (4, 4)} <= {x[:2] for x in got}
+    # similar far above or below the threshold, so that bands meet surely; a hot group of near copies in blocks of four
+    rng = np.random.default_rng(5)
+    rows = [(None, None), (None, ""), (-1, "few words"), (-2, "Few  WORDS")]
+    for family in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 200)]
+        for copy in range(60 if family == 0 else 5):
+            text = list(words)
+            for at in rng.integers(0, 200, 1 + copy % 2):
+                text[at] = f"new{rng.integers(10**9)}"
+            rows.append((len(rows) // 2 if family == 1 else len(rows), " ".join(text)))  # family 1 repeats doc_ids
+        rows.append((len(rows), " ".join(words[:100] + [f"x{x}" for x in rng.integers(0, 10**6, 100)])))
+    docs = lspark.createDataFrame(rows, "doc_id long, text string").withColumn("member", F.lit(1)).withColumn("band", F.lit(2))
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in fingerprints.near_duplicates(docs, block=4).collect())
+    assert got == near_by_brute_force(rows)
+    whole = fingerprints.fingerprint_documents(docs).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in whole) == got
 
 
 def test_leaks_against_brute_force(odd_docs, lspark):

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import Scratch
+from trawl.llm.common import Scratch, broadcast_checked
 from trawl.llm.components import connected_components
 
 PERMS, SHINGLE, PIECE = 64, 5, 4096
@@ -79,7 +79,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     per range sees every pair of neighbours and holds two texts at a time.
     A null text counts as empty, a null doc_id comes last; rows that repeat
     a doc_id follow each other in the order of a hash of their texts.  A
-    single row is its own next.  Other columns are ignored.
+    single row is its own next.  Other columns are ignored.  ``text_hash`` is
+    a hash of the text.
     """
     spark = docs.sparkSession
     parts = max(2, min(1000, int(spark.conf.get("spark.sql.shuffle.partitions"))))
@@ -112,25 +113,26 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         held, out = None, []
 
         def pair(one, two):
-            text, sig = one[2:]
+            text, sig = one[2:4]
             half = len(text) // 2
             edited = text[:len(text) - half] + two[2][:half]
             es = signature(shingles(edited))
             digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-            out.append((one[1], len(text), digest, text_of(sig), text_of(es), likeness(sig, es), likeness(sig, two[3])))
+            out.append((one[1], len(text), digest, text_of(sig), text_of(es), likeness(sig, es), likeness(sig, two[3]), one[4]))
 
         def cut():
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(c), t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.string(), pa.string(),
-                                                                  pa.string(), pa.float64(), pa.float64()))],
-                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                                                                  pa.string(), pa.float64(), pa.float64(), pa.int64()))],
+                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+                 "text_hash"])
 
         for b in batches:
-            for part, tail, doc, z in zip(*(b.column(c).to_pylist() for c in ("part", "tail", "doc_id", "z"))):
+            for part, tail, doc, tie, z in zip(*(b.column(c).to_pylist() for c in ("part", "tail", "doc_id", "tie", "z"))):
                 if tail and (held is None or held[0] != part):
                     continue  # a further closing document of the same range
                 text = unpack.decompress(z).decode("utf-8", "surrogatepass")
-                now = (part, doc, text, signature(shingles(text)))
+                now = (part, doc, text, signature(shingles(text)), tie)
                 if held is not None and held[0] == part:
                     pair(held, now)
                 held = None if tail else now
@@ -143,89 +145,175 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dealt = narrow.mapInArrow(deal, "part int, tail int, doc_id long, tie long, z binary")
     dealt = dealt.repartition(parts, "part").sortWithinPartitions(
-        "part", "tail", F.col("doc_id").desc_nulls_last(), "tie").drop("tie")
+        "part", "tail", F.col("doc_id").desc_nulls_last(), "tie")
     return dealt.mapInArrow(walk, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-                                  "edited_fingerprint string, near_edited double, near_next double")
+                                  "edited_fingerprint string, near_edited double, near_next double, text_hash long")
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of every two sets of distinct hashes; ``PIECE`` of the shared hashes are counted at a time."""
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    value = np.concatenate(sets)
+    order = np.argsort(value, kind="stable")
+    value, row = value[order], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
+    if not len(value):
+        return out
+    col = np.cumsum(np.append(True, value[1:] != value[:-1])) - 1
+    shared = np.bincount(col)[col] > 1
+    row, col = row[shared], col[shared]
+    if not len(col):
+        return out
+    col = np.cumsum(np.append(True, col[1:] != col[:-1])) - 1
+    for lo in range(0, int(col[-1]) + 1, PIECE):
+        a, z = np.searchsorted(col, [lo, lo + PIECE])
+        grid = np.zeros((len(sets), PIECE), np.float32)
+        grid[row[a:z], col[a:z] - lo] = 1
+        out += (grid @ grid.T).astype(np.int64)
+    return out
+
+
+def near_pairs(sets: list[np.ndarray], wanted: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the ``wanted`` pairs (a square of flags) have Jaccard similarity ``threshold``; two empty sets have it."""
+    both = overlaps(sets)
+    size = np.array([len(s) for s in sets], np.int64)
+    return wanted & (both >= threshold * (size[:, None] + size[None, :] - both))
+
+
+def roots(near: np.ndarray) -> np.ndarray:
+    """Smallest index that each index of a square of links (either direction) can reach."""
+    linked = near | near.T
+    root = np.arange(len(near))
+    while True:
+        up = np.minimum(root, np.where(linked, root[None, :], len(near)).min(axis=1, initial=len(near)))
+        up = up[up]
+        if (up == root).all():
+            return root
+        root = up
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, block: int = 64) -> DataFrame:
-    """(doc_id, class_id, n_links): near-duplicate classes at Jaccard ``threshold`` of five-word shingles.
-
-    Equal shingle sets are one member; members that share a band of their
-    signatures are verified on their whole shingle sets.  A band shared by
-    many members is dealt into blocks whose pairs are compared group by
-    group.  ``class_id`` is the smallest doc_id reachable over verified
-    links, ``n_links`` the links of the document's member to other members.
-    Texts without words are one class; a null text counts as empty.
+    """(doc_id, text_hash, class_id, n_links), one row per input row: near duplicates at Jaccard ``threshold``.
+
+    Similarity is that of the sets of five-word shingles.  Equal sets are one
+    member; members that share a band of their signatures are verified on
+    the shingles of their whole texts.  A band shared by many members is
+    dealt into blocks, every two of which meet in one group; a pair is
+    compared under the first band it shares only.  A group returns, per
+    member, its number of links and the smallest member of the group it
+    reaches, so links are counted whole but no pair becomes a row.
+    ``class_id`` is the smallest doc_id reachable over links (null if its
+    class has null ids only), ``n_links`` the links of the row's member to
+    other members, ``text_hash`` a hash of the text.  Texts without words
+    are one class; a null text counts as empty.  Repeated rows stay and
+    share class and links.  Other columns are ignored; an empty table gives
+    an empty result.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, rows = [], []
+            ids, ties, rows = [], [], []
             for text in b.column(1).to_pylist():
+                raw = (text or "").encode("utf-8", "surrogatepass")
                 sh = shingles(text)
                 sig = signature(sh).reshape(bands, -1)
+                ties.append(xxhash.xxh3_64_intdigest(raw) >> 1)
                 ids.append(xxhash.xxh3_64_intdigest(sh.tobytes()) >> 1)
                 rows.append([xxhash.xxh3_64_intdigest(bytes([k]) + band.tobytes()) >> 1 for k, band in enumerate(sig)])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
-                                             ["doc_id", "member", "bands"])
-
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = scratch.keep(narrow.mapInArrow(sign, "doc_id long, member long, bands array<long>"), "signatures")
-    members = signed.groupBy("member").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands"))
-    banded = members.select("member", F.explode("bands").alias("band"))
-    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = scratch.keep(banded.join(sizes, "band"), "bands")
-    wanted = shared.select("member").distinct()
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(ties, pa.int64()), pa.array(ids, pa.int64()), pa.array(rows, pa.list_(pa.int64())),
+                 b.column(2)], ["doc_id", "text_hash", "member", "bands", "mark"])
+
+    # the mark finds a member's text again: rows that repeat a doc_id may differ in it
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
+        "mark", F.xxhash64("text"))
+    signed = scratch.keep(narrow.mapInArrow(sign, "doc_id long, text_hash long, member long, bands array<long>, mark long"),
+                          "signatures")
+    members = signed.groupBy("member").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("holder"),
+                                           F.any_value("bands").alias("bands"))
+    members = scratch.keep(members, "members")
+    banded = members.select("member", "bands", F.explode("bands").alias("band"))
+    sizes = scratch.keep(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    shared = scratch.keep(banded.join(broadcast_checked(sizes), "band"), "bands")
     # one whole text for every member that shares a band
-    holder = wanted.join(members.select("member", "least"), "member")
-    texts = narrow.join(holder, F.col("doc_id").eqNullSafe(F.col("least"))).select("member", "text").dropDuplicates(["member"])
+    holder = members.join(shared.select("member").distinct(), "member", "left_semi").select(
+        "member", F.col("holder.doc_id").alias("of"), F.col("holder.mark").alias("by"))
+    holder = broadcast_checked(scratch.keep(holder, "holders"))
+    texts = narrow.join(holder, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("by"))).select("member", "text")
+    texts = texts.dropDuplicates(["member"])
     blocks = F.ceil(F.col("n") / block).cast("int")
     dealt = shared.withColumn("own", F.pmod(F.xxhash64("member"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "member", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
+        "member", "bands", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
     keys = ["band", "i", "j"]
+
+    def zip_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(3)
+        for b in batches:
+            z = [pack.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], ["member", "z"])
+
+    texts = scratch.keep(texts.mapInArrow(zip_text, "member long, z binary"), "texts")
     rows = dealt.join(texts, "member").repartition(*keys).sortWithinPartitions(*keys)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, last, links = [], None, []
+        unpack = zstandard.ZstdDecompressor()
+        group, last, out = [], None, []
 
         def close():
-            for p, (m1, o1, s1) in enumerate(group):
-                for m2, o2, s2 in group[p + 1:]:
-                    if m1 != m2 and (last[1] == last[2] or o1 != o2):
-                        both = len(np.intersect1d(s1, s2, assume_unique=True))
-                        if both >= threshold * (len(s1) + len(s2) - both):
-                            links.append((min(m1, m2), max(m1, m2)))
+            member, own, band = (np.array(c) for c in list(zip(*group))[:3])
+            packed = [g[3] for g in group]
             group.clear()
+            here = int(np.flatnonzero(band[0] == last[0])[0])
+            wanted = (band[:, None] == band[None]).argmax(axis=2) == here
+            wanted &= member[:, None] < member[None]
+            if last[1] != last[2]:
+                wanted &= own[:, None] != own[None]
+            live = np.flatnonzero(wanted.any(axis=0) | wanted.any(axis=1))
+            if not len(live):
+                return
+            sets = [shingles(unpack.decompress(packed[k]).decode("utf-8", "surrogatepass")) for k in live]
+            near = near_pairs(sets, wanted[np.ix_(live, live)], threshold)
+            n, root = near.sum(axis=0) + near.sum(axis=1), roots(near)
+            out.extend((int(member[live[k]]), int(member[live[root[k]]]), int(n[k])) for k in np.flatnonzero(n))
 
         def cut():
-            out = pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()),
-                                              pa.array([y for _, y in links], pa.int64())], ["a", "b"])
-            links.clear()
-            return out
+            cols = list(zip(*out))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], ["member", "root", "n"])
 
         for b in batches:
-            for member, own, text, *key in zip(*(b.column(c).to_pylist() for c in ("member", "own", "text", *keys))):
+            for member, own, band, z, *key in zip(*(b.column(c).to_pylist() for c in ("member", "own", "bands", "z", *keys))):
                 if key != last:
-                    if group:
+                    if len(group) > 1:
                         close()
+                    group.clear()
                     last = key
-                group.append((member, own, shingles(text)))
-            if links:
+                group.append((member, own, band, z))
+            if out:
                 yield cut()
-        if group:
+        if len(group) > 1:
             close()
-        if links:
+        if out:
             yield cut()
 
-    links = scratch.keep(rows.mapInArrow(verify, "a long, b long").distinct(), "links")
-    comps = connected_components(links, scratch)
-    degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("member")).agg(
-        F.count(F.lit(1)).alias("n_links"))
+    found = scratch.keep(rows.mapInArrow(verify, "member long, root long, n long"), "found")
+    comps = connected_components(found.select(F.col("member").alias("a"), F.col("root").alias("b")), scratch)
+    degree = found.groupBy("member").agg(F.sum("n").alias("n_links"))
     named = members.select("member", "least").join(comps.withColumnRenamed("node", "member"), "member", "left").join(
         degree, "member", "left").withColumn("component", F.coalesce("component", "member"))
+    named = scratch.keep(named, "named")
     ids = named.groupBy("component").agg(F.min("least").alias("class_id"))
     of = named.join(ids, "component").select("member", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return signed.select("doc_id", "member").join(of, "member").select("doc_id", "class_id", "n_links")
+    of = broadcast_checked(scratch.keep(of, "classes"))
+    return signed.select("doc_id", "text_hash", "member").join(of, "member").select("doc_id", "text_hash", "class_id", "n_links")
+
+
+def fingerprint_documents(docs: DataFrame) -> DataFrame:
+    """``edited_fingerprints`` with each row's class_id and n_links of ``near_duplicates``; one row per input row."""
+    near = near_duplicates(docs).groupBy("doc_id", "text_hash").agg(
+        F.any_value("class_id").alias("class_id"), F.any_value("n_links").alias("n_links"))
+    near = near.withColumnsRenamed({"doc_id": "of", "text_hash": "by"})
+    rows = edited_fingerprints(docs)
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("by"))
+    return rows.join(near, same, "left").drop("of", "by")

@@ -61,7 +61,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_minhash_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
 @query("op7_ppm_score")
