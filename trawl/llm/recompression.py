@@ -18,7 +18,7 @@ share theirs.  The steps:
    representatives once, with the smallest and largest doc_id that has them;
 2. representatives meet by value; those of one document only drop out, the
    others return to their blocks;
-3. blocks name (64 bits each of two hashes) all windows with a returned
+3. blocks name (64 bits) all windows with a returned
    representative; names meet by value, and each block learns the smallest
    doc_id of its names;
 4. words covered by a window that also starts in a smaller doc_id go.
