@@ -61,6 +61,17 @@ def text_of(sig: np.ndarray) -> str:
     return sig.astype(">u4").tobytes().hex()
 
 
+def text_hash(raw: bytes) -> int:
+    """What ``F.xxhash64`` gives for a text."""
+    h = xxhash.xxh64_intdigest(raw, 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def member_of(sh: np.ndarray) -> int:
+    """One number for equal shingle sets."""
+    return xxhash.xxh3_64_intdigest(sh.tobytes()) >> 1
+
+
 def _bounds(docs: DataFrame, parts: int) -> np.ndarray:
     """Some doc_ids of the table, largest last, that cut it into about ``parts`` even ranges."""
     cuts = [k / parts for k in range(1, parts)] + [1.0]
@@ -80,7 +91,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     A null text counts as empty, a null doc_id comes last; rows that repeat
     a doc_id follow each other in the order of a hash of their texts.  A
     single row is its own next.  Other columns are ignored.  ``text_hash`` is
-    a hash of the text.
+    a hash of the text, ``member`` one of its shingle set.
     """
     spark = docs.sparkSession
     parts = max(2, min(1000, int(spark.conf.get("spark.sql.shuffle.partitions"))))
@@ -97,7 +108,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                tie, z = xxhash.xxh3_64_intdigest(raw) >> 1, pack.compress(raw)
+                tie, z = text_hash(raw), pack.compress(raw)
                 at = 0 if doc is None else int(np.searchsorted(bounds, doc))
                 put(at, 0, doc, tie, z)
                 if len(bounds) and doc is not None and bounds[at] == doc:  # closes its range: opens the one above it
@@ -118,21 +129,23 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
             edited = text[:len(text) - half] + two[2][:half]
             es = signature(shingles(edited))
             digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-            out.append((one[1], len(text), digest, text_of(sig), text_of(es), likeness(sig, es), likeness(sig, two[3]), one[4]))
+            out.append((one[1], len(text), digest, text_of(sig), text_of(es), likeness(sig, es), likeness(sig, two[3]), one[4],
+                        one[5]))
 
         def cut():
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(c), t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.string(), pa.string(),
-                                                                  pa.string(), pa.float64(), pa.float64(), pa.int64()))],
+                                                                  pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64()))],
                 ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
-                 "text_hash"])
+                 "text_hash", "member"])
 
         for b in batches:
             for part, tail, doc, tie, z in zip(*(b.column(c).to_pylist() for c in ("part", "tail", "doc_id", "tie", "z"))):
                 if tail and (held is None or held[0] != part):
                     continue  # a further closing document of the same range
                 text = unpack.decompress(z).decode("utf-8", "surrogatepass")
-                now = (part, doc, text, signature(shingles(text)), tie)
+                sh = shingles(text)
+                now = (part, doc, text, signature(sh), tie, member_of(sh))
                 if held is not None and held[0] == part:
                     pair(held, now)
                 held = None if tail else now
@@ -147,7 +160,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     dealt = dealt.repartition(parts, "part").sortWithinPartitions(
         "part", "tail", F.col("doc_id").desc_nulls_last(), "tie")
     return dealt.mapInArrow(walk, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-                                  "edited_fingerprint string, near_edited double, near_next double, text_hash long")
+                                  "edited_fingerprint string, near_edited double, near_next double, text_hash long, "
+                                  "member long")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -208,28 +222,33 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, bl
     share class and links.  Other columns are ignored; an empty table gives
     an empty result.
     """
-    scratch = Scratch(docs.sparkSession, "minhash")
-
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, ties, rows = [], [], []
-            for text in b.column(1).to_pylist():
-                raw = (text or "").encode("utf-8", "surrogatepass")
-                sh = shingles(text)
-                sig = signature(sh).reshape(bands, -1)
-                ties.append(xxhash.xxh3_64_intdigest(raw) >> 1)
-                ids.append(xxhash.xxh3_64_intdigest(sh.tobytes()) >> 1)
-                rows.append([xxhash.xxh3_64_intdigest(bytes([k]) + band.tobytes()) >> 1 for k, band in enumerate(sig)])
+            sets = [shingles(text) for text in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ties, pa.int64()), pa.array(ids, pa.int64()), pa.array(rows, pa.list_(pa.int64())),
-                 b.column(2)], ["doc_id", "text_hash", "member", "bands", "mark"])
-
-    # the mark finds a member's text again: rows that repeat a doc_id may differ in it
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
-        "mark", F.xxhash64("text"))
-    signed = scratch.keep(narrow.mapInArrow(sign, "doc_id long, text_hash long, member long, bands array<long>, mark long"),
-                          "signatures")
-    members = signed.groupBy("member").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("holder"),
+                [b.column(0), b.column(2), pa.array([member_of(sh) for sh in sets], pa.int64()),
+                 pa.array([text_of(signature(sh)) for sh in sets], pa.string())],
+                ["doc_id", "text_hash", "member", "fingerprint"])
+
+    rows = _narrow(docs).mapInArrow(sign, "doc_id long, text_hash long, member long, fingerprint string")
+    return classes_of(docs, rows, threshold, bands, block)
+
+
+def _narrow(docs: DataFrame) -> DataFrame:
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return narrow.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def classes_of(docs: DataFrame, prints: DataFrame, threshold: float, bands: int, block: int) -> DataFrame:
+    """The rows of ``near_duplicates`` from fingerprints (doc_id, text_hash, member, fingerprint) of ``docs``."""
+    scratch = Scratch(docs.sparkSession, "minhash")
+    digits = 8 * PERMS // bands
+    cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(
+        k, F.substring(F.col("fingerprint"), k * digits + 1, F.lit(digits))))
+    # the hash of a text finds a member's text again: rows that repeat a doc_id may differ in it
+    narrow = _narrow(docs)
+    signed = scratch.keep(prints.select("doc_id", "text_hash", "member", cut.alias("bands")), "signatures")
+    members = signed.groupBy("member").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("holder"),
                                            F.any_value("bands").alias("bands"))
     members = scratch.keep(members, "members")
     banded = members.select("member", "bands", F.explode("bands").alias("band"))
@@ -237,9 +256,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, bl
     shared = scratch.keep(banded.join(broadcast_checked(sizes), "band"), "bands")
     # one whole text for every member that shares a band
     holder = members.join(shared.select("member").distinct(), "member", "left_semi").select(
-        "member", F.col("holder.doc_id").alias("of"), F.col("holder.mark").alias("by"))
+        "member", F.col("holder.doc_id").alias("of"), F.col("holder.text_hash").alias("by"))
     holder = broadcast_checked(scratch.keep(holder, "holders"))
-    texts = narrow.join(holder, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("by"))).select("member", "text")
+    texts = narrow.join(holder, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("by"))).select("member", "text")
     texts = texts.dropDuplicates(["member"])
     blocks = F.ceil(F.col("n") / block).cast("int")
     dealt = shared.withColumn("own", F.pmod(F.xxhash64("member"), blocks).cast("int")).withColumn(
@@ -311,9 +330,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, bl
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """``edited_fingerprints`` with each row's class_id and n_links of ``near_duplicates``; one row per input row."""
-    near = near_duplicates(docs).groupBy("doc_id", "text_hash").agg(
+    rows = Scratch(docs.sparkSession, "fingerprints").keep(edited_fingerprints(docs), "rows")
+    near = classes_of(docs, rows, 0.8, 16, 64).groupBy("doc_id", "text_hash").agg(
         F.any_value("class_id").alias("class_id"), F.any_value("n_links").alias("n_links"))
     near = near.withColumnsRenamed({"doc_id": "of", "text_hash": "by"})
-    rows = edited_fingerprints(docs)
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("by"))
-    return rows.join(near, same, "left").drop("of", "by")
+    return rows.join(near, same, "left").drop("of", "by", "member")
