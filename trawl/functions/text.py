@@ -8,9 +8,11 @@ decimal digit class (Java ``\\d`` is ASCII only).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.functions.plan import compute_once
+
 # Python ``str.isspace`` characters, as a Java regex class body.
 PY_SPACE = r"\t\n\x0B\f\r\x1C-\x1F \u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 # Python ``str.splitlines`` line boundaries (``\r\n`` first).
@@ -131,21 +133,26 @@ def title_case(col) -> Column:
                           F.array_repeat(c == F.upper(c), n).alias("caps"))
     small = F.array(*[F.lit(s) for s in SMALL_WORDS])
 
+    def parts(e):
+        w = e["w"]
+        base = F.when(e["caps"], F.lower(w)).otherwise(w)
+        lead = F.length(F.regexp_extract(base, r"^([^\p{L}\p{N}]*)", 1))
+        kept = ~e["caps"] & w.rlike(r"^[^\p{L}\p{N}]*\p{L}+\p{Lu}")
+        return F.struct(w.alias("w"), e["n"].alias("n"), base.alias("base"), lead.alias("lead"), kept.alias("kept"))
+
     def one(e, i):
-        w, all_caps = e["w"], e["caps"]
-        inner_cap = w.rlike(r"^[^\p{L}\p{N}]*\p{L}+\p{Lu}")
+        w, base, lead = e["w"], e["base"], e["lead"]
         edge = (i == 0) | (i == e["n"] - 1)
-        base = F.when(all_caps, F.lower(w)).otherwise(w)
-        lead = F.regexp_extract(base, r"^([^\p{L}\p{N}]*)", 1)
-        rest = F.substring(base, F.length(lead) + 1, 1 << 30)
-        capped = F.concat(lead, F.upper(F.substring(rest, 1, 1)), F.substring(rest, 2, 1 << 30))
+        capped = F.concat(F.substring(base, F.lit(1), lead), F.upper(F.substring(base, lead + 1, F.lit(1))),
+                          F.substring(base, lead + 2, F.lit(1 << 30)))
         return (
-            F.when(inner_cap & ~all_caps, w)
-            .when(F.array_contains(small, F.lower(w)) & ~edge, F.lower(w))
+            F.when(e["kept"], w)
+            .when(~edge & F.array_contains(small, F.lower(w)), F.lower(w))
             .otherwise(capped)
         )
 
-    return F.array_join(F.transform(zipped, one), " ")
+    # two passes: what a word's result reads several times is computed once
+    return F.array_join(F.transform(F.transform(zipped, parts), one), " ")
 
 
 def mention_forms(col) -> tuple[Column, Column, Column, Column]:
@@ -158,6 +165,14 @@ def mention_forms(col) -> tuple[Column, Column, Column, Column]:
     return m0, m1, m2, m3
 
 
+def with_mention_forms(df: DataFrame, col, keep: list[str]) -> DataFrame:
+    """``keep`` and m0 to m3 of ``mention_forms``, the stripped text and its title case computed once a row."""
+    m0 = mention_forms(col)[0]
+    d = compute_once(compute_once(df, keep, m0=m0), [*keep, "m0"], m2=title_case(F.col("m0")))
+    return d.select(*keep, "m0", F.replace("m0", F.lit(" "), F.lit("_")).alias("m1"), "m2",
+                    F.replace("m2", F.lit(" "), F.lit("_")).alias("m3"))
+
+
 # T11 / T12 -----------------------------------------------------------------
 def last_url_segment(col) -> Column:
     """Page name as the last ``/`` segment."""

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.text import mention_forms
+from trawl.functions.text import with_mention_forms
 from trawl.sources.kb import RESOURCE, KnowledgeGraph
 
 KEYS = ["mention_key", "class", "rep"]
@@ -30,14 +30,13 @@ KEYS = ["mention_key", "class", "rep"]
 
 def mention_form_rows(reps: DataFrame) -> DataFrame:
     """T7 + C5: one row per distinct (label_form, page_form) of each mention."""
-    m0, m1, m2, m3 = mention_forms(F.col("rep"))
     forms = F.array_distinct(
         F.array(
-            F.struct(m2.alias("label_form"), m3.alias("page_form")),
-            F.struct(m0.alias("label_form"), m1.alias("page_form")),
+            F.struct(F.col("m2").alias("label_form"), F.col("m3").alias("page_form")),
+            F.struct(F.col("m0").alias("label_form"), F.col("m1").alias("page_form")),
         )
     )
-    return reps.select(*KEYS, F.explode(forms).alias("f")).select(*KEYS, "f.label_form", "f.page_form")
+    return with_mention_forms(reps, "rep", KEYS).select(*KEYS, F.explode(forms).alias("f")).select(*KEYS, "f.label_form", "f.page_form")
 
 
 def branch_rows(reps: DataFrame, kb: KnowledgeGraph, redirect: str = "zero_or_one") -> DataFrame:
