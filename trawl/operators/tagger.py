@@ -8,8 +8,8 @@ is exact and ties are settled by rule.
 
 ``tag_in_context`` decodes all sentences of a batch together in numpy.  The word
 table travels to the tasks if its counted rows are within a bound, so no token
-is shuffled; a larger table is joined to the tokens instead, with frequent
-words split off.
+is shuffled; a larger table is joined to the distinct words of each block of
+sentences instead, so a frequent word is one row a block.
 """
 
 from __future__ import annotations
@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trawl.functions.plan import hot_split_join
 from trawl.operators.annotate import default_tag
+from trawl.session import stored
 
 EDGE = "^"  # before the first and after the last token
 NEVER = 1 << 40
 WORD_ROWS = 1_000_000  # rows of (word, tag, cost) up to which the word table travels whole
+BLOCK = 50_000  # sentences that share their words' entries in the join with a larger table
 
 
 def cost(seen: Column, of: Column) -> Column:
@@ -64,7 +65,7 @@ def train_tagger(tagged: DataFrame) -> Tagger:
         seen[at[r["a"]], at[r["b"]]] += r["n"]
     steps = np.floor(-1000 * np.log(seen / seen.sum(1, keepdims=True))).astype(np.int64)
     toks = rows.select(F.explode(F.arrays_zip(F.col("tokens").alias("t"), letters.alias("tag"))).alias("x")).select("x.t", "x.tag")
-    counts = toks.groupBy(F.lower("t").alias("word"), "tag").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t"))
+    counts = stored(toks.groupBy(F.lower("t").alias("word"), "tag").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t")), "counts")
     of_tag = counts.groupBy("tag").agg(F.sum("n").alias("of"))  # one row a tag
     words = counts.join(F.broadcast(of_tag), "tag").select("word", "tag", cost(F.col("n"), F.col("of")).alias("cost"))
     total = {r["tag"]: r["of"] for r in of_tag.collect()}
@@ -83,28 +84,32 @@ def best_paths(costs: list[np.ndarray], steps: np.ndarray) -> list[np.ndarray]:
 
     Of equally cheap paths the one with the smallest last tag wins, then the smallest before it, and so on.
     """
-    n_tags = steps.shape[0] - 1
-    order = sorted(range(len(costs)), key=lambda i: -len(costs[i]))
-    lens = np.array([len(costs[i]) for i in order])
-    most = int(lens[0]) if len(lens) else 0
-    padded = np.zeros((len(order), most, n_tags), np.int64)
-    for r, i in enumerate(order):
-        padded[r, :len(costs[i])] = costs[i]
-    back = np.zeros((most, len(order), n_tags), np.int16)
-    best = steps[-1, :-1] + padded[:, 0] if most else padded.sum(1)
-    for p in range(1, most):
-        live = int((lens > p).sum())
-        through = best[:live, :, None] + steps[None, :-1, :-1]
-        back[p, :live] = through.argmin(1)
-        best[:live] = through.min(1) + padded[:live, p]
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(order)
-    last = (best + steps[:-1, -1]).argmin(1)
-    for r, i in enumerate(order):
-        path, t = np.zeros(lens[r], np.int64), int(last[r])
-        for p in range(lens[r] - 1, -1, -1):
-            path[p] = t
-            t = int(back[p, r, t]) if p else 0
-        out[i] = path
+    if not costs:
+        return []
+    lens = np.fromiter(map(len, costs), np.int64, len(costs))
+    flat = np.concatenate(costs)
+    return np.split(best_tags(flat, lens, steps), np.cumsum(lens)[:-1])
+
+
+def best_tags(costs: np.ndarray, lens: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """``best_paths`` of sentences of ``lens`` tokens laid end to end; all go forward, then back, side by side."""
+    out = np.zeros(len(costs), np.int64)
+    if not len(costs):
+        return out
+    order = np.argsort(-lens, kind="stable")
+    size, start = lens[order], (np.cumsum(lens) - lens)[order]
+    live = [int(n) for n in np.searchsorted(-size, -np.arange(int(size[0])), "left")]  # sentences longer than p
+    back: list[np.ndarray] = []
+    best = steps[-1, :-1] + costs[start[:live[0]]]
+    for p in range(1, len(live)):
+        through = best[:live[p], :, None] + steps[None, :-1, :-1]
+        back.append(through.argmin(1).astype(np.int16))
+        best[:live[p]] = through.min(1) + costs[start[:live[p]] + p]
+    tag = (best + steps[:-1, -1]).argmin(1)
+    for p in range(len(live) - 1, -1, -1):
+        out[start[:live[p]] + p] = tag[:live[p]]
+        if p:
+            tag[:live[p]] = back[p - 1][np.arange(live[p]), tag[:live[p]]]
     return out
 
 
@@ -113,54 +118,74 @@ def tag_in_context(sents: DataFrame, model: Tagger, word_rows: int = WORD_ROWS,
     """``sents`` (with ``tokens``) plus ``pos``, one letter per token by the cheapest path of each sentence.
 
     A known word may only have tags it was seen with; an unknown one has a cost by its
-    shape.  Null or empty tokens give an empty ``pos``.  ``key`` and ``sent`` name a sentence if
-    the word table is too large to travel.
+    shape.  Null or empty tokens give an empty ``pos``.  Where the word table is too large
+    to travel, blocks of sentences are joined with the entries of their distinct words, so no
+    word is frequent and ``hot_rows`` no longer matters.
     """
     spark = sents.sparkSession
-    tags, steps, shapes, other = model.tags, model.steps, model.shapes, model.other
+    tags, steps = model.tags, model.steps
     names = [c for c in sents.columns if c != "pos"]
-    rows = sents.select(*names, F.transform(F.coalesce("tokens", F.array().cast("array<string>")), default_tag).alias("_shapes"))
+    tokens = F.coalesce("tokens", F.array().cast("array<string>"))
+    rows = sents.select(*names, F.transform(tokens, default_tag).alias("_shapes"), F.transform(tokens, F.lower).alias("_words"))
     at = {t: i for i, t in enumerate(tags)}
-    travels = model.words.count() <= word_rows
-    if travels:
+    shape_names = [*model.shapes]
+    shape_costs = np.array([*model.shapes.values(), model.other], np.int64).reshape(len(shape_names) + 1, len(tags))
+    fields = [f for f in rows.schema.fields if f.name in names]
+    schema = T.StructType([*fields, T.StructField("pos", T.StringType())])
+    letters = np.array(tags, object)
+
+    def tagged(shapes: pa.Array, words: pa.Array, known: dict[str, list[tuple[int, int]]]) -> list[str]:
+        """``pos`` of rows; words and shapes are looked up once for all of them."""
+        lens = shapes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        shape, word = shapes.flatten().dictionary_encode(), words.flatten().dictionary_encode()
+        if not tags:
+            flat = shapes.flatten().to_numpy(zero_copy_only=False)
+        else:
+            row = {s: i for i, s in enumerate(shape_names)}
+            by_shape = shape_costs[[row.get(s, len(shape_names)) for s in shape.dictionary.to_pylist()]]
+            costs = by_shape[shape.indices.to_numpy()]
+            distinct = word.dictionary.to_pylist()
+            by_word, seen = np.full((len(distinct), len(tags)), NEVER, np.int64), np.zeros(len(distinct), bool)
+            for i, w in enumerate(distinct):
+                for t, c in known.get(w, ()):
+                    by_word[i, t] = c
+                    seen[i] = True
+            at_word = word.indices.to_numpy()
+            costs = np.where(seen[at_word][:, None], by_word[at_word], costs)
+            flat = letters[best_tags(costs, lens, steps)]
+        ends = np.cumsum(lens)
+        return ["".join(flat[e - n:e]) for e, n in zip(ends.tolist(), lens.tolist())]
+
+    if model.words.count() <= word_rows:
         table = model.words.toArrow().to_pydict()
-        known: dict[str, list[tuple[int, int]]] = {}
+        every: dict[str, list[tuple[int, int]]] = {}
         for w, t, c in zip(table["word"], table["tag"], table["cost"]):
+            every.setdefault(w, []).append((at[t], c))
+        shared = spark.sparkContext.broadcast(every)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, k = shared.value, len(names)
+            for b in batches:
+                for lo in range(0, len(b), block):
+                    part = b.slice(lo, block)
+                    pos = tagged(part.column(k), part.column(k + 1), known)
+                    yield pa.RecordBatch.from_arrays([*part.columns[:k], pa.array(pos, pa.string())], schema.names)
+
+        return rows.mapInArrow(run, schema)
+
+    # each block of neighbouring sentences asks for a word once; its answers come to it beside its sentences
+    rows = stored(rows.withColumn("_block", F.floor(F.monotonically_increasing_id() / F.lit(BLOCK)).cast("bigint")), "sentences")
+    asked = rows.select("_block", F.explode(F.array_distinct("_words")).alias("word")).distinct()
+    answers = asked.join(model.words, "word").select(F.col("_block").alias("_asked"), "word", "tag", "cost")
+
+    def decode(sentences: pa.Table, found: pa.Table) -> pa.Table:
+        known: dict[str, list[tuple[int, int]]] = {}
+        for w, t, c in zip(*(found.column(x).to_pylist() for x in ("word", "tag", "cost"))):
             known.setdefault(w, []).append((at[t], c))
-        shared = spark.sparkContext.broadcast(known)
-        rows = rows.withColumn("_words", F.transform("tokens", F.lower))
-    else:
-        by_word = model.words.groupBy("word").agg(F.collect_list(F.struct("tag", "cost")).alias("e"))
-        toks = rows.select("key", "sent", F.posexplode("tokens").alias("i", "t")).withColumn("word", F.lower("t"))
-        looked = hot_split_join(toks.drop("t"), by_word, ["word"], hot_rows, how="left")
-        looked = looked.groupBy("key", "sent").agg(F.array_sort(F.collect_list(F.struct("i", "e"))).alias("l"))
-        rows = rows.join(looked.select("key", "sent", F.transform("l", lambda x: x["e"]).alias("_words")), ["key", "sent"], "left")
-    rows = rows.select(*names, "_shapes", "_words")
-    schema = T.StructType([*rows.schema.fields[:-2], T.StructField("pos", T.StringType())])
-    k = len(names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if travels:
-            known = shared.value
-        for b in batches:
-            pos: list[str] = []
-            for lo in range(0, len(b), block):
-                costs, shape_rows = [], b.column(k).slice(lo, block).to_pylist()
-                for words, sh in zip(b.column(k + 1).slice(lo, block).to_pylist(), shape_rows):
-                    c = np.empty((len(sh), len(tags)), np.int64)
-                    for i, s in enumerate(sh):
-                        e = (known.get(words[i]) if travels else [(at[x["tag"]], x["cost"]) for x in words[i] or []]) or None
-                        if e is None:
-                            c[i] = shapes.get(s, other)
-                        else:
-                            c[i] = NEVER
-                            for t, v in e:
-                                c[i, t] = v
-                    costs.append(c)
-                if tags:
-                    pos += ["".join(tags[t] for t in path) for path in best_paths(costs, steps)]
-                else:
-                    pos += ["".join(sh) for sh in shape_rows]
-            yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(pos, pa.string())], schema.names)
-
-    return rows.mapInArrow(run, schema)
+        pos: list[str] = []
+        for lo in range(0, len(sentences), block):
+            part = sentences.slice(lo, block)
+            pos += tagged(part.column("_shapes").combine_chunks(), part.column("_words").combine_chunks(), known)
+        return sentences.select(names).append_column("pos", pa.array(pos, pa.string()))
+
+    return rows.groupBy("_block").cogroup(answers.groupBy("_asked")).applyInArrow(decode, schema)
