@@ -21,6 +21,7 @@ from trawl.operators import annotate as N
 from trawl.operators.link import HOT_ROWS, distinct_mentions, join_links, label_class_table, resolve_mentions
 from trawl.operators.names import NameIndex, name_index
 from trawl.operators.pages import page_rows, pages_as_bodies
+from trawl.session import is_folder
 from trawl.sources.kb import KnowledgeGraph
 from trawl.sources.lines import entity_value
 from trawl.streaming.link_store import KEYS, LinkStore
@@ -64,6 +65,8 @@ def start_page_stream(spark: SparkSession, pages_dir: str, kb: KnowledgeGraph, o
     """
     from trawl.plans.linking import gazetteer
 
+    if not is_folder(spark, pages_dir):  # a stream reads a folder: the one that holds the file
+        pages_dir, file_glob = pages_dir.rsplit("/", 1)
     names = name_index(gazetteer(spark, kb))
     ckpt = checkpoint or f"{out_dir}/_stream_checkpoint"
     src = (spark.readStream.schema(PAGES_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
