@@ -183,3 +183,31 @@ def test_toxicity_odd_and_empty_tables(odd_docs, lspark):
     few = lspark.createDataFrame([(1, 1, 1), (1, 1, 0), (2, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.classify(odd_docs, few).collect()} == {0.5}
     assert toxicity.classify(odd_docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_toxicity_learns_from_every_labelled_text(lspark):
+    """All labelled texts of the training fold teach, dealt to several tasks; tables of one task are no special case."""
+    docs, labels = toxic_table(lspark)
+    words = toxicity.labelled_words(docs.repartition(5), labels)
+    assert words.count() == labels.where("crc32(cast(doc_id as string)) % 3 <> 1").count() > 500
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    lspark.conf.set(key, "false")  # several files, so several tasks
+    try:
+        model = toxicity.fit(docs, labels, shard=70)
+    finally:
+        lspark.conf.set(key, "true")
+    want = {r.doc_id: r.toxic for r in labels.collect()}
+    got = toxicity.score(docs, model).collect()
+    assert np.mean([r.predicted == want[r.doc_id] for r in got if r.held_out]) > 0.9
+
+
+def test_toxicity_copies_are_averaged_over_those_that_changed_a_row(lspark):
+    import pyarrow as pa
+
+    def copy(shard, at, value):
+        theta = np.full((len(at), toxicity.DIM), value, np.float32).tobytes()
+        return {"k": 1, "block": 0, "shard": shard, "at": np.array(at, np.int32).tobytes(), "theta": theta, "seen": theta}
+
+    got = toxicity.average(pa.Table.from_pylist([copy(2, [3, 9], 4.0), copy(1, [9, 11], 2.0)])).to_pylist()[0]
+    assert np.frombuffer(got["at"], np.int32).tolist() == [3, 9, 11]
+    assert np.frombuffer(got["theta"], np.float32).reshape(-1, toxicity.DIM)[:, 0].tolist() == [4.0, 3.0, 2.0]
