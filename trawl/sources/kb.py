@@ -148,10 +148,14 @@ class KnowledgeGraph:
             else:
                 dealt = df.repartition(n, key).sortWithinPartitions(key)
             dealt.write.mode("overwrite").parquet(f"{path}/kb_{name}")
-        partitions = partitions or max(8, -(-self.label.count() // rows_per_part))
-        (self.lookup().repartition(partitions, "kind", "key").sortWithinPartitions("kind", "key")
+        spark = self.label.sparkSession
+        # what is derived reads the written tables, not what they were made from
+        done = KnowledgeGraph(**{name: spark.read.parquet(f"{path}/kb_{name}") for name in TABLES},
+                              cards=self.cards, lookup_index=self.lookup_index)
+        partitions = partitions or max(8, -(-done.label.count() // rows_per_part))
+        (done.lookup().repartition(partitions, "kind", "key").sortWithinPartitions("kind", "key")
          .write.mode("overwrite").parquet(f"{path}/kb_lookup"))
-        (self.item_cards().repartition(partitions, "item").sortWithinPartitions("item")
+        (done.item_cards().repartition(partitions, "item").sortWithinPartitions("item")
          .write.mode("overwrite").parquet(f"{path}/kb_item_cards"))
 
     def save_tables(self, path: str, prefix: str = "kb", buckets: int = 512) -> None:
