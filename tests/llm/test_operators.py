@@ -579,3 +579,15 @@ def test_empty_tables(odd_docs, lspark):
                decontam.find_leaks(odd_docs, bench), line_dedup.dedup_lines(none), quality.classify(none, labels),
                pii.personal_data(none), ppm.score_documents(none), warc_index.archive_pages(pages)):
         assert df.count() == 0
+
+
+def test_texts_travel_to_groups_with_pairs_only():
+    """A member meets another under the first band they share; of two blocks only across."""
+    band = np.array([[1, 5, 9], [1, 5, 8], [2, 5, 9], [2, 5, 8]])
+    member, own = np.array([10, 20, 30, 40]), np.array([0, 0, 1, 1])
+    def pairs(*key):
+        return [(int(member[a]), int(member[b])) for a, b in zip(*np.nonzero(fingerprints.first_shared(band, member, own, key)))]
+    assert pairs(5, 0, 0) == [(10, 30), (10, 40), (20, 30), (20, 40)]
+    assert pairs(5, 0, 1) == pairs(5, 0, 0)
+    same = fingerprints.first_shared(band[[0, 2]], member[[0, 2]], own[[0, 2]], (9, 0, 0))
+    assert not same.any()

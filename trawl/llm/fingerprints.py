@@ -205,14 +205,29 @@ def roots(near: np.ndarray) -> np.ndarray:
         root = up
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, block: int = 64) -> DataFrame:
+def first_shared(band: np.ndarray, member: np.ndarray, own: np.ndarray, key: tuple[int, int, int]) -> np.ndarray:
+    """Which pairs (a square of flags, smaller member first) of a group (band, i, j) share no band before that of the group.
+
+    Of two blocks only the pairs between them count.
+    """
+    here = int(np.flatnonzero(band[0] == key[0])[0])
+    wanted = member[:, None] < member[None]
+    if key[1] != key[2]:
+        wanted &= own[:, None] != own[None]
+    for k in range(here):
+        wanted &= band[:, None, k] != band[None, :, k]
+    return wanted
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 16, block: int = 512) -> DataFrame:
     """(doc_id, text_hash, class_id, n_links), one row per input row: near duplicates at Jaccard ``threshold``.
 
     Similarity is that of the sets of five-word shingles.  Equal sets are one
     member; members that share a band of their signatures are verified on
     the shingles of their whole texts.  A band shared by many members is
-    dealt into blocks, every two of which meet in one group; a pair is
-    compared under the first band it shares only.  A group returns, per
+    dealt into blocks of about ``block``, every two of which meet in one group; a pair is
+    compared under the first band it shares only, and a text travels only to the
+    groups where it has such a pair.  A group returns, per
     member, its number of links and the smallest member of the group it
     reaches, so links are counted whole but no pair becomes a row.
     ``class_id`` is the smallest doc_id reachable over links (null if its
@@ -259,7 +274,6 @@ def classes_of(docs: DataFrame, prints: DataFrame, threshold: float, bands: int,
         "member", F.col("holder.doc_id").alias("of"), F.col("holder.text_hash").alias("by"))
     holder = broadcast_checked(scratch.keep(holder, "holders"))
     texts = narrow.join(holder, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("by"))).select("member", "text")
-    texts = texts.dropDuplicates(["member"])
     blocks = F.ceil(F.col("n") / block).cast("int")
     dealt = shared.withColumn("own", F.pmod(F.xxhash64("member"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
@@ -272,7 +286,39 @@ def classes_of(docs: DataFrame, prints: DataFrame, threshold: float, bands: int,
             z = [pack.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], ["member", "z"])
 
-    texts = scratch.keep(texts.mapInArrow(zip_text, "member long, z binary"), "texts")
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last, out = [], None, []
+
+        def close():
+            member, own, band = (np.array(c) for c in zip(*group))
+            wanted = first_shared(band, member, own, last)
+            out.extend((*group[k], *last) for k in np.flatnonzero(wanted.any(axis=0) | wanted.any(axis=1)))
+
+        def cut():
+            cols = list(zip(*out))
+            out.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int32(),
+                                                       pa.int32()))], ["member", "own", "bands", *keys])
+
+        for b in batches:
+            for member, own, band, *key in zip(*(b.column(c).to_pylist() for c in ("member", "own", "bands", *keys))):
+                if key != last:
+                    if len(group) > 1:
+                        close()
+                    group.clear()
+                    last = key
+                group.append((member, own, band))
+            if out:
+                yield cut()
+        if len(group) > 1:
+            close()
+        if out:
+            yield cut()
+
+    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    dealt = scratch.keep(dealt.mapInArrow(paired, "member long, own int, bands array<long>, band long, i int, j int"), "paired")
+    texts = scratch.keep(texts.mapInArrow(zip_text, "member long, z binary").dropDuplicates(["member"]), "texts")
     rows = dealt.join(texts, "member").repartition(*keys).sortWithinPartitions(*keys)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,11 +329,7 @@ def classes_of(docs: DataFrame, prints: DataFrame, threshold: float, bands: int,
             member, own, band = (np.array(c) for c in list(zip(*group))[:3])
             packed = [g[3] for g in group]
             group.clear()
-            here = int(np.flatnonzero(band[0] == last[0])[0])
-            wanted = (band[:, None] == band[None]).argmax(axis=2) == here
-            wanted &= member[:, None] < member[None]
-            if last[1] != last[2]:
-                wanted &= own[:, None] != own[None]
+            wanted = first_shared(band, member, own, last)
             live = np.flatnonzero(wanted.any(axis=0) | wanted.any(axis=1))
             if not len(live):
                 return
@@ -331,7 +373,7 @@ def classes_of(docs: DataFrame, prints: DataFrame, threshold: float, bands: int,
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """``edited_fingerprints`` with each row's class_id and n_links of ``near_duplicates``; one row per input row."""
     rows = Scratch(docs.sparkSession, "fingerprints").keep(edited_fingerprints(docs), "rows")
-    near = classes_of(docs, rows, 0.8, 16, 64).groupBy("doc_id", "text_hash").agg(
+    near = classes_of(docs, rows, 0.8, 16, 512).groupBy("doc_id", "text_hash").agg(
         F.any_value("class_id").alias("class_id"), F.any_value("n_links").alias("n_links"))
     near = near.withColumnsRenamed({"doc_id": "of", "text_hash": "by"})
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("by"))
