@@ -581,6 +581,20 @@ def test_empty_tables(odd_docs, lspark):
         assert df.count() == 0
 
 
+def test_line_keys_are_compiled(lspark):
+    """The code that makes line keys stays under the 8,000 bytes of a method that the JVM compiles."""
+    import contextlib
+    import io
+    import re
+
+    lines = lspark.range(5).selectExpr("id", "repeat('x y', 20) AS line", "60 AS n")
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        line_dedup.segment_keys(lines, 2, 16).select("id", "key", "home").explain("codegen")
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue()))) < 8000
+    assert line_dedup.segment_keys(lines, 2, 16).count() == 5 * len(line_dedup.segment_slots(2))
+
+
 def test_texts_travel_to_groups_with_pairs_only():
     """A member meets another under the first band they share; of two blocks only across."""
     band = np.array([[1, 5, 9], [1, 5, 8], [2, 5, 9], [2, 5, 8]])

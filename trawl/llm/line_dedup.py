@@ -103,26 +103,23 @@ def segment_slots(k: int) -> list[tuple[int, int, int]]:
             for off in range(max(-i, diff - (k - i)), min(i, diff + (k - i)) + 1)]
 
 
-def segment_keys(line: Column, n: Column, max_edits: int, per_edit: int) -> Column:
-    """array<struct<key, home>>: index keys (home) and probe keys of a line of ``n`` characters; null keys do not count.
+def segment_keys(lines: DataFrame, max_edits: int, per_edit: int) -> DataFrame:
+    """(id, line, key, home) of ``lines`` (id, line, n characters): index keys (home) and probe keys.
 
     The shorter line of a pair with k edits, fewer than ``max_edits``, has from ``k * per_edit`` code
     points to one less than the next number's range, the longer one up to k more; a line has the
-    keys of every number of edits it can be in a pair with.  All slots stand in one plain array, which is cheaper
-    than choosing among arrays.
+    keys of every number of edits it can be in a pair with.  Lines are first dealt to the slots, a fixed
+    table, and each row makes one key: the code stays small enough to be compiled, which that of all slots at once is not.
     """
-    out = []
-    for k in range(1, max_edits + 1):
-        within = n >= k * per_edit
-        if k < max_edits:
-            within = within & (n < (k + 1) * per_edit + k)
-        for diff, i, off in segment_slots(k):
-            size = n - diff  # length of the indexed line
-            # integer division in place: these run a dozen times a line
-            start, stop = (F.call_function("div", size * j, F.lit(k + 1)).cast("int") for j in (i, i + 1))
-            key = F.xxhash64((size * (max_edits + 1) + i) * (max_edits + 1) + k, F.substring(line, start + 1 + off, stop - start))
-            out.append(F.struct(F.when(within, key).alias("key"), F.lit(diff == 0 and off == 0).alias("home")))
-    return F.array(*out)
+    slots = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("k", "diff", "i", "off"), (k, *slot))])
+                      for k in range(1, max_edits + 1) for slot in segment_slots(k)])
+    k, diff, i, off = (F.col(f"s.{c}") for c in ("k", "diff", "i", "off"))
+    dealt = lines.select("id", "line", "n", F.explode(slots).alias("s")).where(
+        (F.col("n") >= k * per_edit) & ((k == max_edits) | (F.col("n") < (k + 1) * per_edit + k)))
+    size = F.col("n") - diff  # length of the indexed line
+    start, stop = (F.call_function("div", size * j, k + 1).cast("int") for j in (i, i + 1))
+    key = F.xxhash64((size * (max_edits + 1) + i) * (max_edits + 1) + k, F.substring("line", start + 1 + off, stop - start))
+    return dealt.select("id", "line", key.alias("key"), ((diff == 0) & (off == 0)).alias("home"))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -195,7 +192,7 @@ def near_lines(lines: DataFrame, scratch: Scratch, max_edits: int, per_edit: int
         raise ValueError("per_edit is too small for the band")
     n = F.char_length("line")
     long = lines.select("id", "line", n.alias("n")).where(F.col("n") >= per_edit)
-    keyed = long.select("id", "line", F.inline(segment_keys(F.col("line"), F.col("n"), max_edits, per_edit))).where("key IS NOT NULL")
+    keyed = segment_keys(long, max_edits, per_edit)
     shared = keyed.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("home").alias("home"))
     shared = scratch.keep(shared.where("a <> b AND home").select("key"), "keys")
     # a line has a few dozen keys at most, so the sets of an id are bounded; counts of characters are taken once a line
