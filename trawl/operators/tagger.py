@@ -147,12 +147,12 @@ def tag_in_context(sents: DataFrame, model: Tagger, word_rows: int = WORD_ROWS,
             asked = tokens.select("block", "i", F.lower("tok").alias("word"), rule.alias("rule"))
             return asked.join(model.words, "word", "left").select("block", "i", F.coalesce(number[F.col("tag")] + F.col("cost"), "rule").alias("v"))
 
-        def decode(found: pa.Table) -> Callable[[np.ndarray, np.ndarray], pa.Array]:
+        def decode(found: pa.Table) -> Callable[[np.ndarray, np.ndarray, pa.Table], pa.Array]:
             i, v = found.column("i").to_numpy(), found.column("v").to_numpy()
             costs, known = np.full((i.max(initial=-1) + 1, len(tags)), NEVER, np.int64), v >= 0
             costs[i[~known]] = by_rule[-v[~known] - 1]
             costs[i[known], v[known] >> 32] = v[known] & 0xFFFFFFFF
-            return lambda codes, lens: joined(letters.take(pa.array(best_coded(costs, codes, lens, steps))), lens)
+            return lambda codes, lens, _: joined(letters.take(pa.array(best_coded(costs, codes, lens, steps))), lens)
 
         return with_answers(sents, names, ask, field, decode)[0]
 
