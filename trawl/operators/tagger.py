@@ -54,8 +54,8 @@ def train_tagger(tagged: DataFrame) -> Tagger:
     Rows whose lengths differ, empty and null rows are left out.  Repeated rows count
     again.  An empty table gives a model without tags, under which every token keeps its shape's letter.
     """
-    n = F.sum("n").alias("n")
-    all_counts = stored(counted_tokens(tagged, EDGE).groupBy("before", F.lower("t").alias("word"), "tag").agg(n, F.min("t").alias("t")), "counts")
+    counted = counted_tokens(tagged, EDGE).withColumn("word", F.lower("t")).repartition("before", "word")  # so summed in one place at once
+    all_counts = stored(counted.groupBy("before", "word", "tag").agg(F.sum("n").alias("n"), F.min("t").alias("t")), "counts")
     pairs = all_counts.where("before IS NOT NULL").select(F.col("before").alias("a"), F.col("tag").alias("b"), "n").collect()  # tags x tags rows
     tags = sorted({r["a"] for r in pairs} - {EDGE})
     at = {t: i for i, t in enumerate([*tags, EDGE])}
